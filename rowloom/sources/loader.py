@@ -95,6 +95,10 @@ def _load_stream(spark: SparkSession, source: Source, split: str, options: dict[
         path, fmt = source.path, source.fmt
         files = [row[FILE] for row in list_files(spark, [path]).collect()]
         batch = read_batch(spark, fmt, [path], _reader_options(options))
+        folder, _, name = path.rpartition("/")
+        if len(files) == 1 and files[0].endswith("/" + name):
+            # Spark streams from folders: watch the one that holds the file
+            path, options = folder or ".", {**options, "pathGlobFilter": name}
         return replace(read_stream(spark, fmt, path, _user_schema(batch), options), paths=tuple(files))
     fmt, files = _data_paths(spark, source, split)
     batch = read_batch(spark, fmt, files, _reader_options(options))
