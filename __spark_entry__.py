@@ -83,7 +83,15 @@ def workflow_index_select(spark, sf_dir):
 @query("SELECT page_id - 10 AS pos, page_id, url FROM pages WHERE page_id >= 10 AND page_id < 30")
 def workflow_stream_skip_take(spark, sf_dir):
     frame = rl.load(spark, f"{sf_dir}/pages.parquet", streaming=True)
-    return indexed(rl.take_rows(rl.skip_rows(frame, 10), 20), "page_id, url")
+    return indexed(rl.drain(rl.take_rows(rl.skip_rows(frame, 10), 20)), "page_id, url")
+
+
+@query("SELECT page_id - 10 AS pos, page_id, url FROM pages WHERE page_id >= 10 AND page_id < 30")
+def workflow_lazy_skip_take(spark, sf_dir):
+    """The same chain answered by the stream's lazy twin: only the first file is opened."""
+    frame = rl.load(spark, f"{sf_dir}/pages.parquet", streaming=True)
+    frame = rl.map_column(rl.take_rows(rl.skip_rows(frame, 10), 20), "pos", "row index")
+    return rl.to_data_list(rl.select_columns(frame, "pos, page_id, url"))
 
 
 # -- sources ---------------------------------------------------------------------------------
@@ -123,14 +131,14 @@ def load_jsonl(spark, sf_dir):
 
 @query("SELECT page_id AS pos, page_id, url, html FROM pages")
 def load_json_document(spark, sf_dir):
-    """One top-level JSON array spread over many lines."""
-    path = staging_path(spark, "json") + ".json"
-    # the array is built by one task: a JSON document cannot be written in pieces
-    whole = table(spark, sf_dir, "pages").rows().agg(
-        F.to_json(F.array_sort(F.collect_list(F.struct("page_id", "url", "html"))), {"pretty": "true"}).alias("value")
-    )
-    whole.coalesce(1).write.text(path)
-    return indexed(rl.load(spark, path, multiLine=True), "page_id, url, html")
+    """JSON arrays spread over many lines: one document per thousand pages."""
+    path = staging_path(spark, "json")
+    group = F.lpad(F.expr("page_id div 1000").cast("string"), 15, "0").alias("part")
+    page = F.struct("page_id", "url", "html")
+    documents = table(spark, sf_dir, "pages").unordered_rows().groupBy(group)
+    text = F.to_json(F.array_sort(F.collect_list(page)), {"pretty": "true"})
+    documents.agg(text.alias("value")).write.partitionBy("part").text(path)
+    return indexed(rl.load(spark, path, loader="json", multiLine=True), "page_id, url, html")
 
 
 @query("SELECT s_suppkey AS pos, s_name || ' / ' || CAST(s_nationkey AS VARCHAR) AS text FROM supplier")
@@ -233,7 +241,7 @@ def stream_filter_rename_index(spark, sf_dir):
     frame = rl.load(spark, f"{sf_dir}/events.parquet", streaming=True, reload_tick=1)
     frame = rl.filter_rows(rl.filter_rows(frame, "event_type", "in", "purchase, signup"), "value", ">=", "20")
     frame = rl.map_column(rl.rename_column(frame, "value", "amount"), "n", "row index")
-    return rl.to_data_list(rl.select_columns(frame, "n, event_id, amount"))
+    return rl.to_data_list(rl.drain(rl.select_columns(frame, "n, event_id, amount")))
 
 
 # -- projections -----------------------------------------------------------------------------

@@ -8,6 +8,7 @@ Catalyst prunes them whenever an operator does not need the order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from typing import TYPE_CHECKING, Any
 
@@ -61,6 +62,9 @@ class Frame:
     ``whole`` means the rows are exactly base rows ``span[0] .. span[1]-1`` of ``files``
     (nothing filtered out in between); ``dense_from`` means a ``position`` order counts
     up from that number without gaps.  Both let row ranks become literals.
+
+    A streaming frame (``bounded=False``) also carries ``twin``, which builds the same chain as a
+    lazy scan of the same files, and ``steps``, the part of the chain that needs row positions.
     """
 
     df: DataFrame
@@ -70,9 +74,13 @@ class Frame:
     whole: bool = False
     span: tuple[int, int | None] = (0, None)
     dense_from: int | None = None
+    #: for sources that cannot prune by path themselves: read a range of files, then replay
+    reread: Callable[[str | None, str | None], DataFrame] | None = None
+    narrow: tuple[Callable[[DataFrame], DataFrame], ...] = ()
     bounded: bool = True
+    by_file: bool = False
     steps: tuple[Any, ...] = ()
-    paths: tuple[str, ...] = ()
+    twin: Callable[[], Frame] | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -91,17 +99,24 @@ class Frame:
     def sort_columns(self) -> list[Column]:
         return [c for k in self.order for c in k.sort_columns()]
 
+    def narrowed(self, change: Callable[[DataFrame], DataFrame], **fields: Any) -> Frame:
+        """Apply a row-wise change (a filter or a projection) to the DataFrame."""
+        narrow = (*self.narrow, change) if self.reread else ()
+        return replace(self, df=change(self.df), narrow=narrow, **fields)
+
+    def rebuilt(self, df: DataFrame, **fields: Any) -> Frame:
+        """Replace the DataFrame by one that is no longer row by row the scan."""
+        return replace(self, df=df, reread=None, narrow=(), **fields)
+
     def filtered(self, condition: Column) -> Frame:
         """Keep some rows; the order keys stay valid but ranks are no longer literal."""
-        return replace(self, df=self.df.filter(condition), whole=False, dense_from=None)
-
-    def projected(self, df: DataFrame, order: tuple[Key, ...] | None = None) -> Frame:
-        """Same rows in the same order, other columns."""
-        return replace(self, df=df, order=self.order if order is None else order)
+        return self.narrowed(lambda df: df.filter(condition), whole=False, dense_from=None)
 
     def rows(self) -> DataFrame:
         """User columns in row order."""
-        return self.df.orderBy(*self.sort_columns()).select(*[quoted(c) for c in self.columns])
+        from rowloom.plans.order import sorted_rows
+
+        return sorted_rows(self).select(*[quoted(c) for c in self.columns])
 
     def unordered_rows(self) -> DataFrame:
         """User columns without paying for a global sort."""
@@ -118,7 +133,7 @@ def from_dataframe(df: DataFrame, key: str | list[str] | None = None) -> Frame:
     With ``key`` (columns that together are unique) the rows are ordered by it.  Without one
     the current order is fixed once by writing the rows to the shared staging folder.
     """
-    from rowloom.plans.order import settle
+    from rowloom.plans.order import write_rows
 
     if df.isStreaming:
         raise ValueError("Use load(..., streaming=True) for streaming data.")
@@ -126,8 +141,7 @@ def from_dataframe(df: DataFrame, key: str | list[str] | None = None) -> Frame:
     if taken:
         raise ValueError(f"Column names starting with {HIDDEN!r} are reserved: {', '.join(taken)}.")
     if key is None:
-        marked = df.withColumn(LINE, F.monotonically_increasing_id())
-        return settle(Frame(marked, (Key(LINE),), "lines"))
+        return write_rows(df)  # files are named by partition, so path order is row order
     names = [key] if isinstance(key, str) else list(key)
     missing = [n for n in names if n not in df.columns]
     if missing:

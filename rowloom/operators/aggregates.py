@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.frame import POS, Frame, Key, quoted
 from rowloom.functions.values import plain
 from rowloom.guards import require_column, require_loaded
-from rowloom.plans.order import count_of, settle, stable_position
+from rowloom.plans.order import count_of, settle, stable_position, with_lines
 
 
 def count_rows(frame: Frame) -> int:
@@ -31,11 +33,13 @@ def unique_values(frame: Frame, column: str) -> Frame:
     name = require_column(frame, column)
     if any(key.descending for key in frame.order):
         frame = settle(frame)
-    if frame.kind == "files" and frame.files is not None:
-        frame = stable_position(frame)
-    numbered = POS in frame.df.columns and frame.kind in ("files", "position")
-    # a single integer keeps the minimum in hash aggregation
-    first = F.min(POS) if numbered else F.min(F.struct(*frame.order_names))
+    if frame.kind == "lines":
+        frame = with_lines(frame)
+    elif frame.kind == "files" and frame.files is not None:
+        frame = replace(stable_position(frame), order=(Key(POS),))
+    # a single integer key keeps the minimum in hash aggregation
+    keys = frame.order_names
+    first = F.min(quoted(keys[0])) if len(keys) == 1 else F.min(F.struct(*[quoted(k) for k in keys]))
     grouped = frame.df.groupBy(quoted(name).alias(name)).agg(first.alias(POS))
     normal = plain(quoted(name), frame.df.schema[name].dataType).alias(name)
-    return Frame(grouped.select(normal, F.col(POS)), (Key(POS),), "position" if numbered else "sorted")
+    return Frame(grouped.select(normal, F.col(POS)), (Key(POS),), "position" if keys == [POS] else "sorted")

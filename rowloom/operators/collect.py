@@ -16,6 +16,7 @@ from rowloom.functions.images import decode, encoded, has_alpha, is_image_struct
 from rowloom.functions.values import plain
 from rowloom.guards import require_frame, require_int
 from rowloom.operators.rows import take_rows
+from rowloom.plans.order import sorted_rows
 from rowloom.streaming.drain import drain
 
 log = logging.getLogger("rowloom")
@@ -67,9 +68,10 @@ def _prepared(frame: Frame, column: str, limit: int | None) -> Frame:
     """Loaded frame with the rows and columns to hand on, values converted."""
     frame = require_frame(frame)
     limit = -1 if limit is None else require_int(limit, "limit", -1)
+    if not frame.bounded:
+        frame = frame.twin() if frame.twin is not None else drain(frame)
     if limit >= 0:
         frame = take_rows(frame, limit)
-    frame = drain(frame)
     column = (column or "").strip()
     source = frame
     if column and column in frame.columns:
@@ -99,9 +101,8 @@ def _converted(frame: Frame, images: dict[str, bool], masks: dict[str, str], col
             columns.append(decoded.getField("mask").alias(masks[name]))
     shown = [f"{HIDDEN}out{i}" for i in range(len(columns))]
     names = frame.df.select(*columns).columns
-    # sort before converting, and keep order keys that are user columns readable until then
-    ordered = frame.df.orderBy(*frame.sort_columns()) if frame.order else frame.df
-    out = ordered.select(*[c.alias(s) for c, s in zip(columns, shown, strict=True)])
+    # sort before converting: decoded images are not shuffled
+    out = sorted_rows(frame).select(*[c.alias(s) for c, s in zip(columns, shown, strict=True)])
     final = out.select(*[quoted(s).alias(n) for s, n in zip(shown, names, strict=True)])
     return Frame(final, (), "sorted")
 

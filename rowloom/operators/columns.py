@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from rowloom.frame import HIDDEN, POS, Frame, quoted
 from rowloom.guards import require_column, require_columns, require_frame, require_loaded, require_new_name
 from rowloom.plans.order import number
-from rowloom.streaming.steps import defers, index_step
+from rowloom.streaming.steps import index_step, on_streams
 
 COLUMN_OPERATIONS = ("constant", "copy column", "row index")
 
@@ -28,17 +28,17 @@ def _keep(frame: Frame, columns: list[Column], dropped: list[str]) -> Frame:
         else:
             order.append(key)
     hidden += [quoted(c) for c in frame.df.columns if c.startswith(HIDDEN)]
-    return frame.projected(frame.df.select(*columns, *hidden), tuple(order))
+    return frame.narrowed(lambda df: df.select(*columns, *hidden), order=tuple(order))
 
 
-@defers
+@on_streams()
 def select_columns(frame: Frame, columns: str) -> Frame:
     """Keep the comma-separated ``columns``, in the listed order."""
     names = require_columns(require_frame(frame), columns)
     return _keep(frame, [quoted(c) for c in names], [c for c in frame.columns if c not in names])
 
 
-@defers
+@on_streams()
 def remove_columns(frame: Frame, columns: str) -> Frame:
     """Drop the comma-separated ``columns``; at least one column has to stay."""
     names = require_columns(require_frame(frame), columns)
@@ -48,7 +48,7 @@ def remove_columns(frame: Frame, columns: str) -> Frame:
     return _keep(frame, [quoted(c) for c in left], names)
 
 
-@defers
+@on_streams()
 def rename_column(frame: Frame, original_column: str, new_column: str) -> Frame:
     """Rename one column in place."""
     require_frame(frame)
@@ -61,7 +61,7 @@ def rename_column(frame: Frame, original_column: str, new_column: str) -> Frame:
     require_new_name(frame, new, replacing=old)
     order = tuple(replace(k, name=new) if k.name == old else k for k in frame.order)
     renamed = [quoted(c).alias(new) if c == old else quoted(c) for c in frame.df.columns]
-    return frame.projected(frame.df.select(*renamed), order)
+    return frame.narrowed(lambda df: df.select(*renamed), order=order)
 
 
 def _leaves(col: Column, name: str, dtype: T.DataType) -> list[Column]:
@@ -90,7 +90,7 @@ def flatten(frame: Frame) -> Frame:
     return _keep(frame, columns, gone)
 
 
-@defers
+@on_streams(stateful=lambda args: "row index" in args)
 def map_column(frame: Frame, column: str, operation: str, value: str = "") -> Frame:
     """Add ``column``, or replace it (it then moves to the end).
 

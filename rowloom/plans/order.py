@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rowloom.frame import FILE, HASH, HIDDEN, POS, ROW, Frame, Key, quoted
+from rowloom.frame import FILE, HASH, HIDDEN, LINE, POS, ROW, Frame, Key, quoted
 from rowloom.plans.staging import staging_path
 from rowloom.sources.files import FileTable
 
@@ -33,30 +33,61 @@ from rowloom.sources.files import FileTable
 BUCKET_ROWS, MIN_BUCKET_ROWS, BUCKET_BYTES = 1 << 20, 1 << 12, 32 << 20
 #: Largest take answered by one top-k sort instead of writing a sorted table.
 TOP_K = 1000
-BUCKET = HIDDEN + "bucket"
+BUCKET, FILE_NUMBER = HIDDEN + "bucket", HIDDEN + "filenumber"
 
 
 # -- scans ------------------------------------------------------------------------------
 
 
-def scan_frame(df: DataFrame, files: FileTable | None = None) -> Frame:
+def scan_frame(df: DataFrame) -> Frame:
     """Frame over a Parquet scan, ordered by (file path, row number in the file)."""
     marked = df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
-    table = files or FileTable(
-        df.select(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_size").alias("bytes"))
+    # this scan reads no column: row counts come from the footers
+    counted = df.groupBy(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_size").alias("bytes")).agg(
+        F.count(F.lit(1)).alias("rows")
     )
-    return Frame(marked, (Key(FILE), Key(ROW)), "files", files=table, whole=True)
+    return Frame(marked, (Key(FILE), Key(ROW)), "files", files=FileTable(counted), whole=True)
+
+
+def write_rows(df: DataFrame) -> Frame:
+    """Write rows as they are partitioned; the result is an ordinary scan in that order."""
+    path = staging_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return scan_frame(df.sparkSession.read.parquet(path))
 
 
 def settle(frame: Frame) -> Frame:
-    """Write the rows once in their order; the result is an ordinary scan.
+    """Write the rows once in their order.
 
     Ties and hot values are no problem for the range partitioning: the order keys end in a
     unique row key, so a value held by a third of all rows is spread over many partitions.
     """
-    path = staging_path(frame.spark, "settled")
-    frame.rows().write.parquet(path)
-    return scan_frame(frame.spark.read.parquet(path))
+    return write_rows(frame.rows())
+
+
+def sorted_rows(frame: Frame) -> DataFrame:
+    """All columns, in row order.  Paths are replaced by numbers so that they are not shuffled."""
+    if frame.kind == "lines":
+        frame = with_lines(frame)
+    elif frame.kind == "files" and frame.files is not None:
+        frame = stable_position(frame)
+        return frame.df.orderBy(POS)
+    return frame.df.orderBy(*frame.sort_columns()) if frame.order else frame.df
+
+
+def with_lines(frame: Frame) -> Frame:
+    """Add the running number that orders the lines of one block of a text file.
+
+    It is added as late as possible, because no filter moves below it.
+    """
+    if LINE in frame.df.columns:
+        return frame
+    numbered = frame.df.withColumn(LINE, F.monotonically_increasing_id())
+    placed = frame.files.with_file_number(numbered, FILE_NUMBER) if frame.files is not None else None
+    if placed is None:
+        return frame.rebuilt(numbered)
+    order = tuple(replace(k, name=FILE_NUMBER) if k.name == FILE else k for k in frame.order)
+    return frame.rebuilt(placed, order=order)
 
 
 # -- row counts -------------------------------------------------------------------------
@@ -80,9 +111,9 @@ def _bucket_rows(frame: Frame) -> int:
 
 
 def _hash_width(frame: Frame) -> int:
-    """Hex digits so that a bucket of a uniform hash holds about ``BUCKET_ROWS`` rows."""
+    """Hex digits so that a bucket of a uniform hash holds about ``_bucket_rows`` rows."""
     rows = frame.files.rows if frame.files is not None else frame.df.count()
-    return max(1, math.ceil(math.log(max(rows / _bucket_rows(frame), 1.0), 16)))
+    return max(1, round(math.log(max(rows / _bucket_rows(frame), 1.0), 16)))
 
 
 def _bucket_columns(frame: Frame) -> list[Column] | None:
@@ -141,13 +172,23 @@ def _between(frame: Frame, low: tuple[Any, ...] | None, high: tuple[Any, ...] |
     return conditions
 
 
-def _scan_range(frame: Frame, lo: int, hi: int | None) -> list[Column]:
-    """Conditions for base positions lo..hi-1 of a scan ordered by (file, row)."""
+def _scan_range(frame: Frame, lo: int, hi: int | None) -> Frame:
+    """Rows at base positions lo..hi-1 of a scan ordered by (file, row)."""
     files = frame.files
     assert files is not None
     low = files.locate(lo) if 0 < lo < files.rows else None
     high = files.locate(hi) if hi is not None and hi < files.rows else None
-    return _between(frame, low, high)
+    return _within(frame, low, high)
+
+
+def _within(frame: Frame, low: tuple[Any, ...] | None, high: tuple[Any, ...] | None) -> Frame:
+    """Rows with low <= order keys < high."""
+    if frame.reread is not None and (low or high):
+        df = frame.reread(low[0] if low else None, high[0] if high else None)
+        frame = replace(frame, df=reduce(lambda d, change: change(d), frame.narrow, df))
+    for condition in _between(frame, low, high):
+        frame = frame.narrowed(lambda df, c=condition: df.filter(c))
+    return frame
 
 
 def _probe_spans(frame: Frame, rank: int) -> list[tuple[int, int | None]]:
@@ -175,8 +216,7 @@ def keys_at(frame: Frame, ranks: list[int]) -> list[tuple[Any, ...] | None]:
     for lo, hi in _probe_spans(frame, max(ranks)):
         part = frame.df
         if frame.kind == "files" and frame.files is not None and (lo, hi) != (0, None):
-            for condition in _scan_range(frame, lo, hi):
-                part = part.filter(condition)
+            part = _scan_range(frame, lo, hi).df
         wanted = [r - before for r in ranks if r not in found]
         table = _bucket_table(part, buckets)
         hit = reduce(lambda a, b: a | b, [(F.col("start") <= r) & (F.col("upto") > r) for r in wanted])
@@ -218,10 +258,12 @@ def cuts(frame: Frame, ranges: list[tuple[int, int | None]]) -> list[Frame]:
         base = frame.dense_from
         return [_cut_dense(frame, base + lo, None if hi is None else base + hi) for lo, hi in ranges]
     if frame.kind in ("sorted", "lines"):
-        if len(ranges) == 1:
-            lo, hi = ranges[0]
-            if lo == 0 and hi is not None and hi <= TOP_K and frame.kind == "sorted":
-                return [replace(frame, df=frame.df.orderBy(*frame.sort_columns()).limit(hi))]
+        ends = [hi for _, hi in ranges]
+        if frame.kind == "lines" and frame.order_names[0] == FILE and None not in ends:
+            frame = _first_files(frame, max(ends))
+        if len(ranges) == 1 and ranges[0][0] == 0 and ends[0] is not None and ends[0] <= TOP_K:
+            frame = with_lines(frame) if frame.kind == "lines" else frame
+            return [frame.rebuilt(frame.df.orderBy(*frame.sort_columns()).limit(ends[0]), kind="sorted")]
         return cuts(settle(frame), ranges)
     ranks = sorted({r for lo, hi in ranges for r in (lo, hi) if r is not None and r > 0})
     at = dict(zip(ranks, keys_at(frame, ranks), strict=True)) if ranks else {}
@@ -230,31 +272,38 @@ def cuts(frame: Frame, ranges: list[tuple[int, int | None]]) -> list[Frame]:
         if hi is not None and hi <= lo or lo > 0 and at[lo] is None:
             out.append(frame.filtered(F.lit(False)))
             continue
-        piece = frame
-        for condition in _between(frame, at[lo] if lo > 0 else None, at[hi] if hi is not None else None):
-            piece = piece.filtered(condition)
-        out.append(piece)
+        piece = _within(frame, at[lo] if lo > 0 else None, at[hi] if hi is not None else None)
+        out.append(replace(piece, whole=False, dense_from=None))
     return out
 
 
+def _first_files(frame: Frame, rows: int) -> Frame:
+    """A prefix of the files of a text source that holds at least ``rows`` rows."""
+    paths = frame.files.paths if frame.files is not None else []
+    n = 1
+    while n < len(paths):
+        head = frame.narrowed(lambda df, last=paths[n - 1]: df.filter(F.col(FILE) <= last))
+        if head.df.count() >= rows:
+            return head
+        n *= 8
+    return frame
+
+
 def _cut_whole(frame: Frame, lo: int, hi: int | None) -> Frame:
     first, last = frame.span
     end = frame.files.rows if last is None else min(last, frame.files.rows)
     a = min(first + lo, end)
     b = end if hi is None else min(first + hi, end)
     if a >= b:
-        return replace(frame, df=frame.df.filter(F.lit(False)), span=(a, a))
-    df = frame.df
-    for condition in _scan_range(frame, a, b):
-        df = df.filter(condition)
-    return replace(frame, df=df, span=(a, b))
+        return replace(frame.filtered(F.lit(False)), whole=True, span=(a, a))
+    return replace(_scan_range(frame, a, b), span=(a, b))
 
 
 def _cut_dense(frame: Frame, a: int, b: int | None) -> Frame:
     df = frame.df.filter(F.col(POS) >= F.lit(a))
     if b is not None:
         df = df.filter(F.col(POS) < F.lit(b))
-    return replace(frame, df=df, dense_from=a)
+    return frame.rebuilt(df, dense_from=a)
 
 
 # -- number densely ---------------------------------------------------------------------
@@ -267,6 +316,9 @@ def number(frame: Frame) -> Frame:
         return _by_position(frame, placed, first=frame.span[0])
     if frame.dense_from is not None:
         return frame if frame.dense_from == 0 else _by_position(frame, frame.df, first=frame.dense_from)
+    if frame.kind == "files" and frame.files is not None:
+        # the position alone is shuffled with the rows, not the path
+        frame = replace(stable_position(frame), order=(Key(POS),), kind="position")
     buckets = _bucket_columns(frame)
     if buckets is None:
         return number(settle(frame))
@@ -287,9 +339,8 @@ def number(frame: Frame) -> Frame:
 def _by_position(frame: Frame, df: DataFrame, first: int) -> Frame:
     keep = [quoted(c) for c in frame.columns]
     pos = F.col(POS) - F.lit(first) if first else F.col(POS)
-    return replace(
-        frame, df=df.select(*keep, pos.alias(POS)), order=(Key(POS),), kind="position", whole=False, dense_from=0
-    )
+    placed = df.select(*keep, pos.alias(POS))
+    return frame.rebuilt(placed, order=(Key(POS),), kind="position", whole=False, dense_from=0)
 
 
 def stable_position(frame: Frame) -> Frame:
@@ -300,7 +351,7 @@ def stable_position(frame: Frame) -> Frame:
     if POS in frame.df.columns:
         return frame
     if frame.files is not None and {FILE, ROW} <= set(frame.df.columns):
-        return replace(frame, df=frame.files.with_position(frame.df, POS))
+        return frame.rebuilt(frame.files.with_position(frame.df, POS))
     if _bucket_columns(frame) is None:
         return stable_position(settle(frame))
     return number(frame)

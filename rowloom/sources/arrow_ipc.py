@@ -11,6 +11,7 @@ from urllib.parse import unquote, urlparse
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
@@ -46,22 +47,37 @@ def arrow_schema(uri: str) -> T.StructType:
 
 
 def _index(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs of record batches: (file, first batch, batches, rows before the run)."""
+    """Runs of record batches: (file, first batch, batches, rows before the run, rows in it)."""
     for files in frames:
         for uri in files[FILE]:
-            runs, first, rows, start, seen = [], 0, 0, 0, 0
+            runs, first, start, rows = [], 0, 0, 0
             with _open(uri) as source:
                 count = 0
                 for batch in _batches(source)[1]:
                     count += 1
                     rows += batch.num_rows
                     if rows >= RUN_ROWS:
-                        runs.append((uri, first, count - first, start))
-                        seen += rows
-                        first, rows, start = count, 0, seen
+                        runs.append((uri, first, count - first, start, rows))
+                        first, start, rows = count, start + rows, 0
                 if count > first:
-                    runs.append((uri, first, count - first, start))
-            yield pd.DataFrame(runs, columns=[FILE, "first", "batches", "start"])
+                    runs.append((uri, first, count - first, start, rows))
+            yield pd.DataFrame(runs, columns=[FILE, "first", "batches", "start", "rows"])
+
+
+def _runs(files: DataFrame) -> DataFrame:
+    if not files.isStreaming:
+        files = files.repartition(_tasks(files))
+    return files.select(FILE).mapInPandas(_index, f"{FILE} string, first int, batches int, start bigint, rows bigint")
+
+
+def _tasks(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism * 4
+
+
+def arrow_counts(files: DataFrame) -> DataFrame:
+    """(FILE, rows, bytes) per file."""
+    counted = _runs(files).groupBy(FILE).agg(F.sum("rows").alias("rows"))
+    return counted.join(files.withColumnRenamed("length", "bytes"), FILE)
 
 
 def arrow_rows(files: DataFrame, schema: T.StructType, columns: list[str] | None = None) -> DataFrame:
@@ -70,7 +86,6 @@ def arrow_rows(files: DataFrame, schema: T.StructType, columns: list[str] | None
     full = T.StructType([*user.fields, T.StructField(FILE, T.StringType()), T.StructField(ROW, T.LongType())])
     target = to_arrow_schema(full)
     names = user.names
-    tasks = files.sparkSession.sparkContext.defaultParallelism * 4
 
     def read(runs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in runs:
@@ -88,8 +103,4 @@ def arrow_rows(files: DataFrame, schema: T.StructType, columns: list[str] | None
                         at += batch.num_rows
                         yield pa.RecordBatch.from_arrays(arrays, schema=target)
 
-    runs = files.select(FILE)
-    if not files.isStreaming:
-        runs = runs.repartition(tasks)
-    runs = runs.mapInPandas(_index, f"{FILE} string, first int, batches int, start bigint")
-    return runs.repartition(tasks, FILE, "first").mapInArrow(read, full)
+    return _runs(files).repartition(_tasks(files), FILE, "first").mapInArrow(read, full)

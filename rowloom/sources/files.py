@@ -18,30 +18,32 @@ BROADCAST_BYTES = 64 << 20
 class FileTable:
     """Sorted data files of one scan with their row counts and first positions.
 
-    Computed once, on first use, from Parquet footers (the scan reads no column).  It has one
-    entry per data file, like the file listing that Spark's own driver keeps for the scan.
+    Loaded once, on first use, from ``counted``: one row (FILE, rows, bytes) per data file, like
+    the file listing that Spark's own driver keeps for the scan.  ``rows`` is missing for text
+    formats, whose rows cannot be counted without parsing them.
     """
 
-    def __init__(self, scan: DataFrame):
-        self._scan = scan  # columns FILE and "bytes" of every row
+    def __init__(self, counted: DataFrame):
+        self._counted = counted
         self._loaded = False
 
     def _load(self) -> None:
         if self._loaded:
             return
-        counted = (
-            self._scan.groupBy(FILE, "bytes")
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .toArrow()
-            .sort_by(FILE)
-        )
-        self.paths = counted[FILE].to_pylist()
-        self.counts = counted["rows"].to_pylist()
-        self.starts = [0, *accumulate(self.counts)]
-        self.total = self.starts.pop()
-        self.bytes = sum(counted["bytes"].to_pylist())
+        table = self._counted.toArrow().sort_by(FILE)
+        self._paths = table[FILE].to_pylist()
+        if "rows" in table.column_names:
+            self.counts = table["rows"].to_pylist()
+            self.starts = [0, *accumulate(self.counts)]
+            self.total = self.starts.pop()
+            self.bytes = sum(table["bytes"].to_pylist())
         self._loaded = True
 
+    @property
+    def paths(self) -> list[str]:
+        self._load()
+        return self._paths
+
     @property
     def rows(self) -> int:
         self._load()
@@ -54,13 +56,13 @@ class FileTable:
 
     def single(self) -> bool:
         self._load()
-        return len(self.paths) <= 1
+        return len(self._paths) <= 1
 
     def locate(self, position: int) -> tuple[str, int]:
         """File and row number of a global position below ``rows``."""
         self._load()
         i = bisect_right(self.starts, position) - 1
-        return self.paths[i], position - self.starts[i]
+        return self._paths[i], position - self.starts[i]
 
     def boundary_after(self, position: int) -> int:
         """First position of the file that follows the one holding ``position``."""
@@ -70,11 +72,10 @@ class FileTable:
 
     def with_position(self, df: DataFrame, name: str) -> DataFrame:
         """Add the global position as ``name`` to rows that carry FILE and ROW."""
-        self._load()
         if self.single():
             return df.withColumn(name, F.col(ROW))
         start = name + "_start"
-        table = pa.table({FILE: self.paths, start: pa.array(self.starts, pa.int64())})
+        table = pa.table({FILE: self._paths, start: pa.array(self.starts, pa.int64())})
         if table.nbytes <= BROADCAST_BYTES:
             joined = df.join(F.broadcast(df.sparkSession.createDataFrame(table)), FILE)
         else:
@@ -87,3 +88,12 @@ class FileTable:
             )
             joined = df.withColumn(block, F.expr(f"{ROW} div {size}")).join(offsets, [FILE, block]).drop(block)
         return joined.withColumn(name, F.col(start) + F.col(ROW)).drop(start)
+
+    def with_file_number(self, df: DataFrame, name: str) -> DataFrame | None:
+        """Add the place of each row's file in path order, or None when that needs a shuffle."""
+        if self.single():
+            return df.withColumn(name, F.lit(0))
+        table = pa.table({FILE: self._paths, name: pa.array(range(len(self._paths)), pa.int32())})
+        if table.nbytes > BROADCAST_BYTES:
+            return None
+        return df.join(F.broadcast(df.sparkSession.createDataFrame(table)), FILE)

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from rowloom.frame import BLOCK, FILE, LINE, ROW, Frame, Key
 from rowloom.plans.order import scan_frame
-from rowloom.sources.arrow_ipc import arrow_rows, arrow_schema
+from rowloom.sources.arrow_ipc import arrow_counts, arrow_rows, arrow_schema
+from rowloom.sources.files import FileTable
 
 FORMATS = ("arrow", "csv", "json", "parquet", "text")
 LOADERS = ("auto", "hub", *FORMATS)
@@ -30,6 +31,9 @@ EXTENSIONS = {
 }
 COMPRESSIONS = (".gz", ".bz2", ".zst", ".xz")
 
+#: Reader options that only a streaming read takes.
+STREAM_OPTIONS = ("maxFilesPerTrigger", "pathGlobFilter", "recursiveFileLookup")
+
 LINE_ORDER = (Key(FILE), Key(BLOCK), Key(LINE))
 
 
@@ -59,36 +63,45 @@ def read_batch(spark: SparkSession, fmt: str, paths: list[str], options: dict[st
     if fmt == "parquet":
         return scan_frame(_configured(spark.read, fmt, paths, options).load(paths))
     if fmt == "arrow":
-        files = list_files(spark, paths)
-        schema = options.pop("schema", None) or arrow_schema(files.orderBy(FILE).first()[FILE])
-        return Frame(arrow_rows(files, schema, options.pop("columns", None)), (Key(FILE), Key(ROW)), "files")
+        return _read_arrow(spark, paths, options)
     df = _configured(spark.read, fmt, paths, options).load(paths)
-    return Frame(lines(_text_columns(df, fmt)), LINE_ORDER, "lines")
+    return Frame(_text_columns(df, fmt), LINE_ORDER, "lines", files=FileTable(list_files(spark, paths).select(FILE)))
+
 
+def _read_arrow(spark: SparkSession, paths: list[str], options: dict[str, Any]) -> Frame:
+    files = list_files(spark, paths)
+    schema = options.get("schema") or arrow_schema(files.agg(F.min(FILE)).first()[0])
 
-def lines(df: DataFrame) -> DataFrame:
-    """Add the running number that orders the lines of one block of a text file."""
-    return df.withColumn(LINE, F.monotonically_increasing_id())
+    def rows(first: str | None, last: str | None) -> DataFrame:
+        chosen = files
+        if first is not None:
+            chosen = chosen.filter(F.col(FILE) >= first)
+        if last is not None:
+            chosen = chosen.filter(F.col(FILE) <= last)
+        return arrow_rows(chosen, schema, options.get("columns"))
+
+    table = FileTable(arrow_counts(files))
+    return Frame(rows(None, None), (Key(FILE), Key(ROW)), "files", files=table, whole=True, reread=rows)
 
 
 def read_stream(spark: SparkSession, fmt: str, path: str, schema: T.StructType, options: dict[str, Any]) -> Frame:
-    """Streaming frame; ``path`` is a directory, file or glob."""
-    options = dict(options)
-    options.pop("schema", None)
+    """Streaming frame; ``path`` is a directory or glob."""
+    options = {k: v for k, v in options.items() if k != "schema"}
     stream = spark.readStream
-    for name in ("maxFilesPerTrigger", "pathGlobFilter", "recursiveFileLookup"):
+    for name in STREAM_OPTIONS:
         if name in options:
             stream = stream.option(name, options.pop(name))
     if fmt == "arrow":
         listing = spark.read.format("binaryFile").load(path).schema
         files = stream.format("binaryFile").schema(listing).load(path)
         files = files.select(F.col("_metadata.file_path").alias(FILE), "length")
-        return Frame(arrow_rows(files, schema, options.pop("columns", None)), (Key(FILE), Key(ROW)), "files", bounded=False)
+        rows = arrow_rows(files, schema, options.get("columns"))
+        return Frame(rows, (Key(FILE), Key(ROW)), "files", bounded=False, by_file=True)
     df = _configured(stream, fmt, [path], options).schema(schema).load(path)
     if fmt == "parquet":
         marked = df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
-        return Frame(marked, (Key(FILE), Key(ROW)), "files", bounded=False)
-    return Frame(_text_columns(df, fmt), LINE_ORDER, "lines", bounded=False)
+        return Frame(marked, (Key(FILE), Key(ROW)), "files", bounded=False, by_file=True)
+    return Frame(_text_columns(df, fmt), LINE_ORDER, "lines", bounded=False, by_file=True)
 
 
 def _text_columns(df: DataFrame, fmt: str) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from rowloom.frame import FILE, PART, Frame, Key
 from rowloom.plans.order import count_of, cut, settle
-from rowloom.sources.formats import extension_of, infer_format, list_files, read_batch, read_stream
+from rowloom.sources.files import FileTable
+from rowloom.sources.formats import STREAM_OPTIONS, extension_of, infer_format, list_files, read_batch, read_stream
 from rowloom.sources.splits import (
     Source,
     SplitPart,
@@ -24,6 +25,10 @@ from rowloom.sources.splits import (
 )
 
 
+#: Files per micro-batch of a streaming load, unless ``maxFilesPerTrigger`` says otherwise.
+FILES_PER_BATCH = 1000
+
+
 def load(
     spark: SparkSession,
     path: str,
@@ -54,7 +59,7 @@ def load(
     if streaming:
         if len(parts) > 1 or parts[0].sliced:
             raise ValueError("A streaming load takes a plain split name; use skip and take instead of a slice.")
-        return _load_stream(spark, source, parts[0].name, options)
+        return _load_stream(spark, source, parts[0], options)
     frames = [_load_part(spark, source, part, options) for part in parts]
     return frames[0] if len(frames) == 1 else concat(frames)
 
@@ -90,29 +95,30 @@ def concat(frames: list[Frame]) -> Frame:
     return Frame(united, (Key(PART), *frames[0].order), frames[0].kind)
 
 
-def _load_stream(spark: SparkSession, source: Source, split: str, options: dict[str, Any]) -> Frame:
+def _load_stream(spark: SparkSession, source: Source, part: SplitPart, options: dict[str, Any]) -> Frame:
+    """Streaming frame with a lazy twin: the same files as an ordinary scan."""
+    options = {"maxFilesPerTrigger": FILES_PER_BATCH, **options}
+    batch_options = {k: v for k, v in options.items() if k not in STREAM_OPTIONS}
+    twin = replace(_load_part(spark, source, part, batch_options), by_file=True)
+    schema = twin.unordered_rows().schema
+    path, condition = source.path, None
     if source.fmt:
-        path, fmt = source.path, source.fmt
-        files = [row[FILE] for row in list_files(spark, [path]).collect()]
-        batch = read_batch(spark, fmt, [path], _reader_options(options))
+        fmt, files = source.fmt, list_files(spark, [path])
         folder, _, name = path.rpartition("/")
-        if len(files) == 1 and files[0].endswith("/" + name):
+        names = [row[FILE] for row in files.limit(2).collect()]
+        if len(names) == 1 and names[0].endswith("/" + name):
             # Spark streams from folders: watch the one that holds the file
-            path, options = folder or ".", {**options, "pathGlobFilter": name}
-        return replace(read_stream(spark, fmt, path, _user_schema(batch), options), paths=tuple(files))
-    fmt, files = _data_paths(spark, source, split)
-    batch = read_batch(spark, fmt, files, _reader_options(options))
-    glob = {"recursiveFileLookup": "true", "pathGlobFilter": "*" + extension_of(files[0]) + "*"}
-    stream = read_stream(spark, fmt, source.path, _user_schema(batch), {**glob, **options})
-    marked = split_files(spark, source).filter(F.col("split").isNotNull())
-    if marked.select("split").distinct().count() > 1:
-        stream = replace(stream, df=stream.df.filter(split_of(source.path) == split))
-    return replace(stream, paths=tuple(files))
-
-
-def _reader_options(options: dict[str, Any]) -> dict[str, Any]:
-    return {k: v for k, v in options.items() if k not in ("maxFilesPerTrigger", "recursiveFileLookup")}
+            path, options = folder or ".", {"pathGlobFilter": name, **options}
+    else:
+        fmt, paths = _data_paths(spark, source, part.name)
+        files = split_files(spark, source).filter(F.col("split") == part.name)
+        pattern = {"recursiveFileLookup": "true", "pathGlobFilter": "*" + extension_of(paths[0]) + "*"}
+        options = {**pattern, **options}
+        if len(available_splits(spark, source)) > 1:
+            condition = split_of(path) == part.name
+    stream = read_stream(spark, fmt, path, schema, options)
+    if condition is not None:
+        stream = replace(stream, df=stream.df.filter(condition))
+    return replace(stream, files=FileTable(files.select(FILE)), twin=lambda: twin)
 
 
-def _user_schema(frame: Frame):
-    return frame.unordered_rows().schema

@@ -7,10 +7,9 @@ from dataclasses import replace
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
-from rowloom.frame import LINE, Frame
+from rowloom.frame import Frame
 from rowloom.plans.order import scan_frame
 from rowloom.plans.staging import staging_path
-from rowloom.sources.formats import lines
 
 
 def drain(frame: Frame, folder: str | None = None) -> Frame:
@@ -23,13 +22,21 @@ def drain(frame: Frame, folder: str | None = None) -> Frame:
     if frame.bounded:
         return frame
     folder = folder or staging_path(frame.spark, "stream")
+    finished: list[int] = []  # set once a take has all its rows: later batches add nothing
+
+    def run(batch: DataFrame, number: int) -> None:
+        if not finished and _run_batch(frame, batch, number, folder):
+            finished.append(number)
+
     query = (
-        frame.df.writeStream.foreachBatch(lambda batch, number: _run_batch(frame, batch, number, folder))
+        frame.df.writeStream.foreachBatch(run)
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    while not query.awaitTermination(0.2):
+        if finished:
+            query.stop()
     schema = (frame.steps[-1].template if frame.steps else frame).unordered_rows().schema
     reader = frame.spark.read.schema(schema).option("recursiveFileLookup", "true")
     try:
@@ -38,18 +45,21 @@ def drain(frame: Frame, folder: str | None = None) -> Frame:
         return Frame(frame.spark.createDataFrame([], schema), (), "sorted")
 
 
-def _run_batch(frame: Frame, batch: DataFrame, number: int, folder: str) -> None:
+def _run_batch(frame: Frame, batch: DataFrame, number: int, folder: str) -> bool:
+    """Process one micro-batch; True when no later batch can add rows."""
     spark = batch.sparkSession
     seen = [0] * len(frame.steps)
     if number > 0 and seen:
-        stored = spark.read.parquet(f"{folder}/seen/{number - 1:012d}").collect()
-        for row in stored:  # one row per step
+        for row in spark.read.parquet(f"{folder}/seen/{number - 1:012d}").collect():  # one row per step
             seen[row["step"]] = row["seen"]
-    df = lines(batch) if frame.kind == "lines" and LINE not in batch.columns else batch
-    current = replace(frame, df=df, bounded=True, steps=(), files=None)
+    current = replace(frame, df=batch, bounded=True, steps=(), files=None, by_file=False, twin=None)
+    if seen:
+        batch.persist()  # positions need several passes
     for i, step in enumerate(frame.steps):
         current, seen[i] = step.run(current, seen[i])
     current.rows().write.mode("overwrite").parquet(f"{folder}/rows/{number:012d}")
     if seen:
         state = spark.createDataFrame(list(enumerate(seen)), "step int, seen bigint")
         state.coalesce(1).write.mode("overwrite").parquet(f"{folder}/seen/{number:012d}")
+        batch.unpersist()
+    return any(step.limit is not None and rows >= step.limit for step, rows in zip(frame.steps, seen, strict=True))

@@ -26,6 +26,7 @@ Run = Callable[[Frame, int], tuple[Frame, int]]
 class Step:
     run: Run
     template: Frame  # empty bounded frame with the schema after this step
+    limit: int | None = None  # rows after which the step lets nothing through
 
     @property
     def columns(self) -> list[str]:
@@ -40,24 +41,39 @@ def template_of(frame: Frame) -> Frame:
     return Frame(empty, frame.order, "sorted")
 
 
-def add_step(frame: Frame, run: Run, template: Frame | None = None) -> Frame:
-    step = Step(run, template or template_of(frame))
+def add_step(frame: Frame, run: Run, template: Frame | None = None, limit: int | None = None) -> Frame:
+    step = Step(run, template or template_of(frame), limit)
     return replace(frame, steps=(*frame.steps, step))
 
 
-def defers(operator: Callable[..., Frame]) -> Callable[..., Frame]:
-    """Make a row-wise operator join the steps of a stream that already has some."""
+def on_streams(stateful: Callable[[tuple[Any, ...]], bool] = lambda _: False) -> Callable[..., Any]:
+    """Let an operator work on streaming frames.
 
-    @wraps(operator)
-    def apply(frame: Frame, *args: Any, **kwargs: Any) -> Frame:
-        if not isinstance(frame, Frame) or not frame.steps:
-            return operator(frame, *args, **kwargs)
-        if operator.__name__ == "map_column" and "row index" in (*args, *kwargs.values()):
-            return operator(frame, *args, **kwargs)
-        template = operator(template_of(frame), *args, **kwargs)  # checks the arguments
-        return add_step(frame, lambda batch, seen: (operator(batch, *args, **kwargs), seen), template)
+    ``stateful`` tells from the arguments whether the operator adds a step itself.  A row-wise
+    operator changes the streaming DataFrame, or joins the steps when there are some already.
+    Either way it is also applied to the frame's lazy twin.
+    """
 
-    return apply
+    def decorate(operator: Callable[..., Frame]) -> Callable[..., Frame]:
+        @wraps(operator)
+        def apply(frame: Frame, *args: Any, **kwargs: Any) -> Frame:
+            if not isinstance(frame, Frame) or frame.bounded:
+                return operator(frame, *args, **kwargs)
+            if frame.steps and not stateful((*args, *kwargs.values())):
+                template = operator(template_of(frame), *args, **kwargs)  # checks the arguments
+                out = add_step(frame, lambda batch, seen: (operator(batch, *args, **kwargs), seen), template)
+            else:
+                out = operator(frame, *args, **kwargs)
+            twin = frame.twin
+            return out if twin is None else replace(out, twin=lambda: operator(twin(), *args, **kwargs))
+
+        return apply
+
+    return decorate
+
+
+def always(_: tuple[Any, ...]) -> bool:
+    return True
 
 
 def skip_step(frame: Frame, n: int) -> Frame:
@@ -76,7 +92,7 @@ def take_step(frame: Frame, n: int) -> Frame:
         piece = cut(batch, 0, n - seen)
         return piece, seen + count_of(piece)
 
-    return add_step(frame, run)
+    return add_step(frame, run, limit=n)
 
 
 def index_step(frame: Frame, target: str, put_column: Callable[..., Frame]) -> Frame:
