@@ -12,7 +12,8 @@ from rowloom.functions.literals import FLOATS, INTEGERS
 def float_text(col: Column) -> Column:
     """Shortest decimal text of a double: plain from 1e-4 up to 1e16, else like ``1.5e-05``.
 
-    Spark switches to an exponent at 1e7 already, so the digits are laid out again here.
+    Spark switches to an exponent at 1e7 already, so the digits are laid out again here.  The digits
+    are the JVM's; before Java 19 it prints one more than needed for a few values (2e23).
     """
     value = col.cast("double")
     spark_text = F.abs(value).cast("string")
@@ -24,10 +25,10 @@ def float_text(col: Column) -> Column:
         F.concat(F.substr(digits, F.lit(1), exponent + 1), F.lit("."), F.substr(digits, exponent + 2))
     )
     plain_small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    sign = F.when(exponent < 0, "-").otherwise("+")
-    scientific = F.concat(
-        F.regexp_replace(mantissa, r"\.0$", ""), F.lit("e"), sign, F.lpad(F.abs(exponent).cast("string"), 2, "0")
-    )
+    mark = F.when(exponent < 0, "e-").otherwise("e+")
+    zero = F.when(F.abs(exponent) < 10, "0").otherwise("")
+    power = F.abs(exponent).cast("string")
+    scientific = F.concat(F.regexp_replace(mantissa, r"\.0$", ""), mark, zero, power)
     unsigned = (
         F.when(~F.contains(spark_text, F.lit("E")), spark_text)
         .when((exponent >= 0) & (exponent < 16), plain_big)

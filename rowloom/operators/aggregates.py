@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rowloom.frame import POS, Frame, Key, quoted
 from rowloom.functions.values import plain
 from rowloom.guards import require_column, require_loaded
-from rowloom.plans.order import count_of, settle, stable_position, with_lines
+from rowloom.plans.order import count_of, settle, stable_position, with_lines, with_rows
 
 
 def count_rows(frame: Frame) -> int:
@@ -37,6 +37,8 @@ def unique_values(frame: Frame, column: str) -> Frame:
         frame = with_lines(frame)
     elif frame.kind == "files" and frame.files is not None:
         frame = replace(stable_position(frame), order=(Key(POS),))
+    else:
+        frame = with_rows(frame)
     # a single integer key keeps the minimum in hash aggregation
     keys = frame.order_names
     first = F.min(quoted(keys[0])) if len(keys) == 1 else F.min(F.struct(*[quoted(k) for k in keys]))

@@ -41,12 +41,27 @@ BUCKET, FILE_NUMBER = HIDDEN + "bucket", HIDDEN + "filenumber"
 
 def scan_frame(df: DataFrame) -> Frame:
     """Frame over a Parquet scan, ordered by (file path, row number in the file)."""
-    marked = df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
     # this scan reads no column: row counts come from the footers
     counted = df.groupBy(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_size").alias("bytes")).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    return Frame(marked, (Key(FILE), Key(ROW)), "files", files=FileTable(counted), whole=True)
+    return Frame(df, (Key(FILE), Key(ROW)), "files", files=FileTable(counted), whole=True)
+
+
+def with_rows(frame: Frame) -> Frame:
+    """Add the order columns of a Parquet scan.
+
+    They are added as late as possible, because a scan that once mentions its metadata produces it
+    for every row, used or not.
+    """
+    if frame.kind != "files" or ROW in frame.df.columns:
+        return frame
+
+    def add(df: DataFrame) -> DataFrame:
+        metadata = df.metadataColumn("_metadata")
+        return df.select("*", metadata.getField("file_path").alias(FILE), metadata.getField("row_index").alias(ROW))
+
+    return frame.narrowed(add)
 
 
 def write_rows(df: DataFrame) -> Frame:
@@ -70,8 +85,9 @@ def sorted_rows(frame: Frame) -> DataFrame:
     if frame.kind == "lines":
         frame = with_lines(frame)
     elif frame.kind == "files" and frame.files is not None:
-        frame = stable_position(frame)
-        return frame.df.orderBy(POS)
+        return stable_position(frame).df.orderBy(POS)
+    else:
+        frame = with_rows(frame)
     return frame.df.orderBy(*frame.sort_columns()) if frame.order else frame.df
 
 
@@ -183,6 +199,8 @@ def _scan_range(frame: Frame, lo: int, hi: int | None) -> Frame:
 
 def _within(frame: Frame, low: tuple[Any, ...] | None, high: tuple[Any, ...] | None) -> Frame:
     """Rows with low <= order keys < high."""
+    if low or high:
+        frame = with_rows(frame)
     if frame.reread is not None and (low or high):
         df = frame.reread(low[0] if low else None, high[0] if high else None)
         frame = replace(frame, df=reduce(lambda d, change: change(d), frame.narrow, df))
@@ -209,6 +227,7 @@ def _probe_spans(frame: Frame, rank: int) -> list[tuple[int, int | None]]:
 
 def keys_at(frame: Frame, ranks: list[int]) -> list[tuple[Any, ...] | None]:
     """Order-key values of the rows at ``ranks`` (ascending); None beyond the last row."""
+    frame = with_rows(frame)
     buckets = _bucket_columns(frame)
     assert buckets is not None
     found: dict[int, tuple[Any, ...]] = {}
@@ -311,6 +330,7 @@ def _cut_dense(frame: Frame, a: int, b: int | None) -> Frame:
 
 def number(frame: Frame) -> Frame:
     """Give every row its 0-based rank in the hidden POS column, which becomes the order."""
+    frame = with_rows(frame)
     if frame.whole and frame.files is not None and frame.kind == "files":
         placed = frame.files.with_position(frame.df, POS)
         return _by_position(frame, placed, first=frame.span[0])
@@ -350,6 +370,7 @@ def stable_position(frame: Frame) -> Frame:
     """
     if POS in frame.df.columns:
         return frame
+    frame = with_rows(frame)
     if frame.files is not None and {FILE, ROW} <= set(frame.df.columns):
         return frame.rebuilt(frame.files.with_position(frame.df, POS))
     if _bucket_columns(frame) is None:

@@ -97,7 +97,8 @@ def read_stream(spark: SparkSession, fmt: str, path: str, schema: T.StructType,
         files = files.select(F.col("_metadata.file_path").alias(FILE), "length")
         rows = arrow_rows(files, schema, options.get("columns"))
         return Frame(rows, (Key(FILE), Key(ROW)), "files", bounded=False, by_file=True)
-    df = _configured(stream, fmt, [path], options).schema(schema).load(path)
+    reader = _configured(stream, fmt, [path], options)
+    df = reader.load(path) if fmt == "text" else reader.schema(schema).load(path)
     if fmt == "parquet":
         marked = df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
         return Frame(marked, (Key(FILE), Key(ROW)), "files", bounded=False, by_file=True)

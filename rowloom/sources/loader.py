@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.frame import FILE, PART, Frame, Key
-from rowloom.plans.order import count_of, cut, settle
+from rowloom.plans.order import count_of, cut, settle, with_rows
 from rowloom.sources.files import FileTable
 from rowloom.sources.formats import STREAM_OPTIONS, extension_of, infer_format, list_files, read_batch, read_stream
 from rowloom.sources.splits import (
@@ -90,6 +90,7 @@ def concat(frames: list[Frame]) -> Frame:
     frames = [settle(f) if f.kind not in ("files", "lines") else f for f in frames]
     if len({f.kind for f in frames}) > 1:
         frames = [settle(f) if f.kind == "lines" else f for f in frames]
+    frames = [with_rows(f) for f in frames]
     marked = [f.df.withColumn(PART, F.lit(i)) for i, f in enumerate(frames)]
     united = reduce(lambda a, b: a.unionByName(b), marked)
     return Frame(united, (Key(PART), *frames[0].order), frames[0].kind)

@@ -1,0 +1,157 @@
+"""Image cells: detection, decoding, masks."""
+
+import logging
+import struct
+import zlib
+
+import numpy as np
+import pytest
+
+import rowloom as rl
+from rowloom.functions.images import _png_rgba
+
+
+def png(array, color, depth=8, filters=(0,), palette=None, transparent=None):
+    """Encode samples (height x width x channels) as PNG, cycling through line filters."""
+    height, width, channels = array.shape
+    if depth == 16:
+        lines = array.astype(">u2").reshape(height, -1).view(np.uint8)
+    elif depth == 8:
+        lines = array.astype(np.uint8).reshape(height, -1)
+    else:
+        bits = (array.reshape(height, -1, 1) >> np.arange(depth)[::-1]) & 1
+        lines = np.packbits(bits.reshape(height, -1).astype(np.uint8), axis=1)
+    reach = max(1, channels * depth // 8)
+    raw, above = b"", np.zeros(lines.shape[1], int)
+    for y, line in enumerate(lines.astype(int)):
+        mode = filters[y % len(filters)]
+        left = np.concatenate([np.zeros(reach, int), line[:-reach]])[: len(line)]
+        corner = np.concatenate([np.zeros(reach, int), above[:-reach]])[: len(line)]
+        slope = left + above - corner
+        distances = np.stack([abs(slope - left), abs(slope - above), abs(slope - corner)])
+        paeth = np.choose(distances.argmin(axis=0), [left, above, corner])
+        guess = [0, left, above, (left + above) // 2, paeth][mode]
+        raw += bytes([mode]) + ((line - guess) % 256).astype(np.uint8).tobytes()
+        above = line
+
+    def chunk(kind, body):
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    out = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, depth, color, 0, 0, 0))
+    if palette is not None:
+        out += chunk(b"PLTE", bytes(palette))
+    if transparent is not None:
+        out += chunk(b"tRNS", bytes(transparent))
+    packed = zlib.compress(raw)
+    return out + chunk(b"IDAT", packed[:10]) + chunk(b"IDAT", packed[10:]) + chunk(b"IEND", b"")
+
+
+def solid(height, width, *levels):
+    return np.full((height, width, len(levels)), levels)
+
+
+RGB = png(solid(3, 4, 255, 0, 0), 2)
+CLEAR_CORNER = solid(2, 2, 255, 0, 0, 255)
+CLEAR_CORNER[0, 0, 3] = 0
+RGBA = png(CLEAR_CORNER, 6)
+
+
+def frame_of(spark, rows, schema):
+    numbered = [(i, *row) for i, row in enumerate(rows)]
+    return rl.from_dataframe(spark.createDataFrame(numbered, "id int, " + schema), key="id")
+
+
+@pytest.mark.parametrize("filters", [(0,), (1,), (2,), (3,), (4,), (4, 3, 2, 1, 0)])
+@pytest.mark.parametrize(("color", "channels"), [(0, 1), (2, 3), (4, 2), (6, 4)])
+@pytest.mark.parametrize("depth", [8, 16])
+def test_png_samples(filters, color, channels, depth):
+    samples = np.random.default_rng(color).integers(0, 1 << depth, (7, 5, channels))
+    out = _png_rgba(png(samples, color, depth, filters))
+    high = samples >> (depth - 8)
+    colors = high[..., :3] if channels >= 3 else np.repeat(high[..., :1], 3, axis=2)
+    assert (out[..., :3] == colors).all()
+    assert (out[..., 3] == (high[..., -1] if channels in (2, 4) else 255)).all()
+
+
+@pytest.mark.parametrize("depth", [1, 2, 4, 8])
+def test_png_palette_and_small_depths(depth):
+    rng = np.random.default_rng(depth)
+    samples = rng.integers(0, min(1 << depth, 16), (3, 11, 1))
+    palette = rng.integers(0, 256, (16, 3))
+    out = _png_rgba(png(samples, 3, depth, palette=palette.reshape(-1).tolist(), transparent=[0, 128]))
+    assert (out[..., :3] == palette[samples[..., 0]]).all()
+    assert (out[..., 3] == np.array([0, 128] + [255] * 14)[samples[..., 0]]).all()
+    if depth < 8:
+        gray = _png_rgba(png(samples % (1 << depth), 0, depth, transparent=[0, 1]))
+        assert (gray[..., 0] == (samples % (1 << depth))[..., 0] * 255 // ((1 << depth) - 1)).all()
+        assert (gray[..., 3] == np.where(samples[..., 0] == 1, 0, 255)).all()
+
+
+@pytest.mark.parametrize("schema", ["image binary", "image struct<bytes:binary,path:string>", "image struct<bytes:binary>"])
+def test_rgb_image(spark, schema):
+    cell = RGB if "struct" not in schema else (RGB, None) if "path" in schema else (RGB,)
+    (row,) = rl.to_list(frame_of(spark, [(cell,)], schema))
+    assert set(row) == {"id", "image"}
+    assert (row["image"]["height"], row["image"]["width"]) == (3, 4)
+    assert row["image"]["data"] == [1.0, 0.0, 0.0] * 12
+
+
+def test_alpha_gives_a_mask_for_every_row(spark):
+    frame = frame_of(spark, [(RGB,), (RGBA,), (None,)], "image binary")
+    first, second, third = rl.to_list(frame)
+    assert list(first) == ["id", "image", "image_mask"]
+    assert first["image_mask"]["data"] == [0.0] * 12
+    assert second["image"]["data"] == [1.0, 0.0, 0.0] * 4
+    assert second["image_mask"] == {"height": 2, "width": 2, "data": [1.0, 0.0, 0.0, 0.0]}
+    assert third["image"] is None and third["image_mask"] is None
+    assert [m and m["data"][0] for m in rl.to_list(frame, "image_mask")] == [0.0, 1.0, None]
+    assert [i and i["height"] for i in rl.to_list(frame, "image")] == [3, 2, None]
+
+
+def test_no_mask_when_the_limited_rows_have_no_alpha(spark):
+    frame = frame_of(spark, [(RGB,), (RGBA,)], "image binary")
+    assert rl.to_data_list(frame, limit=1).columns == ["id", "image"]
+    with pytest.raises(ValueError, match="Unknown column 'image_mask'"):
+        rl.to_list(frame, "image_mask", limit=1)
+
+
+def test_mask_name_collision(spark, caplog):
+    frame = frame_of(spark, [(RGBA, "mine")], "image binary, image_mask string")
+    with caplog.at_level(logging.INFO, logger="rowloom"):
+        (row,) = rl.to_list(frame)
+    assert list(row) == ["id", "image", "image_mask1", "image_mask"]
+    assert row["image_mask"] == "mine" and row["image_mask1"]["data"][0] == 1.0
+    assert "image_mask1" in caplog.text
+    assert rl.to_list(frame, "image_mask") == ["mine"]
+    assert rl.to_list(frame, "image_mask1")[0]["data"] == [1.0, 0.0, 0.0, 0.0]
+    with pytest.raises(ValueError, match="Mask columns: image_mask1"):
+        rl.to_list(frame, "nope")
+
+
+def test_palette_transparency_counts_as_alpha(spark):
+    cell = png(solid(1, 2, 1), 3, palette=[9, 9, 9, 255, 0, 51], transparent=[255, 102])
+    (row,) = rl.to_list(frame_of(spark, [(cell,)], "image binary"))
+    assert row["image"]["data"] == pytest.approx([1.0, 0.0, 0.2] * 2)
+    assert row["image_mask"]["data"] == pytest.approx([0.6, 0.6])
+
+
+def test_other_bytes_stay_text(spark):
+    frame = frame_of(spark, [(b"plain", b"\xff\x00")], "a binary, b binary")
+    assert rl.to_list(frame) == [{"id": 0, "a": "plain", "b": "ff00"}]
+    mixed = frame_of(spark, [(RGB,), (b"plain",)], "a binary")
+    assert rl.to_list(mixed, "a")[1] == "plain"
+
+
+def test_image_by_path_and_broken_image(spark, tmp_path):
+    (tmp_path / "x.png").write_bytes(RGBA)
+    frame = frame_of(spark, [((None, str(tmp_path / "x.png")),)], "image struct<bytes:binary,path:string>")
+    assert rl.to_list(frame, "image_mask")[0]["data"] == [1.0, 0.0, 0.0, 0.0]
+    broken = frame_of(spark, [((RGB[:40], None),)], "image struct<bytes:binary,path:string>")
+    with pytest.raises(Exception, match="Could not decode"):
+        rl.to_list(broken)
+
+
+def test_text_column_of_an_image_dataset_needs_no_decoding(spark):
+    frame = frame_of(spark, [((b"broken", None), "t")], "image struct<bytes:binary,path:string>, text string")
+    assert rl.to_list(frame, "text") == ["t"]
+    assert "decode" not in rl.to_data_list(frame, "text")._jdf.queryExecution().toString()

@@ -1,0 +1,167 @@
+"""Streaming loads give the rows of the loaded dataset."""
+
+import os
+import time
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+import rowloom as rl
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory):
+    """Eight files that arrive in path order, one of them large."""
+    path = tmp_path_factory.mktemp("stream")
+    edges = [0, 10, 20, 25, 225, 230, 240, 250, 300]
+    now = time.time() - 1000
+    for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+        rows = [{"id": k, "kind": "even" if k % 2 == 0 else "odd"} for k in range(a, b)]
+        file = path / f"part-{i}.parquet"
+        pq.write_table(pa.Table.from_pylist(rows), file)
+        os.utime(file, (now + i, now + i))
+    return str(path)
+
+
+def stream(spark, folder, **options):
+    return rl.load(spark, f"{folder}/*.parquet", streaming=True, **options)
+
+
+def loaded(spark, folder):
+    return rl.load(spark, f"{folder}/*.parquet")
+
+
+CHAINS = {
+    "plain": lambda f: f,
+    "row-wise": lambda f: rl.rename_column(rl.filter_rows(f, "kind", "==", "odd"), "id", "n"),
+    "skip take": lambda f: rl.take_rows(rl.skip_rows(f, 17), 210),
+    "take beyond": lambda f: rl.take_rows(f, 9999),
+    "take nothing": lambda f: rl.take_rows(f, 0),
+    "index": lambda f: rl.map_column(rl.filter_rows(f, "kind", "==", "even"), "at", "row index"),
+    "index twice": lambda f: rl.map_column(
+        rl.filter_rows(rl.map_column(f, "at", "row index"), "at", ">=", "100"), "id", "row index"
+    ),
+    "mixed": lambda f: rl.select_columns(
+        rl.filter_rows(rl.map_column(rl.skip_rows(f, 3), "c", "constant", " k "), "id", "not in", "4, 5"), "c, id"
+    ),
+    "take of the rest": lambda f: rl.take_rows(rl.filter_rows(rl.skip_rows(f, 100), "kind", "==", "odd"), 20),
+}
+
+
+@pytest.mark.parametrize("name", CHAINS)
+def test_stream_equals_loaded(spark, folder, name):
+    expected = rl.to_list(CHAINS[name](loaded(spark, folder)))
+    frame = CHAINS[name](stream(spark, folder, maxFilesPerTrigger=2))
+    assert frame.df.isStreaming and not frame.bounded
+    assert frame.columns == CHAINS[name](loaded(spark, folder)).columns
+    assert rl.to_list(frame) == expected
+    assert rl.to_list(rl.drain(frame)) == expected
+
+
+def test_column_and_limit(spark, folder):
+    frame = stream(spark, folder)
+    assert rl.to_list(frame, "id", 12) == list(range(12))
+    assert rl.to_list(rl.skip_rows(frame, 290), "id", -1) == list(range(290, 300))
+
+
+def test_shuffle_mixes_each_batch(spark, folder):
+    frame = rl.shuffle(stream(spark, folder, maxFilesPerTrigger=4), 3)
+    out = rl.to_list(rl.drain(frame), "id")
+    assert sorted(out[:225]) == list(range(225)) and sorted(out[225:]) == list(range(225, 300))
+    assert out[:225] != list(range(225))
+    assert sorted(rl.to_list(frame, "id")) == list(range(300))
+
+
+def test_shards_are_whole_files(spark, folder):
+    for contiguous, ids in (
+        (True, [*range(20, 230)]),
+        (False, [*range(10, 20), *range(225, 230), *range(250, 300)]),
+    ):
+        shard = rl.take_shard(stream(spark, folder, maxFilesPerTrigger=1), 3, 1, contiguous)
+        if contiguous:  # files 3, 4, 5 of 8
+            ids = [*range(25, 240)]
+        assert rl.to_list(rl.drain(shard), "id") == ids
+        assert rl.to_list(shard, "id") == ids
+    with pytest.raises(ValueError, match="8 files"):
+        rl.take_shard(stream(spark, folder), 9, 0)
+    with pytest.raises(ValueError, match="before"):
+        rl.take_shard(rl.skip_rows(stream(spark, folder), 1), 2, 0)
+
+
+def test_loaded_only_operators(spark, folder):
+    frame = stream(spark, folder)
+    for call in (
+        lambda: rl.sort_rows(frame, "id"),
+        lambda: rl.select_rows(frame, "0"),
+        lambda: rl.flatten(frame),
+        lambda: rl.train_test_split(frame),
+        lambda: rl.count_rows(frame),
+        lambda: rl.unique_values(frame, "id"),
+    ):
+        with pytest.raises(ValueError, match="streaming"):
+            call()
+    with pytest.raises(ValueError, match="slice"):
+        rl.load(spark, f"{folder}/*.parquet", split="train[:3]", streaming=True)
+
+
+def test_guards_speak_up_before_the_stream_starts(spark, folder):
+    frame = rl.map_column(rl.skip_rows(stream(spark, folder), 1), "at", "row index")
+    with pytest.raises(ValueError, match="Unknown column"):
+        rl.filter_rows(frame, "nope", "==", "1")
+    with pytest.raises(ValueError, match="already exists"):
+        rl.rename_column(frame, "id", "at")
+    with pytest.raises(ValueError, match="at least 0"):
+        rl.take_rows(frame, -1)
+
+
+def test_take_stops_the_stream(spark, folder, tmp_path):
+    out = f"{tmp_path}/out"
+    assert rl.to_list(rl.drain(rl.take_rows(stream(spark, folder, maxFilesPerTrigger=1), 5), out), "id") == list(range(5))
+    assert len(os.listdir(f"{out}/rows")) < 8
+
+
+def test_replayed_batch_does_not_count_twice(spark, folder, tmp_path):
+    """The last batch is run again after its commit is lost, as after a crash."""
+    from pathlib import Path
+
+    out = tmp_path / "out"
+    frame = rl.map_column(rl.skip_rows(stream(spark, folder, maxFilesPerTrigger=3), 7), "at", "row index")
+    expected = rl.to_list(rl.drain(frame, str(out)))
+    commits = sorted(p for p in Path(out / "checkpoint" / "commits").iterdir() if p.name.isdigit())
+    for path in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        path.unlink(missing_ok=True)
+    assert rl.to_list(rl.drain(frame, str(out))) == expected
+    assert [row["at"] for row in expected] == list(range(293))
+
+
+def test_second_run_adds_only_new_files(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    pq.write_table(pa.table({"id": list(range(5))}), source / "a.parquet")
+    chain = lambda: rl.map_column(rl.load(spark, f"{source}/*.parquet", streaming=True), "at", "row index")
+    assert rl.to_list(rl.drain(chain(), out), "at") == list(range(5))
+    pq.write_table(pa.table({"id": list(range(5, 9))}), source / "b.parquet")
+    assert rl.to_list(rl.drain(chain(), out)) == [{"id": i, "at": i} for i in range(9)]
+
+
+def test_text_and_arrow_streams(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one\ntwo\n")
+    frame = rl.skip_rows(rl.load(spark, str(tmp_path / "a.txt"), streaming=True), 1)
+    assert rl.to_list(frame) == rl.to_list(rl.drain(frame)) == [{"text": "two"}]
+    (tmp_path / "d").mkdir()
+    for k in range(2):
+        table = pa.table({"id": [k * 3, k * 3 + 1, k * 3 + 2]})
+        with pa.ipc.new_file(f"{tmp_path}/d/train-{k}.arrow", table.schema) as writer:
+            writer.write_table(table)
+    frame = rl.map_column(rl.load(spark, str(tmp_path / "d"), streaming=True), "at", "row index")
+    expected = [{"id": i, "at": i} for i in range(6)]
+    assert rl.to_list(frame) == expected
+    assert rl.to_list(rl.drain(frame)) == expected
+
+
+def test_directory_split_stream(spark, tmp_path):
+    for split, ids in (("train", [0, 1]), ("test", [2, 3, 4])):
+        pq.write_table(pa.table({"id": ids}), tmp_path / f"{split}-00000-of-00001.parquet")
+    frame = rl.filter_rows(rl.load(spark, str(tmp_path), split="test", streaming=True), "id", ">", "2")
+    assert rl.to_list(rl.drain(frame), "id") == rl.to_list(frame, "id") == [3, 4]
