@@ -32,6 +32,9 @@ MAGIC = {
 }
 RIFF, WEBP = "52494646", "57454250"
 
+#: Pixel samples (4 per pixel, 4 bytes each) that leave the decoder at a time.
+BATCH_SAMPLES = 1 << 22
+
 IMAGE = T.StructType(
     [
         T.StructField("height", T.IntegerType()),
@@ -222,9 +225,25 @@ def _decode(content: Any, path: Any) -> dict[str, Any] | None:
 
 
 @F.pandas_udf(DECODED)
-def decode(content: pd.Series, path: pd.Series) -> pd.DataFrame:
-    """RGB and mask of every cell, values 0..1, mask 1 where transparent; null stays null."""
-    cells = [_decode(c, p) for c, p in zip(content, path, strict=True)]
+def decode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """RGB and mask of every cell, values 0..1, mask 1 where transparent; null stays null.
+
+    Decoded pixels are many times larger than the file, so they leave in batches of their own.
+    """
+    for content, path in batches:
+        cells: list[dict[str, Any] | None] = []
+        samples = 0
+        for c, p in zip(content, path, strict=True):
+            cells.append(_decode(c, p))
+            samples += 0 if cells[-1] is None else 4 * len(cells[-1]["mask"]["data"])
+            if samples >= BATCH_SAMPLES:
+                yield _columns(cells)
+                cells, samples = [], 0
+        if cells:
+            yield _columns(cells)
+
+
+def _columns(cells: list[dict[str, Any] | None]) -> pd.DataFrame:
     return pd.DataFrame({k: [None if c is None else c[k] for c in cells] for k in ("image", "mask")})
 
 

@@ -33,6 +33,8 @@ from rowloom.sources.files import FileTable
 BUCKET_ROWS, MIN_BUCKET_ROWS, BUCKET_BYTES = 1 << 20, 1 << 12, 32 << 20
 #: Largest take answered by one top-k sort instead of writing a sorted table.
 TOP_K = 1000
+#: Rows that all tasks of a top-k may hand to its final task, and the usual size of a scan task.
+FAN_IN_ROWS, TASK_BYTES = 5_000_000, 128 << 20
 BUCKET, FILE_NUMBER = HIDDEN + "bucket", HIDDEN + "filenumber"
 
 
@@ -282,7 +284,7 @@ def cuts(frame: Frame, ranges: list[tuple[int, int | None]]) -> list[Frame]:
             frame = _first_files(frame, max(ends))
         if len(ranges) == 1 and ranges[0][0] == 0 and ends[0] is not None and ends[0] <= TOP_K:
             frame = with_lines(frame) if frame.kind == "lines" else frame
-            return [frame.rebuilt(frame.df.orderBy(*frame.sort_columns()).limit(ends[0]), kind="sorted")]
+            return [frame.rebuilt(_top(frame, ends[0]), kind="sorted")]
         return cuts(settle(frame), ranges)
     ranks = sorted({r for lo, hi in ranges for r in (lo, hi) if r is not None and r > 0})
     at = dict(zip(ranks, keys_at(frame, ranks), strict=True)) if ranks else {}
@@ -296,6 +298,22 @@ def cuts(frame: Frame, ranges: list[tuple[int, int | None]]) -> list[Frame]:
     return out
 
 
+def _top(frame: Frame, n: int) -> DataFrame:
+    """The first ``n`` rows of a sort, without sorting everything.
+
+    Every task hands its best ``n`` rows to one final task.  With very many tasks those rows are
+    first reduced in groups of tasks, so that the final one stays small.
+    """
+    df, keys = frame.df, frame.sort_columns()
+    tasks = frame.files.bytes // TASK_BYTES + 1 if frame.files is not None and frame.files.counted else 1
+    if tasks * n > FAN_IN_ROWS:
+        group, rank = HIDDEN + "group", HIDDEN + "rank"
+        grouped = df.withColumn(group, F.pmod(F.spark_partition_id(), F.lit(math.isqrt(tasks) + 1)))
+        ranked = grouped.withColumn(rank, F.row_number().over(Window.partitionBy(group).orderBy(*keys)))
+        df = ranked.filter(F.col(rank) <= n).drop(group, rank)
+    return df.orderBy(*keys).limit(n)
+
+
 def _first_files(frame: Frame, rows: int) -> Frame:
     """A prefix of the files of a text source that holds at least ``rows`` rows."""
     paths = frame.files.paths if frame.files is not None else []

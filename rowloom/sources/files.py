@@ -32,11 +32,11 @@ class FileTable:
             return
         table = self._counted.toArrow().sort_by(FILE)
         self._paths = table[FILE].to_pylist()
-        if "rows" in table.column_names:
+        if self.counted:
             self.counts = table["rows"].to_pylist()
             self.starts = [0, *accumulate(self.counts)]
-            self.total = self.starts.pop()
-            self.bytes = sum(table["bytes"].to_pylist())
+            self._rows = self.starts.pop()
+            self._bytes = sum(table["bytes"].to_pylist())
         self._loaded = True
 
     @property
@@ -44,15 +44,24 @@ class FileTable:
         self._load()
         return self._paths
 
+    @property
+    def counted(self) -> bool:
+        """Whether row counts are known (not for text formats)."""
+        return "rows" in self._counted.columns
+
     @property
     def rows(self) -> int:
         self._load()
-        return self.total
+        return self._rows
 
     @property
-    def bytes_per_row(self) -> float:
+    def bytes(self) -> int:
         self._load()
-        return self.bytes / self.total if self.total else 1.0
+        return self._bytes
+
+    @property
+    def bytes_per_row(self) -> float:
+        return self.bytes / self.rows if self.rows else 1.0
 
     def single(self) -> bool:
         self._load()
@@ -68,7 +77,7 @@ class FileTable:
         """First position of the file that follows the one holding ``position``."""
         self._load()
         i = bisect_right(self.starts, position)
-        return self.starts[i] if i < len(self.starts) else self.total
+        return self.starts[i] if i < len(self.starts) else self._rows
 
     def with_position(self, df: DataFrame, name: str) -> DataFrame:
         """Add the global position as ``name`` to rows that carry FILE and ROW."""

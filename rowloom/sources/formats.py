@@ -64,7 +64,7 @@ def read_batch(spark: SparkSession, fmt: str, paths: list[str], options: dict[st
         return scan_frame(_configured(spark.read, fmt, paths, options).load(paths))
     if fmt == "arrow":
         return _read_arrow(spark, paths, options)
-    df = _configured(spark.read, fmt, paths, options).load(paths)
+    df = _configured(spark.read, fmt, paths, detected(spark, fmt, paths, options)).load(paths)
     return Frame(_text_columns(df, fmt), LINE_ORDER, "lines", files=FileTable(list_files(spark, paths).select(FILE)))
 
 
@@ -118,21 +118,33 @@ def _configured(reader: Any, fmt: str, paths: list[str], options: dict[str, Any]
         defaults = {"header": True, "sep": separator, "escape": '"', "multiLine": True}
         if "schema" not in options:
             defaults["inferSchema"] = True
-    elif fmt == "json" and "multiLine" not in options:
-        defaults = {"multiLine": extension_of(paths[0]) == ".json" and _spans_lines(paths[0])}
-    schema = options.pop("schema", None)
-    options.pop("columns", None)
-    reader = reader.format(fmt).options(**{**defaults, **options})
+    schema = options.get("schema")
+    given = {k: v for k, v in options.items() if k not in ("schema", "columns")}
+    reader = reader.format(fmt).options(**{**defaults, **given})
     return reader.schema(schema) if schema is not None else reader
 
 
-def _spans_lines(path: str) -> bool:
-    """Whether a .json file is one document over several lines rather than one row per line."""
-    spark = SparkSession.getActiveSession()
-    first = spark.read.text(path).filter(F.length(F.trim("value")) > 0).limit(1).collect()
+def detected(spark: SparkSession, fmt: str, paths: list[str], options: dict[str, Any]) -> dict[str, Any]:
+    """``options`` with ``multiLine`` found out from the files, unless it is given.
+
+    A file whose rows may span lines cannot be split, so one large file would be one task.
+    """
+    if fmt not in ("csv", "json") or "multiLine" in options:
+        return options
+    text = spark.read.text(paths)
+    if fmt == "json":
+        return {**options, "multiLine": _is_document(text)}
+    if {"quote", "escape", "lineSep"} & set(options):
+        return options
+    # a row that goes on in the next line leaves a quote open: an odd number of quotes
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return {**options, "multiLine": not text.filter(quotes % 2 == 1).isEmpty()}
+
+
+def _is_document(text: DataFrame) -> bool:
+    """Whether a JSON file is one document over several lines rather than one row per line."""
+    first = text.filter(F.length(F.trim("value")) > 0).limit(1).collect()
     if not first:
         return False
     line = first[0]["value"].strip()
-    if line.startswith("["):
-        return not line.endswith("]")
-    return not line.endswith("}")
+    return not line.endswith("]" if line.startswith("[") else "}")

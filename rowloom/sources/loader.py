@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rowloom.frame import FILE, PART, Frame, Key
 from rowloom.plans.order import count_of, cut, settle, with_rows
 from rowloom.sources.files import FileTable
-from rowloom.sources.formats import STREAM_OPTIONS, extension_of, infer_format, list_files, read_batch, read_stream
+from rowloom.sources.formats import STREAM_OPTIONS, detected, extension_of, infer_format, read_batch, read_stream
 from rowloom.sources.splits import (
     Source,
     SplitPart,
@@ -104,7 +104,7 @@ def _load_stream(spark: SparkSession, source: Source, part: SplitPart, options:
     schema = twin.unordered_rows().schema
     path, condition = source.path, None
     if source.fmt:
-        fmt, files = source.fmt, list_files(spark, [path])
+        fmt, files = source.fmt, split_files(spark, source)
         folder, _, name = path.rpartition("/")
         names = [row[FILE] for row in files.limit(2).collect()]
         if len(names) == 1 and names[0].endswith("/" + name):
@@ -117,6 +117,8 @@ def _load_stream(spark: SparkSession, source: Source, part: SplitPart, options:
         options = {**pattern, **options}
         if len(available_splits(spark, source)) > 1:
             condition = split_of(path) == part.name
+    if fmt == "json":  # for CSV, rows that span lines may still arrive
+        options = detected(spark, fmt, [row[FILE] for row in files.limit(1).collect()], options)
     stream = read_stream(spark, fmt, path, schema, options)
     if condition is not None:
         stream = replace(stream, df=stream.df.filter(condition))

@@ -5,6 +5,7 @@ import struct
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import rowloom as rl
@@ -135,6 +136,18 @@ def test_palette_transparency_counts_as_alpha(spark):
     assert row["image_mask"]["data"] == pytest.approx([0.6, 0.6])
 
 
+def test_decoded_rows_leave_in_small_batches(spark, monkeypatch):
+    from rowloom.functions import images
+
+    cells = [RGB, RGBA, None, RGB, RGB] * 40
+    frame = frame_of(spark, [(c,) for c in cells], "image binary")
+    monkeypatch.setattr(images, "BATCH_SAMPLES", 100)
+    out = list(images.decode.func(iter([(pd.Series(cells), pd.Series([None] * len(cells)))])))
+    assert len(out) > 10 and sum(map(len, out)) == len(cells)
+    heights = [row["image"] and row["image"]["height"] for row in rl.to_list(frame)]
+    assert heights == [3, 2, None, 3, 3] * 40
+
+
 def test_other_bytes_stay_text(spark):
     frame = frame_of(spark, [(b"plain", b"\xff\x00")], "a binary, b binary")
     assert rl.to_list(frame) == [{"id": 0, "a": "plain", "b": "ff00"}]

@@ -169,6 +169,18 @@ def test_large_selection_joined_by_shuffle(monkeypatch, spark, layouts):
     assert numbered(rl.select_rows(frame, "999:0:-1, 0:50")) == [*range(999, 0, -1), *range(50)]
 
 
+def test_top_k_over_very_many_tasks(monkeypatch, spark, layouts, event_rows):
+    import rowloom.plans.order as order
+
+    monkeypatch.setattr(order, "FAN_IN_ROWS", 10)
+    monkeypatch.setattr(order, "TASK_BYTES", 100)
+    frame = rl.sort_rows(rl.load(spark, layouts["nine"]), "value", reverse=True)
+    expected = [r["event_id"] for r in sorted(event_rows, key=lambda r: -r["value"])]
+    top = rl.take_rows(frame, 40)
+    assert "WindowGroupLimit" in top.df._jdf.queryExecution().executedPlan().toString()
+    assert ids(top) == expected[:40]
+
+
 def test_nulls_and_nan_sort_last_both_ways(spark):
     nan = float("nan")
     rows = [(0, nan), (1, None), (2, 2.0), (3, float("-inf")), (4, nan), (5, None), (6, 2.0), (7, float("inf"))]

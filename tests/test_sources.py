@@ -71,6 +71,19 @@ def test_csv_options_and_gzip(spark, tmp_path):
     assert read(frame) == [{"a": "1", "b": "2", "at": 0}]
 
 
+def test_csv_is_split_unless_rows_span_lines(spark, tmp_path, small_splits):
+    rows = [{"id": i, "text": f'a "quoted" word, {i}'} for i in range(500)]
+    lines = ['id,text', *(f'{r["id"]},"{r["text"].replace(chr(34), chr(34) * 2)}"' for r in rows)]
+    (tmp_path / "flat.csv").write_text("\n".join(lines) + "\n")
+    frame = rl.load(spark, str(tmp_path / "flat.csv"))
+    assert frame.df.rdd.getNumPartitions() > 8
+    assert read(frame) == expected(rows)
+    (tmp_path / "spans.csv").write_text("\n".join(lines) + '\n500,"two\nlines"\n')
+    frame = rl.load(spark, str(tmp_path / "spans.csv"))
+    assert frame.df.rdd.getNumPartitions() == 1
+    assert read(frame)[-1] == {"id": 500, "text": "two\nlines", "at": 500}
+
+
 def test_json_lines_arrays_and_documents(spark, tmp_path):
     for name in ("a.jsonl", "a.ndjson", "a.json"):
         (tmp_path / name).write_text("".join(json.dumps(row) + "\n" for row in ROWS))
@@ -101,7 +114,7 @@ def many_lines(tmp_path_factory):
     return folder, lines
 
 
-@pytest.fixture(scope="module")
+@pytest.fixture
 def small_splits(spark):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
