@@ -590,30 +590,30 @@ def data_list_rows(spark, sf_dir):
 
 
 @F.pandas_udf(T.BinaryType())
-def png_cells(pixels: pd.Series) -> pd.Series:
-    """A 4x4 PNG per row from 64 bytes (RGBA) or 48 bytes (RGB)."""
+def png_cells(pixels: pd.Series, alpha: pd.Series) -> pd.Series:
+    """A PNG per row from its 64 bytes: 4x4 RGBA, or 8x8 gray."""
 
     def chunk(kind: bytes, body: bytes) -> bytes:
         return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
 
-    def encode(values) -> bytes:
-        raw, stride = values.astype("uint8").tobytes(), len(values) // 4
-        header = struct.pack(">IIBBBBB", 4, 4, 8, 6 if stride == 16 else 2, 0, 0, 0)
+    def encode(values, rgba: bool) -> bytes:
+        side, color, stride = (4, 6, 16) if rgba else (8, 0, 8)
+        raw = values.astype("uint8").tobytes()
+        header = struct.pack(">IIBBBBB", side, side, 8, color, 0, 0, 0)
         lines = b"".join(b"\0" + raw[i : i + stride] for i in range(0, len(raw), stride))
         body = chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
         return b"\x89PNG\r\n\x1a\n" + body
 
-    return pixels.map(encode)
+    return pd.Series([encode(p, a) for p, a in zip(pixels, alpha, strict=True)])
 
 
-def image_table(spark: SparkSession, sf_dir: str, used: int) -> rl.Frame:
+def image_table(spark: SparkSession, sf_dir: str, alpha: bool) -> rl.Frame:
     """An image cell per embedding: byte i is the fractional part of element i, times 256."""
     df = table(spark, sf_dir, "embeddings").unordered_rows()
     byte = F.transform(
-        F.slice("embedding", 1, used),
-        lambda e: F.floor((e.cast("double") - F.floor(e.cast("double"))) * 256).cast("int"),
+        "embedding", lambda e: F.floor((e.cast("double") - F.floor(e.cast("double"))) * 256).cast("int")
     )
-    cell = F.struct(png_cells(byte).alias("bytes"), F.lit(None).cast("string").alias("path"))
+    cell = F.struct(png_cells(byte, F.lit(alpha)).alias("bytes"), F.lit(None).cast("string").alias("path"))
     return rl.from_dataframe(df.select("vec_id", "label", cell.alias("image")), key="vec_id")
 
 
@@ -631,7 +631,7 @@ def _pixels(image: DataFrame, column: str) -> DataFrame:
         FROM embeddings, (SELECT CAST(range AS INTEGER) AS place FROM range(48))"""
 )
 def image_rgb(spark, sf_dir):
-    return _pixels(rl.to_data_list(image_table(spark, sf_dir, 64)), "image")
+    return _pixels(rl.to_data_list(image_table(spark, sf_dir, True)), "image")
 
 
 @query(
@@ -639,15 +639,15 @@ def image_rgb(spark, sf_dir):
         FROM embeddings, (SELECT CAST(range AS INTEGER) AS place FROM range(16))"""
 )
 def image_alpha_mask(spark, sf_dir):
-    return _pixels(rl.to_data_list(image_table(spark, sf_dir, 64)), "image_mask")
+    return _pixels(rl.to_data_list(image_table(spark, sf_dir, True)), "image_mask")
 
 
 @query(
-    f"""SELECT vec_id, place, CAST({_PIXEL.format("place + 1")} AS BIGINT) AS level
-        FROM embeddings, (SELECT CAST(range AS INTEGER) AS place FROM range(48))"""
+    f"""SELECT vec_id, place, CAST({_PIXEL.format("place // 3 + 1")} AS BIGINT) AS level
+        FROM embeddings, (SELECT CAST(range AS INTEGER) AS place FROM range(192))"""
 )
 def image_without_alpha(spark, sf_dir):
-    rows = rl.to_data_list(image_table(spark, sf_dir, 48))
+    rows = rl.to_data_list(image_table(spark, sf_dir, False))
     assert rows.columns == ["vec_id", "label", "image"]
     return _pixels(rows, "image")
 

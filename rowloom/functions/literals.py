@@ -12,6 +12,7 @@ import decimal
 import math
 from typing import Any
 
+import numpy as np
 from pyspark.sql import types as T
 
 # The words accepted for a boolean.
@@ -75,3 +76,24 @@ def integer_bound(operator: str, value: float | int) -> tuple[str, int] | bool |
         return operator == "!="
     # a fraction lies strictly between two integers
     return ("<=", math.floor(value)) if operator in ("<", "<=") else (">=", math.ceil(value))
+
+
+def float32_bound(operator: str, value: float) -> tuple[str, float] | bool:
+    """Rewrite ``float32_column operator value`` with a value that float32 holds exactly.
+
+    Without it Spark would widen the column, and no file could be skipped.
+    """
+    if math.isnan(value):
+        return operator == "!="
+    with np.errstate(over="ignore"):
+        near = np.float32(value)
+    if float(near) == value:
+        return operator, value
+    if operator in ("==", "!="):
+        return operator == "!="
+    # the value lies strictly between two neighbouring float32 numbers
+    if operator in ("<", "<="):
+        below = near if float(near) < value else np.nextafter(near, np.float32(-np.inf))
+        return "<=", float(below)
+    above = near if float(near) > value else np.nextafter(near, np.float32(np.inf))
+    return ">=", float(above)

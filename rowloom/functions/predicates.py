@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.functions.literals import FLOATS, INTEGERS, UNTYPED, integer_bound, integer_range, typed
+from rowloom.functions.literals import FLOATS, INTEGERS, UNTYPED, float32_bound, integer_bound, integer_range, typed
 from rowloom.functions.text import cell_text
 
 COMPARISONS = ("==", "!=", "<", "<=", ">", ">=")
@@ -76,12 +76,13 @@ def _comparison(col: Column, dtype: T.DataType, operator: str, value: object) ->
             return _constant(col, operator, answer)
         return _ordered(col, operator, F.lit(number).cast(dtype))
     if isinstance(dtype, FLOATS):
-        if math.isnan(value):
+        bound = float32_bound(operator, value) if isinstance(dtype, T.FloatType) else (operator, value)
+        if isinstance(bound, bool) or math.isnan(value):
             return _constant(col, operator, operator == "!=")
-        wide = col if isinstance(dtype, T.DoubleType) else col.cast("double")
-        condition = _ordered(wide, operator, F.lit(float(value)))
+        operator, number = bound
+        condition = _ordered(col, operator, F.lit(float(number)).cast(dtype))
         # Spark ranks NaN above every number and lets it equal itself
-        return condition & ~F.isnan(wide) if operator in (">", ">=") else condition
+        return condition & ~F.isnan(col) if operator in (">", ">=") else condition
     literal = _timestamp(value, dtype) if isinstance(dtype, TIMESTAMPS) else F.lit(value)
     if literal is None:
         return _constant(col, operator, operator == "!=")
@@ -114,11 +115,10 @@ def _membership(col: Column, dtype: T.DataType, operator: str, value: str) -> Co
     members = [m for m in (_member(typed(p, dtype), dtype) for p in parts) if m is not None]
     if not members:
         return F.lit(operator == "not in")
-    wide = col.cast("double") if isinstance(dtype, T.FloatType) else col
     if isinstance(dtype, T.DecimalType):
-        hit = reduce(lambda a, b: a | b, [wide == m for m in members])
+        hit = reduce(lambda a, b: a | b, [col == m for m in members])
     else:
-        hit = wide.isin(members)
+        hit = col.isin(members)
     return hit if operator == "in" else col.isNull() | ~hit
 
 
@@ -133,5 +133,7 @@ def _member(value: object, dtype: T.DataType) -> Column | None:
         low, high = integer_range(dtype)
         return F.lit(bound[1]).cast(dtype) if low <= bound[1] <= high else None
     if isinstance(dtype, FLOATS):
-        return None if math.isnan(value) else F.lit(float(value))
+        if math.isnan(value) or isinstance(dtype, T.FloatType) and float32_bound("==", value) is False:
+            return None
+        return F.lit(float(value)).cast(dtype)
     return _timestamp(value, dtype) if isinstance(dtype, TIMESTAMPS) else F.lit(value)

@@ -87,7 +87,9 @@ def _load_part(spark: SparkSession, source: Source, part: SplitPart, options: di
 
 def concat(frames: list[Frame]) -> Frame:
     """Rows of several loaded frames, one after the other."""
-    frames = [settle(f) if f.kind not in ("files", "lines") else f for f in frames]
+    if len({frozenset(f.columns) for f in frames}) > 1:
+        raise ValueError("Only datasets with the same columns can follow one another.")
+    frames = [settle(f) if f.kind not in ("files", "lines") or PART in f.df.columns else f for f in frames]
     if len({f.kind for f in frames}) > 1:
         frames = [settle(f) if f.kind == "lines" else f for f in frames]
     frames = [with_rows(f) for f in frames]

@@ -164,8 +164,13 @@ def test_offsets_joined_by_shuffle_when_the_file_table_is_large(monkeypatch, spa
 def test_large_selection_joined_by_shuffle(monkeypatch, spark, layouts):
     import rowloom.operators.rows as rows
 
-    monkeypatch.setattr(rows, "SELECTION_BROADCAST_ROWS", 10)
     frame = rl.load(spark, layouts["nine"])
+    assert numbered(rl.select_rows(frame, "999:0:-1, 0:50, 7, 500:3:-7")) == [
+        *range(999, 0, -1), *range(50), 7, *range(500, 3, -7)
+    ]
+    monkeypatch.setattr(rows, "SELECTION_EXPRESSIONS", 1)
+    assert numbered(rl.select_rows(frame, "20, 3, 3, 900:880:-3")) == [20, 3, 3, *range(900, 880, -3)]
+    monkeypatch.setattr(rows, "SELECTION_BROADCAST_ROWS", 10)
     assert numbered(rl.select_rows(frame, "999:0:-1, 0:50")) == [*range(999, 0, -1), *range(50)]
 
 

@@ -109,6 +109,18 @@ def test_whole_rows_never_go_to_one_task(frame):
         assert "SinglePartition" not in plan(out)
 
 
+def test_index_lists_need_no_join(spark, layouts):
+    text = plan(rl.select_rows(rl.load(spark, layouts["one"]), "7, 3, 500:1:-1").unordered_rows())
+    assert "Join" not in text and "Exchange" not in text
+
+
+def test_float32_filters_reach_parquet(spark, tmp_path):
+    spark.sql("SELECT CAST(id AS FLOAT) AS x FROM range(9)").write.parquet(f"{tmp_path}/x.parquet")
+    frame = rl.load(spark, f"{tmp_path}/x.parquet")
+    for operator, value in ((">", "0.1"), ("<=", "3"), ("in", "2, 2.5")):
+        kept = rl.filter_rows(frame, "x", operator, value)
+        assert re.search(r"(GreaterThanOrEqual|LessThanOrEqual|EqualTo|In)\(x,", pushed(kept.unordered_rows()))
+
 def test_paths_are_not_shuffled_with_rows(frame):
     for out in (frame.rows(), rl.sort_rows(frame, "value").rows(), rl.shuffle(frame, 1).rows()):
         exchange = [line for line in plan(out).splitlines() if "Exchange rangepartitioning" in line]
