@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,8 +152,8 @@ def load_text(spark, sf_dir):
 
 def write_arrow(df: DataFrame, folder: str) -> None:
     """One Arrow IPC file per partition, named by partition so that path order is row order."""
-    target = urlparse(folder).path
-    os.makedirs(target, exist_ok=True)
+    filesystem, target = fs.FileSystem.from_uri(folder if "://" in folder else urlparse(folder).path)
+    filesystem.create_dir(target)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -161,10 +162,12 @@ def write_arrow(df: DataFrame, folder: str) -> None:
         writer = None
         for batch in batches:
             if writer is None:
-                writer = pa.ipc.new_file(f"{target}/part-{part:05d}.arrow", batch.schema)
+                sink = filesystem.open_output_stream(f"{target}/part-{part:05d}.arrow")
+                writer = pa.ipc.new_file(sink, batch.schema)
             writer.write_batch(batch)
         if writer is not None:
             writer.close()
+            sink.close()
         yield pa.RecordBatch.from_pydict({"part": [part]})
 
     df.mapInArrow(write, "part bigint").count()

@@ -10,6 +10,7 @@ from urllib.parse import unquote, urlparse
 
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +27,7 @@ def _open(uri: str) -> pa.NativeFile:
     parsed = urlparse(uri)
     if parsed.scheme in ("", "file"):
         return pa.memory_map(unquote(parsed.path))
-    filesystem, path = pa.fs.FileSystem.from_uri(uri)
+    filesystem, path = fs.FileSystem.from_uri(uri)
     return filesystem.open_input_file(path)
 
 

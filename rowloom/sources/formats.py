@@ -5,6 +5,7 @@ from __future__ import annotations
 import posixpath
 import re
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,11 @@ def infer_format(path: str) -> str | None:
     return EXTENSIONS.get(extension_of(path))
 
 
+def decoded(uri: str) -> str:
+    """Path to load a listed file by: Spark lists files as escaped URIs and loads plain globs."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
+
+
 def list_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(FILE, length) of the data files under ``paths``; file contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import reduce
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from rowloom.frame import FILE, PART, Frame, Key
 from rowloom.plans.order import count_of, cut, settle, with_rows
 from rowloom.sources.files import FileTable
-from rowloom.sources.formats import STREAM_OPTIONS, detected, extension_of, infer_format, read_batch, read_stream
+from rowloom.sources.formats import STREAM_OPTIONS, decoded, detected, extension_of, infer_format, read_batch, read_stream
 from rowloom.sources.splits import (
     Source,
     SplitPart,
@@ -71,7 +72,7 @@ def _data_paths(spark: SparkSession, source: Source, split: str) -> tuple[str, l
     for file in rows[FILE].to_pylist():
         by_extension.setdefault(extension_of(file), []).append(file)
     files = max(by_extension.values(), key=len)
-    return infer_format(files[0]), files
+    return infer_format(files[0]), [decoded(file) for file in files]
 
 
 def _load_part(spark: SparkSession, source: Source, part: SplitPart, options: dict[str, Any]) -> Frame:
@@ -109,7 +110,7 @@ def _load_stream(spark: SparkSession, source: Source, part: SplitPart, options:
         fmt, files = source.fmt, split_files(spark, source)
         folder, _, name = path.rpartition("/")
         names = [row[FILE] for row in files.limit(2).collect()]
-        if len(names) == 1 and names[0].endswith("/" + name):
+        if len(names) == 1 and unquote(names[0]).endswith("/" + name):
             # Spark streams from folders: watch the one that holds the file
             path, options = folder or ".", {"pathGlobFilter": name, **options}
     else:
@@ -120,7 +121,7 @@ def _load_stream(spark: SparkSession, source: Source, part: SplitPart, options:
         if len(available_splits(spark, source)) > 1:
             condition = split_of(path) == part.name
     if fmt == "json":  # for CSV, rows that span lines may still arrive
-        options = detected(spark, fmt, [row[FILE] for row in files.limit(1).collect()], options)
+        options = detected(spark, fmt, [decoded(row[FILE]) for row in files.limit(1).collect()], options)
     stream = read_stream(spark, fmt, path, schema, options)
     if condition is not None:
         stream = replace(stream, df=stream.df.filter(condition))

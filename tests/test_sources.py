@@ -4,6 +4,7 @@ import gzip
 import json
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import rowloom as rl
@@ -23,7 +24,7 @@ def expected(rows):
 
 def write_parquet(path, rows):
     path.parent.mkdir(parents=True, exist_ok=True)
-    pa.parquet.write_table(pa.Table.from_pylist(rows), path)
+    pq.write_table(pa.Table.from_pylist(rows), path)
 
 
 @pytest.mark.parametrize(
@@ -226,6 +227,23 @@ def test_split_names_in_files_and_folders(spark, tmp_path):
     assert read(rl.load(spark, str(tmp_path / "d"))) == expected(ROWS[:6])
 
 
+def test_odd_characters_in_paths(spark, tmp_path):
+    root = tmp_path / "my dir é%41+x"
+    for i, name in enumerate(("train a.parquet", "train b+c.parquet", "train [1] {x}.parquet", "test.parquet")):
+        write_parquet(root / name, ROWS[i : i + 1])
+    assert rl.to_list(rl.load(spark, str(root)), "id") == [2, 0, 1]  # path order
+    assert splits(spark, root) == {"train": (3, True), "test": (1, False)}
+    frame = rl.load(spark, str(root), split="train", streaming=True)
+    assert rl.to_list(rl.drain(rl.skip_rows(frame, 1)), "id") == [0, 1]
+    assert rl.to_list(rl.take_shard(frame, 3, 1), "id") == [0]
+    (root / "t").mkdir()
+    (root / "t" / "x y.txt").write_text("1\n2\n")
+    (root / "t" / "x z.txt").write_text("3\n")
+    assert rl.to_list(rl.load(spark, f"{root}/t/*.txt"), "text") == ["1", "2", "3"]
+    write_arrow(root / "t" / "q r.arrow", ROWS[:3], 2, False)
+    assert rl.to_list(rl.load(spark, f"{root}/t/*.arrow"), "id") == [0, 1, 2]
+
+
 def test_most_frequent_format_wins(spark, tmp_path):
     write_parquet(tmp_path / "p1.parquet", ROWS[:1])
     write_parquet(tmp_path / "p2.parquet", ROWS[1:2])
