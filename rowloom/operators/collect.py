@@ -64,7 +64,7 @@ def _mask_names(frame: Frame, images: dict[str, bool]) -> dict[str, str]:
     return names
 
 
-def _prepared(frame: Frame, column: str, limit: int | None) -> Frame:
+def _prepared(frame: Frame, column: str, limit: int | None, ordered: bool) -> Frame:
     """Loaded frame with the rows and columns to hand on, values converted."""
     frame = require_frame(frame)
     limit = -1 if limit is None else require_int(limit, "limit", -1)
@@ -81,10 +81,10 @@ def _prepared(frame: Frame, column: str, limit: int | None) -> Frame:
     if column and column not in frame.columns and column not in masks.values():
         virtual = f" Mask columns: {', '.join(sorted(masks.values()))}." if masks else ""
         raise ValueError(f"Unknown column {column!r}. Available: {', '.join(frame.columns)}.{virtual}")
-    return _converted(frame, images, masks, column)
+    return _converted(frame, images, masks, column, ordered)
 
 
-def _converted(frame: Frame, images: dict[str, bool], masks: dict[str, str], column: str) -> Frame:
+def _converted(frame: Frame, images: dict[str, bool], masks: dict[str, str], column: str, ordered: bool) -> Frame:
     columns: list[Column] = []
     for name in frame.columns:
         dtype = frame.df.schema[name].dataType
@@ -102,19 +102,20 @@ def _converted(frame: Frame, images: dict[str, bool], masks: dict[str, str], col
     shown = [f"{HIDDEN}out{i}" for i in range(len(columns))]
     names = frame.df.select(*columns).columns
     # sort before converting: decoded images are not shuffled
-    out = sorted_rows(frame).select(*[c.alias(s) for c, s in zip(columns, shown, strict=True)])
+    out = (sorted_rows(frame) if ordered else frame.df).select(*[c.alias(s) for c, s in zip(columns, shown, strict=True)])
     final = out.select(*[quoted(s).alias(n) for s, n in zip(shown, names, strict=True)])
     return Frame(final, (), "sorted")
 
 
-def to_data_list(frame: Frame, column: str = "", limit: int | None = -1) -> DataFrame:
+def to_data_list(frame: Frame, column: str = "", limit: int | None = -1, ordered: bool = True) -> DataFrame:
     """The rows as an ordered DataFrame: all columns, or just ``column``.
 
     Bytes become text or hex.  Image columns become ``struct<height, width, data>`` (RGB, 0..1),
     and one with transparency gains ``<column>_mask``; ``column`` may name that mask.
-    ``limit`` keeps the first rows; -1 keeps all.
+    ``limit`` keeps the first rows; -1 keeps all.  ``ordered=False`` gives the same rows without
+    the global sort, for consumers that do not need their order.
     """
-    return _prepared(frame, column, limit).df
+    return _prepared(frame, column, limit, ordered).df
 
 
 def to_list(frame: Frame, column: str = "", limit: int | None = -1) -> list[Any]:

@@ -11,13 +11,14 @@ Three tools, chosen so that no step puts data-sized work into one task:
 * ``settle`` writes rows once in order, for orders whose ranks cannot be derived from the data
              (sorted by a user column, text formats).
 
-Only the bucket table (one small row per bucket) is totalled in one task.
+One task totals a table of row counts: one small row per bucket, or per group of some thousand buckets
+when there are many.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any
 
@@ -35,6 +36,8 @@ BUCKET_ROWS, MIN_BUCKET_ROWS, BUCKET_BYTES = 1 << 20, 1 << 12, 32 << 20
 TOP_K = 1000
 #: Rows that all tasks of a top-k may hand to its final task, and the usual size of a scan task.
 FAN_IN_ROWS, TASK_BYTES = 5_000_000, 128 << 20
+#: Buckets that one task totals; beyond it their groups are totalled.
+BUCKETS_IN_ONE_TASK = 1 << 17
 BUCKET, FILE_NUMBER = HIDDEN + "bucket", HIDDEN + "filenumber"
 
 
@@ -134,28 +137,56 @@ def _hash_width(frame: Frame) -> int:
     return max(1, round(math.log(max(rows / _bucket_rows(frame), 1.0), 16)))
 
 
-def _bucket_columns(frame: Frame) -> list[Column] | None:
-    """Expressions that are monotone in the order and hold a bounded number of rows each."""
+@dataclass(frozen=True)
+class Buckets:
+    """Expressions that are monotone in the order and hold a bounded number of rows each.
+
+    ``groups`` are coarser: some thousands of buckets each.  ``many`` tells whether there may be too
+    many buckets to total in one task.
+    """
+
+    columns: list[Column]
+    groups: list[Column]
+    many: bool
+
+    @property
+    def names(self) -> list[str]:
+        return [f"{BUCKET}{i}" for i in range(len(self.columns))]
+
+
+def _buckets(frame: Frame) -> Buckets | None:
     if frame.kind == "hash":
-        return [F.substring(HASH, 1, _hash_width(frame)).alias(BUCKET + "0")]
+        width = _hash_width(frame)
+        first = F.substring(HASH, 1, width).alias(BUCKET + "0")
+        group = F.substring(BUCKET + "0", 1, max(1, width - 3))
+        return Buckets([first], [group], 16**width > BUCKETS_IN_ONE_TASK)
     if frame.kind in ("files", "position"):
         *outer, row = frame.order_names
         size = _bucket_rows(frame)
         cols = [F.col(n).alias(f"{BUCKET}{i}") for i, n in enumerate(outer)]
-        return [*cols, F.expr(f"{row} div {size}").alias(f"{BUCKET}{len(outer)}")]
+        last = f"{BUCKET}{len(outer)}"
+        groups = [F.col(f"{BUCKET}{i}") for i in range(len(outer))]
+        many = frame.files is None or frame.files.rows // size + len(frame.files.paths) > BUCKETS_IN_ONE_TASK
+        return Buckets([*cols, F.expr(f"{row} div {size}").alias(last)], [*groups, F.expr(f"{last} div 4096")], many)
     return None
 
 
-def _bucket_table(df: DataFrame, buckets: list[Column]) -> DataFrame:
-    """One row per bucket with its row count and the number of rows before it."""
-    counted = df.select(*buckets)
-    names = counted.columns
-    return (
-        counted.groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(Window.orderBy(*names)))
-        .withColumn("start", F.col("upto") - F.col("n"))
-    )
+def _bucket_table(df: DataFrame, buckets: Buckets) -> DataFrame:
+    """One row per bucket: its row count ``n``, rows before it (``start``) and including it (``upto``)."""
+    names = buckets.names
+    counted = df.select(*buckets.columns).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    if not buckets.many:
+        upto = F.sum("n").over(Window.orderBy(*names))
+        return counted.withColumn("upto", upto).withColumn("start", F.col("upto") - F.col("n"))
+    # total the groups in one task, and the buckets inside each group in parallel
+    groups = [f"{BUCKET}group{i}" for i in range(len(buckets.groups))]
+    grouped = counted.select("*", *[c.alias(g) for c, g in zip(buckets.groups, groups, strict=True)])
+    totals = grouped.groupBy(*groups).agg(F.sum("n").alias("rows"))
+    before = totals.withColumn("before", F.sum("rows").over(Window.orderBy(*groups)) - F.col("rows"))
+    inside = F.sum("n").over(Window.partitionBy(*groups).orderBy(*names))
+    joined = grouped.withColumn("inside", inside).join(before.drop("rows"), groups)
+    placed = joined.withColumn("upto", F.col("before") + F.col("inside"))
+    return placed.select(*names, "n", "upto", (F.col("upto") - F.col("n")).alias("start"))
 
 
 # -- rank to key ------------------------------------------------------------------------
@@ -230,7 +261,7 @@ def _probe_spans(frame: Frame, rank: int) -> list[tuple[int, int | None]]:
 def keys_at(frame: Frame, ranks: list[int]) -> list[tuple[Any, ...] | None]:
     """Order-key values of the rows at ``ranks`` (ascending); None beyond the last row."""
     frame = with_rows(frame)
-    buckets = _bucket_columns(frame)
+    buckets = _buckets(frame)
     assert buckets is not None
     found: dict[int, tuple[Any, ...]] = {}
     before = 0
@@ -239,25 +270,21 @@ def keys_at(frame: Frame, ranks: list[int]) -> list[tuple[Any, ...] | None]:
         if frame.kind == "files" and frame.files is not None and (lo, hi) != (0, None):
             part = _scan_range(frame, lo, hi).df
         wanted = [r - before for r in ranks if r not in found]
-        table = _bucket_table(part, buckets)
         hit = reduce(lambda a, b: a | b, [(F.col("start") <= r) & (F.col("upto") > r) for r in wanted])
-        last = F.col("upto") == F.max("upto").over(Window.partitionBy())
-        rows = table.withColumn("last", last).filter(hit | F.col("last")).collect()
-        names = [c for c in table.columns if c.startswith(BUCKET)]
-        for row in rows:
+        bucket = F.struct(*buckets.names, "start", "upto")
+        table = _bucket_table(part, buckets)
+        # at most one bucket per wanted rank
+        summary = table.agg(F.max("upto").alias("rows"), F.collect_list(F.when(hit, bucket)).alias("hits")).first()
+        for row in summary["hits"]:
             inside = [r for r in wanted if row["start"] <= r < row["upto"]]
-            if not inside:
-                continue
-            # one bucket: a bounded number of rows
-            here = part.select("*", *buckets)
-            for name in names:
+            here = part.select("*", *buckets.columns)
+            for name in buckets.names:
                 here = here.filter(F.col(name) == F.lit(row[name]))
-            ranked = here.select(*frame.order_names).withColumn(
-                "at", F.row_number().over(Window.orderBy(*frame.order_names)) - 1 + F.lit(row["start"])
-            )
-            for key in ranked.filter(F.col("at").isin(inside)).collect():
+            # one bucket: a bounded number of rows
+            rank = F.row_number().over(Window.orderBy(*frame.order_names)) - 1 + F.lit(row["start"])
+            for key in here.select(*frame.order_names, rank.alias("at")).filter(F.col("at").isin(inside)).collect():
                 found[key["at"] + before] = tuple(key[n] for n in frame.order_names)
-        before += max((row["upto"] for row in rows), default=0)
+        before += summary["rows"] or 0
         if all(r in found for r in ranks):
             break
     return [found.get(r) for r in ranks]
@@ -357,14 +384,14 @@ def number(frame: Frame) -> Frame:
     if frame.kind == "files" and frame.files is not None:
         # the position alone is shuffled with the rows, not the path
         frame = replace(stable_position(frame), order=(Key(POS),), kind="position")
-    buckets = _bucket_columns(frame)
+    buckets = _buckets(frame)
     if buckets is None:
         return number(settle(frame))
-    table = _bucket_table(frame.df, buckets).drop("n", "upto")
-    names = [c for c in table.columns if c.startswith(BUCKET)]
+    names = buckets.names
+    table = _bucket_table(frame.df, buckets).select(*names, "start")
     inside = Window.partitionBy(*names).orderBy(*frame.order_names)
     ranked = (
-        frame.df.select("*", *buckets)
+        frame.df.select("*", *buckets.columns)
         .withColumn(HIDDEN + "rank", F.row_number().over(inside))
         .join(table.hint("merge"), names)  # same partitioning as the window: no second exchange
     )
@@ -391,6 +418,6 @@ def stable_position(frame: Frame) -> Frame:
     frame = with_rows(frame)
     if frame.files is not None and {FILE, ROW} <= set(frame.df.columns):
         return frame.rebuilt(frame.files.with_position(frame.df, POS))
-    if _bucket_columns(frame) is None:
+    if frame.kind in ("sorted", "lines"):
         return stable_position(settle(frame))
     return number(frame)

@@ -72,7 +72,7 @@ def _runs(files: DataFrame) -> DataFrame:
 
 
 def _tasks(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism * 4
+    return df.sparkSession.sparkContext.defaultParallelism * 2
 
 
 def arrow_counts(files: DataFrame) -> DataFrame:

@@ -109,6 +109,7 @@ def test_lists(frame):
     assert rl.to_list(frame, limit=0) == []
     assert rl.to_list(frame, " label ") == [0, 1] * 3
     assert list(rl.iterate(frame, "id", 3)) == [0, 1, 2]
+    assert sorted(row[0] for row in rl.to_data_list(frame, "id", ordered=False).collect()) == list(range(6))
 
 
 def test_bytes(spark):

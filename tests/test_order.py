@@ -136,10 +136,12 @@ def test_partitioning_does_not_matter(spark, layouts):
     assert all(r == results[0] for r in results)
 
 
-def test_small_buckets(monkeypatch, spark, layouts, event_rows):
+@pytest.mark.parametrize("in_one_task", [1 << 17, 0])
+def test_small_buckets(monkeypatch, spark, layouts, event_rows, in_one_task):
     """Ranks that cross many buckets, and a shuffle with several hash digits."""
     import rowloom.plans.order as order
 
+    monkeypatch.setattr(order, "BUCKETS_IN_ONE_TASK", in_one_task)
     monkeypatch.setattr(order, "_bucket_rows", lambda frame: 3)
     for path in layouts.values():
         frame = rl.filter_rows(rl.load(spark, path), "value", ">=", "30")
