@@ -482,9 +482,48 @@ def select_rows_slice(spark, sf_dir):
     return indexed(rl.select_rows(orders(spark, sf_dir), "100::3"), "o_orderkey")
 
 
+# The five primes of the published 64-bit xxHash.
+_PRIMES = (
+    11400714785074694791,
+    14029467366897019727,
+    1609587929392839161,
+    9650029242287828579,
+    2870177450012600261,
+)
+
+
+def _xxhash64(start: str, key: str) -> str:
+    """SQL for the xxHash of one 64-bit integer, in unsigned arithmetic modulo 2^64."""
+    p1, p2, p3, p4, p5 = (f"{p}::UHUGEINT" for p in _PRIMES)
+    whole = "18446744073709551616::UHUGEINT"
+
+    def rotated(column: str, bits: int) -> str:
+        return f"(({column} * {2**bits}::UHUGEINT) % {whole} + {column} // {2 ** (64 - bits)}::UHUGEINT)"
+
+    def folded(column: str, bits: int) -> str:
+        return f"xor({column}, {column} // {2**bits}::UHUGEINT)"
+
+    steps = (
+        f"({key}::UHUGEINT * {p2}) % {whole}",
+        f"xor(({start} + {p5} + 8::UHUGEINT) % {whole}, ({rotated('h', 31)} * {p1}) % {whole})",
+        f"(({rotated('h', 27)} * {p1}) % {whole} + {p4}) % {whole}",
+        f"({folded('h', 33)} * {p2}) % {whole}",
+        f"({folded('h', 29)} * {p3}) % {whole}",
+        folded("h", 32),
+    )
+    sql = "{source}"
+    for i, step in enumerate(steps):
+        sql = f"(SELECT * {'REPLACE (' if i else ', '}{step} AS h{')' if i else ''} FROM {sql})"
+    return sql
+
+
 def _shuffled(name: str, key: str, seed: int) -> str:
-    return f"""(SELECT row_number() OVER (ORDER BY substr(md5('{seed}:' || {key}), 1, 16), {key}) - 1 AS pos,
-                       count(*) OVER () AS n, * FROM {name})"""
+    """Table in the seeded order: the seed is hashed first, then the position with that result."""
+    hashed_seed = f"(SELECT h FROM {_xxhash64('42::UHUGEINT', 'seed').format(source=f'(SELECT {seed} AS seed)')})"
+    source = f"(SELECT *, {hashed_seed} AS start FROM {name})"
+    hashed = _xxhash64("start", key).format(source=source)
+    return f"""(SELECT row_number() OVER (ORDER BY h // 2::UHUGEINT, {key}) - 1 AS pos, count(*) OVER () AS n, *
+                FROM {hashed})"""
 
 
 @query(f"SELECT pos, o_orderkey FROM {_shuffled('orders', 'o_orderkey', 42)}")

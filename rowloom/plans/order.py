@@ -6,7 +6,7 @@ Three tools, chosen so that no step puts data-sized work into one task:
              cut itself is a plain filter on the order keys: no shuffle, and files outside the
              range are never opened.
 * ``number`` gives every row its 0-based rank.  Rows are ranked inside small buckets (a run of
-             rows of one file, a hash prefix) and bucket offsets are joined on the same
+             rows of one file, the leading bits of a hash) and bucket offsets are joined on the same
              partitioning, so there is a single exchange of the rows.
 * ``settle`` writes rows once in order, for orders whose ranks cannot be derived from the data
              (sorted by a user column, text formats).
@@ -36,6 +36,8 @@ BUCKET_ROWS, MIN_BUCKET_ROWS, BUCKET_BYTES = 1 << 20, 1 << 12, 32 << 20
 TOP_K = 1000
 #: Rows that all tasks of a top-k may hand to its final task, and the usual size of a scan task.
 FAN_IN_ROWS, TASK_BYTES = 5_000_000, 128 << 20
+#: Bits of the shuffle hash; it is never negative.
+HASH_BITS = 63
 #: Buckets that one task totals; beyond it their groups are totalled.
 BUCKETS_IN_ONE_TASK = 1 << 17
 BUCKET, FILE_NUMBER = HIDDEN + "bucket", HIDDEN + "filenumber"
@@ -125,16 +127,17 @@ def count_of(frame: Frame) -> int:
 
 
 def _bucket_rows(frame: Frame) -> int:
+    """Rows per bucket: small while there are few buckets, then growing with the data."""
     if frame.files is None:
         return 1 << 16
     wide = int(BUCKET_BYTES / max(frame.files.bytes_per_row, 1e-9))
-    return max(MIN_BUCKET_ROWS, min(BUCKET_ROWS, wide))
+    return max(MIN_BUCKET_ROWS, min(BUCKET_ROWS, wide, frame.files.rows // BUCKETS_IN_ONE_TASK))
 
 
-def _hash_width(frame: Frame) -> int:
-    """Hex digits so that a bucket of a uniform hash holds about ``_bucket_rows`` rows."""
+def _hash_bits(frame: Frame) -> int:
+    """Leading bits so that a bucket of the uniform hash holds about ``_bucket_rows`` rows."""
     rows = frame.files.rows if frame.files is not None else frame.df.count()
-    return max(1, round(math.log(max(rows / _bucket_rows(frame), 1.0), 16)))
+    return max(1, math.ceil(math.log2(max(rows / _bucket_rows(frame), 1.0))))
 
 
 @dataclass(frozen=True)
@@ -155,11 +158,11 @@ class Buckets:
 
 
 def _buckets(frame: Frame) -> Buckets | None:
+    first = BUCKET + "0"
     if frame.kind == "hash":
-        width = _hash_width(frame)
-        first = F.substring(HASH, 1, width).alias(BUCKET + "0")
-        group = F.substring(BUCKET + "0", 1, max(1, width - 3))
-        return Buckets([first], [group], 16**width > BUCKETS_IN_ONE_TASK)
+        bits = _hash_bits(frame)
+        leading = F.shiftright(HASH, HASH_BITS - bits).alias(first)
+        return Buckets([leading], [F.expr(f"{first} div 4096")], 2**bits > BUCKETS_IN_ONE_TASK)
     if frame.kind in ("files", "position"):
         *outer, row = frame.order_names
         size = _bucket_rows(frame)
