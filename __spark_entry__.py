@@ -551,7 +551,7 @@ _TAIL = """(SELECT row_number() OVER (ORDER BY event_id) - 1 AS pos, count(*) OV
 @query(f"SELECT pos, event_id FROM {_TAIL} WHERE pos < n - ceil(n * 0.25)")
 def split_in_order_train(spark, sf_dir):
     frame = rl.filter_rows(events(spark, sf_dir), "event_type", "!=", "view")
-    return indexed(rl.train_test_split(frame, 0.25, shuffled=False)[0], "event_id")
+    return indexed(rl.train_test_split(frame, 0.25, shuffle=False)[0], "event_id")
 
 
 @query(
@@ -560,7 +560,7 @@ def split_in_order_train(spark, sf_dir):
 )
 def split_in_order_test(spark, sf_dir):
     frame = rl.filter_rows(events(spark, sf_dir), "event_type", "!=", "view")
-    return indexed(rl.train_test_split(frame, 0.25, shuffled=False)[1], "event_id")
+    return indexed(rl.train_test_split(frame, 0.25, shuffle=False)[1], "event_id")
 
 
 # -- aggregates ------------------------------------------------------------------------------

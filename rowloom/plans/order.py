@@ -117,6 +117,7 @@ def with_lines(frame: Frame) -> Frame:
 
 
 def count_of(frame: Frame) -> int:
+    """Number of rows; a scan without a filter answers from its file table."""
     if frame.whole and frame.files is not None:
         lo, hi = frame.span
         return max(0, min(hi, frame.files.rows) - lo) if hi is not None else max(0, frame.files.rows - lo)
@@ -390,18 +391,15 @@ def number(frame: Frame) -> Frame:
     buckets = _buckets(frame)
     if buckets is None:
         return number(settle(frame))
-    names = buckets.names
-    table = _bucket_table(frame.df, buckets).select(*names, "start")
+    names, start, rank = buckets.names, HIDDEN + "start", HIDDEN + "rank"
+    table = _bucket_table(frame.df, buckets).select(*names, F.col("start").alias(start))
     inside = Window.partitionBy(*names).orderBy(*frame.order_names)
     ranked = (
         frame.df.select("*", *buckets.columns)
-        .withColumn(HIDDEN + "rank", F.row_number().over(inside))
+        .withColumn(rank, F.row_number().over(inside))
         .join(table.hint("merge"), names)  # same partitioning as the window: no second exchange
     )
-    placed = ranked.withColumn(POS, F.col("start") + F.col(HIDDEN + "rank") - F.lit(1)).drop(
-        "start", HIDDEN + "rank", *names
-    )
-    return _by_position(frame, placed, first=0)
+    return _by_position(frame, ranked.withColumn(POS, F.col(start) + F.col(rank) - F.lit(1)), first=0)
 
 
 def _by_position(frame: Frame, df: DataFrame, first: int) -> Frame:

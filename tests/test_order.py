@@ -103,7 +103,7 @@ def test_split(chain):
             rl.train_test_split(frame, 0.3)
         return
     held_out = math.ceil(len(expected) * 0.3)
-    train, test = rl.train_test_split(frame, 0.3, shuffled=False)
+    train, test = rl.train_test_split(frame, 0.3, shuffle=False)
     assert ids(train) == expected[:-held_out]
     assert ids(test) == expected[-held_out:]
     train, test = (ids(part) for part in rl.train_test_split(frame, 0.3, seed=9))
@@ -218,6 +218,19 @@ def test_dataframe_without_key_keeps_its_order(spark):
     assert numbered(rl.from_dataframe(df)) == list(range(99, -1, -1))
 
 
+def test_column_names_used_inside_are_free(spark, tmp_path):
+    names = ["start", "n", "upto", "at", "rows", "before", "inside", "place", "rank", "bytes", "event_id"]
+    spark.range(200).selectExpr(*[f"id AS `{name}`" for name in names]).coalesce(1).write.parquet(f"{tmp_path}/x")
+    frame = rl.load(spark, f"{tmp_path}/x/*.parquet")
+    for name in names:
+        kept = rl.filter_rows(frame, name, ">=", "100")
+        numbered_frame = rl.map_column(rl.skip_rows(kept, 5), "pos", "row index")
+        first = numbered_frame.rows().first()
+        assert (first["pos"], first["start"], first["rows"]) == (0, 105, 105)
+        assert ids(rl.select_rows(rl.sort_rows(frame, name, True), "1, 0")) == [198, 199]
+    assert sorted(ids(rl.take_rows(rl.shuffle(frame, 1), 200))) == list(range(200))
+
+
 def test_selection_text():
     assert [list(r) for r in parse_selection("0, 2 ,4", 5)] == [[0], [2], [4]]
     assert [list(r) for r in parse_selection("0:10:2", 10)] == [[0, 2, 4, 6, 8]]

@@ -74,7 +74,7 @@ def test_take_after_filter_and_split_do_not_shuffle_rows(frame):
         rl.take_rows(kept, 20),
         rl.skip_rows(kept, 20),
         rl.take_shard(kept, 4, 2),
-        *rl.train_test_split(kept, 0.2, shuffled=False),
+        *rl.train_test_split(kept, 0.2, shuffle=False),
         *rl.train_test_split(frame, 0.2, seed=1),
     ):
         text = plan(piece.unordered_rows())
