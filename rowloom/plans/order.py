@@ -18,6 +18,7 @@ when there are many.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any
@@ -262,21 +263,24 @@ def _probe_spans(frame: Frame, rank: int) -> list[tuple[int, int | None]]:
     return spans or [(lo, end)]
 
 
-def keys_at(frame: Frame, ranks: list[int]) -> list[tuple[Any, ...] | None]:
-    """Order-key values of the rows at ``ranks`` (ascending); None beyond the last row."""
+def keys_at(frame: Frame, ranks: list[int], counts: DataFrame | None = None) -> list[tuple[Any, ...] | None]:
+    """Order-key values of the rows at ``ranks`` (ascending); None beyond the last row.
+
+    ``counts`` is the frame's bucket table, when it is there already.
+    """
     frame = with_rows(frame)
     buckets = _buckets(frame)
     assert buckets is not None
     found: dict[int, tuple[Any, ...]] = {}
     before = 0
-    for lo, hi in _probe_spans(frame, max(ranks)):
+    for lo, hi in _probe_spans(frame, max(ranks)) if counts is None else [(0, None)]:
         part = frame.df
         if frame.kind == "files" and frame.files is not None and (lo, hi) != (0, None):
             part = _scan_range(frame, lo, hi).df
         wanted = [r - before for r in ranks if r not in found]
         hit = reduce(lambda a, b: a | b, [(F.col("start") <= r) & (F.col("upto") > r) for r in wanted])
         bucket = F.struct(*buckets.names, "start", "upto")
-        table = _bucket_table(part, buckets)
+        table = _bucket_table(part, buckets) if counts is None else counts
         # at most one bucket per wanted rank
         summary = table.agg(F.max("upto").alias("rows"), F.collect_list(F.when(hit, bucket)).alias("hits")).first()
         for row in summary["hits"]:
@@ -302,7 +306,24 @@ def cut(frame: Frame, lo: int, hi: int | None = None) -> Frame:
     return cuts(frame, [(lo, hi)])[0]
 
 
-def cuts(frame: Frame, ranges: list[tuple[int, int | None]]) -> list[Frame]:
+def cuts_of_total(
+    frame: Frame, ranges_of: Callable[[int], list[tuple[int, int | None]]], total: int | None = None
+) -> list[Frame]:
+    """Cuts whose ranges depend on the number of rows, which is counted in the same pass."""
+    if frame.kind in ("sorted", "lines"):
+        frame = settle(frame)
+    if total is not None or frame.whole:
+        return cuts(frame, ranges_of(count_of(frame) if total is None else total))
+    frame = with_rows(frame)
+    counts = _bucket_table(frame.df, _buckets(frame)).persist()
+    try:
+        total = counts.agg(F.max("upto")).first()[0] or 0
+        return cuts(frame, ranges_of(total), counts)
+    finally:
+        counts.unpersist()
+
+
+def cuts(frame: Frame, ranges: list[tuple[int, int | None]], counts: DataFrame | None = None) -> list[Frame]:
     """Several cuts of one frame that share the lookup of their boundaries."""
     if frame.whole and frame.files is not None and frame.kind == "files":
         return [_cut_whole(frame, lo, hi) for lo, hi in ranges]
@@ -318,7 +339,7 @@ def cuts(frame: Frame, ranges: list[tuple[int, int | None]]) -> list[Frame]:
             return [frame.rebuilt(_top(frame, ends[0]), kind="sorted")]
         return cuts(settle(frame), ranges)
     ranks = sorted({r for lo, hi in ranges for r in (lo, hi) if r is not None and r > 0})
-    at = dict(zip(ranks, keys_at(frame, ranks), strict=True)) if ranks else {}
+    at = dict(zip(ranks, keys_at(frame, ranks, counts), strict=True)) if ranks else {}
     out = []
     for lo, hi in ranges:
         if hi is not None and hi <= lo or lo > 0 and at[lo] is None:
