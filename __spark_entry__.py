@@ -665,7 +665,8 @@ _PIXEL = "floor((CAST(embedding[{0}] AS DOUBLE) - floor(CAST(embedding[{0}] AS D
 def _pixels(image: DataFrame, column: str) -> DataFrame:
     """One row per sample: (vec_id, place, level), level back on the 0..255 scale."""
     spread = image.select("vec_id", F.posexplode(f"{column}.data").alias("place", "part"))
-    return spread.select("vec_id", "place", F.round(F.col("part").cast("double") * 255, 0).cast("bigint").alias("level"))
+    level = F.round(F.col("part").cast("double") * 255, 0).cast("bigint")
+    return spread.select("vec_id", "place", level.alias("level"))
 
 
 @query(

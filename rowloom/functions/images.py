@@ -62,6 +62,66 @@ def is_image_struct(dtype: T.DataType) -> bool:
     return all(f.name in kinds and isinstance(f.dataType, kinds[f.name]) for f in dtype.fields)
 
 
+def holds_image(dtype: T.DataType) -> bool:
+    """Whether undecoded images are somewhere inside a list, map or struct."""
+    if isinstance(dtype, T.ArrayType):
+        return is_image_struct(dtype.elementType) or holds_image(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return is_image_struct(dtype.valueType) or holds_image(dtype.valueType)
+    if isinstance(dtype, T.StructType):
+        return any(is_image_struct(f.dataType) or holds_image(f.dataType) for f in dtype.fields)
+    return False
+
+
+def shown_type(dtype: T.DataType) -> T.DataType:
+    """Type of a nested value once its images are decoded and its bytes are text."""
+    if is_image_struct(dtype):
+        return IMAGE
+    if isinstance(dtype, T.BinaryType):
+        return T.StringType()
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(shown_type(dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return T.MapType(shown_type(dtype.keyType), shown_type(dtype.valueType))
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, shown_type(f.dataType)) for f in dtype.fields])
+    return dtype
+
+
+def decode_nested(col: Column, dtype: T.DataType) -> Column:
+    """``col`` with the images inside it decoded to RGB."""
+
+    @F.pandas_udf(T.ArrayType(shown_type(dtype)))
+    def convert(cells: pd.Series) -> pd.Series:
+        return cells.map(lambda wrapped: [_shown(value, dtype) for value in wrapped])
+
+    # wrapped in a list, because pandas would take a struct column apart
+    return convert(F.array(col))[0]
+
+
+def _shown(value: Any, dtype: T.DataType) -> Any:
+    if value is None:
+        return None
+    if is_image_struct(dtype):
+        names = [f.name for f in dtype.fields]
+        content, path = (value[n] if n in names else None for n in ("bytes", "path"))
+        cell = _decode(content, path)
+        return None if cell is None else cell["image"]
+    if isinstance(dtype, T.BinaryType):
+        data = bytes(value)
+        try:
+            return data.decode("utf-8")
+        except UnicodeDecodeError:
+            return data.hex()
+    if isinstance(dtype, T.ArrayType):
+        return [_shown(item, dtype.elementType) for item in value]
+    if isinstance(dtype, T.MapType):
+        return {_shown(k, dtype.keyType): _shown(v, dtype.valueType) for k, v in dict(value).items()}
+    if isinstance(dtype, T.StructType):
+        return {f.name: _shown(value[f.name], f.dataType) for f in dtype.fields}
+    return value
+
+
 def encoded(col: Column, dtype: T.DataType) -> tuple[Column, Column]:
     """(bytes, path) of an image cell, whichever shape it has."""
     if isinstance(dtype, T.BinaryType):

@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom.frame import HIDDEN, Frame, quoted
-from rowloom.functions.images import decode, encoded, has_alpha, is_image_struct, looks_like_image
+from rowloom.functions.images import (
+    decode,
+    decode_nested,
+    encoded,
+    has_alpha,
+    holds_image,
+    is_image_struct,
+    looks_like_image,
+)
 from rowloom.functions.values import plain
 from rowloom.guards import require_frame, require_int
 from rowloom.operators.rows import take_rows
@@ -92,7 +100,9 @@ def _converted(frame: Frame, images: dict[str, bool], masks: dict[str, str], col
         if not wanted:
             continue
         if name not in images:
-            columns.append(plain(quoted(name), dtype).alias(name))
+            nested = holds_image(dtype) and not is_image_struct(dtype)
+            value = decode_nested(quoted(name), dtype) if nested else plain(quoted(name), dtype)
+            columns.append(value.alias(name))
             continue
         decoded = decode(*encoded(quoted(name), dtype))
         if not column or column == name:
@@ -102,7 +112,8 @@ def _converted(frame: Frame, images: dict[str, bool], masks: dict[str, str], col
     shown = [f"{HIDDEN}out{i}" for i in range(len(columns))]
     names = frame.df.select(*columns).columns
     # sort before converting: decoded images are not shuffled
-    out = (sorted_rows(frame) if ordered else frame.df).select(*[c.alias(s) for c, s in zip(columns, shown, strict=True)])
+    source = sorted_rows(frame) if ordered else frame.df
+    out = source.select(*[c.alias(s) for c, s in zip(columns, shown, strict=True)])
     final = out.select(*[quoted(s).alias(n) for s, n in zip(shown, names, strict=True)])
     return Frame(final, (), "sorted")
 

@@ -13,7 +13,15 @@ from pyspark.sql import functions as F
 from rowloom.frame import FILE, PART, Frame, Key
 from rowloom.plans.order import count_of, cut, settle, with_rows
 from rowloom.sources.files import FileTable
-from rowloom.sources.formats import STREAM_OPTIONS, decoded, detected, extension_of, infer_format, read_batch, read_stream
+from rowloom.sources.formats import (
+    STREAM_OPTIONS,
+    decoded,
+    detected,
+    extension_of,
+    infer_format,
+    read_batch,
+    read_stream,
+)
 from rowloom.sources.splits import (
     Source,
     SplitPart,

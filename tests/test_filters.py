@@ -19,8 +19,10 @@ COLUMNS = {
     "s": ("string", [None, "", "5", "click", " click", "Click", "é", "z"]),
     "b": ("boolean", [None, True, False, True, False, True, True, False]),
 }
-VALUES = ["5", " 5 ", "5.0", "5.5", "-3.25", "abc", "nan", "inf", "-inf", "1e3", "9007199254740993", "127", "128",
-          "99999999999999999999", "-99999999999999999999", "yes", "no", "true", "click", "1_0", "0.1", "1e300", "-1e300", "16777217", "1e-60", "9007199254740992.0"]
+VALUES = (
+    "5| 5 |5.0|5.5|-3.25|abc|nan|inf|-inf|1e3|9007199254740993|127|128|99999999999999999999|-99999999999999999999|"
+    "yes|no|true|click|1_0|0.1|1e300|-1e300|16777217|1e-60|9007199254740992.0"
+).split("|")
 LISTS = ["5, abc, 0", "click,,z", "yes", "nan, inf", "5.5, 2.0, 127, 300", " , ", "9007199254740993, -3.25"]
 COMPARE = {"==": op.eq, "!=": op.ne, "<": op.lt, "<=": op.le, ">": op.gt, ">=": op.ge}
 WORDS = {**dict.fromkeys(("1", "true", "yes", "y"), True), **dict.fromkeys(("0", "false", "no", "n"), False)}

@@ -88,7 +88,9 @@ def test_png_palette_and_small_depths(depth):
         assert (gray[..., 3] == np.where(samples[..., 0] == 1, 0, 255)).all()
 
 
-@pytest.mark.parametrize("schema", ["image binary", "image struct<bytes:binary,path:string>", "image struct<bytes:binary>"])
+@pytest.mark.parametrize(
+    "schema", ["image binary", "image struct<bytes:binary,path:string>", "image struct<bytes:binary>"]
+)
 def test_rgb_image(spark, schema):
     cell = RGB if "struct" not in schema else (RGB, None) if "path" in schema else (RGB,)
     (row,) = rl.to_list(frame_of(spark, [(cell,)], schema))
@@ -109,6 +111,20 @@ def test_alpha_gives_a_mask_for_every_row(spark):
     assert [i and i["height"] for i in rl.to_list(frame, "image")] == [3, 2, None]
 
 
+def test_images_inside_lists_and_structs(spark):
+    schema = "pages array<struct<bytes:binary,path:string>>, doc struct<cover:struct<bytes:binary>,raw:binary,n:int>"
+    rows = [([(RGB, None), (RGBA, None), None], ((RGB,), b"\xff", 3)), (None, None), ([], (None, b"ok", None))]
+    first, second, third = rl.to_list(frame_of(spark, rows, schema))
+    assert [page and (page["height"], page["data"][:3]) for page in first["pages"]] == [
+        (3, [1.0, 0.0, 0.0]),
+        (2, [1.0, 0.0, 0.0]),
+        None,
+    ]
+    assert first["doc"]["cover"]["width"] == 4 and first["doc"]["raw"] == "ff" and first["doc"]["n"] == 3
+    assert second["pages"] is None and second["doc"] is None
+    assert third["pages"] == [] and third["doc"] == {"cover": None, "raw": "ok", "n": None}
+
+
 def test_no_mask_when_the_limited_rows_have_no_alpha(spark):
     frame = frame_of(spark, [(RGB,), (RGBA,)], "image binary")
     assert rl.to_data_list(frame, limit=1).columns == ["id", "image"]

@@ -128,7 +128,9 @@ def test_shuffle_is_a_permutation_and_depends_on_the_seed(chain):
 
 
 def test_partitioning_does_not_matter(spark, layouts):
-    chain = lambda f: rl.take_rows(rl.skip_rows(rl.shuffle(rl.filter_rows(f, "value", "<", "70"), 3), 10), 200)
+    def chain(f):
+        return rl.take_rows(rl.skip_rows(rl.shuffle(rl.filter_rows(f, "value", "<", "70"), 3), 10), 200)
+
     before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
     try:
         results = []

@@ -198,7 +198,8 @@ def test_force_reload_sees_new_rows(spark, tmp_path):
 
 
 def splits(spark, path, **kwargs):
-    return {row["split"]: (row["files"], row["is_default"]) for row in rl.list_splits(spark, str(path), **kwargs).collect()}
+    rows = rl.list_splits(spark, str(path), **kwargs).collect()
+    return {row["split"]: (row["files"], row["is_default"]) for row in rows}
 
 
 def test_split_names_in_files_and_folders(spark, tmp_path):

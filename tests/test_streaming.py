@@ -117,7 +117,8 @@ def test_guards_speak_up_before_the_stream_starts(spark, folder):
 
 def test_take_stops_the_stream(spark, folder, tmp_path):
     out = f"{tmp_path}/out"
-    assert rl.to_list(rl.drain(rl.take_rows(stream(spark, folder, maxFilesPerTrigger=1), 5), out), "id") == list(range(5))
+    frame = rl.take_rows(stream(spark, folder, maxFilesPerTrigger=1), 5)
+    assert rl.to_list(rl.drain(frame, out), "id") == list(range(5))
     assert len(os.listdir(f"{out}/rows")) < 8
 
 
@@ -139,7 +140,10 @@ def test_second_run_adds_only_new_files(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
     pq.write_table(pa.table({"id": list(range(5))}), source / "a.parquet")
-    chain = lambda: rl.map_column(rl.load(spark, f"{source}/*.parquet", streaming=True), "at", "row index")
+
+    def chain():
+        return rl.map_column(rl.load(spark, f"{source}/*.parquet", streaming=True), "at", "row index")
+
     assert rl.to_list(rl.drain(chain(), out), "at") == list(range(5))
     pq.write_table(pa.table({"id": list(range(5, 9))}), source / "b.parquet")
     assert rl.to_list(rl.drain(chain(), out)) == [{"id": i, "at": i} for i in range(9)]
