@@ -60,7 +60,9 @@ def decoded(uri: str) -> str:
 def list_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(FILE, length) of the data files under ``paths``; file contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return reader.load(paths).select(F.col("_metadata.file_path").alias(FILE), "length")
+    listed = reader.load(paths).select(F.col("_metadata.file_path").alias(FILE), "length")
+    # a task per 128 MB of content would be far too many for reading names
+    return listed.coalesce(spark.sparkContext.defaultParallelism * 2)
 
 
 def read_batch(spark: SparkSession, fmt: str, paths: list[str], options: dict[str, Any]) -> Frame:
