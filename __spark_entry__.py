@@ -62,7 +62,7 @@ def orders(spark: SparkSession, sf_dir: str) -> rl.Frame:
     return table(spark, sf_dir, "orders")
 
 
-# -- flagship and the three reference workflows -----------------------------------------------
+# -- flagship and whole workflows -------------------------------------------------------------
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from rowloom.frame import Frame
 from rowloom.plans.order import scan_frame
@@ -22,11 +22,15 @@ def drain(frame: Frame, folder: str | None = None) -> Frame:
     if frame.bounded:
         return frame
     folder = folder or staging_path(frame.spark, "stream")
-    finished: list[int] = []  # set once a take has all its rows: later batches add nothing
+    finished: list[list[int]] = []  # rows seen per step, once a take has all its rows
 
     def run(batch: DataFrame, number: int) -> None:
-        if not finished and _run_batch(frame, batch, number, folder):
-            finished.append(number)
+        if finished:  # nothing can be added, but a later run continues from this batch
+            _store_seen(batch.sparkSession, finished[0], number, folder)
+            return
+        seen = _run_batch(frame, batch, number, folder)
+        if any(step.limit is not None and rows >= step.limit for step, rows in zip(frame.steps, seen, strict=True)):
+            finished.append(seen)
 
     query = (
         frame.df.writeStream.foreachBatch(run)
@@ -45,8 +49,8 @@ def drain(frame: Frame, folder: str | None = None) -> Frame:
         return Frame(frame.spark.createDataFrame([], schema), (), "sorted")
 
 
-def _run_batch(frame: Frame, batch: DataFrame, number: int, folder: str) -> bool:
-    """Process one micro-batch; True when no later batch can add rows."""
+def _run_batch(frame: Frame, batch: DataFrame, number: int, folder: str) -> list[int]:
+    """Process one micro-batch; returns the rows each step has seen so far."""
     spark = batch.sparkSession
     seen = [0] * len(frame.steps)
     if number > 0 and seen:
@@ -59,7 +63,11 @@ def _run_batch(frame: Frame, batch: DataFrame, number: int, folder: str) -> bool
         current, seen[i] = step.run(current, seen[i])
     current.rows().write.mode("overwrite").parquet(f"{folder}/rows/{number:012d}")
     if seen:
-        state = spark.createDataFrame(list(enumerate(seen)), "step int, seen bigint")
-        state.coalesce(1).write.mode("overwrite").parquet(f"{folder}/seen/{number:012d}")
+        _store_seen(spark, seen, number, folder)
         batch.unpersist()
-    return any(step.limit is not None and rows >= step.limit for step, rows in zip(frame.steps, seen, strict=True))
+    return seen
+
+
+def _store_seen(spark: SparkSession, seen: list[int], number: int, folder: str) -> None:
+    state = spark.createDataFrame(list(enumerate(seen)), "step int, seen bigint")
+    state.coalesce(1).write.mode("overwrite").parquet(f"{folder}/seen/{number:012d}")

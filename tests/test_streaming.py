@@ -122,6 +122,23 @@ def test_take_stops_the_stream(spark, folder, tmp_path):
     assert len(os.listdir(f"{out}/rows")) < 8
 
 
+def test_full_take_stays_full_in_later_runs(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+
+    def drained():
+        frame = rl.load(spark, f"{source}/*.parquet", streaming=True, maxFilesPerTrigger=1)
+        return rl.to_list(rl.drain(rl.take_rows(rl.skip_rows(frame, 1), 3), out), "id")
+
+    for i, name in enumerate("abcd"):
+        pq.write_table(pa.table({"id": [2 * i, 2 * i + 1]}), source / f"{name}.parquet")
+        os.utime(source / f"{name}.parquet", (time.time() - 100 + i,) * 2)
+    assert drained() == [1, 2, 3]
+    for name in "ef":
+        pq.write_table(pa.table({"id": [98, 99]}), source / f"{name}.parquet")
+        assert drained() == [1, 2, 3]
+
+
 def test_replayed_batch_does_not_count_twice(spark, folder, tmp_path):
     """The last batch is run again after its commit is lost, as after a crash."""
     from pathlib import Path
