@@ -1,0 +1,27 @@
+"""Every query of this folder that has SQL, against that SQL on the whole small tables."""
+
+import duckdb
+import pytest
+
+from conftest import DATA
+from rowloom.llm.queries import ORACLE_SQL, QUERIES
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for name in ("documents", "benchmark", "conversations", "embeddings", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_equals_sql(spark, duck, name):
+    df = QUERIES[name](spark, DATA)
+    sql = duck.execute(ORACLE_SQL[name])
+    names = [c[0] for c in sql.description]
+    assert sorted(names) == sorted(df.columns)
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    expected = sorted((tuple(r[i] for i in order) for r in sql.fetchall()), key=repr)
+    found = sorted((tuple(r[c] for c in sorted(df.columns)) for r in df.collect()), key=repr)
+    assert found == expected
