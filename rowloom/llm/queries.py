@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import chat
+from rowloom.llm import chat, decontaminate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,3 +68,42 @@ def op1_chat_format(spark, sf_dir):
         "SELECT -7L AS conv_id, posexplode(array('user', 'assistant')) AS (turn, role)"
     ).withColumn("text", F.lit(TRICKY))
     return chat.read_chats(chat.format_chats(turns.unionByName(extra)))
+
+
+# -- 4: benchmark decontamination -------------------------------------------------------------
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g
+               FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i
+                     FROM b WHERE len(w) > 0)),
+        dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
+               FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+                     FROM d, (SELECT DISTINCT n FROM bw))),
+        hit AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (n, g)),
+        words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                  FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hit) GROUP BY doc_id),
+        ids AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS list
+                FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+               n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)"""
+)
+def op4_decontaminate(spark, sf_dir):
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
