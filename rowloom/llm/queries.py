@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import chat, decontaminate
+from rowloom.llm import chat, decontaminate, secrets, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,3 +107,57 @@ def op4_decontaminate(spark, sf_dir):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+# -- 3: secret scans --------------------------------------------------------------------------
+
+
+def _sql_spans(kind: str, rank: int, pattern: str, keep: str = "true") -> str:
+    """Spans of one kind: pieces between matches and the matches, their lengths added up."""
+    return f"""SELECT doc_id, start, {rank} AS rank, start + length(m) AS stop, '{kind}' AS kind FROM (
+        SELECT doc_id, m, CAST(sum(length(p)) OVER w + coalesce(sum(length(m)) OVER before, 0) AS BIGINT) AS start
+        FROM (SELECT doc_id, unnest(m) AS m, unnest(p[:len(m)]) AS p, unnest(range(len(m))) AS i
+              FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS p FROM d)
+              WHERE len(m) > 0)
+        WINDOW w AS (PARTITION BY doc_id ORDER BY i),
+               before AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+        WHERE {keep}"""
+
+
+def _listed(spans: str) -> str:
+    return f"string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) {spans}"
+
+
+_ASSIGN_KEY = secrets.ASSIGN_KEY.replace("'", "''")
+_ENTROPY = f"""list_max(list_transform(range(1, length(m) - {secrets.WINDOW - 2}),
+    lambda i: list_entropy(string_split(substr(m, i, {secrets.WINDOW}), ''))))"""
+_THRESHOLD = " ".join(f"WHEN regexp_full_match(m, '{p}') THEN {bits}" for p, bits in secrets.CLASSES)
+_ALLOWED = " OR ".join(f"regexp_full_match(m, '{p}')" for p in secrets.ALLOWED)
+_CANDIDATES = secrets.CANDIDATE.rstrip("+")
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        s AS ({_sql_spans("assign", 0, _ASSIGN_KEY + "[A-Za-z0-9+/_.=-]+",
+                          f"length(regexp_replace(m, '^{_ASSIGN_KEY}', '')) >= 12")}
+              UNION ALL {_sql_spans("access", 1, "AKIA[A-Z0-9]+", "length(m) >= 18")}
+              UNION ALL {_sql_spans("hex", 2, "[0-9a-f]+", "length(m) >= 16")}
+              UNION ALL {_sql_spans("entropy", 3, _CANDIDATES,
+                                    f"NOT ({_ALLOWED}) AND {_ENTROPY} >= CASE {_THRESHOLD} END")}),
+        per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+                  count(*) FILTER (kind = 'hex') AS n_hex,
+                  {_listed("FILTER (kind != 'entropy')")} AS base, {_listed("")} AS spans
+                FROM s GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN per USING (doc_id)"""
+)
+def op3_secret_scan(spark, sf_dir):
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = spans.of_kinds(F.col("spans"), ("assign", "access", "hex"))
+    return found.select(
+        "doc_id",
+        *[spans.counted(F.col("spans"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(spans.written(base), 256).alias("base_sha256"),
+        spans.written(F.col("spans")).alias("spans"),
+    )

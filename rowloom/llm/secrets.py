@@ -1,0 +1,125 @@
+"""Secret scans in DataFrame functions only: known shapes, and the entropy of what looks random.
+
+Shapes (``BASE``) are reported as they stand.  Beyond them, every run of ``CANDIDATE`` characters is a
+candidate; a window of ``WINDOW`` characters slides over it, and the counts of its characters are
+updated by the one that enters and the one that leaves, so that each step changes the sum of
+c*log2(c) by two terms.  A candidate whose most random window reaches the threshold of its character
+class is reported as ``entropy`` with its whole extent, unless the allow-list knows its shape.
+
+Every text is handled by itself, without a shuffle.
+
+Defined results: a null text is empty and has no spans; repeated rows are judged each by itself; very
+long texts and matches are handled whole; other columns do not matter.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from rowloom.llm.spans import NO_SPANS, as_spans, let, masked, matches_of
+
+#: Kinds in the order in which spans that start together are listed.
+KINDS = ("assign", "access", "hex", "entropy")
+
+ASSIGN_KEY = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
+ASSIGN = ASSIGN_KEY + "[A-Za-z0-9+/_.=-]+"
+ASSIGN_LEAST = 12
+#: Shorter runs fail and hide no longer one, so the least length is part of the pattern.
+ACCESS = "AKIA[A-Z0-9]{14,}+"
+HEX = "[0-9a-f]{16,}+"
+
+WINDOW = 20
+CANDIDATE = f"[A-Za-z0-9+/=_-]{{{WINDOW},}}+"
+#: Character classes, narrowest first, and the bits per character that a window must reach.
+CLASSES = (("[0-9a-fA-F]+", 2.95), ("[0-9a-z]+|[0-9A-Z]+", 3.45), ("[0-9A-Za-z]+", 3.65), ("[A-Za-z0-9+/=_-]+", 3.85))
+#: Shapes that are random to no one: no digit, digits only, UUIDs, paths, names with a number, samples.
+ALLOWED = (
+    "[^0-9]+",
+    "[0-9+/=_-]+",
+    "[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
+    "/?[a-z0-9_-]{1,15}(/[a-z0-9_-]{1,15})+/?",
+    "[A-Za-z]+([_-][A-Za-z]+)*[_-]?[0-9]{1,4}",
+    "(?i).*(example|sample|placeholder|changeme|xxxx|0000).*",
+)
+
+
+def _whole(text: Column, patterns: tuple[str, ...]) -> Column:
+    return text.rlike("^(?:" + "|".join(f"(?:{p})" for p in patterns) + ")$")
+
+
+def window_entropy(text: Column, window: int = WINDOW) -> Column:
+    """The highest entropy, in bits per character, of any ``window`` consecutive characters."""
+    weight = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
+
+    def of_codes(codes: Column, kinds: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            new = F.element_at(codes, i)
+            old = F.when(i > window, F.get(codes, i - window - 1)).otherwise(F.lit(0))
+            entering = F.element_at(acc["counts"], new)
+            leaving = F.when(old > 0, F.get(acc["counts"], old - 1) + F.when(old == new, 1).otherwise(0)).otherwise(1)
+            total = (
+                acc["total"]
+                + F.element_at(weight, entering + 2)
+                - F.element_at(weight, entering + 1)
+                + F.element_at(weight, leaving)
+                - F.element_at(weight, leaving + 1)
+            )
+            counts = F.transform(
+                acc["counts"],
+                lambda c, k: c + F.when(k + 1 == new, 1).otherwise(0) - F.when(k + 1 == old, 1).otherwise(0),
+            )
+            bits = F.when(i >= window, F.lit(math.log2(window)) - total / window).otherwise(F.lit(0.0))
+            return F.struct(counts.alias("counts"), total.alias("total"), F.greatest(acc["top"], bits).alias("top"))
+
+        start = F.struct(
+            F.array_repeat(F.lit(0), F.size(kinds)).alias("counts"), F.lit(0.0).alias("total"), F.lit(0.0).alias("top")
+        )
+        return F.aggregate(F.sequence(F.lit(1), F.size(codes)), start, step, lambda acc: acc["top"])
+
+    def of_chars(chars: Column) -> Column:
+        return let(
+            F.array_distinct(chars),
+            lambda kinds: let(
+                F.transform(chars, lambda c: F.array_position(kinds, c).cast("int")), lambda codes: of_codes(codes, kinds)
+            ),
+        )
+
+    return F.when(F.length(text) >= window, let(F.split(text, ""), of_chars)).otherwise(F.lit(0.0))
+
+
+def _random(text: Column) -> Column:
+    threshold = F.lit(math.inf)
+    for pattern, bits in reversed(CLASSES):
+        threshold = F.when(_whole(text, (pattern,)), F.lit(bits)).otherwise(threshold)
+    return ~_whole(text, ALLOWED) & (window_entropy(text) >= threshold)
+
+
+def secret_spans(text: Column) -> Column:
+    """All spans of a text: array of (start, rank, end, kind) in code points, sorted."""
+    text = F.coalesce(text, F.lit(""))
+    assigned = F.filter(
+        matches_of(text, ASSIGN),
+        lambda m: F.length(F.regexp_replace(m["match"], F.lit("^" + ASSIGN_KEY), F.lit(""))) >= ASSIGN_LEAST,
+    )
+    random = F.filter(matches_of(text, CANDIDATE), lambda m: _random(m["match"]))
+    kinds = (assigned, matches_of(text, ACCESS), matches_of(text, HEX), random)
+    parts = [as_spans(m, kind, rank) for rank, (kind, m) in enumerate(zip(KINDS, kinds, strict=True))]
+    return F.array_sort(F.concat(*parts)).cast(NO_SPANS)
+
+
+def find_secrets(docs: DataFrame) -> DataFrame:
+    """doc_id and ``spans`` of every document."""
+    return docs.select("doc_id", secret_spans(F.col("text")).alias("spans"))
+
+
+def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every secret replaced by ``mark`` and n_chars counted anew; null texts stay null."""
+    rows = docs.select(F.struct("*").alias("row"), secret_spans(F.col("text")).alias("spans"))
+    changed = F.size("spans") > 0
+    text = F.when(changed, masked(F.col("row.text"), F.col("spans"), mark)).otherwise(F.col("row.text"))
+    rows = rows.select("row", changed.alias("changed"), text.alias("new"))
+    new = {"text": F.col("new"), "n_chars": F.when(F.col("changed"), F.length("new").cast("long")).otherwise(F.col("row.n_chars"))}
+    return rows.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
