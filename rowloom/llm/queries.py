@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import chat, decontaminate, secrets, spans
+from rowloom.llm import chat, decontaminate, secrets, simhash, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,3 +161,13 @@ def op3_secret_scan(spark, sf_dir):
         F.sha2(spans.written(base), 256).alias("base_sha256"),
         spans.written(F.col("spans")).alias("spans"),
     )
+
+
+# -- 2: SimHash near-dedup --------------------------------------------------------------------
+
+
+@query()
+def op2_simhash_dedup(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("bits")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
