@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import chat, decontaminate, secrets, simhash, spans
+from rowloom.llm import chat, decontaminate, language, secrets, simhash, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -171,3 +171,14 @@ def op2_simhash_dedup(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("bits")), 16, "0")
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+# -- 7: language identification ---------------------------------------------------------------
+
+
+@query()
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(~language.held_out(F.col("doc_id"))))
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
