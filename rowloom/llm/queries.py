@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import chat, decontaminate, language, secrets, simhash, spans
+from rowloom.llm import chat, decontaminate, language, mixture, secrets, simhash, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -182,3 +182,11 @@ def op7_language_id(spark, sf_dir):
     model = language.train(docs.where(~language.held_out(F.col("doc_id"))))
     found = language.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+# -- 9: mixing sources ------------------------------------------------------------------------
+
+
+@query()
+def op9_mix_sources(spark, sf_dir):
+    return mixture.mixture(table(spark, sf_dir, "documents"))
