@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import chat, decontaminate, language, mixture, secrets, simhash, spans
+from rowloom.llm import chat, decontaminate, language, mixture, secrets, simhash, spans, suffix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -190,3 +190,12 @@ def op7_language_id(spark, sf_dir):
 @query()
 def op9_mix_sources(spark, sf_dir):
     return mixture.mixture(table(spark, sf_dir, "documents"))
+
+
+# -- 10: suffix-array dedup -------------------------------------------------------------------
+
+
+@query()
+def op10_suffix_dedup(spark, sf_dir):
+    found = suffix.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
