@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import chat, decontaminate, language, mixture, secrets, simhash, spans, suffix
+from rowloom.llm import chat, decontaminate, language, mixture, pii, secrets, simhash, spans, suffix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -199,3 +199,18 @@ def op9_mix_sources(spark, sf_dir):
 def op10_suffix_dedup(spark, sf_dir):
     found = suffix.without_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# -- 8: personal data -------------------------------------------------------------------------
+
+
+@query()
+def op8_pii(spark, sf_dir):
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    base = spans.of_kinds(F.col("spans"), pii.BASE)
+    return found.select(
+        "doc_id",
+        *[spans.counted(F.col("spans"), kind).alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(spans.written(base), 256).alias("base_sha256"),
+        spans.written(F.col("spans")).alias("spans"),
+    )

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: One match: first character, one past the last (code points, from 0), and the matched text.
-NO_MATCHES = "array<struct<start:int,end:int,match:string>>"
+#: One match: first character, one past the last (code points, from 0), the matched text, and up to
+#: ``CONTEXT`` characters on either side of it (not beyond the neighbouring matches).
+NO_MATCHES = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
+CONTEXT = 40
 #: One reported span.
 NO_SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 #: Running sums copy what they have so far, so they are built in runs of this many entries.
@@ -56,18 +58,34 @@ def matches_of(text: Column, pattern: str) -> Column:
     """
 
     def located(matches: Column, pieces: Column) -> Column:
-        steps = F.zip_with(pieces, matches, lambda p, m: F.length(p) + F.coalesce(F.length(m), F.lit(0)))
-        parts = F.zip_with(pieces, matches, lambda p, m: F.struct(F.length(p).alias("before"), m.alias("match")))
-        places = F.zip_with(
-            parts,
-            let(steps, running_sums),
-            lambda x, s: F.struct(
-                (s + x["before"]).alias("start"),
-                (s + x["before"] + F.length(x["match"])).alias("end"),
+        count = F.size(matches)
+        parts = F.zip_with(
+            F.zip_with(F.slice(pieces, F.lit(1), count), matches, lambda p, m: F.struct(p.alias("piece"), m.alias("match"))),
+            F.slice(pieces, F.lit(2), count),
+            lambda x, after: F.struct(
+                F.length(x["piece"]).alias("gap"),
+                F.length(x["match"]).alias("size"),
                 x["match"].alias("match"),
+                F.right(x["piece"], F.lit(CONTEXT)).alias("before"),
+                F.left(after, F.lit(CONTEXT)).alias("after"),
             ),
         )
-        return F.slice(places, F.lit(1), F.size(matches))
+
+        def placed(parts: Column) -> Column:
+            steps = F.transform(parts, lambda x: x["gap"] + x["size"])
+            return F.zip_with(
+                parts,
+                let(steps, running_sums),
+                lambda x, s: F.struct(
+                    (s + x["gap"]).alias("start"),
+                    (s + x["gap"] + x["size"]).alias("end"),
+                    x["match"].alias("match"),
+                    x["before"].alias("before"),
+                    x["after"].alias("after"),
+                ),
+            )
+
+        return let(parts, placed)
 
     def found(matches: Column) -> Column:
         split = let(F.split(text, pattern, -1), lambda pieces: located(matches, pieces))
