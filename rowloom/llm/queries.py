@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import chat, decontaminate, language, mixture, pii, secrets, simhash, spans, suffix
+from rowloom.llm import chat, decontaminate, language, licenses, mixture, pii, secrets, simhash, spans, suffix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -214,3 +214,13 @@ def op8_pii(spark, sf_dir):
         F.sha2(spans.written(base), 256).alias("base_sha256"),
         spans.written(F.col("spans")).alias("spans"),
     )
+
+
+# -- 5: license scans -------------------------------------------------------------------------
+
+
+@query()
+def op5_license_scan(spark, sf_dir):
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    listed = {c: F.array_join(c, ",") for c in ("base_labels", "labels")}
+    return found.withColumns(listed)
