@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import chat, decontaminate, language, licenses, mixture, pii, secrets, simhash, spans, suffix
+from rowloom.llm import chat, decontaminate, language, licenses, mixture, neighbours, pii, secrets, simhash, spans, suffix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,3 +224,11 @@ def op5_license_scan(spark, sf_dir):
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
     listed = {c: F.array_join(c, ",") for c in ("base_labels", "labels")}
     return found.withColumns(listed)
+
+
+# -- 6: approximate nearest neighbours --------------------------------------------------------
+
+
+@query()
+def op6_nearest_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

@@ -1,0 +1,58 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import rowloom.llm.neighbours as N
+from rowloom.llm.queries import QUERIES
+
+
+def brute(ids, vectors, queries, k=10):
+    out = {}
+    for q in queries:
+        i = ids.index(q)
+        d = np.sqrt(((vectors - vectors[i]) ** 2).sum(axis=1))
+        out[q] = sorted((float(x), j) for x, j in zip(d, ids, strict=True) if j != q)[:k]
+    return out
+
+
+def by_query(rows):
+    out = {}
+    for r in sorted(rows, key=lambda r: (r.query_id, r.rank)):
+        got = out.setdefault(r.query_id, [])
+        assert r.rank == len(got) + 1
+        got.append((r.score, r.vec_id))
+    return out
+
+
+@pytest.mark.parametrize("sf, block", [("sf0.01", 1 << 14), ("sf0.1", 300)])
+def test_recall(spark, monkeypatch, sf, block):
+    """The registered query on whole tables: distances are exact, and 0.95 of the true neighbours are found."""
+    monkeypatch.setattr(N, "BLOCK", block)
+    folder = f"/root/testdata/{sf}"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").orderBy("vec_id").collect()
+    ids, vectors = [r.vec_id for r in rows], np.array([r.embedding for r in rows], np.float64)
+    want = brute(ids, vectors, [i for i in ids if i % 100 == 0])
+    got = by_query(QUERIES["op6_nearest_neighbours"](spark, folder).collect())
+    assert set(got) == set(want) and all(len(v) == 10 and v == sorted(v) for v in got.values())
+    found = sum(len({j for _, j in got[q]} & {j for _, j in want[q]}) for q in want)
+    assert found >= 0.95 * 10 * len(want)
+    for q, pairs in got.items():
+        for score, j in pairs:
+            assert score == pytest.approx(np.linalg.norm(vectors[ids.index(q)] - vectors[ids.index(j)]), rel=1e-12)
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 5.0]), (100, [0.0, 0.0])]
+    rows += [(4, None), (5, []), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]), (None, [1.0, 0.0]), (200, None)]
+    rows += [(300, [1.0, 2.0, 3.0]), (400, [1.0, 2.0, 4.0])]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, block string")
+    got = by_query(N.nearest(df, F.col("vec_id") % 100 == 0).collect())
+    assert got == {0: [(0.0, 1), (0.0, 2), (np.sqrt(26.0), 3)], 300: [(1.0, 400)], 400: [(1.0, 300)]}
+    assert N.nearest(df.limit(0), F.col("vec_id") % 100 == 0).collect() == []
+
+
+def test_all_alike(spark):
+    df = spark.createDataFrame([(i, [0.5] * 8) for i in range(500)] + [(1000, [9.0] * 8)], "vec_id long, embedding array<float>")
+    got = by_query(N.nearest(df, F.col("vec_id").isin(300, 1000)).collect())
+    assert [j for _, j in got[300]] == list(range(10)) and [j for _, j in got[1000]] == list(range(10))
