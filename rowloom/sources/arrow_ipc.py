@@ -6,6 +6,7 @@ Both steps are Spark stages over the file list, so one huge file is read by many
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 from urllib.parse import unquote, urlparse
 
 import pandas as pd
@@ -31,33 +32,53 @@ def _open(uri: str) -> pa.NativeFile:
     return filesystem.open_input_file(path)
 
 
-def _batches(source: pa.NativeFile) -> tuple[pa.Schema, Iterator[pa.RecordBatch]]:
-    """Record batches of a file in either of the two IPC layouts."""
+def _batches(source: pa.NativeFile) -> tuple[pa.Schema, Iterator[pa.RecordBatch], bool]:
+    """Schema and record batches of a file in either IPC layout, and whether batches can be sought."""
     try:
         reader = pa.ipc.open_file(source)
     except pa.ArrowInvalid:
         source.seek(0)
         stream = pa.ipc.open_stream(source)
-        return stream.schema, iter(stream)
-    return reader.schema, (reader.get_batch(i) for i in range(reader.num_record_batches))
+        return stream.schema, iter(stream), False
+    return reader.schema, (reader.get_batch(i) for i in range(reader.num_record_batches)), True
 
 
-def arrow_schema(uri: str) -> T.StructType:
-    with _open(uri) as source:
-        return from_arrow_schema(_batches(source)[0])
+def _schemas(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for files in frames:
+        found = set()
+        for uri in files[FILE]:
+            with _open(uri) as source:
+                found.add(_batches(source)[0].remove_metadata().serialize().to_pybytes())
+        yield pd.DataFrame({"schema": list(found)})
+
+
+def arrow_schema(files: DataFrame) -> T.StructType:
+    """All columns of all files; a column of several types has the type that holds them, or it is an error."""
+    found = files.select(FILE).repartition(_tasks(files)).mapInPandas(_schemas, "schema binary").distinct().collect()
+    schemas = [pa.ipc.read_schema(pa.py_buffer(bytes(r["schema"]))) for r in sorted(found, key=lambda r: bytes(r["schema"]))]
+    if not schemas:
+        return T.StructType([])
+    try:
+        return from_arrow_schema(pa.unify_schemas(schemas, promote_options="permissive"))
+    except (pa.ArrowInvalid, pa.ArrowTypeError) as error:
+        raise ValueError(f"The Arrow files have columns of the same name and different types: {error}") from None
 
 
 def _index(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs of record batches: (file, first batch, batches, rows before the run, rows in it)."""
+    """Runs of record batches: (file, first batch, batches, rows before the run, rows in it).
+
+    A file that can only be read from its start is one run.
+    """
     for files in frames:
         for uri in files[FILE]:
             runs, first, start, rows = [], 0, 0, 0
             with _open(uri) as source:
                 count = 0
-                for batch in _batches(source)[1]:
+                _, batches, seekable = _batches(source)
+                for batch in batches:
                     count += 1
                     rows += batch.num_rows
-                    if rows >= RUN_ROWS:
+                    if rows >= RUN_ROWS and seekable:
                         runs.append((uri, first, count - first, start, rows))
                         first, start, rows = count, start + rows, 0
                 if count > first:
@@ -81,6 +102,17 @@ def arrow_counts(files: DataFrame) -> DataFrame:
     return counted.join(files.withColumnRenamed("length", "bytes"), FILE)
 
 
+def _run_batches(source: pa.NativeFile, first: int, count: int) -> Iterator[pa.RecordBatch]:
+    """Batches ``first`` .. ``first + count - 1``; in a file that can be sought, only they are read."""
+    try:
+        reader = pa.ipc.open_file(source)
+    except pa.ArrowInvalid:
+        yield from islice(_batches(source)[1], first, first + count)
+        return
+    for i in range(first, first + count):
+        yield reader.get_batch(i)
+
+
 def arrow_rows(files: DataFrame, schema: T.StructType, columns: list[str] | None = None) -> DataFrame:
     """Rows of all ``files`` with FILE and ROW; ``columns`` limits what is read."""
     user = T.StructType([f for f in schema.fields if columns is None or f.name in columns])
@@ -88,18 +120,19 @@ def arrow_rows(files: DataFrame, schema: T.StructType, columns: list[str] | None
     target = to_arrow_schema(full)
     names = user.names
 
+    def column(batch: pa.RecordBatch, name: str) -> pa.Array:
+        kind = target.field(name).type
+        at = batch.schema.get_field_index(name)
+        return batch.column(at).cast(kind) if at >= 0 else pa.nulls(batch.num_rows, kind)
+
     def read(runs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in runs:
             for run in chunk.to_pylist():
                 at = run["start"]
                 with _open(run[FILE]) as source:
-                    for i, batch in enumerate(_batches(source)[1]):
-                        if i < run["first"]:
-                            continue
-                        if i >= run["first"] + run["batches"]:
-                            break
-                        arrays = [batch.column(n).cast(target.field(n).type) for n in names]
-                        arrays.append(pa.array([run[FILE]] * batch.num_rows, pa.string()))
+                    for batch in _run_batches(source, run["first"], run["batches"]):
+                        arrays = [column(batch, n) for n in names]
+                        arrays.append(pa.repeat(run[FILE], batch.num_rows))
                         arrays.append(pa.array(range(at, at + batch.num_rows), pa.int64()))
                         at += batch.num_rows
                         yield pa.RecordBatch.from_arrays(arrays, schema=target)

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import csv
 import posixpath
 import re
+from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.frame import BLOCK, FILE, LINE, ROW, Frame, Key
+from rowloom.frame import BLOCK, FILE, LINE, ROW, Frame, Key, quoted
 from rowloom.plans.order import scan_frame
 from rowloom.sources.arrow_ipc import arrow_counts, arrow_rows, arrow_schema
 from rowloom.sources.files import FileTable
 
+# The loaders a user may name.
 FORMATS = ("arrow", "csv", "json", "parquet", "text")
 LOADERS = ("auto", "hub", *FORMATS)
 
@@ -32,6 +36,8 @@ EXTENSIONS = {
 }
 COMPRESSIONS = (".gz", ".bz2", ".zst", ".xz")
 
+#: Different layouts (headers, separators, line or document files) that one load puts together.
+MOST_LAYOUTS = 64
 #: Reader options that only a streaming read takes.
 STREAM_OPTIONS = ("maxFilesPerTrigger", "pathGlobFilter", "recursiveFileLookup")
 
@@ -52,6 +58,13 @@ def infer_format(path: str) -> str | None:
     return EXTENSIONS.get(extension_of(path))
 
 
+def files_glob(fmt: str) -> str:
+    """Hadoop glob of the file names of a format, in any case."""
+    ends = [e for e, f in EXTENSIONS.items() if f == fmt]
+    names = [e + c for e in ends for c in ("", *COMPRESSIONS)]
+    return "{" + ",".join("*" + "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in n) for n in names) + "}"
+
+
 def decoded(uri: str) -> str:
     """Path to load a listed file by: Spark lists files as escaped URIs and loads plain globs."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
@@ -66,19 +79,23 @@ def list_files(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def read_batch(spark: SparkSession, fmt: str, paths: list[str], options: dict[str, Any]) -> Frame:
-    """Loaded frame over ``paths`` (files, globs or directories of one format)."""
+    """Loaded frame over ``paths`` (files, globs or directories of one format).
+
+    Files are matched by column names: columns that a file lacks are null in its rows.
+    """
     options = dict(options)
     if fmt == "parquet":
-        return scan_frame(_configured(spark.read, fmt, paths, options).load(paths))
+        merged = {} if "schema" in options else {"mergeSchema": True}
+        return scan_frame(_configured(spark.read, fmt, {**merged, **options}).load(paths))
     if fmt == "arrow":
         return _read_arrow(spark, paths, options)
-    df = _configured(spark.read, fmt, paths, detected(spark, fmt, paths, options)).load(paths)
+    df = _united(spark, fmt, layouts_of(spark, fmt, paths, options), options)
     return Frame(_text_columns(df, fmt), LINE_ORDER, "lines", files=FileTable(list_files(spark, paths).select(FILE)))
 
 
 def _read_arrow(spark: SparkSession, paths: list[str], options: dict[str, Any]) -> Frame:
     files = list_files(spark, paths)
-    schema = options.get("schema") or arrow_schema(files.agg(F.min(FILE)).first()[0])
+    schema = options.get("schema") or arrow_schema(files)
 
     def rows(first: str | None, last: str | None) -> DataFrame:
         chosen = files
@@ -105,7 +122,7 @@ def read_stream(spark: SparkSession, fmt: str, path: str, schema: T.StructType,
         files = files.select(F.col("_metadata.file_path").alias(FILE), "length")
         rows = arrow_rows(files, schema, options.get("columns"))
         return Frame(rows, (Key(FILE), Key(ROW)), "files", bounded=False, by_file=True)
-    reader = _configured(stream, fmt, [path], options)
+    reader = _configured(stream, fmt, options)
     df = reader.load(path) if fmt == "text" else reader.schema(schema).load(path)
     if fmt == "parquet":
         marked = df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
@@ -114,16 +131,21 @@ def read_stream(spark: SparkSession, fmt: str, path: str, schema: T.StructType,
 
 
 def _text_columns(df: DataFrame, fmt: str) -> DataFrame:
-    user = [F.col("value").alias("text")] if fmt == "text" else [F.col("*")]
-    return df.select(*user, F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK))
+    user = [F.col("value").alias("text")] if fmt == "text" else [quoted(c) for c in df.columns if c not in (FILE, BLOCK)]
+    if FILE in df.columns:
+        return df.select(*user, FILE, BLOCK)
+    return df.select(*user, *_origin())
 
 
-def _configured(reader: Any, fmt: str, paths: list[str], options: dict[str, Any]) -> Any:
+def _origin() -> list[Column]:
+    return [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK)]
+
+
+def _configured(reader: Any, fmt: str, options: dict[str, Any]) -> Any:
     """Reader with the defaults of a format; ``options`` (and ``schema``) override them."""
     defaults: dict[str, Any] = {}
     if fmt == "csv":
-        separator = "\t" if extension_of(paths[0]) == ".tsv" else ","
-        defaults = {"header": True, "sep": separator, "escape": '"', "multiLine": True}
+        defaults = {"header": True, "escape": '"', "multiLine": True}
         if "schema" not in options:
             defaults["inferSchema"] = True
     schema = options.get("schema")
@@ -132,27 +154,113 @@ def _configured(reader: Any, fmt: str, paths: list[str], options: dict[str, Any]
     return reader.schema(schema) if schema is not None else reader
 
 
-def detected(spark: SparkSession, fmt: str, paths: list[str], options: dict[str, Any]) -> dict[str, Any]:
-    """``options`` with ``multiLine`` found out from the files, unless it is given.
+# -- layouts of text formats ----------------------------------------------------------------
+
 
-    A file whose rows may span lines cannot be split, so one large file would be one task.
+@dataclass(frozen=True)
+class Layout:
+    """Files of a text format that one reader takes together."""
+
+    files: list[str]
+    options: dict[str, Any]
+    header: str | None = None
+
+
+def layouts_of(spark: SparkSession, fmt: str, paths: list[str], options: dict[str, Any]) -> list[Layout]:
+    """How the files have to be read, found out file by file in one pass over the lines.
+
+    CSV: separator (by extension), header line, and whether rows go on over several lines (such a
+    file cannot be split).  JSON: a row per line, or one document.  ``multiLine=`` answers the last
+    question beforehand; a JSON source is then not looked at.
     """
-    if fmt not in ("csv", "json") or "multiLine" in options:
-        return options
-    text = spark.read.text(paths)
+    if fmt not in ("csv", "json") or fmt == "json" and "multiLine" in options:
+        return [Layout(paths, options)]
+    lines = spark.read.options(**{k: options[k] for k in ("lineSep",) if k in options}).text(paths)
+    lines = lines.select("value", *_origin()).withColumn(LINE, F.monotonically_increasing_id())
+    lines = lines.withColumn("blank", F.length(F.trim("value")) == 0)
+    first = F.min_by(F.when(~F.col("blank"), F.col("value")), F.struct("blank", BLOCK, LINE)).alias("first")
     if fmt == "json":
-        return {**options, "multiLine": _is_document(text)}
-    if {"quote", "escape", "lineSep"} & set(options):
-        return options
-    # a row that goes on in the next line leaves a quote open: an odd number of quotes
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return {**options, "multiLine": not text.filter(quotes % 2 == 1).isEmpty()}
-
-
-def _is_document(text: DataFrame) -> bool:
-    """Whether a JSON file is one document over several lines rather than one row per line."""
-    first = text.filter(F.length(F.trim("value")) > 0).limit(1).collect()
-    if not first:
-        return False
-    line = first[0]["value"].strip()
-    return not line.endswith("]" if line.startswith("[") else "}")
+        # a row per line: the first line is JSON by itself
+        files = lines.groupBy(FILE).agg(first).withColumn("multiLine", F.expr("try_parse_json(first) IS NULL AND first IS NOT NULL"))
+        files = files.select(FILE, "multiLine", F.lit(None).cast("string").alias("first"))
+    else:
+        files = lines.groupBy(FILE).agg(first, F.max(_open_quotes(options)).alias("multiLine"))
+    found: dict[tuple, list[str]] = {}
+    for row in files.orderBy(FILE).toArrow().to_pylist():  # one row per file, like Spark's own listing
+        if row["first"] is None and fmt == "csv":
+            continue  # nothing in it
+        separator = "\t" if extension_of(row[FILE]) == ".tsv" else ","
+        header = row["first"] if str(options.get("header", True)).lower() == "true" else None
+        key = (row["multiLine"], *((separator, header) if fmt == "csv" else (None, None)))
+        found.setdefault(key, []).append(row[FILE])
+    if len(found) > MOST_LAYOUTS:
+        raise ValueError(f"The files have {len(found)} different headers or layouts; load them in parts.")
+    out = []
+    for (multi, separator, header), files in found.items():
+        given = {"multiLine": multi, **({"sep": separator} if fmt == "csv" and "delimiter" not in options else {}), **options}
+        out.append(Layout(paths if len(found) == 1 else [decoded(f) for f in files], given, header))
+    return out or [Layout(paths, {"multiLine": False, **options})]
+
+
+def _open_quotes(options: dict[str, Any]) -> Column:
+    """Whether a line leaves a quote open, so that its row goes on in the next line."""
+    quote, escape = options.get("quote", '"'), options.get("escape", '"')
+    if not quote:
+        return F.lit(False)
+    value = F.col("value")
+    if escape and escape != quote:
+        value = F.replace(value, F.lit(escape + quote), F.lit(""))
+    return (F.length(value) - F.length(F.replace(value, F.lit(quote), F.lit("")))) % 2 == 1
+
+
+def _united(spark: SparkSession, fmt: str, layouts: list[Layout], options: dict[str, Any]) -> DataFrame:
+    """Rows of all layouts, columns matched by name."""
+
+    def read(layout: Layout, schema: T.StructType | None) -> DataFrame:
+        given = {k: v for k, v in layout.options.items() if k != "schema"}
+        return _configured(spark.read, fmt, given | ({"schema": schema} if schema is not None else {})).load(layout.files)
+
+    schema = options.get("schema")
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if len(layouts) == 1:
+        return read(layouts[0], _in_file_order(schema, layouts[0]))
+    if schema is not None:
+        frames = [read(x, _in_file_order(schema, x)) for x in layouts]
+    else:
+        frames = [read(x, None) for x in layouts]
+        types = _common_types([f.schema for f in frames])
+        for i, (frame, layout) in enumerate(zip(frames, layouts, strict=True)):
+            wanted = T.StructType([T.StructField(f.name, types[f.name]) for f in frame.schema.fields])
+            if [f.dataType for f in wanted] != [f.dataType for f in frame.schema]:
+                frames[i] = read(layout, wanted)
+    frames = [f.select(*[quoted(c) for c in f.columns], *_origin()) for f in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _in_file_order(schema: T.StructType | None, layout: Layout) -> T.StructType | None:
+    """A given CSV schema in the order of the file's header; unchanged where the names differ."""
+    if schema is None or layout.header is None:
+        return schema
+    separator = layout.options.get("sep", layout.options.get("delimiter", ","))
+    names = next(csv.reader([layout.header], delimiter=separator, quotechar=layout.options.get("quote") or '"'), [])
+    fields = {f.name: f for f in schema.fields}
+    return T.StructType([fields[n] for n in names]) if sorted(names) == sorted(fields) else schema
+
+
+#: Inferred types that widen into the later ones.
+WIDENING = (T.IntegerType(), T.LongType(), T.DoubleType())
+
+
+def _common_types(schemas: list[T.StructType]) -> dict[str, T.DataType]:
+    """Type of every column over several inferred schemas: the same, the wider number, else text."""
+    types: dict[str, T.DataType] = {}
+    for field in (f for s in schemas for f in s.fields):
+        known = types.get(field.name, field.dataType)
+        if known == field.dataType:
+            types[field.name] = known
+        elif known in WIDENING and field.dataType in WIDENING:
+            types[field.name] = max(known, field.dataType, key=WIDENING.index)
+        else:
+            types[field.name] = T.StringType()
+    return types

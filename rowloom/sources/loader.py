@@ -16,9 +16,9 @@ from rowloom.sources.files import FileTable
 from rowloom.sources.formats import (
     STREAM_OPTIONS,
     decoded,
-    detected,
-    extension_of,
+    files_glob,
     infer_format,
+    layouts_of,
     read_batch,
     read_stream,
 )
@@ -30,10 +30,8 @@ from rowloom.sources.splits import (
     resolve_source,
     resolve_split,
     split_files,
-    split_of,
 )
 
-
 #: Files per micro-batch of a streaming load, unless ``maxFilesPerTrigger`` says otherwise.
 FILES_PER_BATCH = 1000
 
@@ -74,13 +72,13 @@ def load(
 
 
 def _data_paths(spark: SparkSession, source: Source, split: str) -> tuple[str, list[str]]:
-    """Format and files of a split of a dataset directory (the most frequent format wins)."""
+    """Format and files of a split of a dataset directory; one reader must do for all of them."""
     rows = split_files(spark, source).filter(F.col("split") == split).select(FILE).orderBy(FILE).toArrow()
-    by_extension: dict[str, list[str]] = {}
-    for file in rows[FILE].to_pylist():
-        by_extension.setdefault(extension_of(file), []).append(file)
-    files = max(by_extension.values(), key=len)
-    return infer_format(files[0]), [decoded(file) for file in files]
+    files = rows[FILE].to_pylist()
+    formats = sorted({infer_format(file) for file in files})
+    if len(formats) > 1:
+        raise ValueError(f"The split {split!r} of {source.path!r} mixes formats ({', '.join(formats)}): load them one by one.")
+    return formats[0], [decoded(file) for file in files]
 
 
 def _load_part(spark: SparkSession, source: Source, part: SplitPart, options: dict[str, Any]) -> Frame:
@@ -121,18 +119,20 @@ def _load_stream(spark: SparkSession, source: Source, part: SplitPart, options:
         if len(names) == 1 and unquote(names[0]).endswith("/" + name):
             # Spark streams from folders: watch the one that holds the file
             path, options = folder or ".", {"pathGlobFilter": name, **options}
+        paths = [source.path]
     else:
         fmt, paths = _data_paths(spark, source, part.name)
         files = split_files(spark, source).filter(F.col("split") == part.name)
-        pattern = {"recursiveFileLookup": "true", "pathGlobFilter": "*" + extension_of(paths[0]) + "*"}
-        options = {**pattern, **options}
-        if len(available_splits(spark, source)) > 1:
-            condition = split_of(path) == part.name
-    if fmt == "json":  # for CSV, rows that span lines may still arrive
-        options = detected(spark, fmt, [decoded(row[FILE]) for row in files.limit(1).collect()], options)
+        options = {"recursiveFileLookup": "true", "pathGlobFilter": files_glob(fmt), **options}
+        condition = source.holds(part.name)
+    layouts = layouts_of(spark, fmt, paths, batch_options)
+    kinds = {(x.options.get("multiLine"), x.options.get("sep"), x.header) for x in layouts}
+    if len(kinds) > 1:
+        raise ValueError("The files of a stream must have one layout: the same header, separator and kind of JSON.")
+    options = {**options, **{k: v for k, v in layouts[0].options.items() if k in ("multiLine", "sep")}}
+    if fmt == "csv":  # rows that span lines may still arrive
+        options["multiLine"] = batch_options.get("multiLine", True)
     stream = read_stream(spark, fmt, path, schema, options)
     if condition is not None:
         stream = replace(stream, df=stream.df.filter(condition))
     return replace(stream, files=FileTable(files.select(FILE)), twin=lambda: twin)
-
-

@@ -9,7 +9,7 @@ import pytest
 
 import rowloom as rl
 from rowloom.sources.formats import extension_of, infer_format
-from rowloom.sources.splits import default_split, parse_split, resolve_split
+from rowloom.sources.splits import parse_split, resolve_split
 
 ROWS = [{"id": i, "text": f'say "{i}", twice\nor not' if i % 3 == 0 else f"row-{i}", "x": i / 4} for i in range(20)]
 
@@ -245,11 +245,91 @@ def test_odd_characters_in_paths(spark, tmp_path):
     assert rl.to_list(rl.load(spark, f"{root}/t/*.arrow"), "id") == [0, 1, 2]
 
 
-def test_most_frequent_format_wins(spark, tmp_path):
+def test_different_readers_are_an_error(spark, tmp_path):
     write_parquet(tmp_path / "p1.parquet", ROWS[:1])
     write_parquet(tmp_path / "p2.parquet", ROWS[1:2])
     (tmp_path / "notes.txt").write_text("x\n")
-    assert read(rl.load(spark, str(tmp_path))) == expected(ROWS[:2])
+    with pytest.raises(ValueError, match="mixes formats"):
+        rl.load(spark, str(tmp_path))
+
+
+def ids(frame, column="a"):
+    return rl.to_list(frame, column)
+
+
+def test_extensions_of_one_reader(spark, tmp_path):
+    for name, lines in (("train-0.jsonl", [1, 2]), ("train-1.json", [3]), ("train-2.ndjson", [4])):
+        (tmp_path / name).write_text("".join(f'{{"a": {i}}}\n' for i in lines))
+    assert ids(rl.load(spark, str(tmp_path))) == [1, 2, 3, 4]
+    assert ids(rl.drain(rl.load(spark, str(tmp_path), streaming=True))) == [1, 2, 3, 4]
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "x.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "t" / "y.tsv").write_text("b\ta\n4\t3\n")
+    assert rl.to_list(rl.load(spark, str(tmp_path / "t"))) == [{"a": 1, "b": 2}, {"a": 3, "b": 4}]
+
+
+def test_json_documents_and_lines(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"a": {"x": 1}\n, "b": 2}\n')
+    assert rl.to_list(rl.load(spark, str(tmp_path / "a.json"))) == [{"a": {"x": 1}, "b": 2}]
+    for big, name in ((3, "document first"), (60, "lines first")):
+        root = tmp_path / name
+        root.mkdir()
+        rows = ",\n".join(f'{{"a": {i},\n "b": "x"}}' for i in range(big))
+        (root / "one.json").write_text(f"\n[\n{rows}\n]\n")
+        (root / "two.json").write_text('{"a": 100.5}\n\n{"a": 101}\n')
+        frame = rl.load(spark, str(root))
+        assert frame.columns == ["a", "b"]
+        assert ids(frame) == [*map(float, range(big)), 100.5, 101.0]
+        with pytest.raises(ValueError, match="one layout"):
+            rl.load(spark, str(root), streaming=True)
+
+
+def test_csv_columns_are_matched_by_name(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "2.csv").write_text('b,a\n"y\nz",2\n')
+    (tmp_path / "3.csv").write_text("c,a\n7,word\n")
+    (tmp_path / "4.csv").write_text("")
+    rows = [{"a": "1", "b": "x", "c": None}, {"a": "2", "b": "y\nz", "c": None}, {"a": "word", "b": None, "c": 7}]
+    assert rl.to_list(rl.load(spark, f"{tmp_path}/*.csv")) == rows
+    typed = rl.load(spark, f"{tmp_path}/[12].csv", schema="a int, b string")
+    assert rl.to_list(typed) == [{"a": 1, "b": "x"}, {"a": 2, "b": "y\nz"}]
+    (tmp_path / "q").mkdir()
+    (tmp_path / "q" / "x.csv").write_text("a,b\n'it\ngoes',2\n")
+    assert rl.to_list(rl.load(spark, f"{tmp_path}/q/x.csv", quote="'")) == [{"a": "it\ngoes", "b": 2}]
+
+
+def test_schemas_are_united(spark, tmp_path):
+    write_parquet(tmp_path / "p" / "1.parquet", [{"a": 1}])
+    write_parquet(tmp_path / "p" / "2.parquet", [{"a": 2, "extra": "e"}])
+    write_arrow(tmp_path / "1.arrow", [{"a": 1}], 1, False)
+    write_arrow(tmp_path / "2.arrow", [{"a": 2, "extra": "e"}], 1, True)
+    rows = [{"a": 1, "extra": None}, {"a": 2, "extra": "e"}]
+    assert rl.to_list(rl.load(spark, f"{tmp_path}/p/*.parquet")) == rows
+    assert rl.to_list(rl.load(spark, f"{tmp_path}/*.arrow")) == rows
+    write_arrow(tmp_path / "3.arrow", [{"a": "text"}], 1, False)
+    with pytest.raises(ValueError, match="different types"):
+        rl.load(spark, f"{tmp_path}/*.arrow")
+
+
+def test_streams_take_the_files_of_the_batch(spark, tmp_path):
+    write_parquet(tmp_path / "r" / "train-0.PARQUET", ROWS[:2])
+    write_parquet(tmp_path / "r" / "@v2" / "train-0.parquet", ROWS[2:4])
+    write_parquet(tmp_path / "r" / "loose.parquet", ROWS[4:5])
+    (tmp_path / "r" / "train-0.parquet.md").write_text("no data")
+    frame = rl.load(spark, str(tmp_path / "r"))
+    assert read(frame) == expected(ROWS[:2])
+    assert ids(rl.drain(rl.load(spark, str(tmp_path / "r"), streaming=True)), "id") == ids(frame, "id")
+
+
+def test_several_configs_need_a_name(spark, tmp_path):
+    write_parquet(tmp_path / "en" / "train.parquet", ROWS[:1])
+    write_parquet(tmp_path / "de" / "train.parquet", ROWS[1:2])
+    with pytest.raises(ValueError, match=r"several configs \(de, en\)"):
+        rl.load(spark, str(tmp_path))
+    assert read(rl.load(spark, str(tmp_path), config="de")) == expected(ROWS[1:2])
+    write_parquet(tmp_path / "s" / "train" / "x.parquet", ROWS[:1])
+    write_parquet(tmp_path / "s" / "test" / "x.parquet", ROWS[1:2])
+    assert splits(spark, tmp_path / "s") == {"train": (1, True), "test": (1, False)}
 
 
 def test_mirror_with_config_and_revision(spark, tmp_path):
@@ -261,7 +341,8 @@ def test_mirror_with_config_and_revision(spark, tmp_path):
     assert read(rl.load(spark, "org/set", config="first", hub_root=hub)) == expected(ROWS[:2])
     assert read(rl.load(spark, "org/set", loader="hub", config=" second ", hub_root=hub)) == expected(ROWS[2:4])
     assert read(rl.load(spark, "org/set", config="second", revision="old", hub_root=hub)) == expected(ROWS[4:5])
-    assert splits(spark, "org/set", hub_root=hub) == {"train": (2, True)}
+    with pytest.raises(ValueError, match="several configs"):
+        rl.list_splits(spark, "org/set", hub_root=hub)
     with pytest.raises(ValueError, match="Cannot list"):
         rl.load(spark, "org/set", config="third", hub_root=hub)
 
@@ -280,10 +361,8 @@ def test_single_files_have_one_split(spark, tmp_path):
 
 
 def test_default_and_resolved_split():
-    assert default_split(["test", "train"]) == "train"
-    assert default_split(["test", "validation"]) == "validation"
-    assert default_split(["other"]) == "other"
-    assert default_split([]) == "train"
+    assert resolve_split("train", ["validation", "test"]) == "validation"
+    assert resolve_split("train", ["other"]) == "other"
     assert resolve_split("", ["train"]) == "train"
     assert resolve_split("train", ["test"]) == "test"
     assert resolve_split("test[:10%]", ["test"]) == "test[:10%]"
