@@ -16,6 +16,7 @@ from urllib.parse import urlparse
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import rowloom as rl
+from rowloom.functions.images import has_alpha
 from rowloom.plans.staging import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,6 +212,116 @@ def load_mirror_id_config_revision(spark, sf_dir):
     return indexed(frame, "o_orderkey, o_totalprice")
 
 
+@query("SELECT event_id AS pos, event_id, value FROM events")
+def load_directory_two_extensions(spark, sf_dir):
+    root = staging_path(spark, "dataset")
+    rows = events(spark, sf_dir).rows().select("event_id", "value")
+    halves = rows.agg(F.max("event_id")).first()[0] // 2
+    rows.where(F.col("event_id") <= halves).write.json(f"{root}/train/a")
+    rows.where(F.col("event_id") > halves).write.json(f"{root}/train/b")
+    renamed(spark, f"{root}/train/b", ".json", ".jsonl")
+    return indexed(rl.load(spark, root), "event_id, value")
+
+
+def renamed(spark: SparkSession, folder: str, old: str, new: str) -> None:
+    """Give the files of a fixture folder another extension."""
+    filesystem, target = fs.FileSystem.from_uri(folder if "://" in folder else urlparse(folder).path)
+    for info in filesystem.get_file_info(fs.FileSelector(target)):
+        if info.path.endswith(old):
+            filesystem.move(info.path, info.path.removesuffix(old) + new)
+
+
+@query("SELECT page_id AS pos, page_id, url FROM pages")
+def load_json_lines_and_documents(spark, sf_dir):
+    """Some files hold a row per line, the others one document that is spread over lines."""
+    root = staging_path(spark, "json")
+    pages = table(spark, sf_dir, "pages").unordered_rows().select("page_id", "url")
+    group = F.expr("page_id div 100")
+    lines = F.to_json(F.struct("page_id", "url"))
+    marked = pages.withColumn("part", F.lpad(group.cast("string"), 12, "0"))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("page_id", lines.alias("t")))), lambda x: x["t"])
+    files = marked.groupBy("part", (group % 2).alias("kind")).agg(in_order.alias("rows"))
+    document = F.concat(F.lit("[\n"), F.array_join("rows", ",\n"), F.lit("\n]"))
+    text = F.when(F.col("kind") == 1, document).otherwise(F.array_join("rows", "\n"))
+    files.select("part", text.alias("value")).write.partitionBy("part").text(root)
+    return indexed(rl.load(spark, root, loader="json"), "page_id, url")
+
+
+@query("SELECT o_orderkey AS pos, o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def load_csv_reordered_columns(spark, sf_dir):
+    """The second half of the rows is in files with another order of columns."""
+    root = staging_path(spark, "csv")
+    rows = orders(spark, sf_dir).rows().select("o_orderkey", "o_orderstatus", "o_totalprice")
+    half = rows.agg(F.max("o_orderkey")).first()[0] // 2
+    rows.where(F.col("o_orderkey") <= half).write.option("header", True).csv(f"{root}/a")
+    turned = rows.where(F.col("o_orderkey") > half).select("o_totalprice", "o_orderkey", "o_orderstatus")
+    turned.write.option("header", True).csv(f"{root}/b")
+    out = indexed(rl.load(spark, f"{root}/*/*.csv"), "o_orderkey, o_orderstatus, o_totalprice")
+    return out.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
+@query(
+    """SELECT o_orderkey AS pos, o_orderkey, o_orderstatus,
+              CASE WHEN 2 * o_orderkey > (SELECT max(o_orderkey) FROM orders) THEN o_totalprice END AS o_totalprice FROM orders"""
+)
+def load_arrow_union_schema(spark, sf_dir):
+    """A column that only the later files have."""
+    root = staging_path(spark, "arrow")
+    rows = orders(spark, sf_dir).rows().select("o_orderkey", "o_orderstatus", "o_totalprice")
+    last = rows.agg(F.max("o_orderkey")).first()[0]
+    write_arrow(rows.where(F.expr(f"2 * o_orderkey <= {last}")).drop("o_totalprice"), f"{root}/a")
+    write_arrow(rows.where(F.expr(f"2 * o_orderkey > {last}")), f"{root}/b")
+    return indexed(rl.load(spark, f"{root}/*/*.arrow"), "o_orderkey, o_orderstatus, o_totalprice")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+def stream_directory_with_revision(spark, sf_dir):
+    """A stream takes the files of its split as a batch does: none of a revision, whatever the case of extensions."""
+    root = split_directory(spark, sf_dir)
+    orders(spark, sf_dir).rows().write.parquet(f"{root}/@v2/train")
+    renamed(spark, f"{root}/train", ".parquet", ".PARQUET")
+    frame = rl.drain(rl.load(spark, root, streaming=True))
+    return rl.to_data_list(rl.select_columns(frame, "o_orderkey, o_totalprice"))
+
+
+@query(_ORDER_SPLIT.format("O"))
+def load_directory_without_train(spark, sf_dir):
+    """``train`` is asked for and not there: the next preferred split is taken."""
+    root = staging_path(spark, "dataset")
+    rows = orders(spark, sf_dir).rows()
+    for split, status in (("validation", "O"), ("test", "P")):
+        rows.filter(F.col("o_orderstatus") == status).write.parquet(f"{root}/{split}")
+    return indexed(rl.load(spark, root, split="train"), "o_orderkey, o_totalprice")
+
+
+@query(_ORDER_SPLIT.format("O"))
+def load_after_source_changed(spark, sf_dir):
+    """The files change between two loads of one path; the second one is told to look again."""
+    path = staging_path(spark, "changing") + ".parquet"
+    rows = orders(spark, sf_dir).rows()
+    rows.filter(F.col("o_orderstatus") == "F").write.parquet(path)
+    rl.count_rows(rl.load(spark, path))
+    rows.filter(F.col("o_orderstatus") == "O").write.mode("overwrite").parquet(path)
+    return indexed(rl.load(spark, path, reload_tick=7), "o_orderkey, o_totalprice")
+
+
+@query("SELECT event_id, value FROM events WHERE event_id % 4 = 1")
+def stream_shard_files(spark, sf_dir):
+    """Four files, of which a stream's second shard takes one."""
+    root = staging_path(spark, "files")
+    rows = events(spark, sf_dir).rows().select("event_id", "value")
+    for part in range(4):
+        rows.where(F.col("event_id") % 4 == part).coalesce(1).write.parquet(f"{root}/{part}")
+    frame = rl.take_shard(rl.load(spark, f"{root}/*/*.parquet", streaming=True), 4, 1)
+    return rl.to_data_list(frame)
+
+
+@query("SELECT conv_id, turn, text FROM conversations ORDER BY conv_id, turn LIMIT 50")
+def data_list_limit(spark, sf_dir):
+    frame = rl.sort_rows(rl.sort_rows(table(spark, sf_dir, "conversations"), "turn"), "conv_id")
+    return rl.to_data_list(rl.select_columns(frame, "conv_id, turn, text"), limit=50)
+
+
 @query(
     """SELECT CASE o_orderstatus WHEN 'F' THEN 'train' WHEN 'O' THEN 'validation' ELSE 'test' END AS split,
               o_orderstatus = 'F' AS is_default FROM orders GROUP BY o_orderstatus"""
@@ -357,6 +469,14 @@ _FILTERS = {
     "filter_text_on_integer": ("event_id", "!=", "abc", "true"),
     "filter_boolean": ("flag", "==", "Yes", "flag"),
     "filter_decimal": ("price", ">=", "12.345", "price >= 12.345"),
+    "filter_decimal_nan": ("price", "!=", "nan", "true"),
+    "filter_decimal_out_of_range": ("price", "<", "1e400", "price IS NOT NULL"),
+    "filter_decimal_in_long_digits": (
+        "price",
+        "in",
+        "12.3400000000000000000000000000000000000000000000, inf, 1e400, 12.345, 99.99, 0.5000",
+        "price IN (12.34, 99.99, 0.5)",
+    ),
     "filter_date": ("day", "<", "2024-01-02", "day < DATE '2024-01-02'"),
     "filter_timestamp": ("ts", ">=", "2024-01-01 06:00:00", "ts >= TIMESTAMP '2024-01-01 06:00:00'"),
     "filter_number_text": ("price", "ends with", ".25", "ends_with(CAST(price AS VARCHAR), '.25')"),
@@ -595,6 +715,28 @@ def unique_lineitem(spark, sf_dir):
 # -- conversions -----------------------------------------------------------------------------
 
 
+def _unique_after_sort(spark, sf_dir, reverse: bool) -> DataFrame:
+    frame = rl.sort_rows(gappy_events(spark, sf_dir), "score", reverse=reverse)
+    people = rl.map_column(frame, "kind", "copy column", "day")
+    return indexed(rl.unique_values(people, "kind"), "kind")
+
+
+def _unique_sql(order: str) -> str:
+    return f"""WITH ranked AS (SELECT day, row_number() OVER (ORDER BY {order}, event_id) AS place FROM {_GAPPY}),
+               first AS (SELECT day, min(place) AS place FROM ranked GROUP BY day)
+               SELECT row_number() OVER (ORDER BY place) - 1 AS pos, day AS kind FROM first"""
+
+
+@query(_unique_sql("score ASC NULLS LAST"))
+def unique_after_sort_with_nulls(spark, sf_dir):
+    return _unique_after_sort(spark, sf_dir, False)
+
+
+@query(_unique_sql("score IS NULL, isnan(score), score DESC"))
+def unique_after_descending_sort(spark, sf_dir):
+    return _unique_after_sort(spark, sf_dir, True)
+
+
 def binary_documents(spark: SparkSession, sf_dir: str) -> rl.Frame:
     """Document texts as bytes; every third one is made invalid UTF-8 by a leading FF byte."""
     df = table(spark, sf_dir, "documents").unordered_rows()
@@ -649,17 +791,41 @@ def png_cells(pixels: pd.Series, alpha: pd.Series) -> pd.Series:
     return pd.Series([encode(p, a) for p, a in zip(pixels, alpha, strict=True)])
 
 
-def image_table(spark: SparkSession, sf_dir: str, alpha: bool) -> rl.Frame:
-    """An image cell per embedding: byte i is the fractional part of element i, times 256."""
+def plain_png(content: bytes) -> np.ndarray:
+    """RGBA of the PNGs above, which are 8 bits deep and unfiltered."""
+    width, height, _, color = struct.unpack(">IIBB", content[16:26])
+    at = content.index(b"IDAT")
+    size = struct.unpack(">I", content[at - 4 : at])[0]
+    lines = np.frombuffer(zlib.decompress(content[at + 4 : at + 4 + size]), np.uint8).reshape(height, -1)[:, 1:]
+    if color == 6:
+        return lines.reshape(height, width, 4)
+    return np.dstack([lines, lines, lines, np.full_like(lines, 255)])
+
+
+def image_bytes(spark: SparkSession, sf_dir: str, alpha: bool) -> DataFrame:
+    """(vec_id, content): a PNG per embedding; byte i is the fractional part of element i, times 256."""
     df = table(spark, sf_dir, "embeddings").unordered_rows()
     byte = F.transform(
         "embedding", lambda e: F.floor((e.cast("double") - F.floor(e.cast("double"))) * 256).cast("int")
     )
-    cell = F.struct(png_cells(byte, F.lit(alpha)).alias("bytes"), F.lit(None).cast("string").alias("path"))
-    return rl.from_dataframe(df.select("vec_id", "label", cell.alias("image")), key="vec_id")
+    return df.select("vec_id", png_cells(byte, F.lit(alpha)).alias("content"))
 
 
-_PIXEL = "floor((CAST(embedding[{0}] AS DOUBLE) - floor(CAST(embedding[{0}] AS DOUBLE))) * 256)"
+def image_files(spark: SparkSession, sf_dir: str, alpha: bool) -> rl.Frame:
+    """The PNGs as files, written by the tasks, read by Spark's image reader, with their number."""
+    folder = staging_path(spark, "images")
+    filesystem, target = fs.FileSystem.from_uri(folder if "://" in folder else urlparse(folder).path)
+    filesystem.create_dir(target)
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for number, content in zip(batch["vec_id"], batch["content"], strict=True):
+                with filesystem.open_output_stream(f"{target}/{number:012d}.png") as file:
+                    file.write(content)
+            yield batch[["vec_id"]]
+
+    image_bytes(spark, sf_dir, alpha).mapInPandas(write, "vec_id bigint").count()
+    return rl.map_column(rl.load(spark, folder, loader="image"), "vec_id", "row index")
 
 
 def _pixels(image: DataFrame, column: str) -> DataFrame:
@@ -669,20 +835,22 @@ def _pixels(image: DataFrame, column: str) -> DataFrame:
     return spread.select("vec_id", "place", level.alias("level"))
 
 
+_PIXEL = "floor((CAST(embedding[{0}] AS DOUBLE) - floor(CAST(embedding[{0}] AS DOUBLE))) * 256)"
+_MASK = f"""SELECT vec_id, place, 255 - CAST({_PIXEL.format("place * 4 + 4")} AS BIGINT) AS level
+            FROM embeddings, (SELECT CAST(range AS INTEGER) AS place FROM range(16))"""
+
+
 @query(
     f"""SELECT vec_id, place, CAST({_PIXEL.format("place // 3 * 4 + place % 3 + 1")} AS BIGINT) AS level
         FROM embeddings, (SELECT CAST(range AS INTEGER) AS place FROM range(48))"""
 )
 def image_rgb(spark, sf_dir):
-    return _pixels(rl.to_data_list(image_table(spark, sf_dir, True)), "image")
+    return _pixels(rl.to_data_list(image_files(spark, sf_dir, True)), "image")
 
 
-@query(
-    f"""SELECT vec_id, place, 255 - CAST({_PIXEL.format("place * 4 + 4")} AS BIGINT) AS level
-        FROM embeddings, (SELECT CAST(range AS INTEGER) AS place FROM range(16))"""
-)
+@query(_MASK)
 def image_alpha_mask(spark, sf_dir):
-    return _pixels(rl.to_data_list(image_table(spark, sf_dir, True)), "image_mask")
+    return _pixels(rl.to_data_list(image_files(spark, sf_dir, True)), "image_mask")
 
 
 @query(
@@ -690,11 +858,43 @@ def image_alpha_mask(spark, sf_dir):
         FROM embeddings, (SELECT CAST(range AS INTEGER) AS place FROM range(192))"""
 )
 def image_without_alpha(spark, sf_dir):
-    rows = rl.to_data_list(image_table(spark, sf_dir, False))
-    assert rows.columns == ["vec_id", "label", "image"]
+    rows = rl.to_data_list(image_files(spark, sf_dir, False))
+    assert sorted(rows.columns) == ["image", "vec_id"]
     return _pixels(rows, "image")
 
 
+@query(
+    """SELECT vec_id, CASE WHEN vec_id % 3 = 1 THEN 'BMW is car ' || vec_id END AS text,
+              CASE WHEN vec_id % 3 = 0 THEN 8 END AS height FROM embeddings"""
+)
+def image_detection_mixed_cells(spark, sf_dir):
+    """A third of the cells are images, a third are other bytes (two of them like a BMP's), a third null."""
+    other = F.concat(F.lit("BMW is car "), F.col("vec_id").cast("string")).cast("binary")
+    cell = F.when(F.col("vec_id") % 3 == 0, F.col("content")).when(F.col("vec_id") % 3 == 1, other)
+    frame = rl.from_dataframe(image_bytes(spark, sf_dir, False).select("vec_id", cell.alias("cell")), key="vec_id")
+    rows = rl.to_data_list(frame, decoder=plain_png)
+    return rows.select("vec_id", "cell.text", F.col("cell.image.height").alias("height"))
+
+
+@query("SELECT vec_id, vec_id % 2 = 0 AS alpha FROM embeddings")
+def image_alpha_flag(spark, sf_dir):
+    clear, full = image_bytes(spark, sf_dir, True), image_bytes(spark, sf_dir, False)
+    cells = clear.where("vec_id % 2 = 0").unionByName(full.where("vec_id % 2 = 1"))
+    return cells.select("vec_id", has_alpha(F.col("content")).alias("alpha"))
+
+
+@query(_MASK)
+def image_mask_by_free_name(spark, sf_dir):
+    """The name of the mask is taken by a column; the mask is asked for by the name it got."""
+    cell = F.struct(F.col("content").alias("bytes"), F.lit(None).cast("string").alias("path")).alias("image")
+    taken = image_bytes(spark, sf_dir, True).select("vec_id", cell, F.lit("mine").alias("image_mask"))
+    frame = rl.from_dataframe(taken, key="vec_id")
+    assert "image_mask1" in rl.to_data_list(frame, decoder=plain_png).columns
+    masks = rl.to_data_list(frame, "image_mask1", decoder=plain_png)
+    numbered = rl.map_column(rl.from_dataframe(masks), "vec_id", "row index")
+    return _pixels(numbered.rows(), "image_mask1")
+
+
 # -- training-data operators, if that subpackage is there ---------------------------------------
 
 try:

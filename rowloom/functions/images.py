@@ -1,20 +1,19 @@
-"""Image cells: recognise, decode to RGB, and split off the alpha channel.
+"""Image cells: recognise them and their transparency by header bytes, and turn pixels into RGB and a mask.
 
-Recognition by leading bytes is a Catalyst expression.  Header inspection and decoding run as
-Arrow-batched functions; Pillow decodes when the executors have it, and otherwise PNG is decoded
-here with numpy.
+Everything that headers tell is a Catalyst expression, decided cell by cell.  Image *files* are decoded by
+Spark's own image reader (``loader="image"``).  Pixels of embedded bytes need a decoder that the cluster
+brings: a function from bytes to an RGBA array, by default Pillow's.
 """
 
 from __future__ import annotations
 
 import io
-import struct
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,18 +22,22 @@ from pyspark.sql import types as T
 MAGIC = {
     "png": "89504E470D0A1A0A",
     "jpeg": "FFD8FF",
-    "gif": "47494638",
-    "bmp": "424D",
+    "gif87": "474946383761",
+    "gif89": "474946383961",
     "tiff_little": "49492A00",
     "tiff_big": "4D4D002A",
     "jxl_stream": "FF0A",
     "jxl_box": "0000000C4A584C20",
 }
-RIFF, WEBP = "52494646", "57454250"
+BMP, RIFF, WEBP = "424D", "52494646", "57454250"
 
+#: Parts (chunks, blocks, tags) of a header that are looked at.
+HEADER_PARTS = 256
 #: Pixel samples (4 per pixel, 4 bytes each) that leave the decoder at a time.
 BATCH_SAMPLES = 1 << 22
 
+Decoder = Callable[[bytes], np.ndarray]
+
 IMAGE = T.StructType(
     [
         T.StructField("height", T.IntegerType()),
@@ -43,15 +46,11 @@ IMAGE = T.StructType(
     ]
 )
 DECODED = T.StructType([T.StructField("image", IMAGE), T.StructField("mask", IMAGE)])
+#: Cells of a column in which some are images: one of the two is null.
+MIXED = T.StructType([T.StructField("image", IMAGE), T.StructField("text", T.StringType())])
 
 
-def looks_like_image(content: Column) -> Column:
-    """Whether encoded bytes start like an image file."""
-    head = F.hex(F.substring(content, 1, 12))
-    known = F.lit(False)
-    for magic in MAGIC.values():
-        known = known | F.startswith(head, F.lit(magic))
-    return known | (F.startswith(head, F.lit(RIFF)) & F.endswith(head, F.lit(WEBP)))
+# -- kinds of cells -------------------------------------------------------------------------
 
 
 def is_image_struct(dtype: T.DataType) -> bool:
@@ -62,6 +61,11 @@ def is_image_struct(dtype: T.DataType) -> bool:
     return all(f.name in kinds and isinstance(f.dataType, kinds[f.name]) for f in dtype.fields)
 
 
+def is_read_image(dtype: T.DataType) -> bool:
+    """A cell of Spark's image reader."""
+    return isinstance(dtype, T.StructType) and {"height", "width", "nChannels", "data"} <= set(dtype.names)
+
+
 def holds_image(dtype: T.DataType) -> bool:
     """Whether undecoded images are somewhere inside a list, map or struct."""
     if isinstance(dtype, T.ArrayType):
@@ -88,245 +92,250 @@ def shown_type(dtype: T.DataType) -> T.DataType:
     return dtype
 
 
-def decode_nested(col: Column, dtype: T.DataType) -> Column:
-    """``col`` with the images inside it decoded to RGB."""
+def content_of(col: Column, dtype: T.DataType) -> Column:
+    """Encoded bytes of an image cell; a path without bytes is read by the task that holds the cell."""
+    if isinstance(dtype, T.BinaryType):
+        return col
+    names = [f.name for f in dtype.fields]
+    content = col.getField("bytes") if "bytes" in names else F.lit(None).cast("binary")
+    if "path" not in names:
+        return content
+    path = col.getField("path")
+    # the function sees the paths of cells without bytes only
+    return F.coalesce(content, _fetched(F.when(content.isNull(), path)))
 
-    @F.pandas_udf(T.ArrayType(shown_type(dtype)))
-    def convert(cells: pd.Series) -> pd.Series:
-        return cells.map(lambda wrapped: [_shown(value, dtype) for value in wrapped])
 
-    # wrapped in a list, because pandas would take a struct column apart
-    return convert(F.array(col))[0]
+def _read(path: str) -> bytes:
+    filesystem, place = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    with filesystem.open_input_stream(place) as file:
+        return file.read()
 
 
-def _shown(value: Any, dtype: T.DataType) -> Any:
-    if value is None:
-        return None
-    if is_image_struct(dtype):
-        names = [f.name for f in dtype.fields]
-        content, path = (value[n] if n in names else None for n in ("bytes", "path"))
-        cell = _decode(content, path)
-        return None if cell is None else cell["image"]
-    if isinstance(dtype, T.BinaryType):
-        data = bytes(value)
-        try:
-            return data.decode("utf-8")
-        except UnicodeDecodeError:
-            return data.hex()
-    if isinstance(dtype, T.ArrayType):
-        return [_shown(item, dtype.elementType) for item in value]
-    if isinstance(dtype, T.MapType):
-        return {_shown(k, dtype.keyType): _shown(v, dtype.valueType) for k, v in dict(value).items()}
-    if isinstance(dtype, T.StructType):
-        return {f.name: _shown(value[f.name], f.dataType) for f in dtype.fields}
-    return value
+@F.pandas_udf(T.BinaryType())
+def _fetched(paths: pd.Series) -> pd.Series:
+    return paths.map(lambda p: _read(p) if p else None)
 
 
-def encoded(col: Column, dtype: T.DataType) -> tuple[Column, Column]:
-    """(bytes, path) of an image cell, whichever shape it has."""
-    if isinstance(dtype, T.BinaryType):
-        return col, F.lit(None).cast("string")
-    names = [f.name for f in dtype.fields]
-    content = col.getField("bytes") if "bytes" in names else F.lit(None).cast("binary")
-    path = col.getField("path") if "path" in names else F.lit(None).cast("string")
-    return content, path
+# -- headers, in Catalyst ---------------------------------------------------------------------
 
 
-# -- inside tasks -------------------------------------------------------------------------
+def _hex(content: Column, at: Column | int, length: int) -> Column:
+    """Bytes from ``at`` (counted from 0), in hex; shorter at the end of the content."""
+    return F.hex(F.substring(content, F.lit(at) + 1 if isinstance(at, int) else at + 1, F.lit(length)))
 
 
-def _content(content: Any, path: Any) -> bytes | None:
-    if content is not None:
-        return bytes(content)
-    if path:
-        with open(path, "rb") as file:
-            return file.read()
-    return None
+def _number(content: Column, at: Column | int, length: int, little: Column | bool = False) -> Column:
+    """Unsigned number in some bytes; null beyond the end."""
+    big = _hex(content, at, length)
+    turned = F.concat(*[F.substring(big, 2 * i + 1, 2) for i in reversed(range(length))])
+    digits = turned if little is True else big if little is False else F.when(little, turned).otherwise(big)
+    return F.when(F.length(big) == 2 * length, F.conv(digits, 16, 10).cast("long"))
 
 
-def _png_chunks(content: bytes) -> Iterator[tuple[bytes, bytes]]:
-    at = 8
-    while at + 8 <= len(content):
-        size, kind = struct.unpack(">I4s", content[at : at + 8])
-        yield kind, content[at + 8 : at + 8 + size]
-        at += size + 12
+def looks_like_image(content: Column) -> Column:
+    """Whether encoded bytes start like an image file."""
+    head = _hex(content, 0, 12)
+    known = F.lit(False)
+    for magic in MAGIC.values():
+        known = known | F.startswith(head, F.lit(magic))
+    # two letters are not enough: a BMP file states its own size, and two zero fields follow
+    size = _number(content, 2, 4, little=True)
+    bmp = F.startswith(head, F.lit(BMP)) & (size == F.length(content)) & (_hex(content, 6, 4) == "00000000")
+    known = known | F.coalesce(bmp, F.lit(False))
+    return known | (F.startswith(head, F.lit(RIFF)) & F.endswith(head, F.lit(WEBP)))
 
 
-def _is_png(content: bytes) -> bool:
-    return content.startswith(bytes.fromhex(MAGIC["png"]))
+def _walk(start: Column, step: Callable[[Column], tuple[Column, Column, Column]]) -> Column:
+    """Follow the parts of a header: ``step(at, mode)`` gives (next place, next mode, verdict or null)."""
+    nothing = F.lit(None).cast("boolean")
+    state = F.struct(start.cast("long").alias("at"), F.lit(0).alias("mode"), nothing.alias("found"))
 
+    def go(acc: Column, _: Column) -> Column:
+        at, mode, found = step(acc["at"], acc["mode"])
+        moved = F.struct(at.cast("long").alias("at"), mode.cast("int").alias("mode"), found.alias("found"))
+        return F.when(acc["found"].isNotNull(), acc).otherwise(moved)
 
-def _carries_alpha(content: bytes) -> bool:
-    if _is_png(content):
-        for kind, body in _png_chunks(content):
-            if kind == b"IHDR" and body[9] in (4, 6) or kind == b"tRNS":
-                return True
-            if kind == b"IDAT":
-                return False
-        return False
-    try:
-        from PIL import Image
-    except ImportError:
-        return False
-    image = Image.open(io.BytesIO(content))
-    return "A" in image.getbands() or image.info.get("transparency") is not None
-
-
-def _png_rgba(content: bytes) -> np.ndarray:
-    """Decode a non-interlaced PNG to height x width x 4 bytes."""
-    header, palette, transparent, packed = b"", b"", None, []
-    for kind, body in _png_chunks(content):
-        if kind == b"IHDR":
-            header = body
-        elif kind == b"PLTE":
-            palette = body
-        elif kind == b"tRNS":
-            transparent = body
-        elif kind == b"IDAT":
-            packed.append(body)
-    width, height, depth, color, _, _, interlaced = struct.unpack(">IIBBBBB", header)
-    if interlaced:
-        raise ValueError("interlaced PNG needs Pillow")
-    channels = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[color]
-    stride, reach = (width * channels * depth + 7) // 8, max(1, channels * depth // 8)
-    raw = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8)[: height * (stride + 1)]
-    lines = _png_unfilter(raw.reshape(height, stride + 1), reach)
-    if depth == 16:
-        samples = lines.reshape(height, -1, 2)[:, :, 0]
-        exact = lines.reshape(height, -1).view(">u2")
-    elif depth == 8:
-        samples = exact = lines
-    else:
-        bits = np.unpackbits(lines, axis=1)[:, : width * depth].reshape(height, width, depth)
-        samples = exact = bits @ (1 << np.arange(depth)[::-1])
-    values = np.asarray(samples).reshape(height, width, channels)
-    exact = np.asarray(exact).reshape(height, width, channels)
-    rgba = np.full((height, width, 4), 255, np.uint8)
-    if color == 3:
-        table = np.frombuffer(palette, np.uint8).reshape(-1, 3)
-        rgba[..., :3] = table[values[..., 0]]
-        if transparent is not None:
-            alpha = np.full(len(table), 255, np.uint8)
-            alpha[: len(transparent)] = np.frombuffer(transparent, np.uint8)
-            rgba[..., 3] = alpha[values[..., 0]]
-        return rgba
-    if depth < 8:
-        values = values * (255 // ((1 << depth) - 1))
-    colors = 3 if color in (2, 6) else 1
-    rgba[..., :3] = values[..., :colors]
-    if color in (4, 6):
-        rgba[..., 3] = values[..., -1]
-    elif transparent is not None:
-        clear = np.frombuffer(transparent, ">u2")[:colors]
-        rgba[..., 3] = np.where((exact == clear).all(axis=2), 0, 255)
-    return rgba
-
-
-def _png_unfilter(raw: np.ndarray, reach: int) -> np.ndarray:
-    """Undo the per-line PNG filters; ``reach`` is the distance to the pixel on the left."""
-    out = np.zeros((raw.shape[0], raw.shape[1] - 1), np.uint8)
-    above = np.zeros(out.shape[1], np.uint8)
-    for y, line in enumerate(raw):
-        mode, data = line[0], line[1:]
-        if mode == 0:
-            row = data
-        elif mode == 2:
-            row = data + above
-        elif mode == 1:
-            row = np.empty_like(data)
-            for c in range(reach):
-                row[c::reach] = np.cumsum(data[c::reach], dtype=np.uint64).astype(np.uint8)
-        else:
-            row = _png_predicted(mode, data.tolist(), above.tolist(), reach)
-        out[y] = above = row
-    return out
-
-
-def _png_predicted(mode: int, data: list[int], above: list[int], reach: int) -> np.ndarray:
-    row = [0] * len(data)
-    for i, value in enumerate(data):
-        left = row[i - reach] if i >= reach else 0
-        up = above[i]
-        if mode == 3:
-            guess = (left + up) // 2
-        else:
-            corner = above[i - reach] if i >= reach else 0
-            slope = left + up - corner
-            guess = min((left, up, corner), key=lambda v: abs(slope - v))
-        row[i] = (value + guess) & 255
-    return np.array(row, np.uint8)
-
-
-def _rgba(content: bytes) -> np.ndarray:
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(HEADER_PARTS)), state, go)
+    return F.coalesce(walked["found"], F.lit(False))
+
+
+def _png_transparency(content: Column) -> Column:
+    """An alpha channel (colour types 4 and 6), or a transparency chunk before the pixels."""
+
+    def chunk(at: Column, mode: Column) -> tuple[Column, Column, Column]:
+        kind = _hex(content, at + 4, 4)
+        over = (F.length(kind) < 8) | kind.isin("49444154", "49454E44")
+        return at + 12 + F.coalesce(_number(content, at, 4), F.lit(0)), mode, F.when(kind == "74524E53", True).when(over, False)
+
+    return _hex(content, 25, 1).isin("04", "06") | _walk(F.lit(8), chunk)
+
+
+def _gif_transparency(content: Column) -> Column:
+    """The transparent flag of the graphic control block before the first picture."""
+    flags = _number(content, 10, 1)
+    table = F.when(flags >= 128, (6 * F.pow(F.lit(2), flags % 8)).cast("long")).otherwise(0)
+
+    def block(at: Column, mode: Column) -> tuple[Column, Column, Column]:
+        head, size = _hex(content, at, 2), F.coalesce(_number(content, at, 1), F.lit(0))
+        control = (mode == 0) & (head == "21F9")
+        extension = (mode == 0) & F.startswith(head, F.lit("21"))
+        found = F.when(control, _number(content, at + 3, 1) % 2 == 1).when((mode == 0) & ~extension, False)
+        return (
+            F.when(mode == 0, at + 2).otherwise(at + 1 + size),
+            F.when((mode == 1) & (size == 0), 0).otherwise(1),
+            found,
+        )
+
+    return _walk(13 + F.coalesce(table, F.lit(0)), block)
+
+
+def _webp_transparency(content: Column) -> Column:
+    kind = _hex(content, 12, 4)
+    bit = F.when(kind == "56503858", _number(content, 20, 1)).when(kind == "5650384C", _number(content, 24, 1))
+    return F.coalesce(F.floor(bit / 16) % 2 == 1, F.lit(False))
+
+
+def _tiff_transparency(content: Column) -> Column:
+    """An extra sample (tag 338) that is alpha."""
+    little = _hex(content, 0, 2) == "4949"
+    first = _number(content, 4, 4, little)
+    end = first + 2 + 12 * _number(content, first, 2, little)
+
+    def tag(at: Column, mode: Column) -> tuple[Column, Column, Column]:
+        extra = _number(content, at, 2, little) == 338
+        alpha = F.coalesce(_number(content, at + 8, 2, little).isin(1, 2), F.lit(False))
+        return at + 12, mode, F.when((at >= end) | end.isNull(), False).when(extra, alpha)
+
+    return _walk(F.coalesce(first, F.lit(0)) + 2, tag)
+
+
+def has_alpha(content: Column) -> Column:
+    """Transparency of an image cell as its header states it; null and other formats have none."""
+    head = _hex(content, 0, 12)
+    found = F.when(F.startswith(head, F.lit(MAGIC["png"])), _png_transparency(content))
+    found = found.when(F.startswith(head, F.lit("47494638")), _gif_transparency(content))
+    found = found.when(F.startswith(head, F.lit(RIFF)), _webp_transparency(content))
+    tiff = F.startswith(head, F.lit(MAGIC["tiff_little"])) | F.startswith(head, F.lit(MAGIC["tiff_big"]))
+    return F.coalesce(found.when(tiff, _tiff_transparency(content)), F.lit(False))
+
+
+# -- pixels -----------------------------------------------------------------------------------
+
+
+def pillow(content: bytes) -> np.ndarray:
+    """RGBA pixels by Pillow, if the executors have it."""
     try:
         from PIL import Image
     except ImportError:
-        if _is_png(content):
-            return _png_rgba(content)
-        raise ValueError("only PNG can be decoded without Pillow on the executors") from None
+        raise ValueError("there is no image decoder on the executors; pass decoder=, or load files with loader='image'") from None
     return np.asarray(Image.open(io.BytesIO(content)).convert("RGBA"))
 
 
-def _decode(content: Any, path: Any) -> dict[str, Any] | None:
-    try:
-        data = _content(content, path)
-        if data is None:
-            return None
-        rgba = _rgba(data)
-    except Exception as error:
-        raise ValueError(f"Could not decode a dataset image: {error}.") from error
+def _split(rgba: np.ndarray) -> dict[str, Any]:
     height, width = rgba.shape[:2]
     colors = (rgba[..., :3].astype(np.float32) / np.float32(255)).reshape(-1)
     mask = (1 - rgba[..., 3].astype(np.float32) / np.float32(255)).reshape(-1)
-    return {
-        "image": {"height": height, "width": width, "data": colors},
-        "mask": {"height": height, "width": width, "data": mask},
-    }
+    size = {"height": height, "width": width}
+    return {"image": {**size, "data": colors}, "mask": {**size, "data": mask}}
 
 
-@F.pandas_udf(DECODED)
-def decode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    """RGB and mask of every cell, values 0..1, mask 1 where transparent; null stays null.
-
-    Decoded pixels are many times larger than the file, so they leave in batches of their own.
-    """
-    for content, path in batches:
-        cells: list[dict[str, Any] | None] = []
-        samples = 0
-        for c, p in zip(content, path, strict=True):
-            cells.append(_decode(c, p))
-            samples += 0 if cells[-1] is None else 4 * len(cells[-1]["mask"]["data"])
-            if samples >= BATCH_SAMPLES:
-                yield _columns(cells)
-                cells, samples = [], 0
-        if cells:
-            yield _columns(cells)
+def _decode(content: Any, decoder: Decoder) -> dict[str, Any] | None:
+    if content is None:
+        return None
+    try:
+        return _split(decoder(bytes(content)))
+    except Exception as error:
+        raise ValueError(f"Could not decode a dataset image: {error}.") from error
+
+
+def _in_batches(cells: Iterator[dict[str, Any] | None]) -> Iterator[pd.DataFrame]:
+    """Decoded pixels are many times larger than the file, so they leave in batches of their own."""
+    held: list[dict[str, Any] | None] = []
+    samples = 0
+    for cell in cells:
+        held.append(cell)
+        samples += 0 if cell is None else 4 * len(cell["mask"]["data"])
+        if samples >= BATCH_SAMPLES:
+            yield _columns(held)
+            held, samples = [], 0
+    if held:
+        yield _columns(held)
 
 
 def _columns(cells: list[dict[str, Any] | None]) -> pd.DataFrame:
     return pd.DataFrame({k: [None if c is None else c[k] for c in cells] for k in ("image", "mask")})
 
 
-@F.pandas_udf(T.BooleanType())
-def carries_alpha(content: pd.Series, path: pd.Series) -> pd.Series:
-    """Whether an image cell has transparency; cells that cannot be read have none."""
+def decoded(content: Column, decoder: Decoder) -> Column:
+    """RGB and mask of every cell, values 0..1, mask 1 where transparent; null stays null."""
+
+    @F.pandas_udf(DECODED)
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield from _in_batches(_decode(c, decoder) for c in batch)
+
+    return decode(content)
+
+
+def _from_reader(height: int, width: int, channels: int, data: bytes) -> dict[str, Any]:
+    """Spark's reader gives rows of BGR(A), or gray levels."""
+    samples = np.frombuffer(data, np.uint8).reshape(height, width, channels)
+    rgba = np.full((height, width, 4), 255, np.uint8)
+    rgba[..., :3] = samples[..., 2::-1] if channels >= 3 else samples[..., :1]
+    if channels == 4:
+        rgba[..., 3] = samples[..., 3]
+    return _split(rgba)
 
-    def check(c: Any, p: Any) -> bool:
+
+@F.pandas_udf(DECODED)
+def from_reader(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    """Like :func:`decoded`, for (height, width, channels, data) of Spark's image reader."""
+    for batch in batches:
+        rows = zip(*batch, strict=True)
+        yield from _in_batches(None if d is None else _from_reader(int(h), int(w), int(n), d) for h, w, n, d in rows)
+
+
+def decode_nested(col: Column, dtype: T.DataType, decoder: Decoder) -> Column:
+    """``col`` with the images inside it decoded to RGB, in batches of bounded size."""
+
+    @F.pandas_udf(T.ArrayType(shown_type(dtype)))
+    def convert(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for cells in batches:
+            held, samples = [], 0
+            for wrapped in cells:
+                sizes: list[int] = []
+                held.append([_shown(value, dtype, decoder, sizes) for value in wrapped])
+                samples += sum(sizes)
+                if samples >= BATCH_SAMPLES:
+                    yield pd.Series(held)
+                    held, samples = [], 0
+            if held:
+                yield pd.Series(held)
+
+    # wrapped in a list, because pandas would take a struct column apart
+    return convert(F.array(col))[0]
+
+
+def _shown(value: Any, dtype: T.DataType, decoder: Decoder, sizes: list[int]) -> Any:
+    if value is None:
+        return None
+    if is_image_struct(dtype):
+        names = [f.name for f in dtype.fields]
+        content, path = (value[n] if n in names else None for n in ("bytes", "path"))
+        cell = _decode(_read(path) if content is None and path else content, decoder)
+        sizes.append(0 if cell is None else 4 * len(cell["mask"]["data"]))
+        return None if cell is None else cell["image"]
+    if isinstance(dtype, T.BinaryType):
+        data = bytes(value)
         try:
-            data = _content(c, p)
-            return data is not None and _carries_alpha(data)
-        except Exception:
-            return False
-
-    return pd.Series([check(c, p) for c, p in zip(content, path, strict=True)], dtype=bool)
-
-
-def has_alpha(content: Column, path: Column) -> Column:
-    """Transparency of a cell; only cells whose leading bytes leave it open go to Python."""
-    head = F.hex(F.substring(content, 1, 26))
-    png = F.startswith(head, F.lit(MAGIC["png"]))
-    # byte 26 of a PNG is its colour type: 4 and 6 have an alpha channel
-    sure = png & F.substring(head, 51, 2).isin("04", "06")
-    never = F.startswith(head, F.lit(MAGIC["jpeg"])) | (content.isNotNull() & ~looks_like_image(content))
-    asked = content.isNull() | ~(sure | never)
-    return F.coalesce(sure, F.lit(False)) | carries_alpha(F.when(asked, content), F.when(content.isNull(), path))
+            return data.decode("utf-8")
+        except UnicodeDecodeError:
+            return data.hex()
+    if isinstance(dtype, T.ArrayType):
+        return [_shown(item, dtype.elementType, decoder, sizes) for item in value]
+    if isinstance(dtype, T.MapType):
+        pairs = dict(value).items()
+        return {_shown(k, dtype.keyType, decoder, sizes): _shown(v, dtype.valueType, decoder, sizes) for k, v in pairs}
+    if isinstance(dtype, T.StructType):
+        return {f.name: _shown(value[f.name], f.dataType, decoder, sizes) for f in dtype.fields}
+    return value

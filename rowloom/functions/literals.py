@@ -97,3 +97,28 @@ def float32_bound(operator: str, value: float) -> tuple[str, float] | bool:
         return "<=", float(below)
     above = near if float(near) > value else np.nextafter(near, np.float32(np.inf))
     return ">=", float(above)
+
+
+def decimal_bound(operator: str, value: decimal.Decimal, dtype: T.DecimalType) -> tuple[str, decimal.Decimal] | bool:
+    """Rewrite ``decimal_column operator value`` with a value of the column's own precision and scale.
+
+    Returns (operator, decimal), or the constant result for every non-null cell.  A literal of another
+    scale would widen the column, and no file could be skipped.
+    """
+    if value.is_nan():
+        return operator == "!="
+    beyond = value.is_infinite() or value != 0 and value.adjusted() >= dtype.precision - dtype.scale
+    if beyond:
+        return {"==": False, "!=": True, "<": value > 0, "<=": value > 0}.get(operator, value < 0)
+    with decimal.localcontext(prec=200, Emin=decimal.MIN_EMIN, Emax=decimal.MAX_EMAX):
+        step = decimal.Decimal(1).scaleb(-dtype.scale)
+        below = value.quantize(step, rounding=decimal.ROUND_FLOOR)
+        if below == value:
+            return operator, below
+        if operator in ("==", "!="):
+            return operator == "!="
+        # the value lies strictly between two neighbouring values of the column
+        if operator in ("<", "<="):
+            return "<=", below
+        above = below + step
+        return operator == "!=" if above.adjusted() >= dtype.precision - dtype.scale and above > 0 else (">=", above)

@@ -9,15 +9,24 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.functions.literals import FLOATS, INTEGERS, UNTYPED, float32_bound, integer_bound, integer_range, typed
+from rowloom.functions.literals import (
+    FLOATS,
+    INTEGERS,
+    UNTYPED,
+    decimal_bound,
+    float32_bound,
+    integer_bound,
+    integer_range,
+    typed,
+)
 from rowloom.functions.text import cell_text
 
+# The filter operators, in four groups.
 COMPARISONS = ("==", "!=", "<", "<=", ">", ">=")
 TEXT_SEARCHES = ("contains", "not contains", "starts with", "ends with")
 MEMBERSHIPS = ("in", "not in")
@@ -29,9 +38,9 @@ OPERATORS = COMPARISONS + TEXT_SEARCHES + MEMBERSHIPS + NULL_CHECKS
 def predicate(col: Column, dtype: T.DataType, column: str, operator: str, value: str = "") -> Column:
     """Condition ``column operator value``; ``value`` is the text the user typed."""
     if operator not in OPERATORS:
-        raise ValueError(f"Unknown filter operator {operator!r}; choose one of: {', '.join(OPERATORS)}.")
+        raise ValueError(f"No such filter: {operator!r}. There are: {', '.join(OPERATORS)}.")
     if not value.strip() and operator not in ("==", "!=", *NULL_CHECKS):
-        raise ValueError(f"The operator {operator!r} needs a 'value'.")
+        raise ValueError(f"Give a 'value' to compare with by {operator!r}.")
     if operator == "is null":
         return col.isNull()
     if operator == "is not null":
@@ -83,6 +92,11 @@ def _comparison(col: Column, dtype: T.DataType, operator: str, value: object) ->
         condition = _ordered(col, operator, F.lit(float(number)).cast(dtype))
         # Spark ranks NaN above every number and lets it equal itself
         return condition & ~F.isnan(col) if operator in (">", ">=") else condition
+    if isinstance(dtype, T.DecimalType):
+        bound = decimal_bound(operator, value, dtype)
+        if isinstance(bound, bool):
+            return _constant(col, operator, bound)
+        return _ordered(col, bound[0], F.lit(bound[1]).cast(dtype))
     literal = _timestamp(value, dtype) if isinstance(dtype, TIMESTAMPS) else F.lit(value)
     if literal is None:
         return _constant(col, operator, operator == "!=")
@@ -115,10 +129,7 @@ def _membership(col: Column, dtype: T.DataType, operator: str, value: str) -> Co
     members = [m for m in (_member(typed(p, dtype), dtype) for p in parts) if m is not None]
     if not members:
         return F.lit(operator == "not in")
-    if isinstance(dtype, T.DecimalType):
-        hit = reduce(lambda a, b: a | b, [col == m for m in members])
-    else:
-        hit = col.isin(members)
+    hit = col.isin(members)
     return hit if operator == "in" else col.isNull() | ~hit
 
 
@@ -136,4 +147,7 @@ def _member(value: object, dtype: T.DataType) -> Column | None:
         if math.isnan(value) or isinstance(dtype, T.FloatType) and float32_bound("==", value) is False:
             return None
         return F.lit(float(value)).cast(dtype)
+    if isinstance(dtype, T.DecimalType):
+        bound = decimal_bound("==", value, dtype)
+        return None if isinstance(bound, bool) else F.lit(bound[1]).cast(dtype)
     return _timestamp(value, dtype) if isinstance(dtype, TIMESTAMPS) else F.lit(value)

@@ -20,7 +20,7 @@ from rowloom.sources.arrow_ipc import arrow_counts, arrow_rows, arrow_schema
 from rowloom.sources.files import FileTable
 
 # The loaders a user may name.
-FORMATS = ("arrow", "csv", "json", "parquet", "text")
+FORMATS = ("arrow", "csv", "image", "json", "parquet", "text")
 LOADERS = ("auto", "hub", *FORMATS)
 
 # File extension to format, and the compressions that may follow it.
@@ -89,6 +89,9 @@ def read_batch(spark: SparkSession, fmt: str, paths: list[str], options: dict[st
         return scan_frame(_configured(spark.read, fmt, {**merged, **options}).load(paths))
     if fmt == "arrow":
         return _read_arrow(spark, paths, options)
+    if fmt == "image":  # a row per file, decoded by Spark's reader; other files are left out
+        files = spark.read.format("image").options(**{"dropInvalid": True, **options}).load(paths)
+        return Frame(files.select("image", F.col("_metadata.file_path").alias(FILE)), (Key(FILE),), "sorted")
     df = _united(spark, fmt, layouts_of(spark, fmt, paths, options), options)
     return Frame(_text_columns(df, fmt), LINE_ORDER, "lines", files=FileTable(list_files(spark, paths).select(FILE)))
 
