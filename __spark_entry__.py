@@ -568,6 +568,32 @@ def top_k(spark, sf_dir):
     return rl.to_data_list(rl.select_columns(frame, "o_orderkey, o_totalprice"))
 
 
+_BY_VALUE = "SELECT event_id, row_number() OVER (ORDER BY value DESC, event_id) - 1 AS place FROM events"
+
+
+def events_by_value(spark: SparkSession, sf_dir: str) -> rl.Frame:
+    return rl.select_columns(rl.sort_rows(events(spark, sf_dir), "value", reverse=True), "event_id")
+
+
+@query(f"SELECT event_id FROM ({_BY_VALUE}) WHERE place >= 300 AND place < 2300")
+def page_after_sort(spark, sf_dir):
+    """Ranks beyond a top-k: a filter on the sort keys, nothing is written."""
+    return rl.to_data_list(rl.take_rows(rl.skip_rows(events_by_value(spark, sf_dir), 300), 2000))
+
+
+@query(
+    f"""SELECT event_id FROM ({_BY_VALUE}), (SELECT count(*) AS n FROM events)
+        WHERE place >= n // 3 + least(1, n % 3) AND place < 2 * (n // 3) + least(2, n % 3)"""
+)
+def shard_after_sort(spark, sf_dir):
+    return rl.to_data_list(rl.take_shard(events_by_value(spark, sf_dir), 3, 1))
+
+
+@query(f"SELECT event_id FROM ({_BY_VALUE}), (SELECT count(*) AS n FROM events) WHERE place >= n - ceil(n * 0.3)")
+def split_after_sort(spark, sf_dir):
+    return rl.to_data_list(rl.train_test_split(events_by_value(spark, sf_dir), 0.3, shuffle=False)[1])
+
+
 @query(
     """SELECT pos - (n // 7 * 2 + least(2, n % 7)) AS pos, event_id
        FROM (SELECT event_id AS pos, event_id, count(*) OVER () AS n FROM events)

@@ -9,7 +9,7 @@ Three tools, chosen so that no step puts data-sized work into one task:
              rows of one file, the leading bits of a hash) and bucket offsets are joined on the same
              partitioning, so there is a single exchange of the rows.
 * ``settle`` writes rows once in order, for orders whose ranks cannot be derived from the data
-             (sorted by a user column, text formats).
+             (text formats, dense numbers of a sort).  Cuts of a sort sort its keys only.
 
 One task totals a table of row counts: one small row per bucket, or per group of some thousand buckets
 when there are many.
@@ -18,13 +18,18 @@ when there are many.
 from __future__ import annotations
 
 import math
+import re
+from bisect import bisect_right
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
+from itertools import accumulate
 from typing import Any
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from rowloom.frame import FILE, HASH, HIDDEN, LINE, POS, ROW, Frame, Key, quoted
@@ -33,7 +38,7 @@ from rowloom.sources.files import FileTable
 
 #: Rows per bucket: at most this many, fewer when rows are wide.
 BUCKET_ROWS, MIN_BUCKET_ROWS, BUCKET_BYTES = 1 << 20, 1 << 12, 32 << 20
-#: Largest take answered by one top-k sort instead of writing a sorted table.
+#: Ranks of a sort that a top-k finds; beyond it the order keys alone are sorted.  The rows are the same.
 TOP_K = 1000
 #: Rows that all tasks of a top-k may hand to its final task, and the usual size of a scan task.
 FAN_IN_ROWS, TASK_BYTES = 5_000_000, 128 << 20
@@ -41,6 +46,8 @@ FAN_IN_ROWS, TASK_BYTES = 5_000_000, 128 << 20
 HASH_BITS = 63
 #: Buckets that one task totals; beyond it their groups are totalled.
 BUCKETS_IN_ONE_TASK = 1 << 17
+#: What was written in order already, by DataFrame and order.
+_SETTLED: WeakKeyDictionary[DataFrame, dict[tuple[Key, ...], Frame]] = WeakKeyDictionary()
 BUCKET, FILE_NUMBER = HIDDEN + "bucket", HIDDEN + "filenumber"
 
 
@@ -49,11 +56,16 @@ BUCKET, FILE_NUMBER = HIDDEN + "bucket", HIDDEN + "filenumber"
 
 def scan_frame(df: DataFrame) -> Frame:
     """Frame over a Parquet scan, ordered by (file path, row number in the file)."""
-    # this scan reads no column: row counts come from the footers
+    # this scan reads no column; a filter on the path keeps it to some files
     counted = df.groupBy(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_size").alias("bytes")).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    return Frame(df, (Key(FILE), Key(ROW)), "files", files=FileTable(counted), whole=True)
+    return Frame(df, (Key(FILE), Key(ROW)), "files", files=FileTable(counted, lambda: _listed(df)), whole=True)
+
+
+def _listed(df: DataFrame) -> list[str]:
+    """The files of a scan, from Spark's listing, written as in the metadata column (file:/x, not file:///x)."""
+    return [re.sub(r"^(\w+):///", r"\1:/", path) for path in df.inputFiles()]
 
 
 def with_rows(frame: Frame) -> Frame:
@@ -85,7 +97,10 @@ def settle(frame: Frame) -> Frame:
     Ties and hot values are no problem for the range partitioning: the order keys end in a
     unique row key, so a value held by a third of all rows is spread over many partitions.
     """
-    return write_rows(frame.rows())
+    known = _SETTLED.setdefault(frame.df, {})
+    if frame.order not in known:
+        known[frame.order] = write_rows(frame.rows())
+    return known[frame.order]
 
 
 def sorted_rows(frame: Frame) -> DataFrame:
@@ -230,8 +245,8 @@ def _scan_range(frame: Frame, lo: int, hi: int | None) -> Frame:
     """Rows at base positions lo..hi-1 of a scan ordered by (file, row)."""
     files = frame.files
     assert files is not None
-    low = files.locate(lo) if 0 < lo < files.rows else None
-    high = files.locate(hi) if hi is not None and hi < files.rows else None
+    low = files.locate(lo) if lo > 0 and files.reach(lo) else None
+    high = files.locate(hi) if hi is not None and files.reach(hi) else None
     return _within(frame, low, high)
 
 
@@ -310,6 +325,8 @@ def cuts_of_total(
     frame: Frame, ranges_of: Callable[[int], list[tuple[int, int | None]]], total: int | None = None
 ) -> list[Frame]:
     """Cuts whose ranges depend on the number of rows, which is counted in the same pass."""
+    if frame.kind == "sorted" and _comparable(frame):
+        return cuts(frame, ranges_of(frame.df.count() if total is None else total))
     if frame.kind in ("sorted", "lines"):
         frame = settle(frame)
     if total is not None or frame.whole:
@@ -337,6 +354,8 @@ def cuts(frame: Frame, ranges: list[tuple[int, int | None]], counts: DataFrame |
         if len(ranges) == 1 and ranges[0][0] == 0 and ends[0] is not None and ends[0] <= TOP_K:
             frame = with_lines(frame) if frame.kind == "lines" else frame
             return [frame.rebuilt(_top(frame, ends[0]), kind="sorted")]
+        if frame.kind == "sorted" and _comparable(frame):
+            return _sorted_cuts(frame, ranges)
         return cuts(settle(frame), ranges)
     ranks = sorted({r for lo, hi in ranges for r in (lo, hi) if r is not None and r > 0})
     at = dict(zip(ranks, keys_at(frame, ranks, counts), strict=True)) if ranks else {}
@@ -350,6 +369,95 @@ def cuts(frame: Frame, ranges: list[tuple[int, int | None]], counts: DataFrame |
     return out
 
 
+# -- ranks of a sort ----------------------------------------------------------------------
+
+
+def _comparable(frame: Frame) -> bool:
+    """Whether all order keys are single values, which a filter can be compared with."""
+    kinds = (T.StringType, T.BinaryType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return all(isinstance(frame.df.schema[k.name].dataType, kinds) for k in frame.order)
+
+
+def _portable(col: Column, dtype: T.DataType) -> Column:
+    """A key in a form that comes back from the driver unchanged, whatever the time zones."""
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(col)
+    return col.cast("string") if isinstance(dtype, T.TimestampNTZType) else col
+
+
+def _literal(value: Any, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_micros(F.lit(value))
+    return F.lit(bytes(value) if isinstance(value, bytearray) else value).cast(dtype)
+
+
+def _sorted_keys_at(frame: Frame, ranks: list[int]) -> list[tuple[Any, ...] | None]:
+    """Order keys of the rows at ``ranks``; None beyond the last row.  Rows are neither moved nor written.
+
+    Small ranks take a top-k of the keys.  Otherwise the keys alone are sorted, and rows are counted per
+    sorted partition.
+    """
+    types = [frame.df.schema[k.name].dataType for k in frame.order]
+    shown = [_portable(quoted(k.name), t).alias(f"{HIDDEN}k{i}") for i, (k, t) in enumerate(zip(frame.order, types, strict=True))]
+    keys = replace(frame, df=frame.df.select(*[quoted(n) for n in frame.order_names]))
+    if max(ranks) <= TOP_K:
+        rows = _top(keys, max(ranks) + 1).select(*shown).collect()
+        return [tuple(rows[r]) if r < len(rows) else None for r in ranks]
+    part, place = HIDDEN + "part", HIDDEN + "place"
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ordered = keys.df.orderBy(*keys.sort_columns()).select(*shown, F.spark_partition_id().alias(part), inside.alias(place))
+    ordered = ordered.persist()
+    try:
+        counts = sorted(tuple(r) for r in ordered.groupBy(part).count().collect())  # one row per partition
+        starts = [0, *accumulate(n for _, n in counts)]
+        at = {}
+        for rank in ranks:
+            if rank < starts[-1]:
+                i = bisect_right(starts, rank) - 1
+                at[counts[i][0], rank - starts[i]] = rank
+        hit = [(F.col(part) == p) & (F.col(place) == n) for p, n in at]
+        rows = ordered.filter(reduce(lambda a, b: a | b, hit, F.lit(False))).collect()
+        found = {at[r[part], r[place]]: tuple(r)[: len(shown)] for r in rows}
+    finally:
+        ordered.unpersist()
+    return [found.get(r) for r in ranks]
+
+
+def _before(frame: Frame, values: tuple[Any, ...]) -> Column:
+    """Whether a row comes before the row with the order keys ``values``."""
+    condition = F.lit(False)
+    for key, value in reversed([*zip(frame.order, values, strict=True)]):
+        col, dtype = quoted(key.name), frame.df.schema[key.name].dataType
+        floats = isinstance(dtype, (T.FloatType, T.DoubleType))
+        if value is None:  # nulls are last, so all others come before
+            condition = col.isNotNull() | condition
+            continue
+        literal = _literal(value, dtype)
+        less = col > literal if key.descending else col < literal
+        if key.descending and key.nan_last and floats:
+            less = col.isNotNull() & ~F.isnan(col) if math.isnan(value) else less & ~F.isnan(col)
+        condition = F.coalesce(less, F.lit(False)) | (col.eqNullSafe(literal) & condition)
+    return condition
+
+
+def _sorted_cuts(frame: Frame, ranges: list[tuple[int, int | None]]) -> list[Frame]:
+    """Cuts of a sort as filters on its keys, which stay lazy."""
+    ranks = sorted({r for lo, hi in ranges for r in (lo, hi) if r})
+    at = dict(zip(ranks, _sorted_keys_at(frame, ranks), strict=True)) if ranks else {}
+    out = []
+    for lo, hi in ranges:
+        if hi is not None and hi <= lo or lo > 0 and at[lo] is None:
+            out.append(frame.filtered(F.lit(False)))
+            continue
+        piece = frame
+        if lo > 0:
+            piece = piece.filtered(~_before(frame, at[lo]))
+        if hi and at[hi] is not None:
+            piece = piece.filtered(_before(frame, at[hi]))
+        out.append(piece)
+    return out
+
+
 def _top(frame: Frame, n: int) -> DataFrame:
     """The first ``n`` rows of a sort, without sorting everything.
 
@@ -379,11 +487,12 @@ def _first_files(frame: Frame, rows: int) -> Frame:
 
 
 def _cut_whole(frame: Frame, lo: int, hi: int | None) -> Frame:
+    """A cut of a run of a scan: only the files up to its end are counted."""
     first, last = frame.span
-    end = frame.files.rows if last is None else min(last, frame.files.rows)
-    a = min(first + lo, end)
-    b = end if hi is None else min(first + hi, end)
-    if a >= b:
+    a = first + lo
+    ends = [e for e in (last, None if hi is None else first + hi) if e is not None]
+    b = min(ends, default=None)
+    if b is not None and a >= b or not frame.files.reach(a):
         return replace(frame.filtered(F.lit(False)), whole=True, span=(a, a))
     return replace(_scan_range(frame, a, b), span=(a, b))
 
@@ -402,7 +511,7 @@ def number(frame: Frame) -> Frame:
     """Give every row its 0-based rank in the hidden POS column, which becomes the order."""
     frame = with_rows(frame)
     if frame.whole and frame.files is not None and frame.kind == "files":
-        placed = frame.files.with_position(frame.df, POS)
+        placed = frame.files.with_position(frame.df, POS, frame.span[1])
         return _by_position(frame, placed, first=frame.span[0])
     if frame.dense_from is not None:
         return frame if frame.dense_from == 0 else _by_position(frame, frame.df, first=frame.dense_from)
@@ -439,7 +548,7 @@ def stable_position(frame: Frame) -> Frame:
         return frame
     frame = with_rows(frame)
     if frame.files is not None and {FILE, ROW} <= set(frame.df.columns):
-        return frame.rebuilt(frame.files.with_position(frame.df, POS))
+        return frame.rebuilt(frame.files.with_position(frame.df, POS, frame.span[1] if frame.whole else None))
     if frame.kind in ("sorted", "lines"):
         return stable_position(settle(frame))
     return number(frame)

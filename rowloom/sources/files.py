@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Callable
 from itertools import accumulate
 
 import pyarrow as pa
@@ -23,21 +24,47 @@ class FileTable:
     formats, whose rows cannot be counted without parsing them.
     """
 
-    def __init__(self, counted: DataFrame):
+    def __init__(self, counted: DataFrame, listed: Callable[[], list[str]] | None = None):
+        """``listed`` gives the paths without a job; with it, files are counted from the first one on as needed."""
         self._counted = counted
+        self._listed = listed
+        self._ahead: list[str] | None = None  # listed files that are not counted yet
+        self._paths: list[str] = []
+        self.counts: list[int] = []
+        self.starts: list[int] = []
+        self._rows = self._bytes = 0
         self._loaded = False
 
-    def _load(self) -> None:
-        if self._loaded:
-            return
-        table = self._counted.toArrow().sort_by(FILE)
-        self._paths = table[FILE].to_pylist()
+    def _take_in(self, table: DataFrame) -> None:
+        found = table.toArrow().sort_by(FILE)
+        self._paths += found[FILE].to_pylist()
         if self.counted:
-            self.counts = table["rows"].to_pylist()
-            self.starts = [0, *accumulate(self.counts)]
-            self._rows = self.starts.pop()
-            self._bytes = sum(table["bytes"].to_pylist())
-        self._loaded = True
+            counts = found["rows"].to_pylist()
+            self.counts += counts
+            self.starts += [*accumulate(counts, initial=self._rows)][:-1]
+            self._rows += sum(counts)
+            self._bytes += sum(found["bytes"].to_pylist())
+
+    def _load(self) -> None:
+        if not self._loaded:
+            rest = self._counted
+            self._take_in(rest if not self._paths else rest.filter(F.col(FILE) > self._paths[-1]))
+            self._loaded = True
+
+    def reach(self, position: int) -> bool:
+        """Count as many of the first files as it takes to know whether there is a row at ``position``."""
+        if self._ahead is None:
+            self._ahead = sorted(self._listed()) if self._listed is not None and not self._loaded else []
+        size = 1
+        while position >= self._rows and not self._loaded:
+            here, self._ahead = self._ahead[:size], self._ahead[size:]
+            if not self._ahead:
+                self._load()
+                break
+            known = self._paths[-1] if self._paths else ""
+            self._take_in(self._counted.filter((F.col(FILE) > known) & (F.col(FILE) <= here[-1])))
+            size *= 8
+        return position < self._rows
 
     @property
     def paths(self) -> list[str]:
@@ -69,7 +96,7 @@ class FileTable:
 
     def locate(self, position: int) -> tuple[str, int]:
         """File and row number of a global position below ``rows``."""
-        self._load()
+        self.reach(position)
         i = bisect_right(self.starts, position) - 1
         return self._paths[i], position - self.starts[i]
 
@@ -79,9 +106,14 @@ class FileTable:
         i = bisect_right(self.starts, position)
         return self.starts[i] if i < len(self.starts) else self._rows
 
-    def with_position(self, df: DataFrame, name: str) -> DataFrame:
-        """Add the global position as ``name`` to rows that carry FILE and ROW."""
-        if self.single():
+    def with_position(self, df: DataFrame, name: str, end: int | None = None) -> DataFrame:
+        """Add the global position as ``name`` to rows that carry FILE and ROW.
+
+        All rows lie before position ``end``, if it is given: files behind it are not counted.
+        """
+        if end is None or not self.reach(end - 1):
+            self._load()
+        if len(self._paths) <= 1:
             return df.withColumn(name, F.col(ROW))
         start = name + "_start"
         table = pa.table({FILE: self._paths, start: pa.array(self.starts, pa.int64())})

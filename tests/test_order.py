@@ -5,6 +5,7 @@ import struct
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import rowloom as rl
 from rowloom.operators.rows import parse_selection
@@ -260,3 +261,57 @@ def test_empty_dataset(spark):
     assert numbered(frame) == []
     with pytest.raises(ValueError, match="goes beyond"):
         rl.select_rows(frame, "0:1")
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+@pytest.mark.parametrize("top", [1000, 0])
+def test_cuts_of_a_sort_write_nothing(spark, monkeypatch, reverse, top):
+    """Pages, shards, splits and selections of a sort with nulls, NaN and ties: filters on its keys."""
+    import datetime as dt
+
+    from rowloom.plans import order
+
+    monkeypatch.setattr(order, "TOP_K", top)
+    monkeypatch.setattr(order, "write_rows", lambda df: pytest.fail("a copy was written"))
+    nan, inf = float("nan"), float("inf")
+    scores = [3.0, None, nan, 1.5, 3.0, -inf, None, 0.0, inf, nan, 3.0, -2.0] * 3
+    day = dt.datetime(2024, 3, 31, 1, 30)
+    rows = [(i, s, None if i % 5 == 0 else day + dt.timedelta(minutes=i % 7), bytes([i % 3])) for i, s in enumerate(scores)]
+    df = spark.createDataFrame(rows, "event_id int, s double, t timestamp_ntz, b binary")
+    frame = rl.from_dataframe(df.withColumn("z", F.col("t").cast("timestamp")), key="event_id")
+
+    def place(column):
+        """Row numbers in order: values, NaN, nulls; ties as they come."""
+        empty = [r for r in rows if r[column] is None]
+        odd = [r for r in rows if r[column] is not None and r[column] != r[column]]
+        plain = [r for r in rows if r not in empty and r not in odd]
+        plain.sort(key=lambda r: r[column], reverse=reverse)
+        return [r[0] for r in plain + odd + empty]
+
+    for name, column in (("s", 1), ("t", 2), ("z", 2), ("b", 3)):
+        want = place(column)
+        by = rl.sort_rows(frame, name, reverse)
+        if name != "s":  # the other types: one page each
+            assert ids(rl.take_rows(rl.skip_rows(by, 30), 5)) == want[30:35]
+            continue
+        assert ids(by) == want
+        assert ids(rl.take_rows(rl.skip_rows(by, 10), 7)) == want[10:17]
+        assert ids(rl.skip_rows(rl.take_rows(by, 30), 28)) == want[28:30]
+        assert ids(rl.skip_rows(by, 99)) == [] and ids(rl.take_rows(by, 99)) == want
+        assert [ids(rl.take_shard(by, 5, i)) for i in range(5)] == [want[:8], want[8:15], want[15:22], want[22:29], want[29:]]
+        train, test = rl.train_test_split(by, 0.25, shuffle=False)
+        assert (ids(train), ids(test)) == (want[:27], want[27:])
+        assert ids(rl.select_rows(by, "4:9")) == want[4:9]
+
+
+def test_only_the_first_files_are_counted(spark, tmp_path):
+    for i in range(30):
+        spark.range(i * 10, i * 10 + 10).withColumnRenamed("id", "event_id").coalesce(1).write.parquet(f"{tmp_path}/{i:03d}")
+    frame = rl.load(spark, f"{tmp_path}/*/*.parquet")
+    first = rl.take_rows(frame, 15)
+    assert ids(first) == list(range(15)) and len(frame.files.counts) <= 9
+    assert ids(rl.take_rows(rl.skip_rows(frame, 95), 10)) == list(range(95, 105))
+    assert len(frame.files.counts) < 30
+    assert rl.count_rows(frame) == 300 and ids(rl.skip_rows(frame, 290)) == list(range(290, 300))
+    assert ids(rl.take_rows(frame, 999)) == list(range(300)) and ids(rl.skip_rows(frame, 300)) == []
+    assert rl.count_rows(rl.take_rows(frame, 999)) == 300
