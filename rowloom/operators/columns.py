@@ -14,6 +14,7 @@ from rowloom.guards import require_column, require_columns, require_frame, requi
 from rowloom.plans.order import number
 from rowloom.streaming.steps import index_step, on_streams
 
+# The ways to fill a column.
 COLUMN_OPERATIONS = ("constant", "copy column", "row index")
 
 
@@ -100,10 +101,10 @@ def map_column(frame: Frame, column: str, operation: str, value: str = "") -> Fr
     require_frame(frame)
     target = (column or "").strip()
     if not target:
-        raise ValueError("Provide a name for the column to add or replace.")
+        raise ValueError("The new column has no name.")
     operation = operation.strip()
     if operation not in COLUMN_OPERATIONS:
-        raise ValueError(f"Unknown column operation {operation!r}; choose one of: {', '.join(COLUMN_OPERATIONS)}.")
+        raise ValueError(f"A column cannot be filled by {operation!r}, only by: {', '.join(COLUMN_OPERATIONS)}.")
     if operation == "copy column":
         source = require_column(frame, value, "source column")
         if source == target:

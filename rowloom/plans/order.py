@@ -48,6 +48,8 @@ HASH_BITS = 63
 BUCKETS_IN_ONE_TASK = 1 << 17
 #: What was written in order already, by DataFrame and order.
 _SETTLED: WeakKeyDictionary[DataFrame, dict[tuple[Key, ...], Frame]] = WeakKeyDictionary()
+#: Row counts that were needed before.
+_COUNTS: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 BUCKET, FILE_NUMBER = HIDDEN + "bucket", HIDDEN + "filenumber"
 
 
@@ -153,7 +155,9 @@ def _bucket_rows(frame: Frame) -> int:
 
 def _hash_bits(frame: Frame) -> int:
     """Leading bits so that a bucket of the uniform hash holds about ``_bucket_rows`` rows."""
-    rows = frame.files.rows if frame.files is not None else frame.df.count()
+    rows = frame.files.rows if frame.files is not None else _COUNTS.get(frame.df)
+    if rows is None:
+        rows = _COUNTS[frame.df] = frame.df.count()
     return max(1, math.ceil(math.log2(max(rows / _bucket_rows(frame), 1.0))))
 
 

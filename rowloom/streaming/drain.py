@@ -59,12 +59,15 @@ def _run_batch(frame: Frame, batch: DataFrame, number: int, folder: str) -> list
     current = replace(frame, df=batch, bounded=True, steps=(), files=None, by_file=False, twin=None)
     if seen:
         batch.persist()  # positions need several passes
-    for i, step in enumerate(frame.steps):
-        current, seen[i] = step.run(current, seen[i])
-    current.rows().write.mode("overwrite").parquet(f"{folder}/rows/{number:012d}")
-    if seen:
-        _store_seen(spark, seen, number, folder)
-        batch.unpersist()
+    try:
+        for i, step in enumerate(frame.steps):
+            current, seen[i] = step.run(current, seen[i])
+        current.rows().write.mode("overwrite").parquet(f"{folder}/rows/{number:012d}")
+        if seen:
+            _store_seen(spark, seen, number, folder)
+    finally:
+        if seen:
+            batch.unpersist()
     return seen
 
 

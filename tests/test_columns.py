@@ -81,21 +81,21 @@ def test_guards(frame):
         (lambda: rl.rename_column(frame, "nope", "x"), "Unknown column to rename"),
         (lambda: rl.rename_column(frame, "id", "text"), "already exists"),
         (lambda: rl.rename_column(frame, "id", "TEXT"), "case"),
-        (lambda: rl.map_column(frame, " ", "constant", "x"), "Provide a name"),
+        (lambda: rl.map_column(frame, " ", "constant", "x"), "has no name"),
         (lambda: rl.map_column(frame, "x", "copy column", "nope"), "source column"),
-        (lambda: rl.map_column(frame, "x", "explode", ""), "Unknown column operation"),
+        (lambda: rl.map_column(frame, "x", "explode", ""), "cannot be filled"),
         (lambda: rl.map_column(frame, "__rl_pos", "constant", "x"), "reserved"),
         (lambda: rl.sort_rows(frame, "nope"), "Unknown sort column"),
         (lambda: rl.take_rows(frame, -1), "at least 0"),
         (lambda: rl.skip_rows(frame, -1), "at least 0"),
         (lambda: rl.shuffle(frame, -1), "seed"),
-        (lambda: rl.take_shard(frame, 2, 2), "num_shards"),
+        (lambda: rl.take_shard(frame, 2, 2), "There is no shard"),
         (lambda: rl.take_shard(frame, 0, 0), "num_shards"),
         (lambda: rl.take_shard(frame, 2, -1), "index"),
         (lambda: rl.train_test_split(frame, 0.0), "between"),
         (lambda: rl.train_test_split(frame, 1.0), "between"),
         (lambda: rl.unique_values(frame, ""), "blank"),
-        (lambda: rl.to_list(frame, "nope"), "Unknown column 'nope'"),
+        (lambda: rl.to_list(frame, "nope"), "There is no column 'nope'"),
         (lambda: rl.to_list(frame, limit=-2), "limit"),
         (lambda: rl.count_rows("x"), "Expected a dataset"),
     ):
