@@ -42,7 +42,8 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 #: Runs of fewer than 14 digits fail anyway.
 CARD = r"[0-9](?:[\x20-]?[0-9]){13,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TEL = r"(?<![0-9+.(-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])"
+#: Not what follows a country code: that is a phone already.
+TEL = r"(?<![0-9+.(-])(?<!\+[0-9]{1,3}[\x20.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])"
 ID = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 SPELLED = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{1,63}(?:\x20?[\[(]dot[\])]\x20?|\.)[A-Za-z]{2,24}"
 PATTERNS = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE, TEL, ID, SPELLED), strict=True))

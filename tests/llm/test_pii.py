@@ -63,10 +63,11 @@ def test_base_against_brute_force(spark):
 def test_added_spans(spark):
     rows = [(i, f"please call (212) 664-{1000 + i} or write to jo{i}@mail.org now") for i in range(30)]
     rows += [(100 + i, f"order 111-222-000{i % 9} ref x000-00-0000y") for i in range(30)]
-    rows += [(200, "my ssn 219-40-1234."), (201, "mail joe (at) mail (dot) org"), (202, "nothing")]
+    rows += [(200, "my ssn 219-40-1234."), (201, "mail joe (at) mail (dot) org"), (202, "nothing"), (203, "call +1 (212) 664-1234 now")]
     got = {r.doc_id: [s.kind for s in r.spans] for r in P.find_pii(spark.createDataFrame([(*r, "", "") for r in rows], DOCS)).collect()}
     assert all(got[i] == ["tel", "email"] for i in range(30))
     assert got[200] == ["id"] and got[201] == ["spelled"] and got[202] == []
+    assert got[203] == ["phone"]
     assert all(got[100 + i] == [] for i in range(30))
 
 
