@@ -169,3 +169,25 @@ def test_odd_column_names(spark):
     renamed = rl.rename_column(rl.filter_rows(frame, "a.b", "==", "1"), "c d", "g.h")
     assert renamed.rows().columns == ["a.b", "g.h", "e`f"]
     assert rl.unique_values(renamed, "g.h").rows().collect()[0][0] == 2
+
+
+@pytest.mark.parametrize("text", "nan inf -inf 1e400 -1e400 12.345 -0.001 999.99 999.995 1000 -1000 5 5.000000000000000000000000000 x".split())
+def test_decimal_literals(text):
+    """Rewritten comparisons agree with exact ones, for every value of a small column."""
+    from pyspark.sql import types as T
+
+    from rowloom.functions.literals import UNTYPED, decimal_bound, typed
+
+    dtype = T.DecimalType(5, 2)
+    value = typed(text, dtype)
+    if value is UNTYPED:
+        assert text == "x"
+        return
+    cells = [decimal.Decimal(c) for c in ("-999.99", "-1", "-0.01", "0", "0.01", "5", "12.34", "12.35", "999.98", "999.99")]
+    for name, compare in COMPARE.items():
+        bound = decimal_bound(name, value, dtype)
+        for cell in cells:
+            exact = name == "!=" if value.is_nan() else compare(cell, value)
+            assert (bound if isinstance(bound, bool) else COMPARE[bound[0]](cell, bound[1])) is exact, (name, cell)
+        if not isinstance(bound, bool):
+            assert abs(bound[1]) < 1000 and bound[1] == bound[1].quantize(decimal.Decimal("0.01"))
