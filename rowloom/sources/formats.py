@@ -188,11 +188,12 @@ def layouts_of(spark: SparkSession, fmt: str, paths: list[str], options: dict[st
         files = files.select(FILE, "multiLine", F.lit(None).cast("string").alias("first"))
     else:
         files = lines.groupBy(FILE).agg(first, F.max(_open_quotes(options)).alias("multiLine"))
+    tabs = all(extension_of(path) == ".tsv" for path in paths)  # a folder may be named so, and not its files
     found: dict[tuple, list[str]] = {}
     for row in files.orderBy(FILE).toArrow().to_pylist():  # one row per file, like Spark's own listing
         if row["first"] is None and fmt == "csv":
             continue  # nothing in it
-        separator = "\t" if extension_of(row[FILE]) == ".tsv" else ","
+        separator = "\t" if tabs or extension_of(row[FILE]) == ".tsv" else ","
         header = row["first"] if str(options.get("header", True)).lower() == "true" else None
         key = (row["multiLine"], *((separator, header) if fmt == "csv" else (None, None)))
         found.setdefault(key, []).append(row[FILE])
