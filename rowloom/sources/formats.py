@@ -41,6 +41,9 @@ MOST_LAYOUTS = 64
 #: Reader options that only a streaming read takes.
 STREAM_OPTIONS = ("maxFilesPerTrigger", "pathGlobFilter", "recursiveFileLookup")
 
+#: Options of a JSON source that do not change how a value is parsed.
+NOT_PARSED = ("schema", "columns", "multiLine", "lineSep", "encoding", "charset", "singleVariantColumn", *STREAM_OPTIONS)
+
 LINE_ORDER = (Key(FILE), Key(BLOCK), Key(LINE))
 
 
@@ -181,20 +184,19 @@ def layouts_of(spark: SparkSession, fmt: str, paths: list[str], options: dict[st
     lines = spark.read.options(**{k: options[k] for k in ("lineSep",) if k in options}).text(paths)
     lines = lines.select("value", *_origin()).withColumn(LINE, F.monotonically_increasing_id())
     lines = lines.withColumn("blank", F.length(F.trim("value")) == 0)
-    first = F.min_by(F.when(~F.col("blank"), F.col("value")), F.struct("blank", BLOCK, LINE)).alias("first")
     if fmt == "json":
-        # a row per line: the first line is JSON by itself
-        files = lines.groupBy(FILE).agg(first).withColumn("multiLine", F.expr("try_parse_json(first) IS NULL AND first IS NOT NULL"))
-        files = files.select(FILE, "multiLine", F.lit(None).cast("string").alias("first"))
+        rows = _json_layouts(spark, lines, options)
     else:
+        first = F.min_by(F.when(~F.col("blank"), F.col("value")), F.struct("blank", BLOCK, LINE)).alias("first")
         files = lines.groupBy(FILE).agg(first, F.max(_open_quotes(options)).alias("multiLine"))
+        rows = files.orderBy(FILE).toArrow().to_pylist()  # one row per file, like Spark's own listing
     tabs = all(extension_of(path) == ".tsv" for path in paths)  # a folder may be named so, and not its files
     found: dict[tuple, list[str]] = {}
-    for row in files.orderBy(FILE).toArrow().to_pylist():  # one row per file, like Spark's own listing
-        if row["first"] is None and fmt == "csv":
+    for row in rows:
+        if fmt == "csv" and row["first"] is None:
             continue  # nothing in it
         separator = "\t" if tabs or extension_of(row[FILE]) == ".tsv" else ","
-        header = row["first"] if str(options.get("header", True)).lower() == "true" else None
+        header = row.get("first") if str(options.get("header", True)).lower() == "true" else None
         key = (row["multiLine"], *((separator, header) if fmt == "csv" else (None, None)))
         found.setdefault(key, []).append(row[FILE])
     if len(found) > MOST_LAYOUTS:
@@ -206,6 +208,49 @@ def layouts_of(spark: SparkSession, fmt: str, paths: list[str], options: dict[st
     return out or [Layout(paths, {"multiLine": False, **options})]
 
 
+def _json_layouts(spark: SparkSession, lines: DataFrame, options: dict[str, Any]) -> list[dict[str, Any]]:
+    """FILE and multiLine of every JSON file, decided by Spark's parser under the reader's options.
+
+    A file whose first line is a record has a row per line.  So has one in which most lines are whole
+    records: in a document no two of them follow each other.  Any other file is looked at whole.  It is
+    one document if it is one value, damaged lines if some line is a record, and an error if more
+    follows a document.
+    """
+    given = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items() if k not in NOT_PARSED}
+    given["mode"] = "PERMISSIVE"
+
+    def record(text: Column) -> Column:
+        return F.from_json(text, "array<struct<`\x01`:string>>", given).isNotNull()
+
+    def size(text: Column, kind: str) -> Column:
+        return F.size(F.from_json(text, kind, given))
+
+    first = F.min_by("value", F.struct(BLOCK, LINE))
+    filled = lines.where("NOT blank").groupBy(FILE).agg(first.alias("first"))
+    rows = filled.select(FILE, record(F.col("first")).alias("record")).orderBy(FILE).toArrow().to_pylist()
+    multi = {row[FILE]: False for row in rows}
+    unsure = [row[FILE] for row in rows if not row["record"]]
+    if unsure:
+        own = record(F.col("value")) & F.trim("value").rlike("[}\\]]$")
+        counts = lines.where("NOT blank").where(F.col(FILE).isin(unsure)).groupBy(FILE)
+        counts = counts.agg(F.count_if(own).alias("records"), F.count("*").alias("n")).toArrow().to_pylist()
+        records = {row[FILE]: row["records"] for row in counts if 2 * row["records"] <= row["n"]}
+        if records:
+            # between brackets one value is one entry; text that closes one kind of bracket does not close the other
+            text = F.regexp_replace("value", "^\ufeff", "")
+            single = size(F.concat(F.lit("[\n"), text, F.lit("\n]")), "array<string>") == 1
+            single &= size(F.concat(F.lit('{"x":\n'), text, F.lit("\n}")), "map<string,string>") == 1
+            texts = spark.read.text([decoded(f) for f in sorted(records)], wholetext=True)
+            texts = texts.select(
+                F.col("_metadata.file_path").alias(FILE), record(text).alias("begins"), F.coalesce(single, F.lit(False)).alias("single")
+            )
+            for row in texts.toArrow().to_pylist():
+                if row["begins"] and not row["single"]:
+                    raise ValueError(f"More follows the first JSON value of {row[FILE]}; multiLine= tells how to read it.")
+                multi[row[FILE]] = row["begins"] or not records[row[FILE]]
+    return [{FILE: file, "multiLine": value} for file, value in multi.items()]
+
+
 def _open_quotes(options: dict[str, Any]) -> Column:
     """Whether a line leaves a quote open, so that its row goes on in the next line."""
     quote, escape = options.get("quote", '"'), options.get("escape", '"')

@@ -408,3 +408,30 @@ def test_slices_and_sums(spark, layouts, tmp_path):
         assert rl.count_rows(frame) == 55
     (tmp_path / "t.txt").write_text("a\nb\nc\nd\n")
     assert rl.to_list(rl.load(spark, str(tmp_path / "t.txt"), split="train[1:3]"), "text") == ["b", "c"]
+
+
+@pytest.mark.parametrize(
+    ("text", "rows"),
+    [
+        ('{"a": NaN, "b": 1}\n{"a": 2.0, "b": 2}\n{"a": 3.0, "b": 3}\n', [1, 2, 3]),
+        ("{'b': 1}\n{'b': 2}\n", [1, 2]),
+        ('\n{"a": Infinity, "b": 1},\n{"a": 1, "b": 2}\n', [1, 2]),
+        ('{"b": 1, "a": {\n{"b": 2}\n{"b": 3}\n', [None, 2, 3]),
+        ('{"a": \n{"b": 2}\n', [None, 2]),
+        ('[\n{"a": NaN, "b": 1},\n{"b": 2}]\n', [1, 2]),
+        ('[{"b": 1},\n\n{"b": 2}\n]', [1, 2]),
+        ('{"a": "}",\n "c": \n{"x": "["}\n, "b": 1}', [1]),
+        ('\ufeff{"a": [1,\n2], "b": 1}\n\n', [1]),
+    ],
+)
+def test_json_layout_by_the_reader(spark, tmp_path, text, rows):
+    """Rows behind a first line that only Spark's parser accepts, or that is damaged, are not lost."""
+    (tmp_path / "x.json").write_text(text)
+    assert [r["b"] for r in rl.to_list(rl.load(spark, str(tmp_path / "x.json")))] == rows
+
+
+@pytest.mark.parametrize("text", ['{\n"b": 1\n}\n{\n"b": 2\n}\n', '[{"b": 1},\n{"b": 2}]\n]\n', '{\n"b": 1\n}} x'])
+def test_json_behind_a_document_is_an_error(spark, tmp_path, text):
+    (tmp_path / "x.json").write_text(text)
+    with pytest.raises(ValueError, match="x.json"):
+        rl.load(spark, str(tmp_path / "x.json"))
