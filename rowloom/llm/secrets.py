@@ -36,12 +36,13 @@ CANDIDATE = f"[A-Za-z0-9+/=_-]{{{WINDOW},}}+"
 #: Character classes, narrowest first, and the bits per character that a window must reach.
 CLASSES = (("[0-9a-fA-F]+", 2.95), ("[0-9a-z]+|[0-9A-Z]+", 3.45), ("[0-9A-Za-z]+", 3.65), ("[A-Za-z0-9+/=_-]+", 3.85))
 #: Shapes that are random to no one: no digit, digits only, UUIDs, paths, names with a number, samples.
+#: Loops over groups are possessive, or they would recurse once per part.
 ALLOWED = (
     "[^0-9]+",
     "[0-9+/=_-]+",
     "[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    "/?[a-z0-9_-]{1,15}(/[a-z0-9_-]{1,15})+/?",
-    "[A-Za-z]+([_-][A-Za-z]+)*[_-]?[0-9]{1,4}",
+    "/?[a-z0-9_-]{1,15}(?:/[a-z0-9_-]{1,15})++/?",
+    "[A-Za-z]+(?:[_-][A-Za-z]+)*+[_-]?[0-9]{1,4}",
     "(?i).*(example|sample|placeholder|changeme|xxxx|0000).*",
 )
 

@@ -63,3 +63,12 @@ def test_entropy_and_many_matches(spark):
     long = "é12 " * 5000
     got = spark.createDataFrame([(long,)], "t string").select(matches_of(F.col("t"), "[0-9]+").alias("m")).first().m
     assert [(m.start, m.end) for m in got] == [m.span() for m in re.finditer("[0-9]+", long)]
+
+
+def test_allowed_shapes_of_many_parts(spark):
+    """Paths and names of any number of parts are known as such, without recursion."""
+    odd = "/Zk3b9QxV7tLm2Pw8RnYc4HdJ6sF"
+    runs = ["/a1" * 100_000, "/a1" * 100_000 + "/", "ab-" * 100_000 + "c12", "a_" * 100_000 + "b1234", "/a1" * 100_000 + odd]
+    rows = spark.createDataFrame([(i, t, "en", len(t), "x") for i, t in enumerate(runs)], DOCS)
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in find_secrets(rows).collect()}
+    assert spans == {0: [], 1: [], 2: [], 3: [], 4: [(0, 3, len(runs[4]), "entropy")]}
