@@ -98,7 +98,7 @@ def _votes(kind: str, m: Column) -> tuple[Column, ...]:
     text, never = m["match"], F.lit(False)
     digits, before = _digits(text), F.lower(m["before"])
     shapes = {
-        "email": (r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}$", r"\.[0-9]+$|\.\.|^[.%+-]"),
+        "email": (r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9.-]+\.[A-Za-z]{2,24}$", r"\.[0-9]+$|\.\.|^[.%+-]"),
         "ip": (r"^(?:[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}$", r"(?:^|\.)0[0-9]"),
         "card": (r"^[3-6][0-9]{3}(?:([\x20-]?)[0-9]{4}\1[0-9]{4}\1[0-9]{2,4})$", r"^[0-2789]"),
         "phone": (r"^\+[1-9][0-9]{0,2}[\x20.-]?\(?[0-9]{1,4}\)?(?:[\x20.-]?[0-9]{2,4}){1,4}$", r"\+0|[(][^)]*$"),

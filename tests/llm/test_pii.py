@@ -5,6 +5,7 @@ from collections import Counter
 from itertools import product
 
 import pytest
+from pyspark.sql import functions as F
 
 import rowloom.llm.pii as P
 from conftest import DATA
@@ -95,3 +96,13 @@ def test_whole_table(spark):
         want[r.doc_id] = (*[counts[k] for k in P.BASE], digest)
     got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in QUERIES["op8_pii"](spark, DATA).collect()}
     assert got == want
+
+
+def test_email_of_many_labels(spark):
+    """The shape vote takes a domain of any number of labels, without recursion."""
+    texts = ["x@" + "b." * 100_000 + "com", "x@" + "b." * 100_000 + "c0m", "x@b.com", "%x@b.com", "x@b.c"]
+    rows = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], DOCS)
+    found = {r.doc_id: r.c for r in rows.select("doc_id", P.candidates(F.col("text")).alias("c")).collect()}
+    assert all([(s.start, s.end, s.kind) for s in found[i]] == [(0, len(t), "email")] for i, t in enumerate(texts))
+    assert [found[i][0].votes[0] for i in range(5)] == [1, 0, 1, -1, 0]
+    assert [len(r.spans) for r in P.find_pii(rows).collect()] == [1] * 5
