@@ -23,7 +23,7 @@ from rowloom.sources.files import FileTable
 FORMATS = ("arrow", "csv", "image", "json", "parquet", "text")
 LOADERS = ("auto", "hub", *FORMATS)
 
-# File extension to format, and the compressions that may follow it.
+# File extension to format, extensions of images, and the compressions that may follow a format.
 EXTENSIONS = {
     ".arrow": "arrow",
     ".csv": "csv",
@@ -34,6 +34,7 @@ EXTENSIONS = {
     ".parquet": "parquet",
     ".txt": "text",
 }
+IMAGE_EXTENSIONS = "avif|bmp|dib|gif|heic|heif|jfif|jp2|jpe|jpeg|jpg|jxl|png|tif|tiff|webp"
 COMPRESSIONS = (".gz", ".bz2", ".zst", ".xz")
 
 #: Different layouts (headers, separators, line or document files) that one load puts together.
@@ -92,13 +93,21 @@ def read_batch(spark: SparkSession, fmt: str, paths: list[str], options: dict[st
         return scan_frame(_configured(spark.read, fmt, {**merged, **options}).load(paths))
     if fmt == "arrow":
         return _read_arrow(spark, paths, options)
-    if fmt == "image":  # a row per file, decoded by Spark's reader; other files are left out
-        files = spark.read.format("image").options(**{"dropInvalid": True, **options}).load(paths)
+    if fmt == "image":  # a row per file, decoded by Spark's reader
+        files = _decodable(spark.read.format("image").options(**options).load(paths))
         return Frame(files.select("image", F.col("_metadata.file_path").alias(FILE)), (Key(FILE),), "sorted")
     df = _united(spark, fmt, layouts_of(spark, fmt, paths, options), options)
     return Frame(_text_columns(df, fmt), LINE_ORDER, "lines", files=FileTable(list_files(spark, paths).select(FILE)))
 
 
+def _decodable(files: DataFrame) -> DataFrame:
+    """Image files that Spark's reader decodes; one that it does not is an error, other kinds of files are left out."""
+    path = F.col("_metadata.file_path")
+    named = F.lower(path).rlike(rf"\.(?:{IMAGE_EXTENSIONS})$")
+    failed = F.raise_error(F.concat(F.lit("Could not decode the image file "), path)).cast("boolean")
+    return files.where(F.when(F.col("image.height") >= 0, True).when(named, failed).otherwise(False))
+
+
 def _read_arrow(spark: SparkSession, paths: list[str], options: dict[str, Any]) -> Frame:
     files = list_files(spark, paths)
     schema = options.get("schema") or arrow_schema(files)

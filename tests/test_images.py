@@ -158,6 +158,21 @@ def test_image_reader(spark, tmp_path):
     assert list(rl.to_list(rl.load(spark, f"{tmp_path}/a.png", loader="image"))[0]) == ["image"]
 
 
+def test_undecodable_image_files(spark, tmp_path):
+    """An image file that cannot be decoded is an error with its name, whatever is asked; other files are left out."""
+    (tmp_path / "a.png").write_bytes(RGB)
+    (tmp_path / "notes.txt").write_text("no image")
+    (tmp_path / "b").write_bytes(RGB)
+    assert rl.count_rows(rl.load(spark, str(tmp_path), loader="image")) == 2
+    for name, content in (("c.JPG", RGB[: len(RGB) // 2]), ("d.webp", b"RIFF\x10\0\0\0WEBPVP8 ")):
+        (tmp_path / "more").mkdir(exist_ok=True)
+        (tmp_path / "more" / name).write_bytes(content)
+        for ask in (rl.count_rows, rl.to_list):
+            with pytest.raises(Exception, match=name):
+                ask(rl.load(spark, f"{tmp_path}/more/{name}", loader="image"))
+    assert rl.count_rows(rl.load(spark, f"{tmp_path}/more", loader="image", dropInvalid=True)) == 0
+
+
 @pytest.mark.parametrize(
     "schema", ["image binary", "image struct<bytes:binary,path:string>", "image struct<bytes:binary>"]
 )
