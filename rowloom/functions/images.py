@@ -31,7 +31,7 @@ MAGIC = {
 }
 BMP, RIFF, WEBP = "424D", "52494646", "57454250"
 
-#: Parts (chunks, blocks, tags) of a header that are looked at.
+#: Parts (chunks, blocks, tags) of a header that are looked at in one go; longer headers take several.
 HEADER_PARTS = 256
 #: Pixel samples (4 per pixel, 4 bytes each) that leave the decoder at a time.
 BATCH_SAMPLES = 1 << 22
@@ -145,8 +145,11 @@ def looks_like_image(content: Column) -> Column:
     return known | (F.startswith(head, F.lit(RIFF)) & F.endswith(head, F.lit(WEBP)))
 
 
-def _walk(start: Column, step: Callable[[Column], tuple[Column, Column, Column]]) -> Column:
-    """Follow the parts of a header: ``step(at, mode)`` gives (next place, next mode, verdict or null)."""
+def _walk(content: Column, start: Column, step: Callable[[Column], tuple[Column, Column, Column]]) -> Column:
+    """Follow the parts of a header: ``step(at, mode)`` gives (next place, next mode, verdict or null).
+
+    Every part moves on by a byte at least, so the length of the content bounds the parts.
+    """
     nothing = F.lit(None).cast("boolean")
     state = F.struct(start.cast("long").alias("at"), F.lit(0).alias("mode"), nothing.alias("found"))
 
@@ -155,8 +158,15 @@ def _walk(start: Column, step: Callable[[Column], tuple[Column, Column, Column]]
         moved = F.struct(at.cast("long").alias("at"), mode.cast("int").alias("mode"), found.alias("found"))
         return F.when(acc["found"].isNotNull(), acc).otherwise(moved)
 
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(HEADER_PARTS)), state, go)
-    return F.coalesce(walked["found"], F.lit(False))
+    def walked(acc: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(HEADER_PARTS)), acc, go)
+
+    def on(acc: Column) -> Column:
+        goes = F.sequence(F.lit(0), F.floor(F.length(content) / HEADER_PARTS))
+        rest = F.aggregate(goes, acc, lambda a, _: F.when(a["found"].isNotNull(), a).otherwise(walked(a)))
+        return F.when(acc["found"].isNotNull(), acc["found"]).otherwise(rest["found"])
+
+    return F.coalesce(F.element_at(F.transform(F.array(walked(state)), on), 1), F.lit(False))
 
 
 def _png_transparency(content: Column) -> Column:
@@ -167,7 +177,7 @@ def _png_transparency(content: Column) -> Column:
         over = (F.length(kind) < 8) | kind.isin("49444154", "49454E44")
         return at + 12 + F.coalesce(_number(content, at, 4), F.lit(0)), mode, F.when(kind == "74524E53", True).when(over, False)
 
-    return _hex(content, 25, 1).isin("04", "06") | _walk(F.lit(8), chunk)
+    return _hex(content, 25, 1).isin("04", "06") | _walk(content, F.lit(8), chunk)
 
 
 def _gif_transparency(content: Column) -> Column:
@@ -186,7 +196,7 @@ def _gif_transparency(content: Column) -> Column:
             found,
         )
 
-    return _walk(13 + F.coalesce(table, F.lit(0)), block)
+    return _walk(content, 13 + F.coalesce(table, F.lit(0)), block)
 
 
 def _webp_transparency(content: Column) -> Column:
@@ -206,7 +216,7 @@ def _tiff_transparency(content: Column) -> Column:
         alpha = F.coalesce(_number(content, at + 8, 2, little).isin(1, 2), F.lit(False))
         return at + 12, mode, F.when((at >= end) | end.isNull(), False).when(extra, alpha)
 
-    return _walk(F.coalesce(first, F.lit(0)) + 2, tag)
+    return _walk(content, F.coalesce(first, F.lit(0)) + 2, tag)
 
 
 def has_alpha(content: Column) -> Column:

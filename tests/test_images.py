@@ -139,6 +139,24 @@ def test_headers(spark, cell, alpha):
     assert tuple(row) == (True, alpha)
 
 
+def test_transparency_behind_many_parts(spark):
+    """Headers of any number of parts are followed to their end."""
+    control = {True: b"\x21\xf9\x04\x01\0\0\0\0", False: b"\x21\xf9\x04\x00\0\0\0\0"}
+    picture = b"\x2c" + bytes(9)
+    cells = []
+    for n in (1, 254, 1000, 5000):
+        for clear in (True, False):
+            comment = b"\x21\xfe" + b"\x01x" * n + b"\0"
+            cells.append((clear, b"GIF89a" + bytes(7) + comment + control[clear] + picture))
+            chunks = (struct.pack(">I", 1) + b"tEXt" + b"x" + bytes(4)) * n
+            header = b"\x89PNG\r\n\x1a\n" + struct.pack(">I", 13) + b"IHDR" + bytes(9) + b"\x03" + bytes(7)
+            cells.append((clear, header + chunks + (bytes(4) + b"tRNS" + bytes(4)) * clear + bytes(4) + b"IDAT" + bytes(4)))
+    cells.append((False, cells[-2][1][:900]))
+    df = spark.createDataFrame([(i, c) for i, (_, c) in enumerate(cells)], "i int, c binary")
+    got = {r.i: r.found for r in df.select("i", has_alpha("c").alias("found")).collect()}
+    assert got == {i: clear for i, (clear, _) in enumerate(cells)}
+
+
 def test_bmp_needs_its_size(spark):
     bmp = b"BM" + struct.pack("<I", 60) + bytes(54)
     cells = [bmp, b"BMW is a car", b"BM", bmp + b"x", b"GIF", None, b""]
