@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import chat, decontaminate, language, licenses, mixture, neighbours, pii, secrets, simhash, spans, suffix
+from rowloom.llm import (
+    chat,
+    decontaminate,
+    language,
+    licenses,
+    lines,
+    mixture,
+    neighbours,
+    phrases,
+    pii,
+    secrets,
+    simhash,
+    spans,
+    spelling,
+    suffix,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -232,3 +247,61 @@ def op5_license_scan(spark, sf_dir):
 @query()
 def op6_nearest_neighbours(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+# -- 11: line dedup ---------------------------------------------------------------------------
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
+        k AS (SELECT *, {_LOWER.format(f"trim(line, {_BLANKS})")} AS key FROM l),
+        f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key),
+        m AS (SELECT doc_id, i, line, coalesce(doc_id > first, false) AS gone FROM k LEFT JOIN f USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY doc_id"""
+)
+def op11_line_dedup(spark, sf_dir):
+    found = lines.without_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+# -- 12: phrase collocations ------------------------------------------------------------------
+
+
+@query(
+    f"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")},
+                     '[.,;:!?' || chr(10) || chr(11) || chr(12) || chr(13) || ']')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^ ' || chr(9) || ']+') AS w FROM p),
+        g AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+              FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS s(size))),
+        f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
+        total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+        c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+        cut AS (SELECT lang, phrase, a, size, w, k, array_to_string(w[:k], ' ') AS p1, array_to_string(w[k + 1:], ' ') AS p2
+                FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+        scored AS (SELECT cut.lang, cut.phrase, a, k, x.f AS l, y.f AS r,
+                     (a::HUGEINT * a * 1000000 // (x.f::HUGEINT * y.f))::BIGINT AS score
+                   FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = p1 JOIN f y ON y.lang = cut.lang AND y.phrase = p2),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        around AS (SELECT lang, phrase, max(a) AS b FROM (
+                     SELECT lang, array_to_string(w[:2], ' ') AS phrase, a FROM c WHERE size = 3
+                     UNION ALL SELECT lang, array_to_string(w[2:], ' '), a FROM c WHERE size = 3) GROUP BY ALL),
+        ranked AS (SELECT lang, phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+                   FROM best LEFT JOIN around USING (lang, phrase) WHERE b IS NULL OR 100 * b < 50 * a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+)
+def op12_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+# -- 13: spelling variants --------------------------------------------------------------------
+
+
+@query()
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
