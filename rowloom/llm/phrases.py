@@ -35,6 +35,8 @@ from rowloom.llm.common import staged
 ENDS, END = b".,;:!?\n\x0b\x0c\r", b"\xff"
 #: Bytes of text whose n-grams are counted together, and n-grams a task holds before it hands them on.
 SLICE, HELD = 8 << 20, 2 << 20
+#: Rows handed on at a time.
+ROWS = 50_000
 #: Entries of a summary.
 CAPACITY = 1 << 20
 #: Surviving hashes (8 bytes each) that are broadcast.
@@ -61,19 +63,16 @@ class Grams:
     counts: np.ndarray
 
 
-def _tokens(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    """Word numbers of the texts, -1 where a piece ends, and the words."""
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+    """Word numbers of the texts, -1 where a piece ends, and the words (binary)."""
     raw = END.join(texts).lower().translate(_TABLE).replace(END, b" " + END + b" ")
     # a view as text: the split looks at ASCII bytes only
     whole = pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([0, len(raw)], np.int64)), pa.py_buffer(raw)])
     coded = pc.ascii_split_whitespace(whole).values.dictionary_encode()
-    values = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    values = coded.dictionary.cast(pa.large_binary())
     ids = coded.indices.to_numpy().astype(np.int64)
-    for none in (b"", END):
-        if none in values:
-            at = values.index(none)
-            ids[ids == at] = -1 if none == END else -2
-    return ids[ids != -2], values
+    ids[ids == pc.index(values, END).as_py()] = -1
+    return ids[ids != pc.index(values, b"").as_py()] if pc.index(values, b"").as_py() >= 0 else ids, values
 
 
 def _grams(ids: np.ndarray, n_words: int, size: int) -> Grams:
@@ -132,7 +131,7 @@ def _counted(batches: Iterator[pa.RecordBatch], longest: int):
     for lang, texts in _slices(batches):
         ids, words = _tokens(texts)
         seed = xxhash.xxh3_64_intdigest(lang.encode())
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, seed=seed) for w in words), np.uint64, len(words))
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.as_buffer(), seed=seed) for w in words), np.uint64, len(words))
         for size in range(1, longest + 1):
             grams = _grams(ids, len(words), size)
             yield lang, words, grams, _hashes(grams, hashes)
@@ -145,7 +144,7 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    return keys[first], np.add.reduceat(counts, first, dtype=np.int64) if len(first) else counts
 
 
 @dataclass
@@ -180,21 +179,28 @@ def _local_counts(longest: int, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         room, least = 0, HELD
+        small = np.min_scalar_type(threshold)
 
-        def batch_of(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.minimum(counts, threshold).astype(np.int32))], ["hash", "n"])
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            keys, counts = _summed(*map(np.concatenate, zip(*held, strict=True)))
+            return keys, np.minimum(counts, threshold).astype(small)
+
+        def batches_of(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(keys), ROWS):
+                columns = [pa.array(keys[at : at + ROWS]), pa.array(counts[at : at + ROWS].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["hash", "n"])
 
         for _, _, grams, hashes in _counted(batches, longest):
-            held.append((hashes.view(np.int64), grams.counts))
+            held.append((hashes.view(np.int64), np.minimum(grams.counts, threshold).astype(small)))
             room += len(hashes)
             if room > 2 * least:
-                held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
+                held = [summed()]
                 room = len(held[0][0])
                 if room > least:
-                    yield batch_of(*held[0])
+                    yield from batches_of(*held[0])
                     held, room = [], 0
         if held:
-            yield batch_of(*_summed(*map(np.concatenate, zip(*held, strict=True))))
+            yield from batches_of(*summed())
 
     return run
 
@@ -231,35 +237,25 @@ def frequent_hashes(docs: DataFrame, longest: int, threshold: int, capacity: int
 
 def _exact_counts(longest: int, known):
     """Texts -> (hash, lang, phrase, words, n) of the n-grams whose hash is ``known`` (all if None), and n of each lang (words 0)."""
-    kinds = pa.schema([("hash", pa.int64()), ("lang", pa.string()), ("phrase", pa.binary()), ("words", pa.int32()), ("n", pa.int64())])
+    kinds = pa.schema([("hash", pa.int64()), ("lang", pa.string()), ("phrase", pa.large_binary()), ("words", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = known.value if known is not None else None
-        found: dict[tuple, int] = {}
-        totals: dict[str, int] = {}
-
-        def batch_of() -> pa.RecordBatch:
-            rows = [(*key, n) for key, n in found.items()] + [(None, lang, None, 0, n) for lang, n in totals.items()]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds)
-
         for lang, words, grams, hashes in _counted(batches, longest):
             size = grams.words.shape[1]
             if size == 1:
-                totals[lang] = totals.get(lang, 0) + int(grams.counts.sum())
+                total = [[None], [lang], [None], [0], [int(grams.counts.sum())]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(total, kinds, strict=True)], schema=kinds)
             h = hashes.view(np.int64)
             keep = np.arange(len(h))
             if wanted is not None:
                 at = np.searchsorted(wanted, h)
                 keep = np.flatnonzero(wanted[np.minimum(at, len(wanted) - 1)] == h) if len(wanted) else keep[:0]
-            for key, row, n in zip(h[keep].tolist(), grams.words[keep].tolist(), grams.counts[keep].tolist(), strict=True):
-                phrase = (key, lang, b" ".join([words[i] for i in row]), size)
-                found[phrase] = found.get(phrase, 0) + n
-            if len(found) > HELD // 4:
-                yield batch_of()
-                found.clear()
-                totals.clear()
-        yield batch_of()
+            for rows in np.split(keep, range(ROWS, len(keep), ROWS)):
+                parts = [words.take(pa.array(c)) for c in grams.words[rows].T]
+                phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())) if size > 1 else parts[0]
+                columns = [pa.array(h[rows]), pa.repeat(lang, len(rows)), phrase, pa.repeat(pa.scalar(size, pa.int32()), len(rows)), pa.array(grams.counts[rows])]
+                yield pa.RecordBatch.from_arrays(columns, schema=kinds)
 
     return run
 
