@@ -144,10 +144,24 @@ def _listed(spans: str) -> str:
 
 
 _ASSIGN_KEY = secrets.ASSIGN_KEY.replace("'", "''")
-_ENTROPY = f"""list_max(list_transform(range(1, length(m) - {secrets.WINDOW - 2}),
-    lambda i: list_entropy(string_split(substr(m, i, {secrets.WINDOW}), ''))))"""
-_THRESHOLD = " ".join(f"WHEN regexp_full_match(m, '{p}') THEN {bits}" for p, bits in secrets.CLASSES)
-_ALLOWED = " OR ".join(f"regexp_full_match(m, '{p}')" for p in secrets.ALLOWED)
+
+
+def _plain(pattern: str) -> str:
+    """A pattern without possessive loops over groups, which DuckDB lacks (and, not recursing, does not need)."""
+    return pattern.replace(")++", ")+").replace(")*+", ")*")
+
+
+def _any_of(value: str, patterns: tuple[str, ...]) -> str:
+    return "(" + " OR ".join(f"regexp_full_match({value}, '{_plain(p)}')" for p in patterns) + ")"
+
+
+_PARTS = f"string_split_regex(m, '{secrets.SEPARATORS}')"
+_OTHERS = f"list_filter({_PARTS}, lambda p: NOT {_any_of('p', (secrets.PLACEHOLDER,))})"
+_LEFT = f"CASE WHEN len({_OTHERS}) < len({_PARTS}) THEN array_to_string({_OTHERS}, '') ELSE m END"
+_THRESHOLD = " ".join(f"WHEN regexp_full_match(x, '{p}') THEN {bits}" for p, bits in secrets.CLASSES)
+_RANDOM = f"""NOT {_any_of("m", secrets.ALLOWED)} AND list_transform([{_LEFT}], lambda x: NOT {_any_of("x", secrets.ALLOWED)} AND
+    list_max(list_transform(range(1, length(x) - {secrets.WINDOW - 2}),
+      lambda i: list_entropy(string_split(substr(x, i, {secrets.WINDOW}), '')))) >= CASE {_THRESHOLD} END)[1]"""
 _CANDIDATES = secrets.CANDIDATE.rstrip("+")
 
 
@@ -158,7 +172,7 @@ _CANDIDATES = secrets.CANDIDATE.rstrip("+")
               UNION ALL {_sql_spans("access", 1, "AKIA[A-Z0-9]+", "length(m) >= 18")}
               UNION ALL {_sql_spans("hex", 2, "[0-9a-f]+", "length(m) >= 16")}
               UNION ALL {_sql_spans("entropy", 3, _CANDIDATES,
-                                    f"NOT ({_ALLOWED}) AND {_ENTROPY} >= CASE {_THRESHOLD} END")}),
+                                    _RANDOM)}),
         per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
                   count(*) FILTER (kind = 'hex') AS n_hex,
                   {_listed("FILTER (kind != 'entropy')")} AS base, {_listed("")} AS spans

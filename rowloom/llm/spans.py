@@ -1,4 +1,8 @@
-"""Places of pattern matches in whole texts, in DataFrame functions only (built-in regular expressions)."""
+"""Places of pattern matches in whole texts, in DataFrame functions only (built-in regular expressions).
+
+Defined results: expressions of one row each, so repeated rows get equal results, and no other column matters;
+an empty text has no matches; very long texts and any number of matches are handled whole, with work in proportion.
+"""
 
 from __future__ import annotations
 
@@ -22,34 +26,39 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _sums(values: Column) -> Column:
-    """Sums of all entries before each entry; one entry more than ``values``, the total."""
+def _before(values: Column, combine: Callable[[Column, Column], Column], zero: int) -> Column:
+    """All entries before each entry, combined; one entry more than ``values``, for all of them."""
     return F.aggregate(
         values,
-        F.array(F.lit(0)),
-        lambda acc, v: F.concat(acc, F.array(F.element_at(acc, -1) + v)),
+        F.array(F.lit(zero)),
+        lambda acc, v: F.concat(acc, F.array(combine(F.element_at(acc, -1), v))),
     )
 
 
-def running_sums(values: Column) -> Column:
-    """Sum of all entries before each entry of a bound int array."""
+def running(values: Column, combine: Callable[[Column, Column], Column], zero: int) -> Column:
+    """All entries before each entry of a bound int array, combined; ``combine`` is associative."""
     runs = F.transform(
         F.sequence(F.lit(0), F.floor((F.size(values) - 1) / RUN).cast("int")),
-        lambda j: _sums(F.slice(values, j * RUN + 1, F.lit(RUN))),
+        lambda j: _before(F.slice(values, j * RUN + 1, F.lit(RUN)), combine, zero),
     )
 
     def joined(runs: Column) -> Column:
-        offsets = _sums(F.transform(runs, lambda r: F.element_at(r, -1)))
+        offsets = _before(F.transform(runs, lambda r: F.element_at(r, -1)), combine, zero)
         shifted = F.zip_with(
             runs,
             F.slice(offsets, F.lit(1), F.size(runs)),
-            lambda r, o: F.transform(F.slice(r, F.lit(1), F.size(r) - 1), lambda x: x + o),
+            lambda r, o: F.transform(F.slice(r, F.lit(1), F.size(r) - 1), lambda x: combine(x, o)),
         )
         return F.flatten(shifted)
 
     return let(runs, joined)
 
 
+def running_sums(values: Column) -> Column:
+    """Sum of all entries before each entry of a bound int array."""
+    return running(values, lambda a, b: a + b, 0)
+
+
 def matches_of(text: Column, pattern: str) -> Column:
     """All leftmost, non-overlapping matches of ``pattern`` (never empty) in a non-null text, in order.
 
@@ -117,29 +126,54 @@ def counted(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def _merged(ordered: Column) -> Column:
+    """Maximal runs (start, end) of overlapping or touching spans, from a bound, sorted, non-empty array of them."""
+
+    def of_reach(reach: Column) -> Column:
+        pairs = F.zip_with(ordered, reach, lambda s, r: F.struct(s["start"].alias("start"), r.alias("reach")))
+        last = F.array_max(F.transform(ordered, lambda s: s["end"]))
+
+        def closed(firsts: Column) -> Column:
+            ends = F.transform(F.slice(firsts, F.lit(2), F.size(firsts) - 1), lambda x: x["reach"])
+            return F.zip_with(
+                firsts, F.concat(ends, F.array(last)), lambda x, end: F.struct(x["start"].alias("start"), end.alias("end"))
+            )
+
+        return let(F.filter(pairs, lambda x: x["start"] > x["reach"]), closed)
+
+    ends = F.transform(ordered, lambda s: s["end"])
+    return let(let(ends, lambda e: running(e, F.greatest, -1)), of_reach)
+
+
 def masked(text: Column, spans: Column, mark: str) -> Column:
-    """The text with every maximal run of overlapping or touching spans replaced by ``mark``."""
-
-    def merge(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        fresh = F.struct(s["start"].alias("start"), s["end"].alias("end"))
-        touches = (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] >= s["start"])
-        return F.when(touches, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(longer))).otherwise(
-            F.concat(acc, F.array(fresh))
-        )
+    """The text with every maximal run of overlapping or touching spans replaced by ``mark``.
+
+    Places are counted from the start of a text, so it is first cut at every ``RUN``-th run: the work for a
+    text grows with its length and spans, not with their product.  Without spans the text stays; null spans
+    or text give null.
+    """
 
     def replaced(runs: Column) -> Column:
-        kept = F.transform(
-            runs,
-            lambda r, i: F.substring(
-                text,
-                F.when(i > 0, F.get(runs, i - 1)["end"]).otherwise(0) + 1,
-                r["start"] - F.when(i > 0, F.get(runs, i - 1)["end"]).otherwise(0),
-            ),
-        )
+        def block(j: Column) -> Column:
+            own = F.slice(runs, j * RUN + 1, F.lit(RUN))
+            begin = F.when(j > 0, F.get(runs, j * RUN - 1)["end"]).otherwise(F.lit(0))
+
+            def cut(x: Column) -> Column:
+                def gap(r: Column, i: Column) -> Column:
+                    since = F.when(i > 0, F.get(x["own"], i - 1)["end"]).otherwise(x["begin"])
+                    return F.substring(x["piece"], since - x["begin"] + 1, r["start"] - since)
+
+                return F.concat(F.array_join(F.transform(x["own"], gap), mark), F.lit(mark))
+
+            def with_piece(x: Column) -> Column:
+                piece = F.substring(text, x["begin"] + 1, F.element_at(x["own"], -1)["end"] - x["begin"])
+                return let(F.struct(x["own"].alias("own"), x["begin"].alias("begin"), piece.alias("piece")), cut)
+
+            return let(F.struct(own.alias("own"), begin.alias("begin")), with_piece)
+
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(runs) - 1) / RUN).cast("int")), block)
         rest = F.substring(text, F.element_at(runs, -1)["end"] + 1, F.length(text))
-        return F.concat(F.array_join(kept, mark), F.lit(mark), rest)
+        return F.concat(F.array_join(blocks, ""), rest)
 
-    runs = F.aggregate(F.array_sort(spans), F.array().cast("array<struct<start:int,end:int>>"), merge)
-    return F.when(F.size(spans) > 0, let(runs, replaced)).otherwise(text)
+    changed = let(let(F.array_sort(spans), _merged), replaced)
+    return F.when(F.size(spans) > 0, changed).when(F.size(spans) == 0, text)
