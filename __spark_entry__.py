@@ -260,6 +260,28 @@ def load_csv_reordered_columns(spark, sf_dir):
     return out.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
 
 
+@query("SELECT event_id AS pos, event_id, event_type, value FROM events")
+def load_json_values_in_line(spark, sf_dir):
+    """Three values a line, without anything between them."""
+    path = staging_path(spark, "json") + ".json"
+    value = F.to_json(F.struct("event_id", "event_type", "value"))
+    rows = events(spark, sf_dir).rows().select("event_id", value.alias("value"))
+    lines = rows.groupBy(F.expr("event_id div 3").alias("line")).agg(F.array_sort(F.collect_list(F.struct("event_id", "value"))).alias("v"))
+    lines.orderBy("line").select(F.array_join(F.transform("v", lambda v: v["value"]), "").alias("value")).write.text(path)
+    return indexed(rl.load(spark, path, loader="json"), "event_id, event_type, value")
+
+
+@query("SELECT doc_id AS pos, doc_id, coalesce(text, '') AS text FROM documents")
+def load_csv_multiline_split(spark, sf_dir):
+    """Texts of many lines in quoted fields; files are cut by blocks."""
+    path = staging_path(spark, "csv") + ".csv"
+    kept = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows = table(spark, sf_dir, "documents").rows().select("doc_id", "text")
+    rows.orderBy("doc_id").write.options(**kept).csv(path)
+    texts = indexed(rl.load(spark, path), "doc_id, text")
+    return texts.select("pos", F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
 @query(
     """SELECT o_orderkey AS pos, o_orderkey, o_orderstatus,
               CASE WHEN 2 * o_orderkey > (SELECT max(o_orderkey) FROM orders) THEN o_totalprice END AS o_totalprice FROM orders"""

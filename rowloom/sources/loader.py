@@ -126,6 +126,8 @@ def _load_stream(spark: SparkSession, source: Source, part: SplitPart, options:
         options = {"recursiveFileLookup": "true", "pathGlobFilter": files_glob(fmt), **options}
         condition = source.holds(part.name)
     layouts = layouts_of(spark, fmt, paths, batch_options)
+    if fmt == "json" and any(x.records is not None and not x.records.single for x in layouts):
+        raise ValueError("A stream reads one JSON value per line; some lines hold more.")
     kinds = {(x.options.get("multiLine"), x.options.get("sep"), x.header) for x in layouts}
     if len(kinds) > 1:
         raise ValueError("The files of a stream must have one layout: the same header, separator and kind of JSON.")
