@@ -8,11 +8,11 @@ so nothing is missed, and no hash decides.  An item of m < ``length`` words has
 fingerprint, and documents are fingerprinted by m-grams as well for each such m in the benchmark.
 
 Documents are read three times, and only texts with a matching fingerprint are shuffled, one row per
-text however often it occurs.  Item fingerprints and windows are broadcast while they are fewer than
-``BROADCAST_ROWS`` (counted); beyond that both sides are shuffled.  Arrays are unnested by the outer
+text and task however often it occurs.  Item fingerprints, windows and the keys of such texts are broadcast while
+they are fewer than ``BROADCAST_ROWS`` (counted); beyond that both sides are shuffled.  Arrays are unnested by the outer
 form: the inner one adds a filter that computes the array a second time.
 
-Defined results: null text has no words; an empty benchmark hits nothing; a text counts by itself, so
+Defined results: null text has no words; very long texts are handled whole; an empty benchmark hits nothing; a text counts by itself, so
 repeated rows and repeated ids get equal results, a row each; items that repeat count once; an item
 without id marks words but is not listed; other columns are ignored, whatever their names.
 """
@@ -86,8 +86,8 @@ def find_windows(docs: DataFrame, items: DataFrame, length: int = 10, k: int = 7
     tokens = _tokens(docs.select(text_key(F.col("text")).alias("key"), "text"), "key")
     exploded = _with_fingerprints(tokens, length, k, short).select("key", F.explode_outer("prints").alias("print"))
     known = _bounded(prints.select("print").distinct(), rows)
-    keys = exploded.join(known, "print", "left_semi").select("key").distinct()
-    texts = docs.select(text_key(F.col("text")).alias("key"), "text").join(keys, "key", "left_semi")
+    keys = staged(exploded.join(known, "print", "left_semi").select("key").distinct(), "leaked-keys")
+    texts = docs.select(text_key(F.col("text")).alias("key"), "text").join(_bounded(keys, keys.count()), "key", "left_semi")
     texts = staged(texts.dropDuplicates(["key"]), "leaked-texts")
 
     # Where they share it, and the windows around each place.
@@ -159,4 +159,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, length: int = 10, k: in
     """The rows of ``docs``, all columns, whose text holds no window of an item."""
     rows = docs.select(text_key(F.col("text")).alias("key"), F.struct("*").alias("row"))
     found, _ = find_windows(docs, items, length, k)
-    return rows.join(found.select("key").distinct(), "key", "left_anti").select("row.*")
+    found = staged(found.select("key").distinct(), "leaks")
+    return rows.join(_bounded(found, found.count()), "key", "left_anti").select("row.*")

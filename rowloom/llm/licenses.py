@@ -5,7 +5,8 @@ A match at document word p and template word t votes for the diagonal p - t: an
 all its votes on one diagonal, a copy with a few words more or less on neighbouring ones.  Votes are
 counted per diagonal, diagonals of one template at most ``gap`` apart are merged, and a merged span
 is verified: the words of the template that its votes cover, as a share of the template, must reach the
-template's ``least`` share, and the span may be at most half as long again as the template.
+template's ``least`` share, and the span may be at most half as long again as the template.  A longer
+span is verified diagonal by diagonal, each with its neighbours, so that a repeated phrase hides no notice.
 
 A *phrase* is a template that must be matched whole on one diagonal; its places are the base result.
 
@@ -13,7 +14,8 @@ The templates are a parameter of bounded size (at most ``MOST_GRAMS`` k-grams),
 documents are not shuffled; only votes are, one row per text, template and diagonal after partial
 aggregation.  Copies of a text vote once.
 
-Defined results: a null text has no words; phrases may overlap; repeated rows get equal results, a row
+Defined results: a null text has no words; very long texts are handled whole; phrases may overlap; labels that
+tie in score are all listed; repeated rows get equal results, a row
 each; texts without a match have score 0 and no labels; an empty table gives no rows; other columns
 are ignored.
 """
@@ -125,16 +127,36 @@ def license_spans(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + N
     step = F.col("diagonal") - F.lag("diagonal").over(ordered)
     fresh = F.when(step <= F.col("gap"), 0).otherwise(1)
     merged = diagonals.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(ordered))
+    merged = merged.withColumns(
+        {"first": F.col("diagonal") + F.array_min("ats"), "end": F.col("diagonal") + F.array_max("ats")}
+    )
+    settled = ("label", "n", "k", "least", "phrase")
     spans = merged.groupBy("key", "template", "run").agg(
-        F.min(F.col("diagonal") + F.array_min("ats")).alias("first"),
-        F.max(F.col("diagonal") + F.array_max("ats")).alias("end"),
+        F.min("first").alias("first"),
+        F.max("end").alias("end"),
         F.array_distinct(F.flatten(F.collect_set("ats"))).alias("ats"),
-        *[F.first(c).alias(c) for c in ("label", "n", "k", "least", "phrase")],
+        *[F.first(c).alias(c) for c in settled],
     )
-    covered = F.size(F.array_distinct(F.flatten(F.transform("ats", lambda t: F.sequence(t, t + F.col("k") - 1)))))
-    spans = spans.withColumn("last", F.col("end") + F.col("k") - 1).withColumn("score", covered / F.col("n"))
+    spans = spans.withColumn("last", F.col("end") + F.col("k") - 1)
     short = F.col("last") - F.col("first") + 1 <= 1.5 * F.col("n")
-    return spans.where(short & (F.col("score") >= F.col("least"))).select("key", "label", "phrase", "first", "last", "score")
+    # Repeated words chain diagonals into a run that is no copy as a whole.  Then every diagonal is looked at by
+    # itself, with those at most ``gap`` away: a copy among them is on one of these.
+    chained = merged.join(spans.where(~short).select("key", "template", "run"), ["key", "template", "run"])
+    spans = spans.where(short).select("key", "template", "first", "last", "ats", *settled)
+    for gap in sorted({t.gap for t in templates if not t.phrase}):
+        near = Window.partitionBy("key", "template", "run").orderBy("diagonal").rangeBetween(-gap, gap)
+        single = chained.where(F.col("gap") == gap).select(
+            "key",
+            "template",
+            F.min("first").over(near).alias("first"),
+            (F.max("end").over(near) + F.col("k") - 1).alias("last"),
+            F.array_distinct(F.flatten(F.collect_list("ats").over(near))).alias("ats"),
+            *settled,
+        )
+        spans = spans.unionByName(single)
+    covered = F.size(F.array_distinct(F.flatten(F.transform("ats", lambda t: F.sequence(t, t + F.col("k") - 1)))))
+    spans = spans.withColumn("score", covered / F.col("n")).where(F.col("score") >= F.col("least"))
+    return spans.select("key", "label", "phrase", "first", "last", "score").distinct()
 
 
 def scan_licenses(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTICES) -> DataFrame:

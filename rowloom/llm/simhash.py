@@ -100,6 +100,8 @@ def links(nodes: DataFrame, distance: int = 2) -> DataFrame:
     path of links; every link is a linked pair.
     """
     signatures = _signatures(distance)
+    # fingerprints are narrow, and each becomes a row per signature: keep them from being merged into few tasks
+    nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "bits")
     table = F.array(*[F.struct(F.lit(i).alias("sig"), F.lit(_signed(m)).alias("mask")) for i, m, _ in signatures])
     indexed = nodes.select("bits", F.explode(table).alias("s")).select(
         F.xxhash64(F.col("s.sig"), F.col("bits").bitwiseAND(F.col("s.mask"))).alias("key"), F.col("s.sig").alias("sig"), "bits"

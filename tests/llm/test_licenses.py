@@ -62,3 +62,17 @@ def test_whole_table(spark):
 def test_templates_are_bounded(spark):
     with pytest.raises(ValueError):
         L.license_spans(spark.createDataFrame([], DOCS), (L.Template("x", "one two"),))
+
+
+def test_repeated_phrases_hide_no_notice(spark):
+    """A phrase of the notice over and over, before or behind it, chains its diagonals."""
+    for t in (L.NOTICES[5], L.NOTICES[0]):
+        tail = " ".join(t.words()[-3:]) if t.label != "mpl" else "mozilla public license"
+        notice = " ".join(t.words())
+        rows = [(1, notice), (2, notice + f" {tail}" * 10), (3, f"{tail} " * 10 + notice), (4, f"{tail} " * 5000 + notice + f" {tail}" * 5000), (5, f"{tail} " * 200)]
+        rows.append((6, "This Source Code Form is subject to the terms of the Mozilla Public License" + " mozilla public license" * 10))
+        got = {r.doc_id: r for r in found(spark, rows)}
+        for i in (1, 2, 3, 4):
+            assert t.label in got[i].labels and got[i].score == 1.0
+        assert "mpl" in got[6].labels and 0.8 < got[6].score < 1
+        assert t.label not in set(got[5].labels) - set(got[5].base_labels)
