@@ -74,8 +74,8 @@ class Frame:
     whole: bool = False
     span: tuple[int, int | None] = (0, None)
     dense_from: int | None = None
-    #: for sources that cannot prune by path themselves: read a range of files, then replay
-    reread: Callable[[str | None, str | None], DataFrame] | None = None
+    #: for sources that cannot prune by path themselves: read ranges of files (first, last), then replay
+    reread: Callable[[list[tuple[str | None, str | None]]], DataFrame] | None = None
     narrow: tuple[Callable[[DataFrame], DataFrame], ...] = ()
     bounded: bool = True
     by_file: bool = False

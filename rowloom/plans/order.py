@@ -9,7 +9,7 @@ Three tools, chosen so that no step puts data-sized work into one task:
              rows of one file, the leading bits of a hash) and bucket offsets are joined on the same
              partitioning, so there is a single exchange of the rows.
 * ``settle`` writes rows once in order, for orders whose ranks cannot be derived from the data
-             (text formats, dense numbers of a sort).  Cuts of a sort sort its keys only.
+             (text formats, dense numbers of a sort).  Cuts of a sort count rows around its keys (``selection``).
 
 One task totals a table of row counts: one small row per bucket, or per group of some thousand buckets
 when there are many.
@@ -19,26 +19,24 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_right
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
-from itertools import accumulate
 from typing import Any
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from rowloom.frame import FILE, HASH, HIDDEN, LINE, POS, ROW, Frame, Key, quoted
+from rowloom.plans.selection import comparable, keys_at_ranks, keys_only, shown_keys, within
 from rowloom.plans.staging import staging_path
 from rowloom.sources.files import FileTable
 
 #: Rows per bucket: at most this many, fewer when rows are wide.
 BUCKET_ROWS, MIN_BUCKET_ROWS, BUCKET_BYTES = 1 << 20, 1 << 12, 32 << 20
-#: Ranks of a sort that a top-k finds; beyond it the order keys alone are sorted.  The rows are the same.
+#: Ranks of a sort that a top-k finds; others are looked up by counting.  The rows are the same.
 TOP_K = 1000
 #: Rows that all tasks of a top-k may hand to its final task, and the usual size of a scan task.
 FAN_IN_ROWS, TASK_BYTES = 5_000_000, 128 << 20
@@ -259,7 +257,7 @@ def _within(frame: Frame, low: tuple[Any, ...] | None, high: tuple[Any, ...] | N
     if low or high:
         frame = with_rows(frame)
     if frame.reread is not None and (low or high):
-        df = frame.reread(low[0] if low else None, high[0] if high else None)
+        df = frame.reread([(low[0] if low else None, high[0] if high else None)])
         frame = replace(frame, df=reduce(lambda d, change: change(d), frame.narrow, df))
     for condition in _between(frame, low, high):
         frame = frame.narrowed(lambda df, c=condition: df.filter(c))
@@ -329,8 +327,10 @@ def cuts_of_total(
     frame: Frame, ranges_of: Callable[[int], list[tuple[int, int | None]]], total: int | None = None
 ) -> list[Frame]:
     """Cuts whose ranges depend on the number of rows, which is counted in the same pass."""
-    if frame.kind == "sorted" and _comparable(frame):
-        return cuts(frame, ranges_of(frame.df.count() if total is None else total))
+    if frame.kind == "sorted" and comparable(frame):
+        if total is None:
+            total = _COUNTS[frame.df] = frame.df.count()
+        return cuts(frame, ranges_of(total))
     if frame.kind in ("sorted", "lines"):
         frame = settle(frame)
     if total is not None or frame.whole:
@@ -358,7 +358,7 @@ def cuts(frame: Frame, ranges: list[tuple[int, int | None]], counts: DataFrame |
         if len(ranges) == 1 and ranges[0][0] == 0 and ends[0] is not None and ends[0] <= TOP_K:
             frame = with_lines(frame) if frame.kind == "lines" else frame
             return [frame.rebuilt(_top(frame, ends[0]), kind="sorted")]
-        if frame.kind == "sorted" and _comparable(frame):
+        if frame.kind == "sorted" and comparable(frame):
             return _sorted_cuts(frame, ranges)
         return cuts(settle(frame), ranges)
     ranks = sorted({r for lo, hi in ranges for r in (lo, hi) if r is not None and r > 0})
@@ -376,74 +376,22 @@ def cuts(frame: Frame, ranges: list[tuple[int, int | None]], counts: DataFrame |
 # -- ranks of a sort ----------------------------------------------------------------------
 
 
-def _comparable(frame: Frame) -> bool:
-    """Whether all order keys are single values, which a filter can be compared with."""
-    kinds = (T.StringType, T.BinaryType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    return all(isinstance(frame.df.schema[k.name].dataType, kinds) for k in frame.order)
-
-
-def _portable(col: Column, dtype: T.DataType) -> Column:
-    """A key in a form that comes back from the driver unchanged, whatever the time zones."""
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(col)
-    return col.cast("string") if isinstance(dtype, T.TimestampNTZType) else col
-
-
-def _literal(value: Any, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.TimestampType):
-        return F.timestamp_micros(F.lit(value))
-    return F.lit(bytes(value) if isinstance(value, bytearray) else value).cast(dtype)
-
-
 def _sorted_keys_at(frame: Frame, ranks: list[int]) -> list[tuple[Any, ...] | None]:
     """Order keys of the rows at ``ranks``; None beyond the last row.  Rows are neither moved nor written.
 
-    Small ranks take a top-k of the keys.  Otherwise the keys alone are sorted, and rows are counted per
-    sorted partition.
+    Small ranks take a top-k of the keys.  Other keys are found by counting (``selection``).
     """
-    types = [frame.df.schema[k.name].dataType for k in frame.order]
-    shown = [_portable(quoted(k.name), t).alias(f"{HIDDEN}k{i}") for i, (k, t) in enumerate(zip(frame.order, types, strict=True))]
-    keys = replace(frame, df=frame.df.select(*[quoted(n) for n in frame.order_names]))
     if max(ranks) <= TOP_K:
-        rows = _top(keys, max(ranks) + 1).select(*shown).collect()
+        head = replace(frame, df=_top(keys_only(frame), max(ranks) + 1))
+        rows = head.df.select(*shown_keys(head)).collect()
         return [tuple(rows[r]) if r < len(rows) else None for r in ranks]
-    part, place = HIDDEN + "part", HIDDEN + "place"
-    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ordered = keys.df.orderBy(*keys.sort_columns()).select(*shown, F.spark_partition_id().alias(part), inside.alias(place))
-    ordered = ordered.persist()
-    try:
-        counts = sorted(tuple(r) for r in ordered.groupBy(part).count().collect())  # one row per partition
-        starts = [0, *accumulate(n for _, n in counts)]
-        at = {}
-        for rank in ranks:
-            if rank < starts[-1]:
-                i = bisect_right(starts, rank) - 1
-                at[counts[i][0], rank - starts[i]] = rank
-        hit = [(F.col(part) == p) & (F.col(place) == n) for p, n in at]
-        rows = ordered.filter(reduce(lambda a, b: a | b, hit, F.lit(False))).collect()
-        found = {at[r[part], r[place]]: tuple(r)[: len(shown)] for r in rows}
-    finally:
-        ordered.unpersist()
+    total = _COUNTS.get(frame.df)
+    if total is None:
+        total = _COUNTS[frame.df] = frame.df.count()
+    found = keys_at_ranks(frame, ranks, total)
     return [found.get(r) for r in ranks]
 
 
-def _before(frame: Frame, values: tuple[Any, ...]) -> Column:
-    """Whether a row comes before the row with the order keys ``values``."""
-    condition = F.lit(False)
-    for key, value in reversed([*zip(frame.order, values, strict=True)]):
-        col, dtype = quoted(key.name), frame.df.schema[key.name].dataType
-        floats = isinstance(dtype, (T.FloatType, T.DoubleType))
-        if value is None:  # nulls are last, so all others come before
-            condition = col.isNotNull() | condition
-            continue
-        literal = _literal(value, dtype)
-        less = col > literal if key.descending else col < literal
-        if key.descending and key.nan_last and floats:
-            less = col.isNotNull() & ~F.isnan(col) if math.isnan(value) else less & ~F.isnan(col)
-        condition = F.coalesce(less, F.lit(False)) | (col.eqNullSafe(literal) & condition)
-    return condition
-
-
 def _sorted_cuts(frame: Frame, ranges: list[tuple[int, int | None]]) -> list[Frame]:
     """Cuts of a sort as filters on its keys, which stay lazy."""
     ranks = sorted({r for lo, hi in ranges for r in (lo, hi) if r})
@@ -453,12 +401,7 @@ def _sorted_cuts(frame: Frame, ranges: list[tuple[int, int | None]]) -> list[Fra
         if hi is not None and hi <= lo or lo > 0 and at[lo] is None:
             out.append(frame.filtered(F.lit(False)))
             continue
-        piece = frame
-        if lo > 0:
-            piece = piece.filtered(~_before(frame, at[lo]))
-        if hi and at[hi] is not None:
-            piece = piece.filtered(_before(frame, at[hi]))
-        out.append(piece)
+        out.append(within(frame, at[lo] if lo > 0 else None, at[hi] if hi else None))
     return out
 
 
@@ -501,6 +444,24 @@ def _cut_whole(frame: Frame, lo: int, hi: int | None) -> Frame:
     return replace(_scan_range(frame, a, b), span=(a, b))
 
 
+def touching(frame: Frame, ranges: list[range], low: int) -> Frame:
+    """Leave out files of a run of a scan that hold no row of ``ranges``, whose smallest index is ``low``.
+
+    Only for a frame that is numbered next: positions still count the rows left out.
+    """
+    if not (frame.whole and frame.files is not None and frame.kind == "files"):
+        return frame
+    first = frame.span[0] - low
+    runs = frame.files.runs([(first + min(r[0], r[-1]), first + max(r[0], r[-1]), abs(r.step)) for r in ranges])
+    if len(runs) <= 1:
+        return frame  # the cut is as narrow
+    frame = with_rows(frame)
+    if frame.reread is not None:
+        return replace(frame, df=reduce(lambda d, change: change(d), frame.narrow, frame.reread(runs)))
+    hit = reduce(lambda a, b: a | b, [F.col(FILE).between(first, last) for first, last in runs])
+    return frame.narrowed(lambda df: df.filter(hit))
+
+
 def _cut_dense(frame: Frame, a: int, b: int | None) -> Frame:
     df = frame.df.filter(F.col(POS) >= F.lit(a))
     if b is not None:

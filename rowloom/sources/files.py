@@ -14,6 +14,8 @@ from rowloom.frame import FILE, ROW
 
 #: Largest file table sent to every executor.  Beyond it the offsets are joined by shuffle.
 BROADCAST_BYTES = 64 << 20
+#: Ranges of paths that one filter lists; with more, it lets some files pass that are not needed.
+MOST_RUNS = 256
 
 
 class FileTable:
@@ -106,6 +108,31 @@ class FileTable:
         i = bisect_right(self.starts, position)
         return self.starts[i] if i < len(self.starts) else self._rows
 
+    def runs(self, slices: list[tuple[int, int, int]]) -> list[tuple[str, str]]:
+        """(first, last) path of the runs of files with a row of ``slices`` (first, last position, step).
+
+        At most ``MOST_RUNS``: beyond them, runs with the fewest files between them are joined.
+        """
+        self.reach(max(last for _, last, _ in slices))
+        touched: list[tuple[int, int]] = []
+        for first, last, step in slices:
+            a, b = bisect_right(self.starts, first) - 1, bisect_right(self.starts, last) - 1
+            # a step longer than the rows of many files passes over some of them
+            stops = range(first, last + 1, step)
+            if step > 1 and len(stops) <= b - a:
+                touched += [(i, i) for i in (bisect_right(self.starts, p) - 1 for p in stops)]
+            else:
+                touched.append((a, b))
+        merged: list[list[int]] = []
+        for a, b in sorted(touched):
+            if merged and a <= merged[-1][1] + 1:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        gaps = sorted(range(1, len(merged)), key=lambda i: merged[i - 1][1] - merged[i][0])
+        cuts = [0, *sorted(gaps[: MOST_RUNS - 1]), len(merged)]
+        return [(self._paths[merged[i][0]], self._paths[merged[j - 1][1]]) for i, j in zip(cuts, cuts[1:], strict=False)]
+
     def with_position(self, df: DataFrame, name: str, end: int | None = None) -> DataFrame:
         """Add the global position as ``name`` to rows that carry FILE and ROW.
 

@@ -122,16 +122,15 @@ def _read_arrow(spark: SparkSession, paths: list[str], options: dict[str, Any])
     files = list_files(spark, paths)
     schema = options.get("schema") or arrow_schema(files)
 
-    def rows(first: str | None, last: str | None) -> DataFrame:
-        chosen = files
-        if first is not None:
-            chosen = chosen.filter(F.col(FILE) >= first)
-        if last is not None:
-            chosen = chosen.filter(F.col(FILE) <= last)
-        return arrow_rows(chosen, schema, options.get("columns"))
+    def rows(ranges: list[tuple[str | None, str | None]]) -> DataFrame:
+        wanted = F.lit(False)
+        for first, last in ranges:
+            inside = F.lit(True) if first is None else F.col(FILE) >= first
+            wanted = wanted | (inside if last is None else inside & (F.col(FILE) <= last))
+        return arrow_rows(files.filter(wanted), schema, options.get("columns"))
 
     table = FileTable(arrow_counts(files))
-    return Frame(rows(None, None), (Key(FILE), Key(ROW)), "files", files=table, whole=True, reread=rows)
+    return Frame(rows([(None, None)]), (Key(FILE), Key(ROW)), "files", files=table, whole=True, reread=rows)
 
 
 def read_stream(spark: SparkSession, fmt: str, path: str, schema: T.StructType, options: dict[str, Any]) -> Frame:

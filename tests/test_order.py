@@ -315,3 +315,29 @@ def test_only_the_first_files_are_counted(spark, tmp_path):
     assert rl.count_rows(frame) == 300 and ids(rl.skip_rows(frame, 290)) == list(range(290, 300))
     assert ids(rl.take_rows(frame, 999)) == list(range(300)) and ids(rl.skip_rows(frame, 300)) == []
     assert rl.count_rows(rl.take_rows(frame, 999)) == 300
+
+
+def opened(df):
+    return {r.f.rsplit("/", 2)[-2] for r in df.selectExpr("input_file_name() AS f").distinct().collect()}
+
+
+def test_far_indices_open_only_their_files(spark, tmp_path, monkeypatch):
+    from rowloom.sources import files
+
+    for i in range(20):
+        rows = spark.range(i * 50, i * 50 + 50).withColumnRenamed("id", "event_id")
+        rows.coalesce(1).write.parquet(f"{tmp_path}/{i:02d}")
+    frame = rl.load(spark, f"{tmp_path}/*/*.parquet")
+    far = rl.select_rows(frame, "5, 994, 5")
+    assert ids(far) == [5, 994, 5] and far.df.rdd.getNumPartitions() <= 2
+    assert opened(far.df) == {"00", "19"}
+    steps = rl.select_rows(frame, "990:100:-300, 1:999:450")
+    assert ids(steps) == [990, 690, 390, 1, 451, 901] and opened(steps.df) == {"00", "07", "09", "13", "18", "19"}
+    late = rl.select_rows(rl.skip_rows(frame, 120), "3, 700, 0")
+    assert ids(late) == [123, 820, 120] and opened(late.df) == {"02", "16"}
+    monkeypatch.setattr(files, "MOST_RUNS", 2)
+    many = rl.select_rows(frame, ", ".join(str(i) for i in (0, 110, 120, 240, 980)))
+    assert ids(many) == [0, 110, 120, 240, 980] and opened(many.df) == {"00", "02", "04", "19"}
+    assert len(frame.files.runs([(0, 0, 1), (110, 110, 1), (240, 240, 1), (980, 980, 1)])) == 2
+    listed = rl.select_rows(rl.filter_rows(frame, "event_id", ">=", "10"), "0, 900, 1")
+    assert ids(listed) == [10, 910, 11]
