@@ -152,7 +152,7 @@ def load_text(spark, sf_dir):
     return indexed(rl.load(spark, path), "text")
 
 
-def write_arrow(df: DataFrame, folder: str) -> None:
+def write_arrow(df: DataFrame, folder: str, layout=pa.ipc.new_file) -> None:
     """One Arrow IPC file per partition, named by partition so that path order is row order."""
     filesystem, target = fs.FileSystem.from_uri(folder if "://" in folder else urlparse(folder).path)
     filesystem.create_dir(target)
@@ -165,7 +165,7 @@ def write_arrow(df: DataFrame, folder: str) -> None:
         for batch in batches:
             if writer is None:
                 sink = filesystem.open_output_stream(f"{target}/part-{part:05d}.arrow")
-                writer = pa.ipc.new_file(sink, batch.schema)
+                writer = layout(sink, batch.schema)
             writer.write_batch(batch)
         if writer is not None:
             writer.close()
@@ -175,6 +175,20 @@ def write_arrow(df: DataFrame, folder: str) -> None:
     df.mapInArrow(write, "part bigint").count()
 
 
+@query(
+    """SELECT pos, o_orderkey FROM (
+         SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, o_orderkey FROM orders WHERE o_orderstatus <> 'F')
+       WHERE pos >= 200"""
+)
+def load_arrow_stream_layout(spark, sf_dir):
+    """Files in the stream layout, read in runs; one column for a filter and one for the result are read."""
+    folder = staging_path(spark, "arrow")
+    write_arrow(orders(spark, sf_dir).rows(), folder, pa.ipc.new_stream)
+    frame = rl.filter_rows(rl.load(spark, f"{folder}/*.arrow"), "o_orderstatus", "!=", "F")
+    numbered = rl.map_column(rl.select_columns(frame, "o_orderkey"), "pos", "row index")
+    return rl.to_data_list(rl.select_columns(rl.skip_rows(numbered, 200), "pos, o_orderkey"))
+
+
 @query("SELECT o_orderkey AS pos, o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def load_arrow(spark, sf_dir):
     folder = staging_path(spark, "arrow")
@@ -645,6 +659,20 @@ def select_rows_mixed(spark, sf_dir):
     return indexed(rl.select_rows(events(spark, sf_dir), "7, 3, 3, 90:50:-10, 500::2"), "event_id")
 
 
+@query(
+    """SELECT CASE place WHEN 5 THEN 1 WHEN n - 5 THEN 0 ELSE 2 + (place - 9) // (n // 2) END AS pos, event_id, value
+       FROM (SELECT event_id, value, row_number() OVER (ORDER BY event_id) - 1 AS place, count(*) OVER () AS n FROM events)
+       WHERE place IN (5, n - 5) OR place >= 9 AND place < n - 9 AND (place - 9) % (n // 2) = 0"""
+)
+def select_rows_far(spark, sf_dir):
+    """Rows far apart: only the files that hold them are opened."""
+    folder = staging_path(spark, "far")
+    events(spark, sf_dir).rows().write.option("maxRecordsPerFile", 500).parquet(folder)
+    frame = rl.load(spark, f"{folder}/*.parquet")
+    n = rl.count_rows(frame)
+    return indexed(rl.select_rows(frame, f"{n - 5}, 5, 9:{n - 9}:{n // 2}"), "event_id, value")
+
+
 @query("SELECT (o_orderkey - 100) // 3 AS pos, o_orderkey FROM orders WHERE o_orderkey >= 100 AND o_orderkey % 3 = 1")
 def select_rows_slice(spark, sf_dir):
     return indexed(rl.select_rows(orders(spark, sf_dir), "100::3"), "o_orderkey")

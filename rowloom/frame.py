@@ -8,8 +8,9 @@ Catalyst prunes them whenever an operator does not need the order.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
+from functools import reduce
 from typing import TYPE_CHECKING, Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +56,20 @@ class Key:
 KINDS = ("files", "position", "hash", "sorted", "lines")
 
 
+@dataclass(frozen=True)
+class Reread:
+    """What is read of a source: ranges of files by path (first, last) and columns (None: all)."""
+
+    read: Callable[[tuple[tuple[str | None, str | None], ...], frozenset[str] | None], DataFrame]
+    ranges: tuple[tuple[str | None, str | None], ...] = ((None, None),)
+    columns: frozenset[str] | None = None
+    #: user columns that the changes so far refer to; None when that is not known
+    used: frozenset[str] | None = frozenset()
+
+    def rows(self) -> DataFrame:
+        return self.read(self.ranges, self.columns)
+
+
 @dataclass(frozen=True)
 class Frame:
     """An ordered dataset.
@@ -74,8 +89,8 @@ class Frame:
     whole: bool = False
     span: tuple[int, int | None] = (0, None)
     dense_from: int | None = None
-    #: for sources that cannot prune by path themselves: read ranges of files (first, last), then replay
-    reread: Callable[[list[tuple[str | None, str | None]]], DataFrame] | None = None
+    #: for sources that cannot prune files and columns themselves: read less, then replay ``narrow``
+    reread: Reread | None = None
     narrow: tuple[Callable[[DataFrame], DataFrame], ...] = ()
     bounded: bool = True
     by_file: bool = False
@@ -99,18 +114,33 @@ class Frame:
     def sort_columns(self) -> list[Column]:
         return [c for k in self.order for c in k.sort_columns()]
 
-    def narrowed(self, change: Callable[[DataFrame], DataFrame], **fields: Any) -> Frame:
-        """Apply a row-wise change (a filter or a projection) to the DataFrame."""
-        narrow = (*self.narrow, change) if self.reread else ()
-        return replace(self, df=change(self.df), narrow=narrow, **fields)
+    def narrowed(
+        self, change: Callable[[DataFrame], DataFrame], uses: Iterable[str] | None = None, **fields: Any
+    ) -> Frame:
+        """Apply a row-wise change (a filter or a projection) to the DataFrame; ``uses`` are its user columns."""
+        if self.reread is not None:
+            used = None if uses is None or self.reread.used is None else self.reread.used.union(uses)
+            fields = {"reread": replace(self.reread, used=used), "narrow": (*self.narrow, change), **fields}
+        return replace(self, df=change(self.df), **fields)
+
+    def reading(self, **changes: Any) -> Frame:
+        """Read other files or columns of the source, and replay the changes."""
+        reread = replace(self.reread, **changes)
+        return replace(self, reread=reread, df=reduce(lambda df, change: change(df), self.narrow, reread.rows()))
+
+    def pruned(self, columns: Iterable[str]) -> Frame:
+        """Before a projection to ``columns``: read no other columns but those used so far."""
+        if self.reread is None or self.reread.used is None:
+            return self
+        return self.reading(columns=self.reread.used.union(columns))
 
     def rebuilt(self, df: DataFrame, **fields: Any) -> Frame:
         """Replace the DataFrame by one that is no longer row by row the scan."""
         return replace(self, df=df, reread=None, narrow=(), **fields)
 
-    def filtered(self, condition: Column) -> Frame:
+    def filtered(self, condition: Column, uses: Iterable[str] | None = None) -> Frame:
         """Keep some rows; the order keys stay valid but ranks are no longer literal."""
-        return self.narrowed(lambda df: df.filter(condition), whole=False, dense_from=None)
+        return self.narrowed(lambda df: df.filter(condition), uses, whole=False, dense_from=None)
 
     def rows(self) -> DataFrame:
         """User columns in row order."""

@@ -18,7 +18,7 @@ from rowloom.streaming.steps import index_step, on_streams
 COLUMN_OPERATIONS = ("constant", "copy column", "row index")
 
 
-def _keep(frame: Frame, columns: list[Column], dropped: list[str]) -> Frame:
+def _keep(frame: Frame, columns: list[Column], dropped: list[str], uses: list[str] | None = None) -> Frame:
     """Project to ``columns``; a dropped column that defines the order is kept hidden."""
     order, hidden = [], []
     for key in frame.order:
@@ -29,14 +29,15 @@ def _keep(frame: Frame, columns: list[Column], dropped: list[str]) -> Frame:
         else:
             order.append(key)
     hidden += [quoted(c) for c in frame.df.columns if c.startswith(HIDDEN)]
-    return frame.narrowed(lambda df: df.select(*columns, *hidden), order=tuple(order))
+    return frame.narrowed(lambda df: df.select(*columns, *hidden), uses, order=tuple(order))
 
 
 @on_streams()
 def select_columns(frame: Frame, columns: str) -> Frame:
     """Keep the comma-separated ``columns``, in the listed order."""
     names = require_columns(require_frame(frame), columns)
-    return _keep(frame, [quoted(c) for c in names], [c for c in frame.columns if c not in names])
+    dropped = [c for c in frame.columns if c not in names]
+    return _keep(frame.pruned(names), [quoted(c) for c in names], dropped, names)
 
 
 @on_streams()
@@ -46,7 +47,7 @@ def remove_columns(frame: Frame, columns: str) -> Frame:
     left = [c for c in frame.columns if c not in names]
     if not left:
         raise ValueError("Removing every column would leave an empty dataset.")
-    return _keep(frame, [quoted(c) for c in left], names)
+    return _keep(frame.pruned(left), [quoted(c) for c in left], names, left)
 
 
 @on_streams()

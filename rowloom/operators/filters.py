@@ -14,4 +14,4 @@ def filter_rows(frame: Frame, column: str, operator: str, value: str = "") -> Fr
     require_frame(frame)
     name = require_column(frame, column)
     dtype = frame.df.schema[name].dataType
-    return frame.filtered(predicate(quoted(name), dtype, name, operator, value))
+    return frame.filtered(predicate(quoted(name), dtype, name, operator, value), uses=[name])

@@ -257,10 +257,10 @@ def _within(frame: Frame, low: tuple[Any, ...] | None, high: tuple[Any, ...] | N
     if low or high:
         frame = with_rows(frame)
     if frame.reread is not None and (low or high):
-        df = frame.reread([(low[0] if low else None, high[0] if high else None)])
-        frame = replace(frame, df=reduce(lambda d, change: change(d), frame.narrow, df))
+        first, last = frame.reread.ranges[0][0], frame.reread.ranges[-1][1]
+        frame = frame.reading(ranges=((low[0] if low else first, high[0] if high else last),))
     for condition in _between(frame, low, high):
-        frame = frame.narrowed(lambda df, c=condition: df.filter(c))
+        frame = frame.narrowed(lambda df, c=condition: df.filter(c), uses=())
     return frame
 
 
@@ -366,7 +366,7 @@ def cuts(frame: Frame, ranges: list[tuple[int, int | None]], counts: DataFrame |
     out = []
     for lo, hi in ranges:
         if hi is not None and hi <= lo or lo > 0 and at[lo] is None:
-            out.append(frame.filtered(F.lit(False)))
+            out.append(frame.filtered(F.lit(False), uses=()))
             continue
         piece = _within(frame, at[lo] if lo > 0 else None, at[hi] if hi is not None else None)
         out.append(replace(piece, whole=False, dense_from=None))
@@ -399,7 +399,7 @@ def _sorted_cuts(frame: Frame, ranges: list[tuple[int, int | None]]) -> list[Fra
     out = []
     for lo, hi in ranges:
         if hi is not None and hi <= lo or lo > 0 and at[lo] is None:
-            out.append(frame.filtered(F.lit(False)))
+            out.append(frame.filtered(F.lit(False), uses=()))
             continue
         out.append(within(frame, at[lo] if lo > 0 else None, at[hi] if hi else None))
     return out
@@ -440,7 +440,7 @@ def _cut_whole(frame: Frame, lo: int, hi: int | None) -> Frame:
     ends = [e for e in (last, None if hi is None else first + hi) if e is not None]
     b = min(ends, default=None)
     if b is not None and a >= b or not frame.files.reach(a):
-        return replace(frame.filtered(F.lit(False)), whole=True, span=(a, a))
+        return replace(frame.filtered(F.lit(False), uses=()), whole=True, span=(a, a))
     return replace(_scan_range(frame, a, b), span=(a, b))
 
 
@@ -457,7 +457,7 @@ def touching(frame: Frame, ranges: list[range], low: int) -> Frame:
         return frame  # the cut is as narrow
     frame = with_rows(frame)
     if frame.reread is not None:
-        return replace(frame, df=reduce(lambda d, change: change(d), frame.narrow, frame.reread(runs)))
+        return frame.reading(ranges=tuple(runs))
     hit = reduce(lambda a, b: a | b, [F.col(FILE).between(first, last) for first, last in runs])
     return frame.narrowed(lambda df: df.filter(hit))
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.frame import BLOCK, FILE, LINE, ROW, Frame, Key, quoted
+from rowloom.frame import BLOCK, FILE, LINE, ROW, Frame, Key, Reread, quoted
 from rowloom.plans.order import scan_frame
 from rowloom.plans.staging import staging_path
 from rowloom.sources.arrow_ipc import arrow_counts, arrow_rows, arrow_schema
@@ -122,15 +122,18 @@ def _read_arrow(spark: SparkSession, paths: list[str], options: dict[str, Any])
     files = list_files(spark, paths)
     schema = options.get("schema") or arrow_schema(files)
 
-    def rows(ranges: list[tuple[str | None, str | None]]) -> DataFrame:
+    size = files.agg(F.sum("length")).first()[0] or 0
+    limit = options.get("columns")
+
+    def read(ranges: tuple[tuple[str | None, str | None], ...], columns: frozenset[str] | None) -> DataFrame:
         wanted = F.lit(False)
         for first, last in ranges:
             inside = F.lit(True) if first is None else F.col(FILE) >= first
             wanted = wanted | (inside if last is None else inside & (F.col(FILE) <= last))
-        return arrow_rows(files.filter(wanted), schema, options.get("columns"))
+        return arrow_rows(files.filter(wanted), schema, limit if columns is None else columns, size)
 
-    table = FileTable(arrow_counts(files))
-    return Frame(rows([(None, None)]), (Key(FILE), Key(ROW)), "files", files=table, whole=True, reread=rows)
+    reread = Reread(read)
+    return Frame(reread.rows(), (Key(FILE), Key(ROW)), "files", files=FileTable(arrow_counts(files)), whole=True, reread=reread)
 
 
 def read_stream(spark: SparkSession, fmt: str, path: str, schema: T.StructType, options: dict[str, Any]) -> Frame:

@@ -434,3 +434,81 @@ def test_json_behind_a_document_is_an_error(spark, tmp_path, text):
     (tmp_path / "x.json").write_text(text)
     with pytest.raises(ValueError, match="x.json"):
         rl.load(spark, str(tmp_path / "x.json"))
+
+
+class Counting:
+    """An input file that counts the bytes read of it."""
+
+    def __init__(self, path):
+        self.file, self.bytes, self.closed = open(path, "rb"), 0, False
+
+    def read(self, n=-1):
+        data = self.file.read(n)
+        self.bytes += len(data)
+        return data
+
+    def __getattr__(self, name):
+        return getattr(self.file, name)
+
+
+@pytest.mark.parametrize("stream", [False, True])
+def test_arrow_rows_are_counted_without_bodies(tmp_path, stream):
+    from rowloom.sources import arrow_ipc
+
+    write_arrow(tmp_path / "a.arrow", [{"id": i, "text": "x" * 500} for i in range(9000)], 1000, stream)
+    size = (tmp_path / "a.arrow").stat().st_size
+    spy = Counting(tmp_path / "a.arrow")
+    headers, seekable = arrow_ipc._batch_headers(pa.PythonFile(spy, "r"))
+    assert [h.rows for h in headers] == [1000] * 9 and seekable and spy.bytes < size / 100
+    if not stream:
+        spy = Counting(tmp_path / "a.arrow")
+        run = {"first": 2, "batches": 3, "at": 0}
+        batches = [*arrow_ipc._run_batches(pa.PythonFile(spy, "r"), run, ["id"])]
+        assert [b["id"][0].as_py() for b in batches] == [2000, 3000, 4000] and spy.bytes < size / 30
+
+
+def test_arrow_layouts_that_must_be_read_from_the_start(spark, tmp_path, monkeypatch):
+    """Dictionaries, compression, columns without values, empty batches and files; a damaged file is an error."""
+    from rowloom.sources import arrow_ipc
+
+    monkeypatch.setattr(arrow_ipc, "RUN_ROWS", 5)
+    words = pa.array([f"w{i % 7}" for i in range(60)])
+    table = pa.table({"id": range(60), "word": words.dictionary_encode(), "none": pa.nulls(60)})
+    for name, make in (("a", pa.ipc.new_stream), ("b", pa.ipc.new_file)):
+        options = pa.ipc.IpcWriteOptions(compression="zstd" if name == "b" else None)
+        with make(str(tmp_path / f"{name}.arrow"), table.schema, options=options) as writer:
+            writer.write_table(table, max_chunksize=4)
+            writer.write_table(table.slice(0, 0))
+    with pa.ipc.new_file(str(tmp_path / "c.arrow"), table.schema):
+        pass
+    frame = rl.load(spark, f"{tmp_path}/*.arrow")
+    assert rl.count_rows(frame) == 120
+    kept = rl.select_columns(frame, "id, word")
+    assert [(r["id"], r["word"]) for r in rl.to_list(kept)] == [(i, f"w{i % 7}") for i in range(60)] * 2
+    assert rl.to_list(rl.select_rows(kept, "119, 3"), "id") == [59, 3]
+    raw = (tmp_path / "b.arrow").read_bytes()
+    (tmp_path / "b.arrow").write_bytes(raw[: len(raw) // 2])
+    with pytest.raises(Exception, match="footer is damaged|Not an Arrow file"):
+        rl.count_rows(rl.load(spark, f"{tmp_path}/*.arrow"))
+
+
+def test_arrow_reads_only_needed_columns(spark, tmp_path):
+    rows = [{"a": i, "b": str(i), "c": -i, "d": i / 2} for i in range(50)]
+    write_arrow(tmp_path / "1.arrow", rows[:30], 8, False)
+    write_arrow(tmp_path / "2.arrow", rows[30:], 8, True)
+    frame = rl.load(spark, f"{tmp_path}/*.arrow")
+
+    def read_columns(some):
+        text = some.unordered_rows()._jdf.queryExecution().executedPlan().toString()
+        (node,) = {line.split("MapInArrow")[1] for line in text.splitlines() if "MapInArrow" in line}
+        return {name for name in "abcd" if f" {name}#" in node.replace("[", " ").replace(",", " ")}
+
+    assert read_columns(frame) == set("abcd")
+    assert read_columns(rl.select_columns(frame, "b")) == {"b"}
+    chain = rl.remove_columns(rl.take_rows(rl.skip_rows(rl.filter_rows(frame, "c", "<", "-9"), 5), 22), "c, d")
+    assert read_columns(chain) == set("abc")
+    assert rl.to_list(chain) == [{"a": i, "b": str(i)} for i in range(15, 37)]
+    again = rl.select_columns(rl.rename_column(rl.select_columns(frame, "a, b"), "a", "z"), "z")
+    assert read_columns(again) == {"a", "b"} and rl.to_list(again, "z") == list(range(50))
+    late = rl.select_columns(rl.skip_rows(frame, 35), "d")
+    assert read_columns(late) == {"d"} and rl.to_list(late, "d") == [i / 2 for i in range(35, 50)]
