@@ -10,8 +10,11 @@ it is built by Spark aggregations of which only the kept entries reach the drive
 pass over the documents without a shuffle.  A task keeps the scores of the words it met (at most
 ``REMEMBERED``), which changes no result.
 
+What the bounds cost: a language that is not among the ``languages`` commonest of the corpus is never
+predicted, its texts get the nearest one; a word or n-gram beyond those kept counts as unseen.
+
 Defined results: text that is null or has no letter is ``und`` with score 0; so is every text if no
-row could be learnt from.  Ties go to the language that sorts first.  Rows with null language teach
+row could be learnt from.  Very long texts are scored whole; an empty table gives no rows.  Ties go to the language that sorts first.  Rows with null language teach
 nothing; repeated rows are counted as often as they are sampled; the sample takes the rows with the
 smallest hash of id and text.  Other columns do not matter.
 """

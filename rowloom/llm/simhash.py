@@ -16,7 +16,8 @@ are found by star contraction, with every round written to the shared folder.
 
 Defined results: a null or empty text has fingerprint zero and is linked like any other; a row
 without doc_id is kept, and is not counted when a component's smallest id is chosen (null if the
-component has no id); repeated rows share a component; other columns are ignored.
+component has no id); repeated rows share a component; very long texts are counted whole, in parts of
+bounded size; a bit that is set in just half the hashes is 0; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

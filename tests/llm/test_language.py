@@ -1,4 +1,6 @@
 import math
+import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -72,3 +74,74 @@ def test_held_out_accuracy(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     tested = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == lang[r.doc_id][0] for r in tested) >= 0.95 * len(tested)
+
+
+def plain_model(rows, words, grams):
+    """Log frequencies per language by dictionaries: for words, and for n-grams of each length."""
+    counts = defaultdict(lambda: defaultdict(Counter))
+    for text, lang in rows:
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            counts[0][lang][word] += 1
+            marked = f"<{word}>"
+            for n in range(1, L.LONGEST + 1):
+                counts[n][lang].update(marked[i : i + n] for i in range(len(marked) - n + 1))
+    model = []
+    for n in range(L.LONGEST + 1):
+        kept, totals = {}, {}
+        for lang, counter in counts[n].items():
+            best = sorted(counter.items(), key=lambda item: (-item[1], item[0].encode()))[: grams if n else words]
+            kept[lang], totals[lang] = dict(best), sum(counter.values())
+        known = {unit for units in kept.values() for unit in units}
+        model.append({u: {g: math.log(kept[g].get(u, 0.3) / totals[g]) for g in kept} for u in known})
+    return sorted(counts[0]), model
+
+
+def plain_label(languages, model, text):
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    if not words:
+        return "und", 0.0
+    total = dict.fromkeys(languages, 0.0)
+    for word in words:
+        hits = [model[0][word]] if word in model[0] else []
+        marked = f"<{word}>"
+        for n in range(L.LONGEST, 0, -1):
+            hits = hits or [model[n][g] for i in range(len(marked) - n + 1) if (g := marked[i : i + n]) in model[n]]
+        for hit in hits:
+            for lang in languages:
+                total[lang] += hit[lang] / len(hits)
+    best = max(languages, key=lambda g: (total[g], [-ord(c) for c in g]))
+    return best, 1 / sum(math.exp(max(v - total[best], -700)) for v in total.values())
+
+
+def same(got, want):
+    """Equal labels, but for languages whose likelihoods differ by rounding alone."""
+    assert got.keys() == want.keys()
+    for i, (lang, score) in want.items():
+        assert got[i][1] == pytest.approx(score, rel=1e-6, abs=1e-9)
+        assert got[i][0] == lang or abs(score - 0.5) < 1e-6
+
+
+def test_the_whole_table_is_labelled_as_by_a_plain_scorer(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang").collect()
+    taught = [(d.text, d.lang) for d in docs if d.text and d.lang and zlib.crc32(str(d.doc_id).encode()) % 5]
+    assert max(Counter(lang for _, lang in taught).values()) <= 2000  # the sample is all rows
+    languages, model = plain_model(taught, 20_000, 10_000)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in QUERIES["op7_language_id"](spark, DATA).collect()}
+    same(got, {d.doc_id: plain_label(languages, model, d.text) for d in docs})
+
+
+def test_unseen_words_fall_back_as_in_a_plain_scorer(spark):
+    """Random words of few letters, a model cut to few units, words known in one language only."""
+    draw = random.Random(3)
+
+    def text(letters):
+        return " ".join("".join(draw.choices(letters, k=draw.randrange(1, 8))) for _ in range(draw.randrange(1, 30)))
+
+    rows = [(i, text("abcdé" if i % 2 else "cdefß"), "xx" if i % 2 else "yy") for i in range(60)]
+    rows += [(60, "zz zzz", "zz"), (61, "ça, ça; C'est", "xx"), (62, "same words", "xx"), (63, "same words", "yy")]
+    model = L.train(frame(spark, rows), words=25, grams=12)
+    languages, plain = plain_model([(t, g) for _, t, g in rows], 25, 12)
+    assert model.languages == languages
+    asked = [(i, text("abcdefßéz"), None) for i in range(200)] + [(200, "same", None), (201, "q", None), (202, "1 2", None)]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in L.predict(frame(spark, asked), model).collect()}
+    same(got, {i: plain_label(languages, plain, t) for i, t, _ in asked})
