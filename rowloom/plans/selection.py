@@ -26,7 +26,7 @@ from rowloom.frame import HIDDEN, Frame, quoted
 #: Keys that a round brings to the driver, at most and on average.
 SAMPLE_ROWS = 1 << 13
 #: An interval of so many rows is ranked by one task.
-LAST_ROWS = 1 << 14
+LAST_ROWS = 1 << 17
 #: Characters or bytes of a text key that a pivot holds at first; a pivot need not be a whole key.
 PIVOT_WIDTH = 256
 #: Distances of pivots from the place of a rank in the sample, in standard deviations of that place.

@@ -216,10 +216,12 @@ def arrow_counts(files: DataFrame) -> DataFrame:
 def _run_batches(source: pa.NativeFile, run: dict, names: Collection[str]) -> Iterator[pa.RecordBatch]:
     """The batches of one run.  In the file layout the bodies of other columns than ``names`` are not read."""
     if _is_file(source):
-        schema = _schema(source)
+        source.seek(0)
+        reader = pa.ipc.open_file(source)
         # at least one column tells how many rows there are
-        kept = [i for i, n in enumerate(schema.names) if n in names] or [*range(len(schema))][:1]
-        reader = pa.ipc.open_file(source, options=pa.ipc.IpcReadOptions(included_fields=kept))
+        kept = [i for i, n in enumerate(reader.schema.names) if n in names] or [*range(len(reader.schema))][:1]
+        if len(kept) < len(reader.schema):
+            reader = pa.ipc.open_file(source, options=pa.ipc.IpcReadOptions(included_fields=kept))
         for i in range(run["first"], run["first"] + run["batches"]):
             yield reader.get_batch(i)
         return
