@@ -9,7 +9,8 @@ Three tools, chosen so that no step puts data-sized work into one task:
              rows of one file, the leading bits of a hash) and bucket offsets are joined on the same
              partitioning, so there is a single exchange of the rows.
 * ``settle`` writes rows once in order, for orders whose ranks cannot be derived from the data
-             (text formats, dense numbers of a sort).  Cuts of a sort count rows around its keys (``selection``).
+             (text formats).  Cuts of a sort count rows around its keys, and the buckets of a sort are
+             intervals between sampled keys (``selection``).
 
 One task totals a table of row counts: one small row per bucket, or per group of some thousand buckets
 when there are many.
@@ -30,12 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rowloom.frame import FILE, HASH, HIDDEN, LINE, POS, ROW, Frame, Key, quoted
-from rowloom.plans.selection import comparable, keys_at_ranks, keys_only, shown_keys, within
+from rowloom.plans.selection import comparable, interval_numbers, keys_at_ranks, keys_only, shown_keys, within
 from rowloom.plans.staging import staging_path
 from rowloom.sources.files import FileTable
 
 #: Rows per bucket: at most this many, fewer when rows are wide.
 BUCKET_ROWS, MIN_BUCKET_ROWS, BUCKET_BYTES = 1 << 20, 1 << 12, 32 << 20
+#: Rows of an interval of a sort.
+SORT_BUCKET_ROWS = 1 << 16
 #: Ranks of a sort that a top-k finds; others are looked up by counting.  The rows are the same.
 TOP_K = 1000
 #: Rows that all tasks of a top-k may hand to its final task, and the usual size of a scan task.
@@ -190,6 +193,12 @@ def _buckets(frame: Frame) -> Buckets | None:
         groups = [F.col(f"{BUCKET}{i}") for i in range(len(outer))]
         many = frame.files is None or frame.files.rows // size + len(frame.files.paths) > BUCKETS_IN_ONE_TASK
         return Buckets([*cols, F.expr(f"{row} div {size}").alias(last)], [*groups, F.expr(f"{last} div 4096")], many)
+    if frame.kind == "sorted" and comparable(frame):
+        rows = _COUNTS.get(frame.df)
+        if rows is None:
+            rows = _COUNTS[frame.df] = frame.df.count()
+        interval = interval_numbers(frame, rows, SORT_BUCKET_ROWS)
+        return None if interval is None else Buckets([interval.alias(first)], [F.lit(0)], False)
     return None
 
 
@@ -488,7 +497,7 @@ def number(frame: Frame) -> Frame:
         return number(settle(frame))
     names, start, rank = buckets.names, HIDDEN + "start", HIDDEN + "rank"
     table = _bucket_table(frame.df, buckets).select(*names, F.col("start").alias(start))
-    inside = Window.partitionBy(*names).orderBy(*frame.order_names)
+    inside = Window.partitionBy(*names).orderBy(*frame.sort_columns())
     ranked = (
         frame.df.select("*", *buckets.columns)
         .withColumn(rank, F.row_number().over(inside))

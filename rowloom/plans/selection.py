@@ -6,10 +6,17 @@ inside it.  Rows are read a few times, keys only, and nothing but counts is shuf
 short enough, its rows are ranked by one task.
 
 Every round is exact, whatever the sample: counts decide, the sample only tells where to look.
+
+The same keys, spread over all ranks, divide a sort into intervals (``interval_numbers``).  They are fixed in the
+plan, so every pass over the rows divides them alike and dense numbers need no copy of the sorted rows.
 """
 
 from __future__ import annotations
 
+import base64
+import datetime
+import decimal
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import replace
@@ -31,6 +38,12 @@ LAST_ROWS = 1 << 17
 PIVOT_WIDTH = 256
 #: Distances of pivots from the place of a rank in the sample, in standard deviations of that place.
 SPREAD = (-4.0, -1.0, -0.3, 0.0, 0.3, 1.0, 4.0)
+#: Keys that divide a sort, at most; with more rows the intervals grow.
+MOST_POINTS = 1 << 14
+#: Sampled keys for every one of them.
+OVERSAMPLED = 8
+#: Bytes of all keys that divide a sort, as the plan holds them.
+POINT_BYTES = 4 << 20
 
 Values = tuple[Any, ...]
 
@@ -200,3 +213,87 @@ def _counted(part: Frame, pivots: list[Values]) -> list[tuple[int, int]]:
         counts.append(F.count_if(_same(part, values)) if len(values) == len(part.order) else F.lit(0))
     row = part.df.agg(*[c.alias(f"n{i}") for i, c in enumerate(counts)]).first()
     return [(row[2 * i], row[2 * i + 1]) for i in range(len(pivots))]
+
+
+# -- intervals of a sort --------------------------------------------------------------------
+
+
+def interval_numbers(frame: Frame, rows: int, size: int) -> Column | None:
+    """Number of the interval that a row falls in, ascending in the order; intervals hold about ``size`` rows.
+
+    None when the keys that would tell the intervals apart are too long for a plan.
+    """
+    points = _dividing_keys(frame, rows, size)
+    if not points:
+        return None if points is None else F.lit(0)
+    types = [frame.df.schema[k.name].dataType for k in frame.order]
+    fields = [T.StructField(f"k{i}", _stored_type(t)) for i, t in enumerate(types)]
+    table = [{"n": len(p), **{f"k{i}": _stored(v) for i, v in enumerate(p)}} for p in points]
+    schema = T.ArrayType(T.StructType([*fields, T.StructField("n", T.IntegerType())]))
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(points).bit_length()))])
+
+    def search(listed: Column) -> Column:
+        def narrowed(at: Column, step: Column) -> Column:
+            point = F.get(listed, at + step - 1)
+            return F.when((at + step <= len(points)) & ~_before_point(frame, point), at + step).otherwise(at)
+
+        return F.aggregate(steps, F.lit(0), narrowed)
+
+    listed = F.from_json(F.lit(json.dumps(table)), schema)  # folded to a literal, which is in the plan once
+    return F.transform(F.array(listed), search)[0]
+
+
+def _dividing_keys(frame: Frame, rows: int, size: int) -> list[Values] | None:
+    """Keys about evenly spaced in the order, from a sample.  None when they would be too long."""
+    wanted = min(MOST_POINTS, rows // size)
+    if wanted == 0:
+        return []
+    part = keys_only(frame)
+    fraction = min(1.0, wanted * OVERSAMPLED / rows)
+    rank, columns = HIDDEN + "rank", [f"{HIDDEN}k{i}" for i in range(len(part.order))]
+    width = PIVOT_WIDTH
+    while True:
+        sample = _cropped(part, width).sample(fraction, seed=wanted)  # bounded, so one task ranks it
+        ranked = sample.withColumn(rank, F.row_number().over(Window.orderBy(*part.sort_columns())))
+        every = max(1, round(rows * fraction / wanted))
+        found = [tuple(r) for r in ranked.filter(F.col(rank) % every == 0).select(*columns, HIDDEN + "crop").collect()]
+        points = [row[:-1] if row[-1] is None else row[: row[-1] + 1] for row in found]
+        if sum(len(str(v)) for p in points for v in p) > POINT_BYTES:
+            return None
+        kept = [p for i, p in enumerate(points) if i == 0 or p != points[i - 1]]
+        if not any(row[-1] is not None and a == b for row, a, b in zip(found, points, points[1:], strict=False)):
+            return kept
+        width *= 16  # long texts begin alike: more of them tells their rows apart
+
+
+def _stored_type(dtype: T.DataType) -> T.DataType:
+    if isinstance(dtype, T.TimestampType):
+        return T.LongType()
+    return T.StringType() if isinstance(dtype, (T.TimestampNTZType, T.StringType)) else dtype
+
+
+def _stored(value: Any) -> Any:
+    """A key as JSON holds it."""
+    if isinstance(value, (bytes, bytearray)):
+        return base64.b64encode(value).decode()
+    if isinstance(value, decimal.Decimal):
+        return format(value, "f")
+    return value.isoformat() if isinstance(value, datetime.date) else value
+
+
+def _before_point(frame: Frame, point: Column) -> Column:
+    """Like ``before``, for keys in a struct of which the first ``n`` count."""
+    condition = F.lit(False)
+    for i, key in reversed([*enumerate(frame.order)]):
+        col, dtype, value = quoted(key.name), frame.df.schema[key.name].dataType, point.getField(f"k{i}")
+        if isinstance(dtype, T.TimestampType):
+            value = F.timestamp_micros(value)
+        elif isinstance(dtype, T.TimestampNTZType):
+            value = value.cast(dtype)
+        less = col > value if key.descending else col < value
+        if key.descending and key.nan_last and isinstance(dtype, (T.FloatType, T.DoubleType)):
+            less = ~F.isnan(col) & (F.isnan(value) | less)
+        less = F.coalesce(F.when(value.isNull(), col.isNotNull()).otherwise(less & col.isNotNull()), F.lit(False))
+        inner = F.when(point.getField("n") > i + 1, condition).otherwise(False)
+        condition = less | (col.eqNullSafe(value) & inner)
+    return condition

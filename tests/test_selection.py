@@ -17,6 +17,7 @@ def small_steps(monkeypatch):
     monkeypatch.setattr(selection, "SAMPLE_ROWS", 200)
     monkeypatch.setattr(selection, "LAST_ROWS", 60)
     monkeypatch.setattr(order, "TOP_K", 0)
+    monkeypatch.setattr(order, "SORT_BUCKET_ROWS", 100)
     monkeypatch.setattr(order, "write_rows", lambda df: pytest.fail("a copy was written"))
 
 
@@ -87,3 +88,80 @@ def test_only_a_sample_is_sorted(spark, small_steps, tmp_path, monkeypatch):
     part = selection.keys_only(by)
     counted = part.df.agg(selection.F.count_if(selection.before(part, (5, 7))))
     assert "rangepartitioning" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+# -- dense numbers of a sort --------------------------------------------------------------
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+@pytest.mark.parametrize(("name", "column"), [("d", 1), ("t", 2), ("b", 3), ("n", 4)])
+def test_dense_numbers_of_a_sort(spark, small_steps, name, column, reverse):
+    """Row index, interleaved shard and index list of a sort, without a copy, however the rows are spread."""
+    rows, got = rows_of(column), []
+    want = in_order(rows, column, reverse)
+    for tasks in (2, 16):
+        table = spark.createDataFrame(rows, "i int, d double, t string, b binary, n bigint").repartition(tasks)
+        by = rl.sort_rows(rl.from_dataframe(table, key="i"), name, reverse)
+        numbered = rl.map_column(by, "at", "row index").unordered_rows()
+        got.append(sorted((r["at"], r["i"]) for r in numbered.select("at", "i").collect()))
+    assert got == [list(enumerate(want))] * 2
+    assert rl.to_list(rl.take_shard(by, 7, 3, contiguous=False), "i") == want[3::7]
+    assert rl.to_list(rl.select_rows(by, "2999, 4, 10:1500:300, 4"), "i") == [want[i] for i in (2999, 4, *range(10, 1500, 300), 4)]
+
+
+def test_intervals_hold_like_numbers_of_rows(spark, small_steps):
+    """A value, or the first part of a long text, that a third of all rows share is cut by the keys behind it."""
+    for column, name in ((1, "d"), (2, "t"), (4, "n")):
+        table = spark.createDataFrame(rows_of(column), "i int, d double, t string, b binary, n bigint")
+        by = rl.sort_rows(rl.from_dataframe(table, key="i"), name)
+        (interval,) = order._buckets(by).columns
+        sizes = [r["count"] for r in by.df.groupBy(interval).count().collect()]
+        assert len(sizes) > 20 and max(sizes) < 400
+
+
+TYPES = {
+    "decimal(38,3)": "CAST(v / -8 AS decimal(38,3))",
+    "date": "date_add(DATE'2024-01-31', CAST(v AS int))",
+    "timestamp": "timestamp_micros(v * 86400000001)",
+    "timestamp_ntz": "CAST(timestamp_micros(v * 86400000001) AS timestamp_ntz)",
+    "boolean": "v % 2 = 1",
+    "float": "CAST(v / 3 AS float)",
+    "tinyint": "CAST(v % 100 AS tinyint)",
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_keys_of_any_type_divide_a_sort(spark, small_steps, zone):
+    """Keys come back from the driver unchanged: the same numbers as Spark's own ranks."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        columns = [f"CASE WHEN id % 11 <> 0 THEN {value} END AS c{i}" for i, value in enumerate(TYPES.values())]
+        table = spark.range(1500).selectExpr("id", "id * 7919 % 997 AS v").selectExpr("id", *columns)
+        for i, kind in enumerate(TYPES):
+            assert table.schema[f"c{i}"].dataType.simpleString() == kind
+            by = rl.sort_rows(rl.from_dataframe(table, key="id"), f"c{i}", reverse=True)
+            got = [r["id"] for r in rl.map_column(by, "at", "row index").unordered_rows().orderBy("at").collect()]
+            assert got == [r["id"] for r in table.orderBy(selection.F.col(f"c{i}").desc_nulls_last(), "id").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_numbering_a_sort_moves_rows_once(spark, small_steps, tmp_path, monkeypatch):
+    spark.range(N).selectExpr("id", "hash(id) AS v", "repeat('x', 50) AS wide").write.parquet(f"{tmp_path}/t")
+    by = rl.sort_rows(rl.load(spark, f"{tmp_path}/t/*.parquet"), "v")
+    monkeypatch.setattr(DataFrame, "persist", lambda df: pytest.fail("rows were kept"))
+    plan = rl.map_column(by, "at", "row index").unordered_rows()._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "SortMergeJoin" in plan
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # the rows, and the row counts of the intervals twice
+    assert len(exchanges) == 3 and plan.count("wide") and sum("SinglePartition" in x for x in plan.splitlines()) == 1
+
+
+def test_keys_too_long_for_a_plan_are_sorted(spark, monkeypatch):
+    """The rows are written in order instead, with the same numbers."""
+    monkeypatch.setattr(order, "SORT_BUCKET_ROWS", 10)
+    monkeypatch.setattr(selection, "POINT_BYTES", 1000)
+    table = spark.range(200).selectExpr("id", "concat(repeat('y', 300), id * 37 % 200) AS t")
+    by = rl.sort_rows(rl.from_dataframe(table, key="id"), "t")
+    want = sorted(range(200), key=lambda i: str(i * 37 % 200))
+    assert rl.to_list(rl.map_column(by, "at", "row index"), "id") == want
