@@ -727,6 +727,30 @@ def shuffle(spark, sf_dir):
     return indexed(rl.shuffle(orders(spark, sf_dir), 42), "o_orderkey")
 
 
+def _buffered(name: str, key: str, seed: int, places: int) -> str:
+    """Table in the order in which a buffer of ``places`` rows gives it: a row leaves when the next one draws its place."""
+    shuffled = _shuffled(name, key, seed)
+    place = f"CASE WHEN {key} < {places} THEN {key} ELSE CAST(h // 2::UHUGEINT % {places} AS BIGINT) END"
+    freed = f"(SELECT * EXCLUDE (pos), lead({key}) OVER (PARTITION BY {place} ORDER BY {key}) AS freed FROM {shuffled})"
+    return f"(SELECT *, row_number() OVER (ORDER BY freed NULLS LAST, h // 2::UHUGEINT, {key}) - 1 AS pos FROM {freed})"
+
+
+@query(f"SELECT pos, o_orderkey, o_totalprice FROM {_buffered('orders', 'o_orderkey', 11, 500)}")
+def stream_shuffle(spark, sf_dir):
+    """A stream of several micro-batches, whose rows mix by a buffer."""
+    folder = staging_path(spark, "shuffled")
+    orders(spark, sf_dir).rows().write.option("maxRecordsPerFile", 400).parquet(folder)
+    frame = rl.load(spark, f"{folder}/*.parquet", streaming=True, maxFilesPerTrigger=8)
+    return indexed(rl.shuffle(frame, 11, 500), "o_orderkey, o_totalprice")
+
+
+@query(f"SELECT pos - 100 AS pos, o_orderkey FROM {_buffered('orders', 'o_orderkey', 3, 700)} WHERE pos >= 100")
+def stream_shuffle_drained(spark, sf_dir):
+    """The buffer is carried through the micro-batches, and emptied at the end."""
+    frame = rl.load(spark, f"{sf_dir}/orders.parquet", streaming=True)
+    return indexed(rl.drain(rl.skip_rows(rl.shuffle(frame, 3, 700), 100)), "o_orderkey")
+
+
 @query(
     f"""SELECT pos - CAST(ceil(n * 0.2) AS BIGINT) AS pos, o_orderkey FROM {_shuffled("orders", "o_orderkey", 7)}
         WHERE pos >= ceil(n * 0.2)"""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from rowloom.frame import POS, Frame
 from rowloom.plans.order import count_of, cut, number
+from rowloom.streaming.mixing import Mixer
 
 #: (micro-batch frame, rows seen so far) -> (result, rows seen afterwards)
 Run = Callable[[Frame, int], tuple[Frame, int]]
@@ -27,6 +28,7 @@ class Step:
     run: Run
     template: Frame  # empty bounded frame with the schema after this step
     limit: int | None = None  # rows after which the step lets nothing through
+    mixer: Mixer | None = None  # the step keeps rows back; ``run`` is not used then
 
     @property
     def columns(self) -> list[str]:
@@ -104,8 +106,7 @@ def index_step(frame: Frame, target: str, put_column: Callable[..., Frame]) -> F
     return add_step(frame, run, template)
 
 
-def shuffle_step(frame: Frame, shuffle: Callable[[Frame, int], Frame], seed: int) -> Frame:
-    """Buffer-local shuffle: rows are mixed within each micro-batch."""
-    return add_step(frame, lambda batch, seen: (shuffle(batch, seed), seen))
-
-
+def shuffle_step(frame: Frame, mixer: Mixer) -> Frame:
+    """Bounded-buffer shuffle, whose buffer is carried from batch to batch."""
+    step = Step(lambda batch, seen: (batch, seen), template_of(frame), mixer=mixer)
+    return replace(frame, steps=(*frame.steps, step))

@@ -65,12 +65,104 @@ def test_column_and_limit(spark, folder):
     assert rl.to_list(rl.skip_rows(frame, 290), "id", -1) == list(range(290, 300))
 
 
-def test_shuffle_mixes_each_batch(spark, folder):
-    frame = rl.shuffle(stream(spark, folder, maxFilesPerTrigger=4), 3)
-    out = rl.to_list(rl.drain(frame), "id")
-    assert sorted(out[:225]) == list(range(225)) and sorted(out[225:]) == list(range(225, 300))
-    assert out[:225] != list(range(225))
-    assert sorted(rl.to_list(frame, "id")) == list(range(300))
+def places(rows, places, draw):
+    """The buffer, row by row: what comes out, and what is left in which place."""
+    buffer, out = {}, []
+    for at, row in enumerate(rows):
+        place = at if at < places else draw(at) % places
+        if place in buffer:
+            out.append(buffer[place][1])
+        buffer[place] = (at, row)
+    return out, [row for _, row in sorted(buffer.values(), key=lambda pair: (draw(pair[0]), pair[0]))]
+
+
+def draws(spark, seed, n):
+    code = "shiftrightunsigned(xxhash64(CAST({} AS bigint), id), 1) AS h"
+    found = {r["id"]: r["h"] for r in spark.range(n).selectExpr("id", code.format(seed)).collect()}
+    return found.__getitem__
+
+
+@pytest.mark.parametrize("buffer", [1, 40, 5000])
+def test_shuffle_passes_through_a_buffer(spark, folder, buffer):
+    """Row by row the same as a plain buffer, whatever the batches are, and as the lazy twin."""
+    out, rest = places(range(300), buffer, draws(spark, 3, 300))
+    for files in (3, 8):
+        frame = rl.shuffle(stream(spark, folder, maxFilesPerTrigger=files), 3, buffer)
+        assert rl.to_list(rl.drain(frame), "id") == out + rest
+    assert rl.to_list(frame, "id") == out + rest and sorted(out + rest) == list(range(300))
+
+
+def test_shuffle_mixes_rows_of_different_batches(spark, folder):
+    out = rl.to_list(rl.drain(rl.shuffle(stream(spark, folder, maxFilesPerTrigger=1), 5, 64)), "id")
+    assert len({i // 25 for i in out[:100]}) > 4 and out[:100] != sorted(out[:100])
+
+
+BUFFERED = {
+    "skip, shuffle, take": lambda f: rl.take_rows(rl.shuffle(rl.skip_rows(f, 20), 1, 30), 90),
+    "take, shuffle": lambda f: rl.shuffle(rl.take_rows(f, 60), 1, 25),
+    "shuffle, take beyond the buffer": lambda f: rl.take_rows(rl.shuffle(f, 2, 100), 260),
+    "shuffle, filter, index": lambda f: rl.map_column(
+        rl.filter_rows(rl.shuffle(f, 4, 33), "kind", "==", "odd"), "at", "row index"
+    ),
+    "shuffle twice": lambda f: rl.map_column(rl.shuffle(rl.shuffle(f, 4, 33), 9, 50), "at", "row index"),
+    "index, shuffle, skip": lambda f: rl.skip_rows(rl.shuffle(rl.map_column(f, "at", "row index"), 4, 64), 240),
+}
+
+
+@pytest.mark.parametrize("name", BUFFERED)
+def test_steps_around_a_buffer(spark, folder, name):
+    frame = BUFFERED[name](stream(spark, folder, maxFilesPerTrigger=4))
+    got = rl.to_list(rl.drain(frame))
+    assert got and got == rl.to_list(frame)
+
+
+def files_of(source, names, start=0):
+    for k, name in enumerate(names):
+        pq.write_table(pa.table({"id": list(range(start + k * 10, start + k * 10 + 10))}), source / name)
+
+
+def test_buffers_begin_anew_in_a_second_run(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+
+    def run():
+        frame = rl.shuffle(rl.load(spark, f"{source}/*.parquet", streaming=True, maxFilesPerTrigger=1), 2, 8)
+        return rl.to_list(rl.drain(frame, out), "id")
+
+    files_of(source, ["a.parquet", "b.parquet"])
+    first = run()
+    assert sorted(first) == list(range(20)) and run() == first  # nothing new: nothing changes
+    files_of(source, ["c.parquet"], 20)
+    second = run()
+    assert second[:20] == first and sorted(second[20:]) == list(range(20, 30))
+
+
+def test_a_run_that_was_cut_off_goes_on(spark, tmp_path, monkeypatch):
+    """Buffers that were emptied in part are taken back; the order is as without the failure."""
+    from rowloom.streaming import drain as module
+
+    source = tmp_path / "in"
+    source.mkdir()
+    files_of(source, ["a.parquet", "b.parquet"])
+
+    def run(out):
+        frame = rl.shuffle(rl.load(spark, f"{source}/*.parquet", streaming=True, maxFilesPerTrigger=1), 2, 8)
+        return rl.to_list(rl.drain(rl.map_column(frame, "at", "row index"), str(tmp_path / out)))
+
+    store = module._store
+
+    def lost(spark, state, number, folder, mark=""):
+        if mark:
+            raise RuntimeError("lost")
+        store(spark, state, number, folder, mark)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "_store", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            run("broken")
+    files_of(source, ["c.parquet", "d.parquet"], 20)
+    whole = run("whole")
+    assert run("broken") == whole and sorted(r["id"] for r in whole) == list(range(40))
 
 
 def test_shards_are_whole_files(spark, folder):
