@@ -122,7 +122,11 @@ def _empty_buffers(frame: Frame, folder: str) -> None:
     except AnalysisException:  # there was no batch
         return
     last = stored.agg(F.max("batch")).first()[0]
-    state = _state_of(spark, f"{last:012d}", len(frame.steps), folder)
+    try:
+        _state_of(spark, f"{last:012d}e", len(frame.steps), folder)
+        return  # an earlier run emptied them, and there was nothing new
+    except AnalysisException:
+        state = _state_of(spark, f"{last:012d}", len(frame.steps), folder)
     if not any(known.held for known in state):
         return
     _discard(spark, last, folder)
