@@ -210,14 +210,14 @@ def test_split_names_in_files_and_folders(spark, tmp_path):
     assert splits(spark, tmp_path / "a") == {"train": (2, True), "validation": (1, False), "unsupervised": (1, False)}
     assert read(rl.load(spark, str(tmp_path / "a"))) == expected(ROWS[:3])
     assert read(rl.load(spark, f" {tmp_path}/a/ ", split="unsupervised")) == expected(ROWS[5:9])
-    with pytest.raises(ValueError, match="Available splits: train, validation, unsupervised"):
+    with pytest.raises(ValueError, match="here, only: train, validation, unsupervised"):
         rl.load(spark, str(tmp_path / "a"), split="test")
 
     write_parquet(tmp_path / "b" / "data" / "testing" / "x.parquet", ROWS[:4])
     write_parquet(tmp_path / "b" / "data" / "dev" / "x.parquet", ROWS[4:6])
     assert splits(spark, tmp_path / "b") == {"validation": (1, True), "test": (1, False)}
     assert read(rl.load(spark, str(tmp_path / "b"))) == expected(ROWS[4:6])  # plain train falls back
-    with pytest.raises(ValueError, match="Available splits: validation, test"):
+    with pytest.raises(ValueError, match="here, only: validation, test"):
         rl.load(spark, str(tmp_path / "b"), split="train[:1]")
 
     write_parquet(tmp_path / "c" / "split=odd" / "x.parquet", ROWS[1:2])
@@ -346,11 +346,31 @@ def test_mirror_with_config_and_revision(spark, tmp_path):
         rl.load(spark, "org/set", config="third", hub_root=hub)
 
 
+def test_splits_of_many_sources_in_one_table(spark, tmp_path):
+    """A source whose splits cannot be told is a row with the reason."""
+    base = tmp_path / "org" / "set"
+    write_parquet(base / "first" / "train.parquet", ROWS[:2])
+    write_parquet(base / "second" / "val.parquet", ROWS[2:4])
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "notes.md").write_text("not data")
+    asked = [("org/set", "first"), ("org/set", "second"), ("org/set", ""), ("org/set", "third")]
+    tables = [rl.list_splits(spark, path, config=c, hub_root=str(tmp_path), reasons=True) for path, c in asked]
+    tables += [rl.list_splits(spark, path, reasons=True) for path in (f"{tmp_path}/empty", f"{tmp_path}/nowhere", "")]
+    assert len({tuple((f.name, f.dataType) for f in table.schema) for table in tables}) == 1
+    found = [table.collect() for table in tables]
+    assert [(r.split, r.files, r.is_default, r.error) for rows in found[:2] for r in rows] == [
+        ("train", 1, True, None),
+        ("validation", 1, True, None),
+    ]
+    assert all(len(rows) == 1 and rows[0].split is None and rows[0].error for rows in found[2:])
+    assert "several configs" in found[2][0].error and "Cannot list" in found[3][0].error
+
+
 def test_single_files_have_one_split(spark, tmp_path):
     write_parquet(tmp_path / "test.parquet", ROWS[:2])
     assert splits(spark, tmp_path / "test.parquet") == {"train": (1, True)}
     assert read(rl.load(spark, str(tmp_path / "test.parquet"), split="  ")) == expected(ROWS[:2])
-    with pytest.raises(ValueError, match="Available splits: train"):
+    with pytest.raises(ValueError, match="here, only: train"):
         rl.load(spark, str(tmp_path / "test.parquet"), split="test")
     for path in ("", "   "):
         with pytest.raises(ValueError, match="path"):
@@ -365,7 +385,7 @@ def test_default_and_resolved_split():
     assert resolve_split("", ["train"]) == "train"
     assert resolve_split("train", ["test"]) == "test"
     assert resolve_split("test[:10%]", ["test"]) == "test[:10%]"
-    with pytest.raises(ValueError, match="Available splits: test"):
+    with pytest.raises(ValueError, match="here, only: test"):
         resolve_split("nope", ["test"])
 
 
