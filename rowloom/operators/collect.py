@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from itertools import count
 from typing import Any
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,17 +45,27 @@ class ImageColumn:
     mixed: bool = False  # some cells are other bytes
 
 
-def _image_columns(frame: Frame, images: list[str] | None, masks: bool) -> dict[str, ImageColumn]:
-    """Columns with image cells, found by type and header bytes.
+#: What header bytes told before, by DataFrame and by column, whether it was named as images, and masks asked for.
+_LOOKED_AT: WeakKeyDictionary[DataFrame, dict[tuple[str, bool, bool], ImageColumn | None]] = WeakKeyDictionary()
+
+
+def _image_columns(
+    frame: Frame, images: list[str] | None, masks: bool, only: list[str] | None = None
+) -> dict[str, ImageColumn]:
+    """Columns with image cells, found by type and header bytes; with ``only`` no others are looked at.
 
     ``struct<bytes, path>`` and the image reader's struct are images by their type; they are looked at
     for their masks only.  Cells of a binary column are images one by one; a column that ``images``
-    names holds nothing else.  At most one aggregation, over header bytes of those columns.
+    names holds nothing else.  At most one aggregation, over header bytes of those columns, and what
+    it found is kept for the DataFrame.
     """
-    tests: list[Column] = []
+    known = _LOOKED_AT.setdefault(frame.df, {})
     found: dict[str, list[Column | None]] = {}
+    names = [n for n in (frame.columns if images is None else images) if only is None or n in only]
     df = frame.df
-    for name in frame.columns if images is None else images:
+    for name in names:
+        if (name, images is None, masks) in known:
+            continue
         dtype, col = frame.df.schema[name].dataType, quoted(name)
         if is_read_image(dtype):
             found[name] = [None, None, F.max(col.getField("nChannels") == 4)]
@@ -70,15 +81,14 @@ def _image_columns(frame: Frame, images: list[str] | None, masks: bool) -> dict[
             found[name] = [None, None, F.max(has_alpha(col)) if masks else None]
         elif images is not None:
             raise ValueError(f"The column {name!r} cannot hold images.")
-    for i, parts in enumerate(found.values()):
-        tests += [p.alias(f"t{i}_{j}") for j, p in enumerate(parts) if p is not None]
+    tests = [p.alias(f"t{i}_{j}") for i, parts in enumerate(found.values()) for j, p in enumerate(parts) if p is not None]
     row = df.agg(*tests).first() if tests else {}
-    out = {}
     for i, (name, parts) in enumerate(found.items()):
         some, all_, alpha = (None if p is None else row[f"t{i}_{j}"] for j, p in enumerate(parts))
-        if parts[0] is None or some:
-            out[name] = ImageColumn(bool(alpha) and masks, parts[1] is not None and not all_)
-    return out
+        image = ImageColumn(bool(alpha) and masks, parts[1] is not None and not all_)
+        known[name, images is None, masks] = image if parts[0] is None or some else None
+    looked = {name: known.get((name, images is None, masks)) for name in names}
+    return {name: image for name, image in looked.items() if image is not None}
 
 
 def _suffixes(stem: str) -> Iterator[str]:
@@ -109,11 +119,7 @@ def _prepared(
     if limit >= 0:
         frame = take_rows(frame, limit)
     column = (column or "").strip()
-    source, named = frame, images
-    if column and column in frame.columns:
-        source = replace(frame, df=frame.df.select(quoted(column)))  # nothing else is looked at
-        named = None if images is None else [n for n in images if n == column]
-    found = _image_columns(source, named, masks)
+    found = _image_columns(frame, images, masks, [column] if column and column in frame.columns else None)
     names = _mask_names(frame, found)
     if column and column not in frame.columns and column not in names.values():
         virtual = f" Mask columns: {', '.join(sorted(names.values()))}." if names else ""

@@ -268,6 +268,27 @@ def test_named_images_and_no_masks(spark):
         to_list(frame, images=["id"])
 
 
+def test_header_bytes_are_looked_at_once(spark, monkeypatch):
+    """Later lists of a frame, and of one of its columns, know its images; a mask not asked for before is looked for."""
+    frame = frame_of(spark, [(RGBA, b"text", "a"), (None, None, "b")], "img binary, raw binary, name string")
+    looks = []
+    agg = type(frame.df).agg
+
+    def spied(df, *columns):
+        looks.append(len(columns))
+        return agg(df, *columns)
+
+    monkeypatch.setattr(type(frame.df), "agg", spied)
+    bare = rl.to_data_list(frame, masks=False, decoder=decoder)
+    first = rl.to_data_list(frame, decoder=decoder)
+    assert len(looks) == 2 and "img_mask" in first.columns and "img_mask" not in bare.columns
+    again = [rl.to_data_list(frame, *column, decoder=decoder) for column in ((), ("img",), ("raw",), ("img_mask",))]
+    assert len(looks) == 2 and [t.columns for t in again] == [first.columns, ["img"], ["raw"], ["img_mask"]]
+    assert again[0].schema == first.schema and again[2].collect() == [("text",), (None,)]
+    rl.to_data_list(rl.take_rows(frame, 1), decoder=decoder)  # other rows
+    assert len(looks) == 3
+
+
 def test_without_a_decoder(spark):
     frame = frame_of(spark, [(RGB,)], "image binary")
     try:
