@@ -53,7 +53,8 @@ class Key:
 #: ``hash``     seeded hash of the position, then the position
 #: ``sorted``   user column(s) first, or keys whose distribution is unknown
 #: ``lines``    text formats: valid for sorting, but not repeatable between two jobs
-KINDS = ("files", "position", "hash", "sorted", "lines")
+#: ``decoded``  a row per file, decoded anew by every pass: written once before anything that takes several
+KINDS = ("files", "position", "hash", "sorted", "lines", "decoded")
 
 
 @dataclass(frozen=True)

@@ -31,7 +31,7 @@ from rowloom.functions.images import (
 from rowloom.functions.values import bytes_to_text, plain
 from rowloom.guards import require_frame, require_int
 from rowloom.operators.rows import take_rows
-from rowloom.plans.order import sorted_rows
+from rowloom.plans.order import settle, sorted_rows
 from rowloom.streaming.drain import drain
 
 log = logging.getLogger("rowloom")
@@ -118,6 +118,8 @@ def _prepared(
         frame = frame.twin() if frame.twin is not None else drain(frame)
     if limit >= 0:
         frame = take_rows(frame, limit)
+    if frame.kind == "decoded" and (ordered or masks):  # else one pass does
+        frame = settle(frame)
     column = (column or "").strip()
     found = _image_columns(frame, images, masks, [column] if column and column in frame.columns else None)
     names = _mask_names(frame, found)

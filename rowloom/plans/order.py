@@ -9,7 +9,7 @@ Three tools, chosen so that no step puts data-sized work into one task:
              rows of one file, the leading bits of a hash) and bucket offsets are joined on the same
              partitioning, so there is a single exchange of the rows.
 * ``settle`` writes rows once in order, for orders whose ranks cannot be derived from the data
-             (text formats).  Cuts of a sort count rows around its keys, and the buckets of a sort are
+             (text formats), or whose rows cost too much to make them twice (image files).  Cuts of a sort count rows around its keys, and the buckets of a sort are
              intervals between sampled keys (``selection``).
 
 One task totals a table of row counts: one small row per bucket, or per group of some thousand buckets
@@ -43,6 +43,10 @@ SORT_BUCKET_ROWS = 1 << 16
 TOP_K = 1000
 #: Rows that all tasks of a top-k may hand to its final task, and the usual size of a scan task.
 FAN_IN_ROWS, TASK_BYTES = 5_000_000, 128 << 20
+#: Scan tasks over files that are decoded whose rows go to one file of the written copy.
+TASKS_PER_COPY = 16
+#: How wide rows are written: row groups of bounded size, however few rows they hold.
+WIDE_ROWS = {"parquet.block.size": 32 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 #: Bits of the shuffle hash; it is never negative.
 HASH_BITS = 63
 #: Buckets that one task totals; beyond it their groups are totalled.
@@ -87,10 +91,10 @@ def with_rows(frame: Frame) -> Frame:
     return frame.narrowed(add)
 
 
-def write_rows(df: DataFrame) -> Frame:
+def write_rows(df: DataFrame, **options: Any) -> Frame:
     """Write rows as they are partitioned; the result is an ordinary scan in that order."""
     path = staging_path(df.sparkSession, "settled")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return scan_frame(df.sparkSession.read.parquet(path))
 
 
@@ -101,13 +105,29 @@ def settle(frame: Frame) -> Frame:
     unique row key, so a value held by a third of all rows is spread over many partitions.
     """
     known = _SETTLED.setdefault(frame.df, {})
-    if frame.order not in known:
+    if frame.order not in known and frame.kind == "decoded":
+        known[frame.order] = write_rows(_decoded_once(frame).rows(), **WIDE_ROWS)
+    elif frame.order not in known:
         known[frame.order] = write_rows(frame.rows())
     return known[frame.order]
 
 
+def _decoded_once(frame: Frame) -> Frame:
+    """The rows and their order keys, written by the tasks that decode them.
+
+    A sort looks at its rows twice, so it reads this copy.  Scan tasks hold few files when these are small.
+    """
+    path = staging_path(frame.spark, "decoded")
+    tasks = frame.df.rdd.getNumPartitions()
+    copies = max(frame.spark.sparkContext.defaultParallelism * 4, tasks // TASKS_PER_COPY)
+    frame.df.coalesce(copies).write.options(**WIDE_ROWS).parquet(path)
+    return frame.rebuilt(frame.spark.read.parquet(path), kind="sorted")
+
+
 def sorted_rows(frame: Frame) -> DataFrame:
     """All columns, in row order.  Paths are replaced by numbers so that they are not shuffled."""
+    if frame.kind == "decoded":
+        frame = settle(frame)
     if frame.kind == "lines":
         frame = with_lines(frame)
     elif frame.kind == "files" and frame.files is not None:
@@ -340,7 +360,7 @@ def cuts_of_total(
         if total is None:
             total = _COUNTS[frame.df] = frame.df.count()
         return cuts(frame, ranges_of(total))
-    if frame.kind in ("sorted", "lines"):
+    if frame.kind in ("sorted", "lines", "decoded"):
         frame = settle(frame)
     if total is not None or frame.whole:
         return cuts(frame, ranges_of(count_of(frame) if total is None else total))
@@ -357,6 +377,8 @@ def cuts(frame: Frame, ranges: list[tuple[int, int | None]], counts: DataFrame |
     """Several cuts of one frame that share the lookup of their boundaries."""
     if frame.whole and frame.files is not None and frame.kind == "files":
         return [_cut_whole(frame, lo, hi) for lo, hi in ranges]
+    if frame.kind == "decoded":
+        return cuts(settle(frame), ranges)
     if frame.dense_from is not None:
         base = frame.dense_from
         return [_cut_dense(frame, base + lo, None if hi is None else base + hi) for lo, hi in ranges]
@@ -523,6 +545,6 @@ def stable_position(frame: Frame) -> Frame:
     frame = with_rows(frame)
     if frame.files is not None and {FILE, ROW} <= set(frame.df.columns):
         return frame.rebuilt(frame.files.with_position(frame.df, POS, frame.span[1] if frame.whole else None))
-    if frame.kind in ("sorted", "lines"):
+    if frame.kind in ("sorted", "lines", "decoded"):
         return stable_position(settle(frame))
     return number(frame)

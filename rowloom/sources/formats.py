@@ -105,7 +105,7 @@ def read_batch(spark: SparkSession, fmt: str, paths: list[str], options: dict[st
         return _read_arrow(spark, paths, options)
     if fmt == "image":  # a row per file, decoded by Spark's reader
         files = _decodable(spark.read.format("image").options(**options).load(paths))
-        return Frame(files.select("image", F.col("_metadata.file_path").alias(FILE)), (Key(FILE),), "sorted")
+        return Frame(files.select("image", F.col("_metadata.file_path").alias(FILE)), (Key(FILE),), "decoded")
     df = _united(spark, fmt, layouts_of(spark, fmt, paths, options), options)
     return Frame(_text_columns(df, fmt), LINE_ORDER, "lines", files=FileTable(list_files(spark, paths).select(FILE)))
 

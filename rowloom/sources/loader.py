@@ -86,7 +86,7 @@ def _load_part(spark: SparkSession, source: Source, part: SplitPart, options: di
     frame = read_batch(spark, fmt, paths, options)
     if not part.sliced:
         return frame
-    if frame.kind == "lines":
+    if frame.kind in ("lines", "decoded"):
         frame = settle(frame)
     low, high = part.bounds(count_of(frame))
     return cut(frame, low, high)

@@ -191,6 +191,53 @@ def test_undecodable_image_files(spark, tmp_path):
     assert rl.count_rows(rl.load(spark, f"{tmp_path}/more", loader="image", dropInvalid=True)) == 0
 
 
+def test_image_files_are_decoded_once(spark, tmp_path):
+    """Numbers, a look for masks, a sort and cuts take several passes, but not over the files."""
+    for i in range(40):
+        (tmp_path / f"{i:03d}.png").write_bytes(png(solid(1, 2, i, 0, 0), 2) if i != 7 else RGBA)
+    loaded = rl.load(spark, str(tmp_path), loader="image")
+    numbered = rl.map_column(loaded, "at", "row index")
+    for i in range(40):  # nobody looks at them again
+        (tmp_path / f"{i:03d}.png").write_bytes(b"")
+    rows = to_list(numbered)
+    assert [r["at"] for r in rows] == [*range(40)]
+    assert [round(r["image"]["data"][0] * 255) for r in rows] == [255 if i == 7 else i for i in range(40)]
+    assert [r["image_mask"]["data"][0] for r in rows] == [1.0 if i == 7 else 0.0 for i in range(40)]
+    assert rl.to_data_list(loaded, limit=5).columns == ["image"] and len(to_list(loaded, limit=5)) == 5
+    last = to_list(rl.skip_rows(rl.sort_rows(numbered, "at", True), 38))
+    assert [round(r["image"]["data"][0] * 255) for r in last] == [1, 0]
+    assert [r["image"]["height"] for r in to_list(rl.take_shard(loaded, 20, 3))] == [1, 2]
+
+
+def test_sorted_and_sliced_image_files(spark, tmp_path):
+    """A sort of files that were not read yet stays lazy; its ties are in the order of the paths."""
+    for i in range(6):
+        (tmp_path / f"{i}.png").write_bytes(png(solid(1, 1, i, 0, 0), 2))
+    loaded = rl.load(spark, str(tmp_path), loader="image")
+    by_kind = rl.sort_rows(rl.map_column(loaded, "kind", "constant", "x"), "kind")
+    levels = [round(r["image"]["data"][0] * 255) for r in to_list(rl.map_column(by_kind, "at", "row index"))]
+    assert levels == [0, 1, 2, 3, 4, 5]
+    sliced = rl.load(spark, str(tmp_path), loader="image", split="train[2:4]")
+    assert [round(r["image"]["data"][0] * 255) for r in to_list(sliced)] == [2, 3]
+
+
+def test_wide_rows_are_written_in_small_groups(spark, tmp_path):
+    """A copy of decoded images is not read by the hundred rows when these are large."""
+    import pyarrow.parquet as pq
+
+    from rowloom.plans import order
+
+    noise = np.random.default_rng(1).integers(0, 256, (1000, 1000, 3))
+    content = png(noise, 2)
+    for i in range(24):
+        (tmp_path / f"{i:02d}.png").write_bytes(content)
+    copy = order.settle(rl.load(spark, str(tmp_path), loader="image"))
+    metas = [pq.ParquetFile(f.split("file:", 1)[1]).metadata for f in copy.df.inputFiles()]
+    groups = [m.row_group(g) for m in metas for g in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 24
+    assert max(g.total_byte_size for g in groups) < 48 << 20
+
+
 @pytest.mark.parametrize(
     "schema", ["image binary", "image struct<bytes:binary,path:string>", "image struct<bytes:binary>"]
 )
