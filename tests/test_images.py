@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import rowloom as rl
 from pyspark import cloudpickle
@@ -368,3 +369,26 @@ def test_text_column_of_an_image_dataset_needs_no_decoding(spark):
     frame = frame_of(spark, [((b"broken", None), "t")], "image struct<bytes:binary,path:string>, text string")
     assert to_list(frame, "text") == ["t"]
     assert "decode" not in rl.to_data_list(frame, "text")._jdf.queryExecution().toString()
+
+
+def embeddings(spark, folder, rows):
+    """The table as one file of one row group."""
+    values = [(i, [(7 * i + j) % 256 / 256 for j in range(64)]) for i in range(rows)]
+    table = spark.createDataFrame(values, "vec_id bigint, embedding array<float>").coalesce(1)
+    table.write.parquet(f"{folder}/embeddings.parquet")
+
+
+def test_mask_query_makes_its_images_in_several_tasks(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    embeddings(spark, tmp_path, 30)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        made = entry.image_bytes(spark, str(tmp_path), True).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(made) > 1 and sum(n for _, n in made) == 30
+    masks = entry.image_alpha_mask(spark, str(tmp_path))
+    assert "Format: Image" not in masks._jdf.queryExecution().toString()
+    expected = {(i, p, 255 - (7 * i + 4 * p + 3) % 256) for i in range(30) for p in range(16)}
+    assert {tuple(r) for r in masks.collect()} == expected
