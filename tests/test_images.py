@@ -4,6 +4,8 @@ import logging
 import struct
 import sys
 import zlib
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -392,3 +394,26 @@ def test_mask_query_makes_its_images_in_several_tasks(spark, tmp_path):
     assert "Format: Image" not in masks._jdf.queryExecution().toString()
     expected = {(i, p, 255 - (7 * i + 4 * p + 3) % 256) for i in range(30) for p in range(16)}
     assert {tuple(r) for r in masks.collect()} == expected
+
+
+def test_rgb_query_reads_each_image_once(spark, tmp_path, monkeypatch):
+    """Everything the query does after its files are written goes on if these are emptied once they were read."""
+    import __spark_entry__ as entry
+    from rowloom.plans import order
+
+    embeddings(spark, tmp_path, 30)
+    folders, settle = [], order.settle
+    made = entry.staging_path
+    monkeypatch.setattr(entry, "staging_path", lambda *a: folders.append(made(*a)) or folders[-1])
+
+    def emptied(frame):
+        copy = settle(frame)
+        for file in Path(urlparse(folders[0]).path).glob("*.png"):
+            file.write_bytes(b"")
+        return copy
+
+    monkeypatch.setattr(order, "settle", emptied)
+    pixels = entry.image_rgb(spark, str(tmp_path))
+    expected = {(i, 3 * p + c, (7 * i + 4 * p + c) % 256) for i in range(30) for p in range(16) for c in range(3)}
+    assert {tuple(r) for r in pixels.collect()} == expected and pixels.count() == 30 * 48
+    assert len(folders) == 1 and not any(f.stat().st_size for f in Path(urlparse(folders[0]).path).glob("*.png"))
