@@ -118,7 +118,7 @@ def _decoded_once(frame: Frame) -> Frame:
     A sort looks at its rows twice, so it reads this copy.  Scan tasks hold few files when these are small.
     """
     path = staging_path(frame.spark, "decoded")
-    tasks = frame.df.rdd.getNumPartitions()
+    tasks = frame.df.select(FILE).rdd.getNumPartitions()  # of a frame of its own, which does not keep the listed files twice
     copies = max(frame.spark.sparkContext.defaultParallelism * 4, tasks // TASKS_PER_COPY)
     frame.df.coalesce(copies).write.options(**WIDE_ROWS).parquet(path)
     return frame.rebuilt(frame.spark.read.parquet(path), kind="sorted")
