@@ -1,14 +1,16 @@
 """Phrase collocations: frequent n-grams by mergeable Misra-Gries summaries, then exact counts.
 
 1. Tasks count the n-grams of their texts by a 64-bit hash of language and words.  Counts are capped at
-   ``threshold`` and exchanged by hash, so a common n-gram is at most one small row per task and flush.
-2. Each hash partition keeps a Misra-Gries summary: sorted hashes and counts, merged batch by batch.  Beyond
+   ``threshold`` and exchanged by hash, so a common n-gram is at most one small entry per task and flush.
+   They travel as bundles: a row holds the sorted hashes of one range and their counts as bytes.
+2. Each range of hashes keeps a Misra-Gries summary: sorted hashes and counts, merged batch by batch.  Beyond
    ``capacity`` entries it takes the (capacity+1)-th largest count off all of them and keeps what is
    above 0.  An entry is short by at most the sum of what was taken off, ``error``.  There are so many partitions
    that capacity exceeds the mass of a partition divided by the threshold (mass is bounded by the bytes of the
    texts, which are summed first), so ``error`` stays below the threshold and no frequent n-gram is
    lost.  Should hashes fall so unevenly that it would not, the summary grows instead.
 3. The second pass counts the n-grams whose hash survived, by their words: exact, whatever the hashes.
+   The leading bits of a hash tell the few survivors it may equal.
    Survivors are broadcast up to ``BROADCAST_ROWS`` (counted); beyond that the counts are joined with them.
 4. Parts of a candidate are at least as frequent as itself, so scores need nothing but these counts.
 
@@ -35,8 +37,8 @@ from rowloom.llm.common import staged
 ENDS, END = b".,;:!?\n\x0b\x0c\r", b"\xff"
 #: Bytes of text whose n-grams are counted together, and n-grams a task holds before it hands them on.
 SLICE, HELD = 8 << 20, 2 << 20
-#: Rows handed on at a time.
-ROWS = 50_000
+#: Rows, and bytes of bundles, handed on at a time.
+ROWS, BUNDLE_BYTES = 50_000, 4 << 20
 #: Entries of a summary.
 CAPACITY = 1 << 20
 #: Surviving hashes (8 bytes each) that are broadcast.
@@ -173,23 +175,38 @@ class Summary:
         return self.keys[self.counts + self.error >= self.threshold]
 
 
-def _local_counts(longest: int, threshold: int):
-    """Texts -> (hash, count) of their n-grams."""
+def _edges(parts: int) -> np.ndarray:
+    """What divides all 64-bit numbers into ``parts`` ranges of one length: the first of each range but the first one."""
+    return np.array([i * (1 << 64) // parts - (1 << 63) for i in range(1, parts)], np.int64)
+
+
+def _bundles(keys: np.ndarray, counts: np.ndarray, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sorted hashes and their counts as a row per range."""
+    ends = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+    rows: list[tuple[int, bytes, bytes]] = []
+    size = 0
+    for part, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+        if a < b:
+            rows.append((part, keys[a:b].tobytes(), counts[a:b].tobytes()))
+            size += len(rows[-1][1]) + len(rows[-1][2])
+        if rows and (size >= BUNDLE_BYTES or b == len(keys)):
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "hashes", "counts"])
+            rows, size = [], 0
+
+
+def _local_counts(longest: int, threshold: int, parts: int):
+    """Texts -> bundles of (hash, count) of their n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         room, least = 0, HELD
-        small = np.min_scalar_type(threshold)
+        small, edges = np.min_scalar_type(threshold), _edges(parts)
 
         def summed() -> tuple[np.ndarray, np.ndarray]:
             keys, counts = _summed(*map(np.concatenate, zip(*held, strict=True)))
             return keys, np.minimum(counts, threshold).astype(small)
 
-        def batches_of(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(keys), ROWS):
-                columns = [pa.array(keys[at : at + ROWS]), pa.array(counts[at : at + ROWS].astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, ["hash", "n"])
-
         for _, _, grams, hashes in _counted(batches, longest):
             held.append((hashes.view(np.int64), np.minimum(grams.counts, threshold).astype(small)))
             room += len(hashes)
@@ -197,10 +214,10 @@ def _local_counts(longest: int, threshold: int):
                 held = [summed()]
                 room = len(held[0][0])
                 if room > least:
-                    yield from batches_of(*held[0])
+                    yield from _bundles(*held[0], edges)
                     held, room = [], 0
         if held:
-            yield from batches_of(*summed())
+            yield from _bundles(*summed(), edges)
 
     return run
 
@@ -209,15 +226,18 @@ def _surviving(capacity: int, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summary = Summary(capacity, threshold)
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        room = 0
+        room, small = 0, np.min_scalar_type(threshold)
         for batch in batches:
-            held.append((batch.column("hash").to_numpy(), batch.column("n").to_numpy().astype(np.int64)))
-            room += batch.num_rows
-            if room >= capacity // 2:
-                summary.merge(*map(np.concatenate, zip(*held, strict=True)))
-                held, room = [], 0
+            for hashes, counts in zip(batch.column("hashes"), batch.column("counts"), strict=True):
+                held.append((np.frombuffer(hashes.as_buffer(), np.int64), np.frombuffer(counts.as_buffer(), small)))
+                room += len(held[-1][0])
+                if room >= capacity // 2:
+                    keys, found = map(np.concatenate, zip(*held, strict=True))
+                    summary.merge(keys, found.astype(np.int64))
+                    held, room = [], 0
         if held:
-            summary.merge(*map(np.concatenate, zip(*held, strict=True)))
+            keys, found = map(np.concatenate, zip(*held, strict=True))
+            summary.merge(keys, found.astype(np.int64))
         yield pa.RecordBatch.from_arrays([pa.array(summary.survivors())], ["hash"])
 
     return run
@@ -228,29 +248,50 @@ def frequent_hashes(docs: DataFrame, longest: int, threshold: int, capacity: int
     size = docs.agg(F.sum(F.length("text")).alias("bytes"), F.count("*").alias("rows")).first()
     mass = longest * ((size["bytes"] or 0) // 2 + size["rows"])  # a word and what ends it take two bytes
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), mass // (capacity * threshold) + 1)
-    counts = docs.mapInArrow(_local_counts(longest, threshold), "hash long, n int").repartition(parts, "hash")
-    return counts.mapInArrow(_surviving(capacity, threshold), "hash long")
+    counts = docs.mapInArrow(_local_counts(longest, threshold, parts), "part int, hashes binary, counts binary")
+    # a range of hashes a task: at most ``capacity * threshold`` n-grams, however large the table is
+    return counts.repartitionById(parts, "part").mapInArrow(_surviving(capacity, threshold), "hash long")
 
 
 # -- second pass: exact counts -----------------------------------------------------------------
 
 
+class _Known:
+    """Sorted hashes (unsigned), looked up by their leading bits: a few places in a short table each."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(1, len(keys).bit_length() - 1)
+        self.keys, self.shift = keys, np.uint64(64 - bits)
+        self.starts = np.zeros((1 << bits) + 1, np.int32)
+        np.cumsum(np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits), out=self.starts[1:])
+
+    def rows(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of ``hashes`` that are known, ascending."""
+        first = (hashes >> self.shift).astype(np.int64)
+        at, end = self.starts[first], self.starts[first + 1]
+        known = np.zeros(len(hashes), bool)
+        rows = np.flatnonzero(at < end)
+        while len(rows):
+            hit = self.keys[at[rows]] == hashes[rows]
+            known[rows[hit]] = True
+            at[rows] += 1
+            rows = rows[~hit & (at[rows] < end[rows])]
+        return np.flatnonzero(known)
+
+
 def _exact_counts(longest: int, known):
     """Texts -> (hash, lang, phrase, words, n) of the n-grams whose hash is ``known`` (all if None), and n of each lang (words 0)."""
     kinds = pa.schema([("hash", pa.int64()), ("lang", pa.string()), ("phrase", pa.large_binary()), ("words", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = known.value if known is not None else None
+        wanted = _Known(known.value) if known is not None else None
         for lang, words, grams, hashes in _counted(batches, longest):
             size = grams.words.shape[1]
             if size == 1:
                 total = [[None], [lang], [None], [0], [int(grams.counts.sum())]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(total, kinds, strict=True)], schema=kinds)
             h = hashes.view(np.int64)
-            keep = np.arange(len(h))
-            if wanted is not None:
-                at = np.searchsorted(wanted, h)
-                keep = np.flatnonzero(wanted[np.minimum(at, len(wanted) - 1)] == h) if len(wanted) else keep[:0]
+            keep = np.arange(len(h)) if wanted is None else wanted.rows(hashes)
             for rows in np.split(keep, range(ROWS, len(keep), ROWS)):
                 parts = [words.take(pa.array(c)) for c in grams.words[rows].T]
                 phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())) if size > 1 else parts[0]
@@ -269,7 +310,7 @@ def phrase_counts(docs: DataFrame, longest: int = 3, threshold: int = 10, capaci
     survivors = staged(frequent_hashes(docs, longest, threshold, capacity), "phrase-survivors")
     kinds = "hash long, lang string, phrase binary, words int, n long"
     if survivors.count() <= BROADCAST_ROWS:
-        known = np.sort(survivors.toArrow()["hash"].combine_chunks().to_numpy())
+        known = np.sort(survivors.toArrow()["hash"].combine_chunks().to_numpy().view(np.uint64))
         rows = docs.mapInArrow(_exact_counts(longest, spark.sparkContext.broadcast(known)), kinds)
     else:
         rows = docs.mapInArrow(_exact_counts(longest, None), kinds).groupBy("hash", "lang", "phrase", "words").agg(F.sum("n").alias("n"))

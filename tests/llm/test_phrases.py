@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rowloom.llm import phrases as P
@@ -99,3 +100,44 @@ def test_many_words():
             grams = P._grams(ids, n_words, size)
             want = Counter(tuple(ids[i : i + size].tolist()) for i in range(len(ids) - size + 1) if (ids[i : i + size] >= 0).all())
             assert {tuple(w): n for w, n in zip(grams.words.tolist(), grams.counts.tolist(), strict=True)} == want
+
+
+def test_hashes_travel_in_bundles():
+    """A task hands on a row per range of hashes, not one per n-gram; a range holds what lies in it, counts capped."""
+    texts = [" ".join(f"w{i * 37 % 1000}" for i in range(j, j + 500)) for j in range(6)] + ["a " * 300]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": [t.encode() for t in texts]})
+    rows = [r for b in P._local_counts(3, 10, 8)(iter([batch])) for r in b.to_pylist()]
+    assert sorted(r["part"] for r in rows) == list(range(8))
+    seen = {}
+    for r in rows:
+        keys, counts = np.frombuffer(r["hashes"], np.int64), np.frombuffer(r["counts"], np.uint8)
+        assert len(keys) == len(counts) and (np.diff(keys) > 0).all()
+        assert {((int(k) + (1 << 63)) * 8) >> 64 for k in keys} == {r["part"]}
+        seen |= dict(zip(keys.tolist(), counts.tolist(), strict=True))
+    expected = {}
+    for _, _, grams, hashes in P._counted(iter([batch]), 3):
+        expected |= dict(zip(hashes.view(np.int64).tolist(), np.minimum(grams.counts, 10).tolist(), strict=True))
+    assert seen == expected and max(seen.values()) == 10
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 1000])
+def test_known_hashes_are_found_by_leading_bits(n):
+    rng = np.random.default_rng(n)
+    known = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+    known[: n // 2] >>= np.uint64(40)  # many that begin alike
+    known = np.unique(known)
+    asked = np.concatenate((rng.permutation(known), rng.integers(0, 1 << 64, 500, dtype=np.uint64), known + np.uint64(1)))
+    found = P._Known(known).rows(asked)
+    assert found.tolist() == [i for i, h in enumerate(asked.tolist()) if h in set(known.tolist())]
+
+
+def test_hashes_dealt_unevenly_lose_nothing(spark):
+    """Survivors are those of all counts, however many ranges there are and whatever the capacity."""
+    texts = [(i, "en", " ".join(f"w{(i * j) % 60}" for j in range(40))) for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, lang string, text string").selectExpr("lang", "cast(text AS binary) AS text")
+    batch = pa.Table.from_pandas(docs.toPandas()).combine_chunks().to_batches()[0]
+    expected = set()
+    for _, _, grams, hashes in P._counted(iter([batch]), 3):
+        expected |= set(hashes.view(np.int64)[grams.counts >= 10].tolist())
+    found = P.frequent_hashes(docs, 3, 10, capacity=50).toPandas()["hash"].tolist()
+    assert len(found) == len(set(found)) and expected <= set(found)
