@@ -36,7 +36,7 @@ from rowloom.llm.common import staged
 #: Characters that end a piece, and the byte (no part of any text) that stands for them.
 ENDS, END = b".,;:!?\n\x0b\x0c\r", b"\xff"
 #: Bytes of text whose n-grams are counted together, and n-grams a task holds before it hands them on.
-SLICE, HELD = 8 << 20, 2 << 20
+SLICE, HELD = 8 << 20, 1 << 20
 #: Rows, and bytes of bundles, handed on at a time.
 ROWS, BUNDLE_BYTES = 50_000, 4 << 20
 #: Entries of a summary.
