@@ -10,6 +10,8 @@ than ``CROWD`` fingerprints share is not paired off.  Its members are indexed ag
 all but one bit of the segment, so the remaining bits are left out directly (every choice of as many
 as may still differ).  Members with equal remainders are linked for certain, to the smallest of
 them: the work per fingerprint is bounded whatever the size of the crowd, and no pairs are listed.
+Spark sizes exploded rows like the fingerprints they come from and would broadcast them through the
+driver while those are few, so these joins ask for a merge of sorted rows.
 
 Equal fingerprints are one node, so copies cost nothing beyond a partial aggregation.  Components
 are found by star contraction, with every round written to the shared folder.
@@ -109,9 +111,9 @@ def links(nodes: DataFrame, distance: int = 2) -> DataFrame:
     )
     # Most signatures have one member: only the others go on.
     sizes = indexed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    shared = staged(indexed.join(sizes, "key"), "simhash-shared")
+    shared = staged(indexed.join(sizes.hint("merge"), "key"), "simhash-shared")
     few = shared.where(F.col("members") <= CROWD).select("key", "bits")
-    pairs = few.join(few.withColumnRenamed("bits", "other"), "key").where("bits < other")
+    pairs = few.join(few.withColumnRenamed("bits", "other").hint("merge"), "key").where("bits < other")
     pairs = pairs.where(F.bit_count(F.col("bits").bitwiseXOR(F.col("other"))) <= distance)
     pairs = pairs.select(F.col("bits").alias("a"), F.col("other").alias("b"))
 
@@ -119,7 +121,7 @@ def links(nodes: DataFrame, distance: int = 2) -> DataFrame:
     rest = crowds.select("bits", "key", F.explode(_remainders(F.col("sig"), signatures, distance)).alias("mask"))
     rest = rest.select("bits", "key", "mask", F.col("bits").bitwiseAND(F.col("mask")).alias("rest"))
     least = rest.groupBy("key", "mask", "rest").agg(F.min("bits").alias("a"), F.count("*").alias("n")).where("n > 1")
-    stars = rest.join(least, ["key", "mask", "rest"]).where("a < bits").select("a", F.col("bits").alias("b"))
+    stars = rest.join(least.hint("merge"), ["key", "mask", "rest"]).where("a < bits").select("a", F.col("bits").alias("b"))
     return pairs.unionByName(stars).distinct()
 
 

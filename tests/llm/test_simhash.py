@@ -101,3 +101,22 @@ def test_components(spark):
     want = brute_roots({n for x in links for n in x}, links)
     assert sorted(map(tuple, got)) == sorted(want.items())
     assert components(spark.createDataFrame([], "a long, b long")).where(F.lit(True)).collect() == []
+
+
+def test_exploded_rows_are_not_broadcast(spark, monkeypatch, tmp_path):
+    """A row per signature is many times what Spark makes of the size: such rows never go through the driver."""
+    plans = {}
+
+    def recorded(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, label)
+
+    staged = S.staged
+    monkeypatch.setattr(S, "staged", recorded)
+    monkeypatch.setattr(S, "CROWD", 2)
+    spark.range(300).selectExpr("id * 3 AS bits").write.parquet(f"{tmp_path}/nodes")
+    found = S.links(spark.read.parquet(f"{tmp_path}/nodes"))
+    assert found.count() > 0
+    plans["links"] = found._jdf.queryExecution().executedPlan().toString()
+    assert plans["simhash-shared"].count("SortMergeJoin") >= 1 and plans["links"].count("SortMergeJoin") >= 2
+    assert not any("Broadcast" in p for p in plans.values())
