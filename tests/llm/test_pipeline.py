@@ -5,6 +5,7 @@ from collections import Counter
 
 import corpus_pipeline as P
 from conftest import DATA
+from rowloom.llm import components, simhash
 from test_decontaminate import brute as hits
 from test_secrets import brute as secrets
 from test_simhash import expected as groups
@@ -57,3 +58,37 @@ def test_run_equals_stages_and_empty(spark, tmp_path):
     spark.read.parquet(f"{DATA}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{DATA}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert P.run(spark, str(tmp_path)).collect() == []
+
+
+def _exploded_in_broadcast(plan):
+    """Whether a broadcast of the plan (as a tree of lines) takes exploded rows."""
+    inside = None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        if inside is not None and depth <= inside:
+            inside = None
+        if "BroadcastExchange" in line and inside is None:
+            inside = depth
+        if "Generate explode" in line and inside is not None:
+            return True
+    return False
+
+
+def test_near_dedup_stage_broadcasts_no_exploded_rows(spark, monkeypatch, tmp_path):
+    """A small table too: what counts is how the plan would grow, not what Spark takes for its size."""
+    plans = []
+
+    def recorded(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, label)
+
+    staged = simhash.staged
+    for module in (simhash, components):
+        monkeypatch.setattr(module, "staged", recorded)
+    rows = [(i, f"alpha beta gamma {i % 40} delta epsilon", "en", "web", 30) for i in range(80)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/docs")
+    kept = P.remove_near_duplicates(spark, spark.read.parquet(f"{tmp_path}/docs"), DATA)
+    plans.append(kept._jdf.queryExecution().executedPlan().toString())
+    assert {r.doc_id for r in kept.collect()} == {c for _, c in groups([(i, t) for i, t, *_ in rows]).values()}
+    assert any("Generate explode" in p for p in plans)
+    assert not any(_exploded_in_broadcast(p) for p in plans)
