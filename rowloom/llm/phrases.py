@@ -9,9 +9,12 @@
    that capacity exceeds the mass of a partition divided by the threshold (mass is bounded by the bytes of the
    texts, which are summed first), so ``error`` stays below the threshold and no frequent n-gram is
    lost.  Should hashes fall so unevenly that it would not, the summary grows instead.
-3. The second pass counts the n-grams whose hash survived, by their words: exact, whatever the hashes.
+3. The second pass counts the n-grams whose hash survived, by their words: exact, whatever the hashes.  They travel
+   as bundles too, with the phrases compressed, and a task counts the phrases of one range of hashes.
    The leading bits of a hash tell the few survivors it may equal.
-   Survivors are broadcast up to ``BROADCAST_ROWS`` (counted); beyond that the counts are joined with them.
+   Survivors are broadcast up to ``BROADCAST_ROWS`` (counted).  Beyond that a bit for the leading bits of each is
+   broadcast, at most ``2**MARK_BITS``: n-grams whose bit is not set stay where they are read, and the few others
+   that share a bit with a survivor are counted too, and go by their counts.
 4. Parts of a candidate are at least as frequent as itself, so scores need nothing but these counts.
 
 Defined results: a null text is empty and has no words; a null lang is ``und``; very long texts are one slice of
@@ -43,6 +46,10 @@ ROWS, BUNDLE_BYTES = 50_000, 4 << 20
 CAPACITY = 1 << 20
 #: Surviving hashes (8 bytes each) that are broadcast.
 BROADCAST_ROWS = 4 << 20
+#: Leading bits of more survivors (2**MARK_BITS bits are as large as BROADCAST_ROWS hashes), and bits gathered together.
+MARK_BITS, CHUNK_BITS = 28, 19
+#: Survivors of a range whose phrases are counted by one task.
+MERGED = 1 << 19
 
 _TABLE = bytes.maketrans(ENDS, END * len(ENDS))
 
@@ -279,24 +286,145 @@ class _Known:
         return np.flatnonzero(known)
 
 
-def _exact_counts(longest: int, known):
-    """Texts -> (hash, lang, phrase, words, n) of the n-grams whose hash is ``known`` (all if None), and n of each lang (words 0)."""
-    kinds = pa.schema([("hash", pa.int64()), ("lang", pa.string()), ("phrase", pa.large_binary()), ("words", pa.int32()), ("n", pa.int64())])
+class _Likely:
+    """A bit for the leading ``bits`` of each of many hashes: tells all of them, and few others."""
+
+    def __init__(self, bits: int):
+        self.bits, self.marks = bits, np.zeros(1 << bits >> 3, np.uint8)
+
+    def rows(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of ``hashes`` that may be known, ascending."""
+        at = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+        return np.flatnonzero(self.marks[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+
+
+def _marks(bits: int):
+    """Hashes -> (chunk, marks): the bits to set for them, 2**CHUNK_BITS at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = _Known(known.value) if known is not None else None
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = np.sort((batch.column("hash").to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64))
+            chunks, firsts = np.unique(at >> CHUNK_BITS, return_index=True)
+            for chunk, own in zip(chunks.tolist(), np.split(at & ((1 << CHUNK_BITS) - 1), firsts[1:]), strict=False):
+                marks = held.setdefault(chunk, np.zeros(1 << CHUNK_BITS >> 3, np.uint8))
+                np.bitwise_or.at(marks, own >> 3, np.uint8(1) << (own & 7).astype(np.uint8))
+        yield from _as_rows(held)
+
+    return run
+
+
+def _merged_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, marks) of several tasks -> one row per chunk."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, marks in zip(batch.column("chunk").to_pylist(), batch.column("marks"), strict=True):
+            own = np.frombuffer(marks.as_buffer(), np.uint8)
+            held[chunk] = held[chunk] | own if chunk in held else own.copy()
+    yield from _as_rows(held)
+
+
+def _as_rows(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for chunk, marks in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([marks.tobytes()])], ["chunk", "marks"])
+
+
+def _likely(survivors: DataFrame, n: int) -> _Likely:
+    """The bits of ``n`` survivors; each chunk is put together by one task, so the driver gets every bit once."""
+    likely = _Likely(max(CHUNK_BITS, min(MARK_BITS, n.bit_length() + 4)))
+    kinds, size = "chunk int, marks binary", 1 << CHUNK_BITS >> 3
+    found = survivors.mapInArrow(_marks(likely.bits), kinds).repartition("chunk").mapInArrow(_merged_marks, kinds)
+    for batch in found.toArrow().to_batches():
+        for chunk, marks in zip(batch.column("chunk").to_pylist(), batch.column("marks"), strict=True):
+            likely.marks[chunk * size : (chunk + 1) * size] = np.frombuffer(marks.as_buffer(), np.uint8)
+    return likely
+
+
+def _exact_counts(longest: int, known, parts: int):
+    """Texts -> bundles of the n-grams whose hash is (or may be) ``known``, and of the words of each lang (words 0).
+
+    A row holds the n-grams of one size and range of hashes of a slice: how often each stands there, its length and
+    all phrases in a run, compressed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = known.value if isinstance(known.value, _Likely) else _Known(known.value)
+        edges = _edges(parts)
+        rows: list[tuple] = []
+        room = 0
         for lang, words, grams, hashes in _counted(batches, longest):
             size = grams.words.shape[1]
             if size == 1:
-                total = [[None], [lang], [None], [0], [int(grams.counts.sum())]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(total, kinds, strict=True)], schema=kinds)
-            h = hashes.view(np.int64)
-            keep = np.arange(len(h)) if wanted is None else wanted.rows(hashes)
-            for rows in np.split(keep, range(ROWS, len(keep), ROWS)):
-                parts = [words.take(pa.array(c)) for c in grams.words[rows].T]
-                phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())) if size > 1 else parts[0]
-                columns = [pa.array(h[rows]), pa.repeat(lang, len(rows)), phrase, pa.repeat(pa.scalar(size, pa.int32()), len(rows)), pa.array(grams.counts[rows])]
-                yield pa.RecordBatch.from_arrays(columns, schema=kinds)
+                rows.append((0, lang, 0, *_packed(pa.array([b""], pa.large_binary()), grams.counts.sum(keepdims=True))))
+            keep = wanted.rows(hashes)
+            at = np.searchsorted(edges, hashes[keep].view(np.int64), side="right")
+            order = np.argsort(at, kind="stable")  # n-grams that begin alike stay together
+            keep, ends = keep[order], np.searchsorted(at[order], np.arange(parts + 1)).tolist()
+            columns = [words.take(pa.array(c)) for c in grams.words[keep].T]
+            phrases = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary())) if size > 1 else columns[0]
+            counts = grams.counts[keep]
+            for part, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+                if a < b:
+                    rows.append((part, lang, size, *_packed(phrases[a:b], counts[a:b])))
+                    room += sum(map(len, rows[-1][3:6]))
+                if room >= BUNDLE_BYTES:
+                    yield _batch(rows, PACKED)
+                    rows, room = [], 0
+        if rows:
+            yield _batch(rows, PACKED)
+
+    return run
+
+
+#: Columns of a bundle of phrases, and of counted phrases.
+PACKED = pa.schema([("part", pa.int32()), ("lang", pa.string()), ("words", pa.int32()), ("counts", pa.binary()), ("lengths", pa.binary()), ("phrases", pa.binary()), ("n", pa.int32())])
+BUNDLE = "part int, lang string, words int, counts binary, lengths binary, phrases binary, n int"
+COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.large_binary()), ("words", pa.int32()), ("n", pa.int64())])
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
+def _packed(phrases: pa.Array, counts: np.ndarray) -> tuple[bytes, bytes, bytes, int]:
+    """(counts, lengths, phrases) as bytes, and how many they are; numbers are as wide as the largest asks for."""
+    ends = np.frombuffer(phrases.buffers()[1], np.int64)[phrases.offset : phrases.offset + len(phrases) + 1]
+    text = phrases.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])) if ends[-1] > ends[0] else b""
+    numbers = [x.astype(f"u{np.min_scalar_type(int(x.max())).itemsize}").tobytes() for x in (counts, np.diff(ends))]
+    return *numbers, pa.compress(text, "zstd", asbytes=True), len(counts)
+
+
+def _unpacked(lang: str, words: int, counts: bytes, lengths: bytes, phrases: bytes, n: int) -> pa.Table:
+    counts, lengths = (np.frombuffer(x, f"u{len(x) // n}").astype(np.int64) for x in (counts, lengths))
+    ends = np.concatenate(([0], np.cumsum(lengths)))
+    text = pa.decompress(phrases, int(ends[-1]), "zstd")
+    rows = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), text])
+    return pa.table([pa.repeat(lang, n), rows, pa.repeat(pa.scalar(words, pa.int32()), n), pa.array(counts)], schema=COUNTED)
+
+
+def _totalled(threshold: int):
+    """Bundles of a range of hashes -> (lang, phrase, words, n) with ``threshold`` occurrences, and the words of each lang (words 0)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        room, least = 0, MERGED
+
+        def summed() -> pa.Table:
+            found = pa.concat_tables(held).group_by(["lang", "phrase", "words"], use_threads=False).aggregate([("n", "sum")])
+            return found.select(["lang", "phrase", "words", "n_sum"]).rename_columns(COUNTED.names)
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                held.append(_unpacked(*(row[c] for c in PACKED.names[1:])))
+                room += row["n"]
+                if room > 2 * least:
+                    held = [summed()]
+                    room = held[0].num_rows
+                    least = max(least, room)
+        if held:
+            found = summed()
+            found = found.filter(pc.or_(pc.greater_equal(found["n"], threshold), pc.equal(found["words"], 0)))
+            yield from found.cast(COUNTED).combine_chunks().to_batches(max_chunksize=ROWS)
 
     return run
 
@@ -307,17 +435,16 @@ def phrase_counts(docs: DataFrame, longest: int = 3, threshold: int = 10, capaci
     docs = docs.select(
         F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text")
     )
-    survivors = staged(frequent_hashes(docs, longest, threshold, capacity), "phrase-survivors")
-    kinds = "hash long, lang string, phrase binary, words int, n long"
-    if survivors.count() <= BROADCAST_ROWS:
+    survivors = staged(frequent_hashes(docs, longest, threshold, capacity), "phrase-survivors", tidy=True)
+    n = survivors.count()
+    if n <= BROADCAST_ROWS:
         known = np.sort(survivors.toArrow()["hash"].combine_chunks().to_numpy().view(np.uint64))
-        rows = docs.mapInArrow(_exact_counts(longest, spark.sparkContext.broadcast(known)), kinds)
     else:
-        rows = docs.mapInArrow(_exact_counts(longest, None), kinds).groupBy("hash", "lang", "phrase", "words").agg(F.sum("n").alias("n"))
-        words = rows.where("words = 0")
-        rows = rows.where("words > 0").join(survivors, "hash", "left_semi").unionByName(words)
-    rows = rows.groupBy("lang", F.col("phrase").cast("string").alias("phrase"), "words").agg(F.sum("n").alias("n"))
-    rows = staged(rows.where((F.col("n") >= threshold) | (F.col("words") == 0)), "phrase-counts")
+        known = _likely(survivors, n)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // MERGED + 1)
+    rows = docs.mapInArrow(_exact_counts(longest, spark.sparkContext.broadcast(known), parts), BUNDLE)
+    rows = rows.repartitionById(parts, "part").mapInArrow(_totalled(threshold), "lang string, phrase binary, words int, n long")
+    rows = staged(rows.withColumn("phrase", F.col("phrase").cast("string")), "phrase-counts", tidy=True)
     return rows.where("words > 0"), rows.where("words = 0").select("lang", "n")
 
 

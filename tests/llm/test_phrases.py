@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from rowloom.llm import phrases as P
+from rowloom.llm.common import TIDY, staged
 
 
 def brute(docs, longest=3, threshold=10, top=2000):
@@ -141,3 +142,57 @@ def test_hashes_dealt_unevenly_lose_nothing(spark):
         expected |= set(hashes.view(np.int64)[grams.counts >= 10].tolist())
     found = P.frequent_hashes(docs, 3, 10, capacity=50).toPandas()["hash"].tolist()
     assert len(found) == len(set(found)) and expected <= set(found)
+
+
+def test_beyond_the_broadcast_only_likely_survivors_travel(spark, monkeypatch):
+    """Many survivors are broadcast as bits: of the n-grams that do not survive, few leave the task that reads them."""
+    seen, whole = [], P._exact_counts
+
+    def recorded(longest, known, *more):
+        seen.append(known)
+        return whole(longest, known, *more)
+
+    monkeypatch.setattr(P, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(P, "_exact_counts", recorded)
+    rare = " ".join(f"r{i}" for i in range(20_000))
+    docs = [("en", rare)] + [("en", "new york city is new. ")] * 40 + [(None, "a b")] * 12
+    assert result(spark, docs) == brute(docs)
+    assert seen[0] is not None
+    monkeypatch.undo()
+    batch = pa.RecordBatch.from_pydict({"lang": [lang or "und" for lang, _ in docs], "text": [t.encode() for _, t in docs]})
+    rows = [r for b in whole(3, seen[0], 8)(iter([batch])) for r in b.to_pylist()]
+    found = pa.concat_tables([P._unpacked(*(r[c] for c in P.PACKED.names[1:])) for r in rows]).to_pylist()
+    counts = {(r["lang"], r["phrase"].decode()): r["n"] for r in found if r["words"]}
+    assert counts["en", "new york city"] == 40 and counts["en", "new"] == 80 and counts["und", "a b"] == 12
+    assert len(counts) == sum(r["n"] for r in rows if r["words"]) < 2000  # of 60,000
+    assert {r["lang"]: r["n"] for r in found if not r["words"]} == {"en": 20_200, "und": 24}
+
+
+@pytest.mark.parametrize("bits", [19, 22])
+def test_likely_finds_all_that_are_known(bits):
+    rng = np.random.default_rng(bits)
+    known = np.unique(rng.integers(0, 1 << 64, 5000, dtype=np.uint64))
+    likely = P._Likely(bits)
+    parts = [pa.RecordBatch.from_pydict({"hash": half.view(np.int64)}) for half in np.array_split(rng.permutation(known), 3)]
+    marks = [b for part in parts for b in P._marks(bits)(iter([part]))]
+    for r in [r for b in P._merged_marks(iter(marks)) for r in b.to_pylist()]:
+        likely.marks[r["chunk"] << 16 : r["chunk"] + 1 << 16] = np.frombuffer(r["marks"], np.uint8)
+    asked = rng.integers(0, 1 << 64, 50_000, dtype=np.uint64)
+    assert len(likely.rows(known)) == len(known)
+    assert likely.rows(asked).tolist() == np.flatnonzero(np.isin(asked >> np.uint64(64 - bits), known >> np.uint64(64 - bits))).tolist()
+
+
+def test_phrases_are_packed_and_unpacked():
+    texts = [b"", "é".encode(), b"a b", b"x" * 70_000, b"\x00 z"]
+    whole = pa.array([b"before", *texts, b"after"], pa.large_binary())
+    counts = np.array([1, 300, 70_000, 2, 1 << 40])
+    table = P._unpacked("en", 2, *P._packed(whole[1:-1], counts))
+    assert table.column("phrase").to_pylist() == texts and table.column("n").to_pylist() == counts.tolist()
+
+
+def test_tidy_staging_restores_the_setting(spark):
+    before = spark.conf.get(TIDY)
+    assert staged(spark.range(5).repartition(2), "test", tidy=True).count() == 5 and spark.conf.get(TIDY) == before
+    with pytest.raises(Exception, match="no"):
+        staged(spark.range(1).selectExpr("raise_error('no') AS x"), "test", tidy=True)
+    assert spark.conf.get(TIDY) == before
